@@ -87,16 +87,8 @@ def apply_changes(
     if strategy == "shuffle" and not absent:
         result = _rank_together(base, flagged, shape, keys, order_by, guard)
     else:
-        latest = flagged if reduced else latest_change(flagged, keys, order_by)
-        heads = _heads(flagged, keys, order_by, reduced)
-        held_newer = _newer(order_by) if guard else F.lit(False)
-        kept = base.join(_held(heads, heads.columns), _matches(keys) & ~held_newer, "left_anti")
-        if guard:
-            stale = base.join(_held(heads, heads.columns), _matches(keys) & held_newer)
-            latest = _without(latest, stale.select(*map(ref, keys)), keys)
-        if absent:
-            latest = _fill_from_base(latest, base, heads, keys, absent)
-        result = kept.unionByName(_in_shape(latest, shape), allowMissingColumns=True)
+        kept, applied = split_by_match(base, flagged, keys, None, order_by, reduced=reduced)
+        result = kept.unionByName(applied, allowMissingColumns=True)
 
     columns = [ref(field.name) for field in shape]
     deleted = F.coalesce(ref(IS_DELETED), F.lit(False))
@@ -105,6 +97,36 @@ def apply_changes(
     return result.where(~deleted).select(*columns)
 
 
+def split_by_match(
+    base: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    op: str | None = None,
+    order_by: Sequence[str] = (),
+    *,
+    reduced: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The two halves of an apply: table rows that stay, and change rows that take effect.
+
+    Change rows have the table's columns and types, deletes among them marked ``is_deleted``.
+    """
+    flagged = _flag_deletes(changes, op)
+    shape = [field for field in base.schema.fields if field.name != IS_DELETED]
+    absent = [field.name for field in shape if field.name not in changes.columns]
+    latest = flagged if reduced else latest_change(flagged, keys, order_by)
+    heads = _heads(flagged, keys, order_by, reduced)
+    other = _held(heads, heads.columns)
+    guard = bool(order_by) and all(name in base.columns for name in order_by)
+    stays = _newer(order_by) if guard else F.lit(False)
+    kept = base.join(other, _matches(keys) & ~stays, "left_anti")
+    if guard:
+        stale = base.join(other, _matches(keys) & stays).select(*map(ref, keys))
+        latest = _without(latest, stale, keys)
+    if absent:
+        latest = fill_from_table(latest, base, keys, absent, heads=heads)
+    return kept, _in_shape(latest, shape)
+
+
 def classify_changes(
     base: DataFrame,
     changes: DataFrame,
@@ -143,6 +165,9 @@ def classify_changes(
 
 
 def _flag_deletes(changes: DataFrame, op: str | None) -> DataFrame:
+    """Turn the operation into a delete flag; changes staged earlier carry the flag already."""
+    if op is None and IS_DELETED in changes.columns:
+        return changes
     deleted = F.coalesce(ref(op), F.lit("I")) == F.lit("D") if op else F.lit(False)
     return changes.withColumn(IS_DELETED, deleted)
 
@@ -179,10 +204,16 @@ def _without(df: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(_held(keyed, keys), _matches(keys), "left_anti")
 
 
-def _fill_from_base(
-    latest: DataFrame, base: DataFrame, heads: DataFrame, keys: Sequence[str], absent: Sequence[str]
+def fill_from_table(
+    latest: DataFrame,
+    base: DataFrame,
+    keys: Sequence[str],
+    absent: Sequence[str],
+    *,
+    heads: DataFrame | None = None,
 ) -> DataFrame:
     """Columns the changes do not carry keep the value the table holds for the key."""
+    heads = latest if heads is None else heads
     narrow = base.select(*[ref(name) for name in dict.fromkeys([*keys, *absent])])
     stored = narrow.join(_held(heads.select(*map(ref, keys)), keys), _matches(keys))
     stored = _held(stored.select(*map(ref, narrow.columns)), keys)
