@@ -126,8 +126,7 @@ class KeyedTable:
             schema=_nullable(changes.schema).jsonValue(),
         )
         rows = apply_changes(changes.where(F.lit(False)), changes, keys, op, order_by, "soft")
-        placed = even_files(_with_bucket(rows, state), [BUCKET])
-        generation = self._write_base(placed, state)
+        generation = self._write_base(self._place(rows, state), state)
         written = self._storage.names(f"{self._path}/base/{GENERATION}={generation}")
         base = {n.split("=")[1]: generation for n in written if n.startswith(f"{BUCKET}=")}
 
@@ -148,7 +147,7 @@ class KeyedTable:
         if absent:
             batch = fill_from_table(batch, self.read("soft"), state.keys, absent)
         casts = safe_casts(batch, {f.name: f.dataType for f in state.columns.fields})
-        staged = even_files(batch.select(*casts.values(), ref(IS_DELETED)))
+        staged = batch.select(*casts.values(), ref(IS_DELETED))
         folder = f"{batch_key}-{uuid.uuid4().hex}"
         writer = staged.write.option("compression", self._compression)
         writer.parquet(f"{self._path}/changes/{folder}")
@@ -180,7 +179,7 @@ class KeyedTable:
             rows = apply_changes(
                 base, pending, state.keys, None, state.order_by, "soft", strategy="shuffle"
             )
-            placed = even_files(_with_bucket(rows, state), [BUCKET])
+            placed = self._place(rows, state)
         generation = self._write_base(placed, state)
 
         def fold(now: TableState) -> TableState:
@@ -240,6 +239,18 @@ class KeyedTable:
         limit = self._spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
         return "join" if size <= limit else "shuffle"
 
+    def _place(self, rows: DataFrame, state: TableState) -> DataFrame:
+        """Rows grouped by bucket for the write, after they were shuffled by key.
+
+        Buckets use the hash Spark shuffles by. If one of the two counts divides the other, a
+        shuffle partition holds whole buckets or part of one, and no second shuffle is needed.
+        """
+        placed = _with_bucket(rows, state)
+        conf = self._spark._jsparkSession.sessionState().conf()
+        partitions = conf.numShufflePartitions()
+        aligned = partitions % state.buckets == 0 or state.buckets % partitions == 0
+        return placed if aligned else even_files(placed, [BUCKET])
+
     def _base(self, state: TableState, buckets: Sequence[int] | None = None) -> DataFrame:
         """Rows of the base, or of some of its buckets, without listing any other folder."""
         wanted = state.base
@@ -300,7 +311,7 @@ class KeyedTable:
 
 
 def _with_bucket(df: DataFrame, state: TableState) -> DataFrame:
-    bucket = F.pmod(F.xxhash64(*map(ref, state.keys)), F.lit(state.buckets)).cast("int")
+    bucket = F.pmod(F.hash(*map(ref, state.keys)), F.lit(state.buckets))
     return df.withColumn(BUCKET, bucket)
 
 

@@ -155,7 +155,7 @@ def fold(base, changes):
     return {key: v for key, (v, gone) in held.items() if not gone}
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_any_split_order_and_replay_gives_the_fold(spark, seed):
     rng = random.Random(seed)
     keys = [(a, b) for a, b in itertools.product("abcde", ["x", None])]
