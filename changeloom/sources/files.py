@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -39,7 +40,7 @@ def scan_batch(
         reader = reader.option("modifiedAfter", modified_after)
     try:
         return reader.load(source.source_location)
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         raise SourceError(f"cannot read {source.source}: {error}") from error
 
 
@@ -56,7 +57,7 @@ def scan_stream(
     recursive: bool = True,
     archive: bool = True,
     max_files: int | None = 1,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Parquet change files as they land; the full-load path serves if no change path is set.
 
@@ -77,5 +78,5 @@ def scan_stream(
             lookup = spark.read.option("recursiveFileLookup", str(recursive).lower())
             schema = lookup.parquet(path).schema
         return spark.readStream.format("parquet").schema(schema).options(**options).load(path)
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         raise SourceError(f"cannot stream {source.source}: {error}") from error

@@ -39,7 +39,7 @@ class StreamOptions:
     interval: str = "5 minutes"
     available_now: bool = False
     max_files: int | None = 1
-    max_bytes: str | None = None
+    max_bytes: int | None = None
     recursive: bool = True
     archive: bool = True
 

@@ -65,7 +65,7 @@ def test_stream_scan_falls_back_to_the_full_load_path(spark, landing):
     assert archive_folder("/landing/flights_cdc/") == "/landing/flights_cdc_archive/"
 
 
-@pytest.mark.parametrize("options, batches", [({}, 2), ({"max_files": 5}, 1), ({"max_bytes": "1g"}, 1)])
+@pytest.mark.parametrize("options, batches", [({}, 2), ({"max_files": 5}, 1), ({"max_bytes": 10**9}, 1)])
 def test_stream_rate_limit_and_archive(spark, landing, tmp_path, options, batches):
     stream = scan_stream(spark, spec(cdc_source_location=landing), **options)
     seen = []
@@ -98,7 +98,7 @@ def test_catalog_and_sql(spark, tmp_path):
 
 
 def test_merge_needs_a_format_with_row_level_operations(spark, tmp_path):
-    spark.range(4).selectExpr("id", "'a' v").write.parquet(str(tmp_path / "t"))
+    spark.range(4).selectExpr("id", "'a' v", "false is_deleted").write.parquet(str(tmp_path / "t"))
     catalog.register_files(spark, "cl_plain", str(tmp_path / "t"))
     changes = spark.sql("SELECT 1L id, 'b' v, 'U' op, 1 seq")
     for deletes in ("hard", "soft"):
@@ -108,7 +108,9 @@ def test_merge_needs_a_format_with_row_level_operations(spark, tmp_path):
 
 
 def test_a_hot_partition_is_split_and_small_ones_are_not_scattered(spark, tmp_path):
-    df = spark.range(0, 40_000, 1, 8).selectExpr("id", "if(id % 3 = 0, 'hot', concat('p', id % 4)) p", "repeat(uuid(), 9) pad")
+    df = spark.range(0, 120_000, 1, 8).selectExpr(
+        "id", "if(id % 3 = 0, 'hot', concat('p', id % 4)) p", "concat(uuid(), uuid(), uuid(), uuid(), uuid(), uuid()) pad"
+    )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     try:
         write_partitioned(df, str(tmp_path / "out"), ["p"], sort_by=["id"])
@@ -116,7 +118,7 @@ def test_a_hot_partition_is_split_and_small_ones_are_not_scattered(spark, tmp_pa
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = {d.name: len(parquet_files(d)) for d in (tmp_path / "out").iterdir() if d.is_dir()}
     assert files["p=hot"] > 1
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 40_000
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 120_000
 
 
 def test_compaction(spark, tmp_path):
