@@ -27,7 +27,9 @@ class LoadOptions:
     buckets: hash buckets of a new table; plan for a few hundred megabytes each.
     cache: keep a validated input instead of scanning it again. None decides by mode: a
         micro-batch is bounded and kept, a full load is not.
-    compact_every: fold change batches into the table after that many; 0 leaves it to a job.
+    compact_every: batches a stream leaves waiting before it merges them or folds them into the
+        table (see ``KeyedTable.maintain``); 0 leaves that to a job of its own.
+    compact_ratio: share of the table's bytes the waiting batches must reach to be folded in.
     on_error: ``stop`` ends a multi-table load at the first failure, ``continue`` goes on.
     strict_audit: a failure to write an audit row fails the run instead of being logged.
     """
@@ -36,7 +38,8 @@ class LoadOptions:
     sequence_column: str | None = None
     buckets: int = 16
     cache: bool | None = None
-    compact_every: int = 0
+    compact_every: int = 50
+    compact_ratio: float = 0.1
     on_error: str = "stop"
     strict_audit: bool = False
     job_name: str = JOB_NAME

@@ -149,8 +149,7 @@ class KeyedTable:
         casts = safe_casts(batch, {f.name: f.dataType for f in state.columns.fields})
         staged = batch.select(*casts.values(), ref(IS_DELETED))
         folder = f"{batch_key}-{uuid.uuid4().hex}"
-        writer = staged.write.option("compression", self._compression)
-        writer.parquet(f"{self._path}/changes/{folder}")
+        self._write_changes(staged, folder)
         self._commit(lambda now: replace(now, pending={**now.pending, batch_key: folder}))
 
     def compact(self, strategy: str | None = None) -> list[int]:
@@ -192,6 +191,43 @@ class KeyedTable:
         self._commit(fold)
         return touched
 
+    def merge_pending(self) -> None:
+        """Put all pending batches into one, without touching the base."""
+        state = self.state()
+        if len(state.pending) < 2:
+            return
+        rows = latest_change(self._pending(state), state.keys, state.order_by)
+        merged = f"merged-{uuid.uuid4().hex}"
+        self._write_changes(rows, merged)
+
+        def swap(now: TableState) -> TableState:
+            left = {k: f for k, f in now.pending.items() if state.pending.get(k) != f}
+            if len(now.pending) - len(left) != len(state.pending):
+                raise CommitConflict(f"{self._path}: batches were folded in by another writer")
+            return replace(now, pending={merged: merged, **left})
+
+        self._commit(swap)
+
+    def maintain(self, max_batches: int = 50, ratio: float = 0.1) -> str:
+        """Keep reads cheap: returns what was done, ``none``, ``merged`` or ``compacted``.
+
+        Nothing happens below ``max_batches``. Then the batches are merged, or, once they hold
+        ``ratio`` of the bytes of the base, folded in. So a byte of changes causes at most about
+        ``1 / ratio`` bytes of the base to be rewritten, however small the batches are.
+        """
+        state = self.state()
+        if len(state.pending) < max_batches:
+            return "none"
+        base = sum(
+            self._storage.bytes_under(f"{self._path}/base/{GENERATION}={g}/{BUCKET}={b}")
+            for b, g in state.base.items()
+        )
+        if self._pending_bytes(state) >= ratio * base:
+            self.compact()
+            return "compacted"
+        self.merge_pending()
+        return "merged"
+
     def expire(self, keep: int = 10) -> int:
         """Drop old committed states and the folders no remaining one uses.
 
@@ -232,12 +268,12 @@ class KeyedTable:
 
     def _strategy(self, state: TableState) -> str:
         """Join only while the pending batches are small enough for Spark to broadcast them."""
-        size = sum(
-            self._storage.bytes_under(f"{self._path}/changes/{folder}")
-            for folder in state.pending.values()
-        )
         limit = self._spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        return "join" if size <= limit else "shuffle"
+        return "join" if self._pending_bytes(state) <= limit else "shuffle"
+
+    def _pending_bytes(self, state: TableState) -> int:
+        folders = [f"{self._path}/changes/{folder}" for folder in state.pending.values()]
+        return sum(map(self._storage.bytes_under, folders))
 
     def _place(self, rows: DataFrame, state: TableState) -> DataFrame:
         """Rows grouped by bucket for the write, after they were shuffled by key.
@@ -273,6 +309,10 @@ class KeyedTable:
         paths = [f"{self._path}/changes/{folder}" for folder in state.pending.values()]
         return self._spark.read.schema(state.stored).parquet(*paths)
 
+    def _write_changes(self, rows: DataFrame, folder: str) -> None:
+        writer = rows.write.option("compression", self._compression)
+        writer.parquet(f"{self._path}/changes/{folder}")
+
     def _write_base(self, placed: DataFrame, state: TableState) -> str:
         generation = uuid.uuid4().hex
         ordered = placed.sortWithinPartitions(*map(ref, [BUCKET, *state.sort_by, *state.keys]))

@@ -64,9 +64,9 @@ def apply_micro_batch(
             spark, df, source, lake, batch_key,
             started=started, options=options, cache=options.cache is not False,
         )
-        table = lake.table(spark, source.target)
-        if options.compact_every and counts.written and table.pending_batches() >= options.compact_every:
-            table.compact()
+        if options.compact_every and counts.written:
+            table = lake.table(spark, source.target)
+            table.maintain(options.compact_every, options.compact_ratio)
         return counts
     except Exception as failure:
         error = failure

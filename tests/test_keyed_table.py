@@ -156,6 +156,24 @@ def test_gives_up_after_too_many_collisions(spark, table, monkeypatch):
         put(table, rows(spark, (1, "b", 1, "U")), "b1")
 
 
+def test_maintenance(spark, table):
+    put(table, rows(spark, *[(i, "a", 0, "I") for i in range(50)]), "b0")
+    put(table, rows(spark, (1, "b", 1, "U"), (2, "b", 1, "D")), "b1")
+    put(table, rows(spark, (1, "c", 2, "U"), (60, "c", 1, "I")), "b2")
+    expected = state(table)
+    assert table.maintain(max_batches=3) == "none"
+    base = table.state().base
+    assert table.maintain(max_batches=2, ratio=100) == "merged"
+    assert table.pending_batches() == 1 and table.state().base == base
+    assert state(table) == expected
+    put(table, rows(spark, (2, "b", 1, "D"), (1, "c", 2, "U")), "b2")
+    assert state(table) == expected
+    assert table.maintain(max_batches=2, ratio=0.01) == "compacted"
+    assert table.pending_batches() == 0 and state(table) == expected
+    table.merge_pending()
+    assert table.pending_batches() == 0
+
+
 def test_expire_keeps_what_is_in_use(spark, table):
     put(table, rows(spark, *[(i, "a", 0, "I") for i in range(9)]), "b0")
     for n in range(3):
