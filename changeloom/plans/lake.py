@@ -31,6 +31,7 @@ class LoadOptions:
         table (see ``KeyedTable.maintain``); 0 leaves that to a job of its own.
     compact_ratio: share of the table's bytes the waiting batches must reach to be folded in.
     on_error: ``stop`` ends a multi-table load at the first failure, ``continue`` goes on.
+    count_effects: also count the keys a load inserts, updates and deletes.
     strict_audit: a failure to write an audit row fails the run instead of being logged.
     """
 
@@ -41,6 +42,7 @@ class LoadOptions:
     compact_every: int = 50
     compact_ratio: float = 0.1
     on_error: str = "stop"
+    count_effects: bool = False
     strict_audit: bool = False
     job_name: str = JOB_NAME
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changeloom.functions.keys import OPERATION, match_columns, prepare_for_target
 from changeloom.operators.audit import RunResult, quality_metric_rows, run_log_row
+from changeloom.operators.changes import EFFECT
 from changeloom.operators.quality import (
     RULE,
     rejected_rows,
@@ -35,11 +36,12 @@ class LoadFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class Counts:
-    """Rows read, valid and rejected."""
+    """Rows read, valid and rejected, and keys per effect if they were counted."""
 
     read: int = 0
     written: int = 0
     rejected: int = 0
+    effects: Mapping[str, int] = field(default_factory=dict)
 
 
 def load_rows(
@@ -73,8 +75,14 @@ def load_rows(
             write_rejects(rejects, lake.rejects_path(target), batch_key, compression=target.compression)
         if counts.written:
             rows = valid_rows(tagged)
-            lake.table(spark, target).apply(
-                prepare_for_target(rows, target, source),
+            prepared = prepare_for_target(rows, target, source)
+            table = lake.table(spark, target)
+            if options.count_effects and table.exists():
+                # one row per effect
+                effects = {r[EFFECT]: r["n_keys"] for r in table.effects(prepared, OPERATION).collect()}
+                counts = replace(counts, effects=effects)
+            table.apply(
+                prepared,
                 batch_key,
                 keys=match_columns(target, rows.columns),
                 op=OPERATION,
@@ -155,6 +163,7 @@ def finish_run(
         records_read=counts.read,
         records_written=counts.written,
         records_rejected=counts.rejected,
+        effects=counts.effects,
         error_message=str(error) if error else "",
     )
 

@@ -24,8 +24,10 @@ from pyspark.sql import types as T
 from changeloom.functions.casts import safe_casts
 from changeloom.functions.columns import ref
 from changeloom.operators.changes import (
+    EFFECT,
     IS_DELETED,
     apply_changes,
+    classify_changes,
     fill_from_table,
     latest_change,
     split_by_match,
@@ -260,6 +262,14 @@ class KeyedTable:
             return rows
         return rows.where(~ref(IS_DELETED)).drop(IS_DELETED)
 
+    def effects(self, changes: DataFrame, op: str | None = None) -> DataFrame:
+        """How many keys applying the changes would insert, update, delete or leave alone."""
+        state = self.state()
+        classified = classify_changes(
+            self.read("soft"), _with_order_columns(changes, state.order_by), state.keys, op, state.order_by
+        )
+        return classified.groupBy(EFFECT).agg(F.count(F.lit(1)).alias("n_keys"))
+
     def register(self, name: str, deletes: str = "hard") -> None:
         """Session view of the current state, so the table can be read by name."""
         self.read(deletes).createOrReplaceTempView(name)

@@ -79,6 +79,51 @@ def test_second_full_load_merges(spark, lake, tmp_path):
     assert log_of(spark, lake).count() == 2
 
 
+def test_effects_are_counted_if_asked(spark, lake):
+    source, options = flights_spec(), LoadOptions(buckets=4, count_effects=True)
+    first = flights(spark, (1, "AA", "active", TIME), (2, "AA", "active", TIME), (3, "AA", "active", TIME))
+    assert load_table(spark, source, lake, dataframe=first, options=options).effects == {}
+    columns = "flight_id long, status string, dms_timestamp timestamp, Op string"
+    later, before = TIME + timedelta(hours=1), TIME - timedelta(hours=1)
+    df = flights(
+        spark, (1, "landed", later, "U"), (2, "landed", later, "D"), (3, "landed", before, "U"),
+        (4, "active", later, "I"), (5, "active", later, "D"), columns=columns,
+    )
+    result = load_table(spark, source, lake, dataframe=df, options=options)
+    assert result.effects == {"update": 1, "delete": 1, "stale": 1, "insert": 1, "unknown_delete": 1}
+    again = load_table(spark, source, lake, dataframe=df.where("flight_id = 2"), options=options)
+    assert again.effects == {"unknown_delete": 1}
+
+
+def test_positions_from_monthly_folders(spark, lake, tmp_path):
+    """A two-part key with a time in it, a plain partition column, decimals, a wildcard path."""
+    source = flights_spec(
+        source_location=str(tmp_path / "positions_*"),
+        schema={
+            "position_id": {"type": "bigint", "nullable": False},
+            "aircraft": {"type": "string", "nullable": False},
+            "latitude": "decimal(10,7)",
+            "recorded_at": {"type": "timestamp", "nullable": False},
+        },
+        primary_key=["position_id", "recorded_at"], enum_columns={}, partition_keys=[{"name": "aircraft"}],
+        cod_unique_expr={"columns": ["position_id", "recorded_at"], "separator": "_"},
+    )
+    columns = "position_id long, aircraft string, latitude string, recorded_at timestamp"
+    flights(spark, (1, "abc", "52.1234567", TIME), (1, "abc", "x", TIME + timedelta(days=1)), columns=columns).write.parquet(
+        str(tmp_path / "positions_202606")
+    )
+    flights(spark, (2, None, "1", TIME), (1, "abc", "9", None), columns=columns).write.parquet(
+        str(tmp_path / "positions_202607")
+    )
+    result = load_table(spark, source, lake, options=SMALL)
+    assert (result.records_read, result.records_written, result.records_rejected) == (4, 2, 2)
+    loaded = lake.table(spark, source.target).read()
+    assert dict(loaded.dtypes)["latitude"] == "decimal(38,18)"
+    assert {r.cod_unique: r.latitude and float(r.latitude) for r in loaded.collect()} == {
+        "1_2026-06-30 10:00:00": 52.1234567, "1_2026-07-01 10:00:00": None
+    }
+
+
 def test_empty_input_writes_nothing_but_the_log(spark, lake):
     source = flights_spec()
     result = load_table(spark, source, lake, dataframe=flights(spark), options=SMALL)
