@@ -13,8 +13,9 @@ def spark():
         SparkSession.builder.master("local[4]")
         .appName("changeloom-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="changeloom-warehouse-"))
     )
     session = builder.getOrCreate()
