@@ -1,8 +1,8 @@
 """Applying changes to a keyed table.
 
-``apply_changes`` gives what an ordered MERGE gives, built from joins Spark can plan freely: the
-table is matched against one row per changed key, so a small change set is broadcast and the table
-is never shuffled, and a large one falls back to a shuffle join.
+``apply_changes`` gives what an ordered MERGE gives. A change set whose keys fit a broadcast is
+matched against the table, which is then scanned but never shuffled. A larger one is ranked together
+with the table by one shuffle on the key.
 """
 
 from __future__ import annotations
@@ -58,7 +58,7 @@ def apply_changes(
     deletes: str = "hard",
     *,
     reduced: bool = False,
-    strategy: str = "join",
+    strategy: str = "auto",
 ) -> DataFrame:
     """The table after the changes. ``base`` must hold one row per key.
 
@@ -67,13 +67,13 @@ def apply_changes(
         stored row is ignored; an equal one is applied, which makes a replay harmless.
     deletes: ``hard`` drops deleted keys, ``soft`` keeps them with ``is_deleted`` true.
     reduced: the changes already hold one row per key.
-    strategy: ``join`` matches the table against the changed keys. ``shuffle`` ranks table and
-        changes together in one shuffle, for change sets of the order of the table itself.
+    strategy: ``join`` matches the table against the changed keys; ``shuffle`` ranks table and
+        changes together in one shuffle; ``auto`` joins if the changed keys fit a broadcast.
     """
     if deletes not in ("hard", "soft"):
         raise ValueError(f"deletes must be hard or soft, not {deletes!r}")
-    if strategy not in ("join", "shuffle"):
-        raise ValueError(f"strategy must be join or shuffle, not {strategy!r}")
+    if strategy not in ("auto", "join", "shuffle"):
+        raise ValueError(f"strategy must be auto, join or shuffle, not {strategy!r}")
     op = op if op in changes.columns else None
     soft = deletes == "soft"
     if soft and IS_DELETED not in base.columns:
@@ -84,6 +84,8 @@ def apply_changes(
     absent = [field.name for field in shape if field.name not in changes.columns]
     guard = bool(order_by) and all(name in base.columns for name in order_by)
 
+    if strategy == "auto":
+        strategy = pick_strategy(changes, keys, order_by)
     if strategy == "shuffle" and not absent:
         result = _rank_together(base, flagged, shape, keys, order_by, guard)
     else:
@@ -97,6 +99,18 @@ def apply_changes(
     return result.where(~deleted).select(*columns)
 
 
+def pick_strategy(changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> str:
+    """``join`` if Spark's own size estimate of the changed keys is within its broadcast limit.
+
+    Beyond it both sides of a join would be shuffled, the table more than once.
+    """
+    stored = [name for name in order_by if name in changes.columns]
+    narrow = changes.select(*map(ref, dict.fromkeys([*keys, *stored])))
+    size = int(str(narrow._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = changes.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return "join" if size <= limit else "shuffle"
+
+
 def split_by_match(
     base: DataFrame,
     changes: DataFrame,

@@ -154,6 +154,7 @@ SELECT CASE WHEN op = 'D' AND was_there THEN 'delete' WHEN op = 'D' THEN 'unknow
             WHEN was_there THEN 'update' ELSE 'insert' END AS effect, count(*) AS n_changes
 FROM merged WHERE changed GROUP BY 1""",
     "merge_apply": _STATE,
+    "merge_apply_join": _STATE,
     "merge_apply_shuffle": _STATE,
     "merge_sink_roundtrip": _STATE,
     "late_change_guard": _STATE,

@@ -359,9 +359,17 @@ def merge_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def merge_apply_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same result from the plan for small change sets."""
+    return apply_changes(
+        users(spark, sf_dir), user_changes(spark, sf_dir), USER_KEY, "Op", USER_ORDER, strategy="join"
+    )
+
+
 @query
 def merge_apply_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same result from the plan for change sets as big as the table."""
+    """The same result from the plan for change sets too big to broadcast."""
     return apply_changes(
         users(spark, sf_dir), user_changes(spark, sf_dir), USER_KEY, "Op", USER_ORDER, strategy="shuffle"
     )

@@ -30,6 +30,7 @@ from changeloom.operators.changes import (
     classify_changes,
     fill_from_table,
     latest_change,
+    pick_strategy,
     split_by_match,
 )
 from changeloom.sinks.layout import even_files
@@ -170,7 +171,7 @@ class KeyedTable:
         )
         base = self._base(state, touched)
         single = len(state.pending) == 1
-        if (strategy or self._strategy(state)) == "join":
+        if (strategy or pick_strategy(pending, state.keys, state.order_by)) == "join":
             kept, applied = split_by_match(
                 base, pending, state.keys, None, state.order_by, reduced=single
             )
@@ -256,7 +257,7 @@ class KeyedTable:
         if state.pending:
             rows = apply_changes(
                 rows, self._pending(state), state.keys, None, state.order_by, "soft",
-                reduced=len(state.pending) == 1, strategy=self._strategy(state),
+                reduced=len(state.pending) == 1,
             )
         if deletes == "soft":
             return rows
@@ -276,11 +277,6 @@ class KeyedTable:
 
     # Inner workings
 
-    def _strategy(self, state: TableState) -> str:
-        """Join only while the pending batches are small enough for Spark to broadcast them."""
-        limit = self._spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        return "join" if self._pending_bytes(state) <= limit else "shuffle"
-
     def _pending_bytes(self, state: TableState) -> int:
         folders = [f"{self._path}/changes/{folder}" for folder in state.pending.values()]
         return sum(map(self._storage.bytes_under, folders))

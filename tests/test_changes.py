@@ -10,6 +10,7 @@ from changeloom.operators.changes import (
     classify_changes,
     duplicate_keys,
     latest_change,
+    pick_strategy,
 )
 
 T0 = datetime(2026, 6, 30, 10)
@@ -196,6 +197,22 @@ def test_a_hot_key_is_cut_down_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
 
 
+def test_the_strategy_follows_the_size_of_the_changed_keys(spark, tmp_path):
+    spark.range(2_000).selectExpr("id k", "uuid() v", "id seq").write.parquet(str(tmp_path / "c"))
+    changes = spark.read.parquet(str(tmp_path / "c"))
+    assert pick_strategy(changes, ["k"], ["seq"]) == "join"
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        assert pick_strategy(changes, ["k"], ["seq"]) == "shuffle"
+        out = apply_changes(changes, changes, ["k"], None, ["seq"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and plan.count("Exchange") == 1
+        assert out.count() == 2_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_a_small_change_set_leaves_the_table_unshuffled(spark, tmp_path):
     wide = spark.range(50_000).selectExpr("string(id) k1", "'x' k2", "'v' v", "timestamp'2026-01-01' ts", "id seq")
     wide.write.parquet(str(tmp_path / "base"))

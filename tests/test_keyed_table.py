@@ -212,6 +212,18 @@ def test_aligned_buckets_need_one_shuffle_and_one_file_each(spark, tmp_path):
         assert len(files) == 1
 
 
+def test_first_load_shuffles_once(spark, tmp_path, monkeypatch):
+    plans, write = [], KeyedTable._write_base
+
+    def keep_plan(self, placed, settings):
+        plans.append(placed._jdf.queryExecution().executedPlan().toString())
+        return write(self, placed, settings)
+
+    monkeypatch.setattr(KeyedTable, "_write_base", keep_plan)
+    put(KeyedTable(spark, str(tmp_path / "t")), rows(spark, (1, "a", 0, "I")), "b0")
+    assert plans[0].count("Exchange") == 1 and "Join" not in plans[0]
+
+
 def test_bucket_hash_is_the_shuffle_hash(spark):
     df = spark.range(1000).selectExpr("id", "cast(if(id % 7 = 0, null, id) as string) k").repartition(4, "id", "k")
     assert df.where("pmod(hash(id, k), 4) <> spark_partition_id()").count() == 0
