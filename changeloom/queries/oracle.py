@@ -28,6 +28,13 @@ _TAGGED = (
   FROM cast_rows)"""
 )
 
+# numbers that may be NULL are compared as text
+_SHOWN = (
+    "CAST(order_id AS VARCHAR) AS order_id, CAST(cust_id AS VARCHAR) AS cust_id, "
+    "CAST(score AS VARCHAR) AS score, status"
+)
+_USER = "user_id, event_type, CAST(event_id AS VARCHAR) AS event_id"
+
 _CHG = """chg AS (
   SELECT user_id, event_type, event_id,
          CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op,
@@ -54,7 +61,7 @@ _MERGE = (
   FROM base b FULL OUTER JOIN latest l ON b.user_id = l.user_id)"""
 )
 
-_STATE = f"WITH {_MERGE} SELECT user_id, event_type, event_id FROM merged WHERE op IS NULL OR op <> 'D'"
+_STATE = f"WITH {_MERGE} SELECT {_USER} FROM merged WHERE op IS NULL OR op <> 'D'"
 
 _EVENT_REJECTS = """SELECT 'tbl_users' AS _reject_table, 'enum_check' AS _reject_rule, user_id, event_id
   FROM events WHERE event_type = 'purchase'"""
@@ -81,19 +88,21 @@ SELECT o_orderkey, number AS c_string, o_orderstatus AS c_varchar, o_orderstatus
 FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS number, CAST(o_totalprice AS VARCHAR) AS price,
              CASE o_orderstatus WHEN 'F' THEN 'false' WHEN 'O' THEN 'true' END AS truth
       FROM orders) t""",
-    "dq_cast": f"WITH {_CAST} SELECT * FROM cast_rows",
-    "dq_cast_reject": f"WITH {_TAGGED} SELECT order_id, cust_id, score, status, dms_timestamp "
+    "dq_cast": f"WITH {_CAST} SELECT {_SHOWN}, dms_timestamp, "
+    "'bigint bigint int string' AS types FROM cast_rows",
+    "dq_cast_reject": f"WITH {_TAGGED} SELECT {_SHOWN}, dms_timestamp "
     "FROM tagged WHERE rule = 'type_cast'",
-    "dq_null_check": f"WITH {_TAGGED} SELECT order_id, cust_id, score, status, dms_timestamp "
+    "dq_null_check": f"WITH {_TAGGED} SELECT {_SHOWN}, dms_timestamp "
     "FROM tagged WHERE rule = 'null_check'",
-    "dq_enum_check": f"WITH {_TAGGED} SELECT order_id, cust_id, score, status, dms_timestamp "
+    "dq_enum_check": f"WITH {_TAGGED} SELECT {_SHOWN}, dms_timestamp "
     "FROM tagged WHERE rule = 'enum_check'",
-    "dq_split": f"WITH {_TAGGED} SELECT * FROM tagged",
+    "dq_split": f"WITH {_TAGGED} SELECT {_SHOWN}, dms_timestamp, rule FROM tagged",
     "dq_counts": f"WITH {_TAGGED} SELECT rule, count(*) AS n_rows FROM tagged GROUP BY rule",
     "dq_strict_cast": f"""
 WITH {_RAW}
-SELECT TRY_CAST(order_id AS BIGINT) AS order_id, TRY_CAST(cust_id AS BIGINT) AS cust_id,
-       TRY_CAST(score AS INTEGER) AS score, status,
+SELECT CAST(TRY_CAST(order_id AS BIGINT) AS VARCHAR) AS order_id,
+       CAST(TRY_CAST(cust_id AS BIGINT) AS VARCHAR) AS cust_id,
+       CAST(TRY_CAST(score AS INTEGER) AS VARCHAR) AS score, status,
        CASE WHEN TRY_CAST(order_id AS BIGINT) IS NULL OR score = 'x1' THEN 'type_cast'
             WHEN cust_id IS NULL THEN 'null_check'
             WHEN status NOT IN ('O', 'F') THEN 'enum_check'
@@ -108,16 +117,17 @@ UNION ALL
 SELECT 'spared' AS mode, 'valid' AS rule, count(*) AS n_rows FROM events""",
     "dq_rejects": f"""
 WITH {_TAGGED}
-SELECT order_id, cust_id, score, status, dms_timestamp, 'tbl_orders' AS _reject_table,
+SELECT {_SHOWN}, dms_timestamp, 'tbl_orders' AS _reject_table,
        rule AS _reject_rule, TIMESTAMP '2026-06-30 10:00:00' AS _reject_timestamp
 FROM tagged WHERE rule <> 'valid'""",
     "reject_union": f"""
 WITH {_TAGGED}
-SELECT 'tbl_orders' AS _reject_table, rule AS _reject_rule, order_id, cust_id, score, status,
-       CAST(NULL AS BIGINT) AS user_id, CAST(NULL AS BIGINT) AS event_id
+SELECT 'tbl_orders' AS _reject_table, rule AS _reject_rule, {_SHOWN},
+       CAST(NULL AS VARCHAR) AS user_id, CAST(NULL AS VARCHAR) AS event_id
 FROM tagged WHERE rule <> 'valid'
 UNION ALL
-SELECT _reject_table, _reject_rule, NULL, NULL, NULL, NULL, user_id, event_id
+SELECT _reject_table, _reject_rule, NULL, NULL, NULL, NULL,
+       CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR)
 FROM ({_EVENT_REJECTS}) e""",
     "reject_sink": f"""
 WITH {_TAGGED}
@@ -159,12 +169,12 @@ FROM merged WHERE changed GROUP BY 1""",
     "merge_sink_roundtrip": _STATE,
     "late_change_guard": _STATE,
     "stream_apply": _STATE,
-    "merge_upsert_no_op": f"WITH {_MERGE} SELECT user_id, event_type, event_id FROM merged",
-    "merge_soft_delete": f"WITH {_MERGE} SELECT user_id, event_type, event_id, "
+    "merge_upsert_no_op": f"WITH {_MERGE} SELECT {_USER} FROM merged",
+    "merge_soft_delete": f"WITH {_MERGE} SELECT {_USER}, "
     "CAST(coalesce(op, 'I') = 'D' AS INTEGER) AS is_deleted FROM merged",
     "stream_batch_counts": "SELECT 'users' AS source, 'success' AS status, count(*) AS records_read, "
-    "count(*) AS records_written, 0 AS records_rejected FROM events",
-    "stream_restart": f"SELECT count(*) AS n_users, CAST(sum(event_id) AS BIGINT) AS event_id_sum, "
+    "count(*) AS records_written, CAST(0 AS BIGINT) AS records_rejected FROM events",
+    "stream_restart": f"SELECT count(*) AS n_users, CAST(sum(CAST(event_id AS BIGINT)) AS BIGINT) AS event_id_sum, "
     f"(SELECT count(*) FROM events) AS records_read FROM ({_STATE}) s",
     "stream_multi_table": f"""
 WITH {_TAGGED}, {_LATEST}
@@ -173,7 +183,7 @@ UNION ALL
 SELECT 'tbl_users', count(*) FROM latest WHERE op <> 'D'""",
     "batch_load": f"""
 WITH {_TAGGED}
-SELECT order_id, cust_id, score, status, dms_timestamp AS cdc_timestamp,
+SELECT order_id, cust_id, CAST(score AS VARCHAR) AS score, status, dms_timestamp AS cdc_timestamp,
        CAST(order_id AS VARCHAR) AS cod_unique,
        CAST(CAST(dms_timestamp AS DATE) AS VARCHAR) AS event_date
 FROM tagged WHERE rule = 'valid'""",

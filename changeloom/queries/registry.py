@@ -70,6 +70,7 @@ QUERIES: dict[str, Query] = {}
 REJECTED_AT = datetime(2026, 6, 30, 10, 0, 0, tzinfo=timezone.utc)
 CATCH_UP = StreamOptions(available_now=True, max_files=8)
 USER_COLUMNS = ["user_id", "event_type", "event_id"]
+RAW_NUMBERS = ["order_id", "cust_id", "score"]
 
 
 def query(fn: Query) -> Query:
@@ -77,6 +78,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def shown(df: DataFrame, *columns: str) -> DataFrame:
+    """Numbers that may be NULL as text, so a NULL reads the same in every client that checks."""
+    return df.withColumns({name: F.col(name).cast("string") for name in columns})
+
+
 # Scans and sources
 
 
@@ -149,31 +155,38 @@ def dq_type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cast_to_schema(raw_orders(spark, sf_dir), ORDERS_RAW.target)
+    """The cast rows, with the types the casts gave."""
+    cast = cast_to_schema(raw_orders(spark, sf_dir), ORDERS_RAW.target)
+    types = F.concat_ws(" ", *[F.typeof(name) for name in ORDERS_RAW.target.schema])
+    return shown(cast.withColumn("types", types), *RAW_NUMBERS)
 
 
 def _tagged(spark: SparkSession, sf_dir: str, options: QualityOptions = QualityOptions()) -> DataFrame:
     return tag_rules(raw_orders(spark, sf_dir), ORDERS_RAW.target, ORDERS_RAW, options)
 
 
+def _broken(spark: SparkSession, sf_dir: str, rule: str) -> DataFrame:
+    return shown(_tagged(spark, sf_dir).where(F.col(RULE) == rule).drop(RULE), *RAW_NUMBERS)
+
+
 @query
 def dq_cast_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).where(F.col(RULE) == "type_cast").drop(RULE)
+    return _broken(spark, sf_dir, "type_cast")
 
 
 @query
 def dq_null_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).where(F.col(RULE) == "null_check").drop(RULE)
+    return _broken(spark, sf_dir, "null_check")
 
 
 @query
 def dq_enum_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).where(F.col(RULE) == "enum_check").drop(RULE)
+    return _broken(spark, sf_dir, "enum_check")
 
 
 @query
 def dq_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = _tagged(spark, sf_dir)
+    tagged = shown(_tagged(spark, sf_dir), *RAW_NUMBERS)
     return tagged.withColumnRenamed(RULE, "rule").withColumn("rule", F.coalesce("rule", F.lit("valid")))
 
 
@@ -193,8 +206,8 @@ def dq_strict_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = {**ORDERS_RAW.to_dict()["target"]["schema"], "ordered_at": "timestamp"}
     target = TargetSpec.parse({**ORDERS_RAW.target.to_dict(), "schema": schema})
     tagged = tag_rules(raw, target, ORDERS_RAW, QualityOptions(casts="strict"))
-    return tagged.select(
-        "order_id", "cust_id", "score", "status", F.coalesce(RULE, F.lit("valid")).alias("rule")
+    return shown(tagged, *RAW_NUMBERS).select(
+        *RAW_NUMBERS, "status", F.coalesce(RULE, F.lit("valid")).alias("rule")
     )
 
 
@@ -216,12 +229,14 @@ def dq_key_only_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted[0].unionByName(counted[1])
 
 
+def _order_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_orders(spark, sf_dir)
+    return validate(raw, ORDERS_RAW.target, ORDERS_RAW, rejected_at=REJECTED_AT)[1]
+
+
 @query
 def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rejects = validate(
-        raw_orders(spark, sf_dir), ORDERS_RAW.target, ORDERS_RAW, rejected_at=REJECTED_AT
-    )
-    return rejects
+    return shown(_order_rejects(spark, sf_dir), *RAW_NUMBERS)
 
 
 def _event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,8 +249,8 @@ def _event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reject_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = combine_rejects([dq_rejects(spark, sf_dir), _event_rejects(spark, sf_dir)])
-    return both.select(
+    both = combine_rejects([_order_rejects(spark, sf_dir), _event_rejects(spark, sf_dir)])
+    return shown(both, *RAW_NUMBERS, "user_id", "event_id").select(
         "_reject_table", "_reject_rule", "order_id", "cust_id", "score", "status", "user_id", "event_id"
     )
 
@@ -244,8 +259,8 @@ def reject_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reject_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejects of two batches on disk, the first written twice as after a replay."""
     folder = scratch_folder(spark, "reject_sink")
-    write_rejects(dq_rejects(spark, sf_dir), folder, "first")
-    write_rejects(dq_rejects(spark, sf_dir), folder, "first")
+    write_rejects(_order_rejects(spark, sf_dir), folder, "first")
+    write_rejects(_order_rejects(spark, sf_dir), folder, "first")
     write_rejects(_event_rejects(spark, sf_dir), folder, "second")
     stored = read_rejects(spark, folder)
     return stored.groupBy("batch_id", "_reject_table", "_reject_rule").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -268,14 +283,14 @@ def partition_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).target
     dated = with_partition_columns(table(spark, sf_dir, "orders"), target)
     counted = dated.groupBy("event_date").agg(F.count(F.lit(1)).alias("n_rows"))
-    return counted.withColumn("event_date", F.col("event_date").cast("string"))
+    return shown(counted, "event_date")
 
 
 @query
 def partition_date_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = with_partition_columns(user_changes(spark, sf_dir), USER_CHANGES.target, USER_CHANGES)
     counted = dated.groupBy("event_date").agg(F.count(F.lit(1)).alias("n_rows"))
-    return counted.withColumn("event_date", F.col("event_date").cast("string"))
+    return shown(counted, "event_date")
 
 
 @query
@@ -287,7 +302,7 @@ def partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = spark.read.parquet(folder).groupBy("event_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("event_id").alias("first_event")
     )
-    return counted.withColumn("event_date", F.col("event_date").cast("string"))
+    return shown(counted, "event_date")
 
 
 @query
@@ -352,40 +367,39 @@ def merge_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return effects.groupBy(F.col(EFFECT).alias("effect")).agg(F.count(F.lit(1)).alias("n_changes"))
 
 
+def _merged(spark: SparkSession, sf_dir: str, **choices: str) -> DataFrame:
+    merged = apply_changes(
+        users(spark, sf_dir), user_changes(spark, sf_dir), USER_KEY, "Op", USER_ORDER, **choices
+    )
+    return shown(merged, "event_id")
+
+
 @query
 def merge_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_changes(
-        users(spark, sf_dir), user_changes(spark, sf_dir), USER_KEY, "Op", USER_ORDER
-    )
+    return _merged(spark, sf_dir)
 
 
 @query
 def merge_apply_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same result from the plan for small change sets."""
-    return apply_changes(
-        users(spark, sf_dir), user_changes(spark, sf_dir), USER_KEY, "Op", USER_ORDER, strategy="join"
-    )
+    return _merged(spark, sf_dir, strategy="join")
 
 
 @query
 def merge_apply_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same result from the plan for change sets too big to broadcast."""
-    return apply_changes(
-        users(spark, sf_dir), user_changes(spark, sf_dir), USER_KEY, "Op", USER_ORDER, strategy="shuffle"
-    )
+    return _merged(spark, sf_dir, strategy="shuffle")
 
 
 @query
 def merge_upsert_no_op(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = user_changes(spark, sf_dir).drop("Op")
-    return apply_changes(users(spark, sf_dir), changes, USER_KEY, None, USER_ORDER)
+    return shown(apply_changes(users(spark, sf_dir), changes, USER_KEY, None, USER_ORDER), "event_id")
 
 
 @query
 def merge_soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = apply_changes(
-        users(spark, sf_dir), user_changes(spark, sf_dir), USER_KEY, "Op", USER_ORDER, "soft"
-    )
+    merged = _merged(spark, sf_dir, deletes="soft")
     return merged.withColumn(IS_DELETED, F.col(IS_DELETED).cast("int"))
 
 
@@ -408,7 +422,7 @@ def merge_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, apply = _user_table(spark, sf_dir, "merge_sink_roundtrip")
     apply(renamed_user_changes(spark, sf_dir), "changes")
     stored.compact()
-    return stored.read().select(*USER_COLUMNS)
+    return shown(stored.read().select(*USER_COLUMNS), "event_id")
 
 
 @query
@@ -422,7 +436,7 @@ def late_change_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored.compact()
     apply(changes.where(day <= 10), "early")
     apply(changes.where((day > 10) & (day <= 20)), "middle")
-    return stored.read().select(*USER_COLUMNS)
+    return shown(stored.read().select(*USER_COLUMNS), "event_id")
 
 
 # Streaming
@@ -465,7 +479,7 @@ def stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, source = _streamed_users(spark, sf_dir, "stream_apply")
-    return lake.table(spark, source.target).read().select(*USER_COLUMNS)
+    return shown(lake.table(spark, source.target).read().select(*USER_COLUMNS), "event_id")
 
 
 @query
@@ -545,7 +559,7 @@ def batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_lake(spark, "batch_load")
     load_table(spark, ORDERS_RAW, lake, dataframe=raw_orders(spark, sf_dir), options=LoadOptions(buckets=8))
     loaded = lake.table(spark, ORDERS_RAW.target).read()
-    return loaded.withColumn("event_date", F.col("event_date").cast("string"))
+    return shown(loaded, "score", "event_date")
 
 
 @query
