@@ -106,9 +106,13 @@ def pick_strategy(changes: DataFrame, keys: Sequence[str], order_by: Sequence[st
     """
     stored = [name for name in order_by if name in changes.columns]
     narrow = changes.select(*map(ref, dict.fromkeys([*keys, *stored])))
-    size = int(str(narrow._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     limit = changes.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return "join" if size <= limit else "shuffle"
+    return "join" if estimated_bytes(narrow) <= limit else "shuffle"
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of a plan, from file sizes; nothing is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def split_by_match(

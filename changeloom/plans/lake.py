@@ -24,7 +24,7 @@ class LoadOptions:
     """Choices shared by batch and streaming loads.
 
     sequence_column: orders changes that share a change time.
-    buckets: hash buckets of a new table; plan for a few hundred megabytes each.
+    buckets: hash buckets of a new table; None derives them from the size of the first load.
     cache: keep a validated input instead of scanning it again. None decides by mode: a
         micro-batch is bounded and kept, a full load is not.
     compact_every: batches a stream leaves waiting before it merges them or folds them into the
@@ -37,7 +37,7 @@ class LoadOptions:
 
     quality: QualityOptions = field(default_factory=QualityOptions)
     sequence_column: str | None = None
-    buckets: int = 16
+    buckets: int | None = None
     cache: bool | None = None
     compact_every: int = 50
     compact_ratio: float = 0.1

@@ -14,7 +14,8 @@ from changeloom.functions.keys import rename_cdc_columns
 from changeloom.plans.lake import Lake, LoadOptions
 from changeloom.plans.specs import LoadPlan, SourceSpec
 from changeloom.sinks.layout import write_partitioned
-from changeloom.storage import scratch_folder
+from changeloom.storage import Storage, scratch_folder
+from changeloom.streaming.loads import StreamOptions
 
 ORDERS_RAW = LoadPlan.from_dicts(
     {
@@ -56,7 +57,7 @@ USER_CHANGES = LoadPlan.from_dicts(
 
 USER_KEY = ["user_id"]
 USER_ORDER = ["dms_timestamp", "event_id"]
-USER_LOAD = LoadOptions(sequence_column="event_id", buckets=8)
+USER_LOAD = LoadOptions(sequence_column="event_id")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,6 +113,12 @@ def land_changes(changes: DataFrame, landing: str, time_column: str = "dms_times
     write_partitioned(dated, landing, ["y", "m", "d"], mode="append")
 
 
+def catch_up(spark: SparkSession, landing: str) -> StreamOptions:
+    """Take all files there in about four micro-batches, none above 256 GB."""
+    quarter = Storage(spark).bytes_under(landing) // 4
+    return StreamOptions(available_now=True, max_files=None, max_bytes=max(1, min(quarter, 256 * 2**30)))
+
+
 def located(source: SourceSpec, lake: Lake, landing: str) -> SourceSpec:
     """The spec with its change path and checkpoint filled in."""
     return replace(

@@ -37,7 +37,6 @@ from changeloom.operators.quality import (
     tag_rules,
     validate,
 )
-from changeloom.plans.lake import LoadOptions
 from changeloom.plans.loads import load_table, load_tables
 from changeloom.plans.specs import LoadPlan, SourceSpec, TargetSpec
 from changeloom.queries.inputs import (
@@ -46,6 +45,7 @@ from changeloom.queries.inputs import (
     USER_KEY,
     USER_LOAD,
     USER_ORDER,
+    catch_up,
     land_changes,
     located,
     raw_orders,
@@ -62,13 +62,12 @@ from changeloom.sinks.layout import compact_files, write_partitioned
 from changeloom.sinks.rejects import read_rejects, write_rejects
 from changeloom.sources import catalog, files
 from changeloom.storage import scratch_folder
-from changeloom.streaming.loads import StreamOptions, run_streams
+from changeloom.streaming.loads import run_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 REJECTED_AT = datetime(2026, 6, 30, 10, 0, 0, tzinfo=timezone.utc)
-CATCH_UP = StreamOptions(available_now=True, max_files=8)
 USER_COLUMNS = ["user_id", "event_type", "event_id"]
 RAW_NUMBERS = ["order_id", "cust_id", "score"]
 
@@ -410,7 +409,7 @@ def _user_table(spark: SparkSession, sf_dir: str, label: str) -> tuple[KeyedTabl
     def apply(changes: DataFrame, batch_key: str) -> None:
         stored.apply(
             changes, batch_key, keys=USER_KEY, op="cdc_operation",
-            order_by=["cdc_timestamp", "event_id"], buckets=8,
+            order_by=["cdc_timestamp", "event_id"],
         )
 
     apply(users_with_time(spark, sf_dir), "start")
@@ -442,14 +441,14 @@ def late_change_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streaming
 
 
-def _streamed_users(spark: SparkSession, sf_dir: str, label: str, options: LoadOptions = USER_LOAD):
+def _streamed_users(spark: SparkSession, sf_dir: str, label: str):
     """The user table with all changes streamed in from date folders."""
     lake = scratch_lake(spark, label)
     landing = f"{lake.root}/landing/users_cdc"
     land_changes(user_changes(spark, sf_dir), landing)
     source = located(USER_CHANGES, lake, landing)
-    load_table(spark, source, lake, dataframe=_users_before(spark, sf_dir), options=options)
-    run_streams(spark, [source], lake, options=options, stream=CATCH_UP)
+    load_table(spark, source, lake, dataframe=_users_before(spark, sf_dir), options=USER_LOAD)
+    run_streams(spark, [source], lake, options=USER_LOAD, stream=catch_up(spark, landing))
     return lake, source
 
 
@@ -464,7 +463,8 @@ def stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     land_changes(events, landing, "ts")
     source = located(USER_CHANGES, lake, landing)
-    stream = files.scan_stream(spark, source, schema=events.schema, max_files=8)
+    size = catch_up(spark, landing).max_bytes
+    stream = files.scan_stream(spark, source, schema=events.schema, max_bytes=size)
     out = f"{lake.root}/out"
     started = (
         stream.writeStream.format("parquet")
@@ -506,7 +506,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = F.day("dms_timestamp") > 15
     for half in (changes.where(~later), changes.where(later)):
         land_changes(half, landing)
-        run_streams(spark, [source], lake, options=USER_LOAD, stream=CATCH_UP)
+        run_streams(spark, [source], lake, options=USER_LOAD, stream=catch_up(spark, landing))
     log = read_audit(spark, lake.run_log_path, RUN_LOG)
     streamed = log.where(F.col("execution_id").startswith("users-"))
     rows_read = streamed.agg(F.sum("records_read").alias("records_read"))
@@ -536,7 +536,7 @@ def stream_multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         else:
             land_changes(changes, landing)
         sources.append(located(spec, lake, landing))
-    run_streams(spark, sources, lake, options=USER_LOAD, stream=CATCH_UP)
+    run_streams(spark, sources, lake, options=USER_LOAD, stream=catch_up(spark, f"{lake.root}/landing"))
     return _rows_per_table(spark, lake, sources)
 
 
@@ -557,7 +557,7 @@ def _rows_per_table(spark: SparkSession, lake, sources) -> DataFrame:
 def batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table end to end from a frame that was read already."""
     lake = scratch_lake(spark, "batch_load")
-    load_table(spark, ORDERS_RAW, lake, dataframe=raw_orders(spark, sf_dir), options=LoadOptions(buckets=8))
+    load_table(spark, ORDERS_RAW, lake, dataframe=raw_orders(spark, sf_dir))
     loaded = lake.table(spark, ORDERS_RAW.target).read()
     return shown(loaded, "score", "event_date")
 
@@ -571,13 +571,13 @@ def multi_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{lake.root}/landing/{spec.source}"
         write_partitioned(rows, path)
         sources.append(SourceSpec.parse({**spec.to_dict(), "source_location": path}))
-    load_tables(spark, sources, lake, options=LoadOptions(buckets=8))
+    load_tables(spark, sources, lake)
     return _rows_per_table(spark, lake, sources)
 
 
 def _logged_orders(spark: SparkSession, sf_dir: str, label: str):
     lake = scratch_lake(spark, label)
-    load_table(spark, ORDERS_RAW, lake, dataframe=raw_orders(spark, sf_dir), options=LoadOptions(buckets=8))
+    load_table(spark, ORDERS_RAW, lake, dataframe=raw_orders(spark, sf_dir))
     return lake
 
 
@@ -627,6 +627,7 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many small files rewritten as few; the rows stay the same."""
     small, even = scratch_folder(spark, "compact-small"), scratch_folder(spark, "compact-even")
-    table(spark, sf_dir, "orders").repartition(16).write.parquet(small)
+    pieces = 2 * spark.sparkContext.defaultParallelism
+    table(spark, sf_dir, "orders").repartition(pieces).write.parquet(small)
     compact_files(spark, small, even)
     return spark.read.parquet(even)

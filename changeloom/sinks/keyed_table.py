@@ -13,6 +13,7 @@ a new row; readers ask for the ``hard`` view (without them) or the ``soft`` one.
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field, replace
@@ -28,6 +29,7 @@ from changeloom.operators.changes import (
     IS_DELETED,
     apply_changes,
     classify_changes,
+    estimated_bytes,
     fill_from_table,
     latest_change,
     pick_strategy,
@@ -39,6 +41,9 @@ from changeloom.storage import PathTaken, Storage
 BUCKET = "_bucket"
 GENERATION = "_gen"
 _COMMIT_TRIES = 20
+_BUCKET_BYTES = 256 * 2**20
+_MOST_BUCKETS = 2**14  # keeps a commit below a megabyte; a bucket may have many files
+_UNKNOWN_BYTES = 2**60
 
 
 class TableMissing(LookupError):
@@ -105,11 +110,12 @@ class KeyedTable:
         keys: Sequence[str],
         op: str | None = None,
         order_by: Sequence[str] = (),
-        buckets: int = 16,
+        buckets: int | None = None,
         sort_by: Sequence[str] = (),
     ) -> None:
         """Apply one batch; the first one creates the table with the given settings.
 
+        Without a number of buckets it is derived from the estimated size of the first batch.
         A batch that comes again under the same key replaces itself.
         """
         if self.exists():
@@ -119,8 +125,9 @@ class KeyedTable:
 
     def _bootstrap(
         self, changes: DataFrame, keys: list[str], op: str | None, order_by: list[str],
-        buckets: int, sort_by: list[str],
+        buckets: int | None, sort_by: list[str],
     ) -> None:
+        buckets = buckets or _bucket_count(estimated_bytes(changes))
         op = op if op in changes.columns else None
         changes = _with_order_columns(changes, order_by)
         state = TableState(
@@ -356,6 +363,14 @@ class KeyedTable:
         raise CommitConflict(f"{self._path}: no commit after {_COMMIT_TRIES} tries")
 
 
+def _bucket_count(size: int) -> int:
+    """A power of two that makes buckets of about 256 MB; 16 if Spark does not know the size."""
+    if size >= _UNKNOWN_BYTES:
+        return 16
+    wanted = math.ceil(size / _BUCKET_BYTES)
+    return min(max(8, 1 << (wanted - 1).bit_length()), _MOST_BUCKETS)
+
+
 def _with_bucket(df: DataFrame, state: TableState) -> DataFrame:
     bucket = F.pmod(F.hash(*map(ref, state.keys)), F.lit(state.buckets))
     return df.withColumn(BUCKET, bucket)

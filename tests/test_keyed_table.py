@@ -212,6 +212,14 @@ def test_aligned_buckets_need_one_shuffle_and_one_file_each(spark, tmp_path):
         assert len(files) == 1
 
 
+@pytest.mark.parametrize(
+    "size, buckets",
+    [(0, 8), (2**30, 8), (3 * 2**30, 16), (10**12, 4096), (10**14, 16384), (2**63 - 1, 16)],
+)
+def test_buckets_follow_the_size(size, buckets):
+    assert keyed_table._bucket_count(size) == buckets
+
+
 def test_first_load_shuffles_once(spark, tmp_path, monkeypatch):
     plans, write = [], KeyedTable._write_base
 
