@@ -40,6 +40,7 @@ from changeloom.storage import PathTaken, Storage
 
 BUCKET = "_bucket"
 GENERATION = "_gen"
+APPLIED = "_applied"
 _COMMIT_TRIES = 20
 _BUCKET_BYTES = 256 * 2**20
 _MOST_BUCKETS = 2**14  # keeps a commit below a megabyte; a bucket may have many files
@@ -148,7 +149,7 @@ class KeyedTable:
         self._commit(create)
 
     def _append(self, changes: DataFrame, batch_key: str, op: str | None) -> None:
-        state = self.state()
+        number, state = self._latest()
         op = op if op in changes.columns else None
         changes = _with_order_columns(changes, state.order_by)
         deleted = F.coalesce(ref(op) == F.lit("D"), F.lit(False)) if op else F.lit(False)
@@ -157,7 +158,8 @@ class KeyedTable:
         if absent:
             batch = fill_from_table(batch, self.read("soft"), state.keys, absent)
         casts = safe_casts(batch, {f.name: f.dataType for f in state.columns.fields})
-        staged = batch.select(*casts.values(), ref(IS_DELETED))
+        applied = F.lit(number + 1).cast("bigint").alias(APPLIED)
+        staged = batch.select(*casts.values(), ref(IS_DELETED), applied)
         folder = f"{batch_key}-{uuid.uuid4().hex}"
         self._write_changes(staged, folder)
         self._commit(lambda now: replace(now, pending={**now.pending, batch_key: folder}))
@@ -177,16 +179,16 @@ class KeyedTable:
             row[0] for row in _with_bucket(pending, state).select(BUCKET).distinct().collect()
         )
         base = self._base(state, touched)
-        single = len(state.pending) == 1
         if (strategy or pick_strategy(pending, state.keys, state.order_by)) == "join":
             kept, applied = split_by_match(
-                base, pending, state.keys, None, state.order_by, reduced=single
+                base, pending, state.keys, None, state.order_by, reduced=True
             )
             moved = even_files(_with_bucket(applied, state), [BUCKET])
             placed = _with_bucket(kept, state).unionByName(moved)
         else:
             rows = apply_changes(
-                base, pending, state.keys, None, state.order_by, "soft", strategy="shuffle"
+                base, pending, state.keys, None, state.order_by, "soft",
+                reduced=True, strategy="shuffle",
             )
             placed = self._place(rows, state)
         generation = self._write_base(placed, state)
@@ -206,7 +208,7 @@ class KeyedTable:
         state = self.state()
         if len(state.pending) < 2:
             return
-        rows = latest_change(self._pending(state), state.keys, state.order_by)
+        rows = self._pending(state, keep_applied=True)
         merged = f"merged-{uuid.uuid4().hex}"
         self._write_changes(rows, merged)
 
@@ -263,8 +265,7 @@ class KeyedTable:
         rows = self._base(state)
         if state.pending:
             rows = apply_changes(
-                rows, self._pending(state), state.keys, None, state.order_by, "soft",
-                reduced=len(state.pending) == 1,
+                rows, self._pending(state), state.keys, None, state.order_by, "soft", reduced=True
             )
         if deletes == "soft":
             return rows
@@ -318,9 +319,14 @@ class KeyedTable:
         rows = self._spark.read.schema(schema).option("basePath", root).parquet(*paths)
         return rows.drop(GENERATION, BUCKET)
 
-    def _pending(self, state: TableState) -> DataFrame:
+    def _pending(self, state: TableState, *, keep_applied: bool = False) -> DataFrame:
+        """Waiting changes, one row per key. Between equal ones the batch applied last counts."""
         paths = [f"{self._path}/changes/{folder}" for folder in state.pending.values()]
-        return self._spark.read.schema(state.stored).parquet(*paths)
+        schema = T.StructType([*state.stored.fields, T.StructField(APPLIED, T.LongType())])
+        rows = self._spark.read.schema(schema).parquet(*paths)
+        if len(paths) > 1:
+            rows = latest_change(rows, state.keys, [*state.order_by, APPLIED])
+        return rows if keep_applied else rows.drop(APPLIED)
 
     def _write_changes(self, rows: DataFrame, folder: str) -> None:
         writer = rows.write.option("compression", self._compression)

@@ -125,8 +125,7 @@ def run_streams(
         wait_for_all(queries)
     finally:
         for query in queries:
-            if query.isActive:
-                query.stop()
+            query.stop()  # also waits for a query that has just ended to clean up
 
 
 def wait_for_all(queries: Sequence[StreamingQuery], poll_seconds: float = 0.2) -> None:

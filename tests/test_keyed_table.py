@@ -94,6 +94,21 @@ def test_first_load_without_change_columns(spark, table):
     assert state(table) == {1: "b", 3: "b"}
 
 
+def test_without_times_the_batch_applied_last_counts(spark, table):
+    def untimed(*items):
+        return spark.createDataFrame(list(items), "id long, v string")
+
+    put(table, untimed((1, "a"), (2, "a")), "b0")
+    for n, value in enumerate(["z", "b", "m"]):
+        put(table, untimed((1, value)), f"b{n + 1}")
+        assert state(table) == {1: value, 2: "a"}
+    table.merge_pending()
+    put(table, untimed((1, "c")), "b9")
+    assert state(table) == {1: "c", 2: "a"}
+    table.compact()
+    assert state(table) == {1: "c", 2: "a"}
+
+
 def test_columns_are_stored_by_name(spark, table):
     put(table, rows(spark, (1, "a", 0, "I")), "b0")
     put(table, rows(spark, (1, "b", 1, "U")).select("cdc_operation", "v", "cdc_timestamp", "id"), "b1")
