@@ -7,3 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raise NotImplementedError
