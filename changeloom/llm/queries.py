@@ -8,6 +8,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from changeloom.llm.languages import op4_language_mixture
+from changeloom.llm.quality import op2_quality_divergence
 from changeloom.llm.shards import op10_shard
 from changeloom.llm.tokens import op1_byte_bpe
 
@@ -31,6 +33,6 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return run
 
 
-QUERIES = {q.__name__: _ready(q) for q in (op1_byte_bpe, op10_shard)}
+QUERIES = {q.__name__: _ready(q) for q in (op1_byte_bpe, op2_quality_divergence, op4_language_mixture, op10_shard)}
 
 ORACLE: dict[str, str] = {}
