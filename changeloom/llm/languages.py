@@ -47,10 +47,11 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
     def run(batches):
         counts: dict[str, np.ndarray] = {}
         for batch in bounded(batches):
+            texts: dict[str, list[bytes]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), raw(batch.column("text")), strict=True):
-                if lang not in counts:
-                    counts[lang] = np.zeros(BINS, np.int64)
-                counts[lang] += np.bincount(trigram_bins(text), minlength=BINS)
+                texts.setdefault(lang, []).append(text)
+            for lang, own in texts.items():  # counted in one go, a line break between two texts
+                counts[lang] = counts.get(lang, 0) + np.bincount(trigram_bins(b"\n".join(own)), minlength=BINS)
         for lang, n in counts.items():
             at = np.flatnonzero(n)
             columns = [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at])]

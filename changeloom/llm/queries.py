@@ -9,7 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from changeloom.llm.languages import op4_language_mixture
+from changeloom.llm.packing import op7_pack
 from changeloom.llm.quality import op2_quality_divergence
+from changeloom.llm.secrets import op6_secret_scan
 from changeloom.llm.shards import op10_shard
 from changeloom.llm.tokens import op1_byte_bpe
 
@@ -33,6 +35,14 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return run
 
 
-QUERIES = {q.__name__: _ready(q) for q in (op1_byte_bpe, op2_quality_divergence, op4_language_mixture, op10_shard)}
+OPERATORS = (
+    op1_byte_bpe,
+    op2_quality_divergence,
+    op4_language_mixture,
+    op6_secret_scan,
+    op7_pack,
+    op10_shard,
+)
+QUERIES = {query.__name__: _ready(query) for query in OPERATORS}
 
 ORACLE: dict[str, str] = {}
