@@ -22,6 +22,8 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,18 @@ class Packing:
     capacity: int = 4096
     end_id: int = 2
     block: int = 1 << 20  # tokens planned at once
-    sentence_penalty: int = 16
-    hard_penalty: int = 64
-    stride: int = 64  # between cuts inside a sentence longer than four strides
-    most_words: int = 400_000  # distinct words remembered
+    sentence_penalty: int = 4
+    hard_penalty: int = 16
+    stride: int = 16  # between cuts inside a sentence longer than four strides
+    most_words: int = 1_000_000  # distinct words remembered
+
+
+class _Numbered(dict):
+    """Numbers words as they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 class WordCodes:
@@ -53,14 +63,14 @@ class WordCodes:
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _Numbered()
         self.flat, self.starts = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
         self.ends_sentence = np.zeros(0, bool)
 
     def learn(self, words: list[bytes]) -> None:
         coded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
         ids = [c.ids for c in coded]
-        new = np.fromiter((i for own in ids for i in own), np.uint32)
+        new = np.fromiter(chain.from_iterable(ids), np.uint32)
         used = int(self.starts[-1])
         if used + len(new) > len(self.flat):
             grown = np.zeros(2 * (used + len(new)), np.uint32)
@@ -69,19 +79,18 @@ class WordCodes:
         self.flat[used : used + len(new)] = new
         self.starts = np.concatenate([self.starts, used + np.cumsum([len(own) for own in ids])])
         self.ends_sentence = np.concatenate([self.ends_sentence, [w.endswith(SENTENCE_ENDS) for w in words]])
-        for w in words:
-            self.known[w] = len(self.known)
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per text its ids, and after how many of them a sentence ends."""
-        split = [text.split() for text in texts]
         if len(self.known) > self.most:
             self.reset()
-        if new := list(dict.fromkeys(w for words in split for w in words if w not in self.known)):
-            self.learn(new)
+        before = len(self.known)
+        number = self.known.__getitem__
+        numbered = [np.fromiter(map(number, text.split()), np.int64) for text in texts]
+        if len(self.known) > before:
+            self.learn(list(islice(self.known, before, None)))
         lengths = np.diff(self.starts)
-        for words in split:
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        for at in numbered:
             n = lengths[at]
             ends = np.cumsum(n)
             total = int(ends[-1]) if len(n) else 0
@@ -89,6 +98,12 @@ class WordCodes:
             yield ids, ends[self.ends_sentence[at]]
 
 
+@lru_cache(maxsize=1)
+def word_codes(path: str, most_words: int) -> WordCodes:
+    """One table for each Python worker, kept from task to task."""
+    return WordCodes(path, most_words)
+
+
 def boundaries(lengths: list[int], sentences: list[np.ndarray], p: Packing) -> tuple[np.ndarray, np.ndarray]:
     """Where a stream of documents may be cut, first 0 and last its end, and what each cut costs."""
     at, cost, begin = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], 0
@@ -193,7 +208,7 @@ def pack(docs: DataFrame, tokenizer_file: str, packing: Packing = Packing(), wit
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
 
     def run(batches):
-        codes = WordCodes(tokenizer_file, packing.most_words)
+        codes = word_codes(tokenizer_file, packing.most_words)
         packer = Packer(packing, TaskContext.get().partitionId() << 40)
 
         def table(rows):

@@ -13,6 +13,7 @@ from changeloom.llm.packing import op7_pack
 from changeloom.llm.quality import op2_quality_divergence
 from changeloom.llm.secrets import op6_secret_scan
 from changeloom.llm.shards import op10_shard
+from changeloom.llm.simhash import op5_simhash
 from changeloom.llm.tokens import op1_byte_bpe
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -39,6 +40,7 @@ OPERATORS = (
     op1_byte_bpe,
     op2_quality_divergence,
     op4_language_mixture,
+    op5_simhash,
     op6_secret_scan,
     op7_pack,
     op10_shard,
