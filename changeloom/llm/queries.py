@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from changeloom.llm.languages import op4_language_mixture
 from changeloom.llm.packing import op7_pack
 from changeloom.llm.quality import op2_quality_divergence
+from changeloom.llm.repeats import op9_repeats
 from changeloom.llm.secrets import op6_secret_scan
 from changeloom.llm.shards import op10_shard
 from changeloom.llm.simhash import op5_simhash
@@ -43,6 +44,7 @@ OPERATORS = (
     op5_simhash,
     op6_secret_scan,
     op7_pack,
+    op9_repeats,
     op10_shard,
 )
 QUERIES = {query.__name__: _ready(query) for query in OPERATORS}
