@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from changeloom.llm.hamming import OP3_SQL, op3_hamming_topk
 from changeloom.llm.languages import op4_language_mixture
 from changeloom.llm.packing import op7_pack
 from changeloom.llm.quality import op2_quality_divergence
@@ -40,6 +41,7 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 OPERATORS = (
     op1_byte_bpe,
     op2_quality_divergence,
+    op3_hamming_topk,
     op4_language_mixture,
     op5_simhash,
     op6_secret_scan,
@@ -49,4 +51,4 @@ OPERATORS = (
 )
 QUERIES = {query.__name__: _ready(query) for query in OPERATORS}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_hamming_topk": OP3_SQL}
