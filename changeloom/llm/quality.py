@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import bounded, documents, narrow, raw
+from changeloom.llm.common import bounded, documents, narrow, raw, staged
 
 SYMBOLS = b"#*$%&|<>"
 CLASSES = 8
@@ -137,22 +137,21 @@ def references(docs: DataFrame, limits: Limits) -> list[tuple[str, np.ndarray, d
     Only class counts, common words and totals reach the driver, ``common_words + CLASSES`` rows a
     language.
     """
-    counts = language_counts(docs)
-    order = W.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    total = W.partitionBy("lang", "kind")
-    top = F.row_number().over(order) <= F.when(F.col("kind") == "class", CLASSES).otherwise(limits.common_words)
-    rows = (
-        counts.select("lang", "kind", "key", "n", top.alias("top"), F.sum("n").over(total).alias("total"))
-        .where("top").collect()
-    )
+    counts = staged(language_counts(docs), "language-counts")
+    words = counts.where("kind = 'word'")
+    order = W.partitionBy("lang").orderBy(F.desc("n"), "key")
+    # the rank limit is applied in every task before the shuffle, so few rows of a language meet
+    common = words.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limits.common_words)
+    totals = {r.lang: r.total for r in words.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
+    rows = counts.where("kind = 'class'").unionByName(common.drop("rank")).collect()
     found = []
     for lang in sorted({r.lang for r in rows}):
-        classes, common, everything = np.zeros(CLASSES), {}, 0
+        classes, common, everything = np.zeros(CLASSES), {}, totals.get(lang, 0)
         for r in rows:
             if r.lang == lang and r.kind == "class":
                 classes[int(r.key)] = r.n
             elif r.lang == lang:
-                common[bytes(r.key)], everything = r.n, r.total
+                common[bytes(r.key)] = r.n
         ordered = sorted(common, key=lambda w: (-common[w], w))
         shares = np.array([common[w] for w in ordered] + [everything - sum(common.values())], float)
         if classes.sum() and shares.sum():
