@@ -13,6 +13,7 @@ from changeloom.llm.languages import op4_language_mixture
 from changeloom.llm.packing import op7_pack
 from changeloom.llm.quality import op2_quality_divergence
 from changeloom.llm.repeats import op9_repeats
+from changeloom.llm.scoring import op8_attention_scores
 from changeloom.llm.secrets import op6_secret_scan
 from changeloom.llm.shards import op10_shard
 from changeloom.llm.simhash import op5_simhash
@@ -46,6 +47,7 @@ OPERATORS = (
     op5_simhash,
     op6_secret_scan,
     op7_pack,
+    op8_attention_scores,
     op9_repeats,
     op10_shard,
 )
