@@ -18,6 +18,7 @@ each; an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -36,6 +37,9 @@ from changeloom.llm.common import bounded, documents, narrow, raw
 SENTENCE_ENDS = (b".", b"!", b"?", b".'", b'."', b"!\"", b"?\"")
 
 
+MARKS = tuple(b".,;:!?"[i : i + 1] for i in range(6))
+
+
 @dataclass(frozen=True)
 class Packing:
     capacity: int = 4096
@@ -59,17 +63,33 @@ class WordCodes:
     """Token ids of texts, by way of a table of the words seen so far."""
 
     def __init__(self, path: str, most_words: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for every core
         self.tokenizer, self.most = Tokenizer.from_file(path), most_words
         self.reset()
 
     def reset(self) -> None:
-        self.known = _Numbered()
+        self.known, self.stems = _Numbered(), {}
         self.flat, self.starts = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
         self.ends_sentence = np.zeros(0, bool)
 
+    def _coded(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of words. A word and the same with a mark behind it or a capital are tokenised once.
+
+        The tokeniser lower-cases anyway, and takes marks after a letter for a piece of their own.
+        """
+        parts = []
+        for word in map(bytes.lower, words):
+            if word[-1:] in MARKS and word[-2:-1].isalpha():
+                parts.append((word[:-1], word[-1:]))
+            else:
+                parts.append((word,))
+        if new := list(dict.fromkeys(p for own in parts for p in own if p not in self.stems)):
+            coded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
+            self.stems.update(zip(new, (tuple(c.ids) for c in coded), strict=True))
+        return [self.stems[own[0]] + self.stems[own[1]] if len(own) > 1 else self.stems[own[0]] for own in parts]
+
     def learn(self, words: list[bytes]) -> None:
-        coded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        ids = [c.ids for c in coded]
+        ids = self._coded(words)
         new = np.fromiter(chain.from_iterable(ids), np.uint32)
         used = int(self.starts[-1])
         if used + len(new) > len(self.flat):
