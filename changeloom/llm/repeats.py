@@ -45,7 +45,7 @@ class Repeats:
     length: int = 50
     gram: int = 24
     block_bytes: int = 8 << 20
-    bucket_anchors: int = 1 << 20
+    bucket_anchors: int = 1 << 19
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -138,8 +138,8 @@ def _by_bucket(keys: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     order = np.argsort(bucket, kind="stable")
     start = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    for a, b in zip(start, np.append(start[1:], len(order)), strict=True):
-        yield int(bucket[order[a]]), order[a:b]
+    for a, n in zip(start, np.diff(start, append=len(order)), strict=True):
+        yield int(bucket[order[a]]), order[a : a + n]
 
 
 def exchange_anchors(docs: DataFrame, how: Repeats, bits: int) -> DataFrame:
@@ -273,8 +273,8 @@ def bucketed_strings(owned: DataFrame, how: Repeats, bits: int) -> DataFrame:
             every, docs, places = np.concatenate(keys), np.array(docs, np.int64), np.concatenate(places)
             sizes = np.array([len(s) for s in strings], np.uint8)
             for bucket, at in _by_bucket(every, bits):
-                parts = [docs[at], places[at].astype(np.int64), sizes[at]]
-                data = b"".join([*(p.tobytes() for p in parts), *(strings[k] for k in at)])
+                parts = [docs[at].tobytes(), places[at].astype(np.int64).tobytes(), sizes[at].tobytes()]
+                data = b"".join([*parts, _pack_keys(every[at], bits), *(strings[k] for k in at)])
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array([bucket], pa.int32()),
                     "n": pa.array([len(at)], pa.int32()),
@@ -298,70 +298,155 @@ def common_prefixes(suffixes: list[bytes]) -> np.ndarray:
     return found
 
 
-def maximal_repeats(prefixes: np.ndarray, before: list[int], least: int) -> Iterator[tuple[int, int, int]]:
+def maximal_repeats(prefixes: list[int], before: list[int], least: int) -> Iterator[tuple[int, int, int]]:
     """(length, first, last) of suffix-array intervals that are maximal repeats of ``least`` or more.
 
-    ``before`` is the byte before each suffix, or a number of its own where none is known. An interval of
-    the tree is closed when the next common prefix is shorter; it is maximal unless every suffix in it
-    follows the same byte.
+    ``before`` is the byte before each suffix, or a number of its own from 256 where none is known. An
+    interval of the tree is closed when the next common prefix is shorter; it is maximal unless every
+    suffix in it follows the same byte.
     """
-    n = len(before)
-    # -1: bytes differ. An open interval is [length, first suffix, the byte before all of it]
-    stack: list[list[int]] = []
-    join = lambda a, b: a if a == b else -1
-    for i in range(1, n + 1):
-        shared = int(prefixes[i]) if i < n else 0
+    stack: list[tuple[int, int, int]] = []  # length, first suffix, the byte before all so far or -1
+    for i in range(1, len(before) + 1):
+        shared = prefixes[i] if i < len(before) else 0
         if shared < least:
+            if not stack:
+                continue
             shared = 0
         first, byte = i - 1, before[i - 1]
         while stack and stack[-1][0] > shared:
             length, first, own = stack.pop()
-            byte = join(own, byte)
-            if byte < 0 or byte > 255:
+            byte = own if own == byte else -1
+            if not 0 <= byte <= 255:
                 yield length, first, i - 1
-        if shared and (not stack or stack[-1][0] < shared):
-            stack.append([shared, first, byte])
-        elif stack:
-            stack[-1][2] = join(stack[-1][2], byte)
-
-
-def repeat_groups(strings: list[bytes], docs: list[int], least: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """(length, [(string, offset), ...]) for each maximal repeat of the strings, all occurrences given."""
-    where = [(s, k) for s, text in enumerate(strings) for k in range(len(text) - least + 1)]
-    suffixes = [strings[s][k:] for s, k in where]
-    order = sorted(range(len(where)), key=suffixes.__getitem__)
-    ordered = [suffixes[i] for i in order]
-    before = [strings[s][k - 1] if k else 256 + i for i, (s, k) in enumerate(where[j] for j in order)]
-    for length, first, last in maximal_repeats(common_prefixes(ordered), before, least):
-        yield length, [where[order[i]] for i in range(first, last + 1)]
+        if stack and stack[-1][0] == shared:
+            length, begun, own = stack[-1]
+            stack[-1] = (length, begun, own if own == byte else -1)
+        elif shared:
+            stack.append((shared, first, byte))
+
+
+def _window_hashes(strings: list[bytes], least: int) -> np.ndarray:
+    """Hashes of all windows of ``least`` bytes, string by string."""
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    windows = np.maximum(0, sizes - least + 1)
+    begin = np.cumsum(sizes) - sizes - np.cumsum(windows) + windows
+    at = np.repeat(begin, windows) + np.arange(windows.sum())
+    return gram_hashes(np.frombuffer(b"".join(strings), np.uint8), least)[at]
+
+
+def repeat_groups(
+    strings: list[bytes], least: int, most: int = 1 << 18
+) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """(length, [(string, offset), ...]) for each maximal repeat of the strings, all occurrences given.
+
+    Only suffixes go into the array whose first ``least`` bytes have the hash of another's; a large set
+    is sorted in shares of about ``most`` suffixes, dealt by that hash, as suffixes of one interval
+    begin alike.
+    """
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    windows = np.maximum(0, sizes - least + 1)
+    string = np.repeat(np.arange(len(strings)), windows)
+    offset = np.arange(len(string)) - np.repeat(np.cumsum(windows) - windows, windows)
+    hashes = np.concatenate([_window_hashes(strings[a : a + 4096], least) for a in range(0, len(strings), 4096)])
+    _, number, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    again = np.flatnonzero(times[number] > 1)
+    shares = -(-len(again) // most)
+    for share in range(shares):
+        own = again if shares == 1 else again[number[again] % shares == share]
+        where = list(zip(string[own].tolist(), offset[own].tolist(), strict=True))
+        suffixes = [strings[s][k:] for s, k in where]
+        order = sorted(range(len(where)), key=suffixes.__getitem__)
+        prefixes = common_prefixes([suffixes[i] for i in order]).tolist()
+        before = [strings[s][k - 1] if k else 256 + s for s, k in map(where.__getitem__, order)]
+        for length, first, last in maximal_repeats(prefixes, before, least):
+            yield length, [where[order[i]] for i in range(first, last + 1)]
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping and touching spans as one."""
+    done: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if done and a <= done[-1][1]:
+            done[-1] = (done[-1][0], max(b, done[-1][1]))
+        else:
+            done.append((a, b))
+    return done
+
+
+def _together(anchors_: np.ndarray, most: int = 4096) -> Iterator[np.ndarray]:
+    """Numbers of strings that share their anchor with another, several anchors at a time."""
+    order = np.argsort(anchors_, kind="stable")
+    start = np.flatnonzero(np.diff(anchors_[order].astype(np.int64), prepend=-1))
+    size = np.diff(start, append=len(order))
+    groups = [order[a : a + n] for a, n in zip(start[size > 1], size[size > 1], strict=True)]
+    held, n = [], 0
+    for group in groups:
+        if held and n + len(group) > most:
+            yield np.concatenate(held)
+            held, n = [], 0
+        held.append(group)
+        n += len(group)
+    if held:
+        yield np.concatenate(held)
+
+
+class _Numbered(dict):
+    """Numbers strings as they are first asked for."""
+
+    def __missing__(self, text: bytes) -> int:
+        self[text] = number = len(self)
+        return number
+
+
+def _strings(table: pa.Table, number: _Numbered) -> Iterator[tuple[np.ndarray, ...]]:
+    """Per packed row: documents, places, lengths, anchors and numbers of its strings."""
+    press = zstandard.ZstdDecompressor()
+    for n, packed in zip(table.column("n").to_pylist(), table.column("data").to_pylist(), strict=True):
+        data = press.decompress(packed)
+        sizes = np.frombuffer(data, np.uint8, n, 16 * n).astype(np.int64)
+        begin = (17 + KEY_BYTES) * n
+        ends = begin + np.cumsum(sizes)
+        texts = (data[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True))
+        yield (
+            np.frombuffer(data, np.int64, n),
+            np.frombuffer(data, np.int64, n, 8 * n),
+            sizes,
+            _unpack_keys(data[17 * n : begin]),
+            np.fromiter(map(number.__getitem__, texts), np.int64, n),
+        )
 
 
 def bucket_spans(table: pa.Table, length: int) -> pa.Table:
     """doc_id, start, finish of what the documents of a bucket repeat of earlier documents."""
-    press, spans = zstandard.ZstdDecompressor(), []
-    copies: dict[bytes, list[tuple[int, int]]] = {}
-    for n, packed in zip(table.column("n").to_pylist(), table.column("data").to_pylist(), strict=True):
-        data = press.decompress(packed)
-        docs = np.frombuffer(data, np.int64, n).tolist()
-        places = np.frombuffer(data, np.int64, n, 8 * n).tolist()
-        at = 17 * n
-        for doc, place, size in zip(docs, places, np.frombuffer(data, np.uint8, n, 16 * n).tolist(), strict=True):
-            copies.setdefault(data[at : at + size], []).append((doc, place))
-            at += size
+    number = _Numbered()
+    docs, places, sizes, keys, own = map(np.concatenate, zip(*_strings(table, number), strict=True))
+    order = np.lexsort((docs, own))
+    begin = np.flatnonzero(np.diff(own[order], prepend=-1))
+    first = docs[order[begin]]  # the first document of each string
     # equal strings: the whole string is one repeat; its first document goes on to the suffix array
-    strings, firsts = [], []
-    for text, found in copies.items():
-        first = min(found)[0]
-        spans += [(doc, place, place + len(text)) for doc, place in found if doc > first]
-        strings.append(text)
-        firsts.append([(doc, place) for doc, place in found if doc == first])
-    for size, group in repeat_groups(strings, firsts, length):
-        least = min(firsts[s][0][0] for s, _ in group)
-        spans += [
-            (doc, place + k, place + k + size) for s, k in group for doc, place in firsts[s] if doc > least
-        ]
-    columns = list(zip(*set(spans), strict=True)) or [()] * 3
-    return pa.table([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "finish"])
+    later = docs > first[own]
+    found = [(docs[later], places[later], places[later] + sizes[later])]
+    order = order[~later[order]]
+    stop = np.cumsum(np.bincount(own[order], minlength=len(first)))
+    texts, firsts, spans = list(number), first.tolist(), []
+    # only strings with a common anchor can share anything else
+    for group in _together(keys[order[np.concatenate([[0], stop[:-1]])]]):
+        if (first[group] == first[group[0]]).all():
+            continue
+        strings, owner = [texts[i] for i in group], [firsts[i] for i in group]
+        earlier: dict[int, list[tuple[int, int]]] = {}
+        for size, members in repeat_groups(strings, length):
+            least = min(owner[s] for s, _ in members)
+            for s, k in members:
+                if owner[s] > least:
+                    earlier.setdefault(s, []).append((k, k + size))
+        for s, parts in earlier.items():
+            i = int(group[s])
+            at = places[order[stop[i - 1] if i else 0 : stop[i]]].tolist()
+            spans += [(owner[s], place + a, place + b) for a, b in united(parts) for place in at]
+    if spans:
+        found.append(tuple(np.array(c, np.int64) for c in zip(*spans, strict=True)))
+    return pa.table([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["doc_id", "start", "finish"])
 
 
 def repeat_spans(docs: DataFrame, how: Repeats, per_block: int, total: int) -> DataFrame:
@@ -406,8 +491,8 @@ def remove_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
         order = np.argsort(ids, kind="stable")
         starts, finishes = right.column("start").to_numpy()[order], right.column("finish").to_numpy()[order]
         first = np.flatnonzero(np.diff(ids[order], prepend=-1)) if len(ids) else np.zeros(0, np.int64)
-        for a, b in zip(first, np.append(first[1:], len(ids)), strict=True):
-            own[int(ids[order[a]])] = merged(starts[a:b], finishes[a:b])
+        for a, n in zip(first, np.diff(first, append=len(ids)), strict=True):
+            own[int(ids[order[a]])] = merged(starts[a : a + n], finishes[a : a + n])
         rows = []
         for docs_, texts in _unpacked(left):
             for doc_id, text in zip(docs_, texts, strict=True):
@@ -431,6 +516,25 @@ def remove_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     return done.unionByName(nobody)
 
 
+def without_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
+    """The same rows and columns with repeated passages gone from ``text``; a null text stays null.
+
+    Bytes of a character that was cut through go too.
+    """
+
+    def decoded(batches):
+        for batch in bounded(b.rename_columns(["doc_id", "text"]) for b in batches):
+            texts = [t.decode(errors="ignore") for t in raw(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "left"])
+
+    left = remove_repeats(docs.where("doc_id IS NOT NULL"), how).where(F.size("starts") > 0)
+    changed = left.select("doc_id", "kept").dropDuplicates(["doc_id"]).mapInArrow(decoded, "doc_id long, left string")
+    changed = changed.select(F.col("doc_id").alias("_changed_id"), F.col("left").alias("_changed_text"))
+    text = F.when(F.col("_changed_id").isNotNull() & F.col("text").isNotNull(), F.col("_changed_text")).otherwise(F.col("text"))
+    joined = docs.join(changed, docs["doc_id"].cast("long") == F.col("_changed_id"), "left")
+    return joined.withColumn("text", text).select(docs.columns)
+
+
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(documents(spark, sf_dir))
     return left.select(
