@@ -200,6 +200,16 @@ class Nearest:
         return by_class, by_word
 
 
+def _verdict(text: bytes, nearest: Nearest, limits: Limits) -> tuple:
+    """The base counts, both distances, base_failed and kept."""
+    words = text.split()
+    base = base_counts(text, words)
+    failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
+    by_class, by_word = nearest(text, text.lower().split())
+    far = by_class > limits.most_char_distance or by_word > limits.most_word_distance
+    return *base, by_class, by_word, failed, not failed and not far
+
+
 def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """doc_id, the base counts, both distances, base_failed and kept, for every row."""
     nearest = Nearest(references(docs, limits), limits)
@@ -209,14 +219,8 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     def run(batches):
         for batch in bounded(batches):
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), raw(batch.column("text")), strict=True):
-                words = text.split()
-                base = base_counts(text, words)
-                failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
-                by_class, by_word = nearest(text, text.lower().split())
-                far = by_class > limits.most_char_distance or by_word > limits.most_word_distance
-                rows.append((doc_id, *base, by_class, by_word, failed, not failed and not far))
+            ids, texts = batch.column("doc_id").to_pylist(), raw(batch.column("text"))
+            rows = [(i, *_verdict(text, nearest, limits)) for i, text in zip(ids, texts, strict=True)]
             columns = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -224,5 +228,17 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return narrow(docs).mapInArrow(run, ", ".join(f"{n} {t}" for n, t in zip(names, types, strict=True)))
 
 
+def good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The rows, with all their columns, that the rules keep; judged where they are, without a join."""
+    nearest = Nearest(references(docs, limits), limits)
+
+    def run(batches):
+        for batch in bounded(batches):
+            kept = [_verdict(text, nearest, limits)[-1] for text in raw(batch.column("text"))]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir)).drop("char_distance", "word_distance")

@@ -115,8 +115,8 @@ def word_requests(docs: DataFrame, buckets: int, how: Scoring) -> DataFrame:
                 order = np.argsort(bucket, kind="stable")
                 start = np.flatnonzero(np.diff(bucket[order], prepend=-1))
                 rows = []
-                for a, b in zip(start, np.append(start[1:], len(order)), strict=True):
-                    at = order[a:b]
+                for a, n in zip(start, np.diff(start, append=len(order)), strict=True):
+                    at = order[a : a + n]
                     rows.append((bucket[order[a]], block, _packed(b" ".join(words[i] for i in at)), _packed(counts[at])))
                 yield _record(rows, names, types)
 

@@ -189,6 +189,16 @@ def near_duplicates(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
     return rows.join(known, "fp", "left")
 
 
+def without_near_duplicates(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
+    """The rows, with all their columns, that are the first of their component.
+
+    Of rows with the same id one stays; a row without an id founds no group and stays.
+    """
+    first = near_duplicates(docs, how).where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir))
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
