@@ -24,25 +24,76 @@ EFFECT = "_effect"
 _RANK = "_change_rank"
 _SIDE = "_change_side"
 _HELD = "_held_"
+_TIE = "_change_tie"
 
 
 def latest_change(
-    changes: DataFrame, keys: Sequence[str], order_by: Sequence[str], *, tie_break: bool = True
+    changes: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    *,
+    tie_break: bool = True,
+    ranking: Sequence[Column] | None = None,
 ) -> DataFrame:
     """One row per key: the last by ``order_by``, NULL counting as oldest.
 
     Spark keeps only the best row per key on the map side before it shuffles, so a key that owns
     a third of the changes sends one row per input partition. Rows equal in key and order are
     told apart by a hash of the row, which keeps the choice the same when a lost task runs again.
+    ``ranking`` replaces order and hash, best first.
     """
-    order = [ref(name).desc_nulls_last() for name in order_by]
-    if tie_break:
-        order.append(_row_hash(changes).desc())
-    window = Window.partitionBy(*map(ref, keys)).orderBy(*(order or [F.lit(1)]))
+    if ranking is None:
+        ranking = [ref(name).desc_nulls_last() for name in order_by]
+        if tie_break:
+            ranking.append(row_hash(changes.schema.fields).desc())
+    window = Window.partitionBy(*map(ref, keys)).orderBy(*(ranking or [F.lit(1)]))
     ranked = changes.withColumn(_RANK, F.row_number().over(window))
     return ranked.where(ref(_RANK) == 1).drop(_RANK)
 
 
+def arranged(changes: DataFrame, shape: Sequence[T.StructField], op: str | None) -> DataFrame:
+    """Changes with the table's types, a delete flag and the hash that settles ties.
+
+    The hash covers the table columns that the changes carry, with the table's types and in the
+    table's order, so a row has the same hash as a change, as a waiting change and in the table.
+    """
+    flagged = _flag_deletes(changes, op)
+    present = [field for field in shape if field.name in changes.columns]
+    casts = safe_casts(flagged, {field.name: field.dataType for field in present})
+    rest = [ref(name) for name in flagged.columns if name not in casts]
+    rows = flagged.select(*casts.values(), *rest)
+    return rows.withColumn(_TIE, row_hash(present))
+
+
+def total_order(order_by: Sequence[str], later: Column | None = None) -> list[Column]:
+    """Best change first: by change time and sequence, then deletes before others, then the row's hash.
+
+    It doesn't depend on the plan or on how changes are split into batches. ``later`` (the batch) only
+    counts between changes that state no time at all.
+    """
+    ranking = [ref(name).desc_nulls_last() for name in order_by]
+    if later is not None:
+        untimed = ref(order_by[0]).isNull() if order_by else F.lit(True)
+        ranking.append(F.when(untimed, later).desc_nulls_last())
+    return [*ranking, ref(IS_DELETED).desc(), ref(_TIE).desc()]
+
+
+def reduced_changes(
+    changes: DataFrame, shape: Sequence[T.StructField], keys: Sequence[str], op: str | None, order_by: Sequence[str]
+) -> DataFrame:
+    """One row per key in the table's types, deletes marked ``is_deleted``."""
+    rows = arranged(changes, shape, op if op in changes.columns else None)
+    return latest_change(rows, keys, order_by, ranking=total_order(order_by)).drop(_TIE)
+
+
+def last_applied(rows: DataFrame, shape: Sequence[T.StructField], keys: Sequence[str], order_by: Sequence[str], batch: str) -> DataFrame:
+    """One row per key of several reduced batches; ``batch`` numbers them."""
+    ranked = latest_change(
+        arranged(rows, shape, None), keys, order_by, ranking=total_order(order_by, ref(batch))
+    )
+    return ranked.drop(_TIE)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with how often."""
     counted = df.groupBy(*map(ref, keys)).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -79,7 +130,6 @@ def apply_changes(
     if soft and IS_DELETED not in base.columns:
         base = base.withColumn(IS_DELETED, F.lit(False))
 
-    flagged = _flag_deletes(changes, op)
     shape = [field for field in base.schema.fields if field.name != IS_DELETED]
     absent = [field.name for field in shape if field.name not in changes.columns]
     guard = bool(order_by) and all(name in base.columns for name in order_by)
@@ -87,9 +137,9 @@ def apply_changes(
     if strategy == "auto":
         strategy = pick_strategy(changes, keys, order_by)
     if strategy == "shuffle" and not absent:
-        result = _rank_together(base, flagged, shape, keys, order_by, guard)
+        result = _rank_together(base, changes, shape, keys, op, order_by, guard)
     else:
-        kept, applied = split_by_match(base, flagged, keys, None, order_by, reduced=reduced)
+        kept, applied = split_by_match(base, changes, keys, op, order_by, reduced=reduced)
         result = kept.unionByName(applied, allowMissingColumns=True)
 
     columns = [ref(field.name) for field in shape]
@@ -128,20 +178,27 @@ def split_by_match(
 
     Change rows have the table's columns and types, deletes among them marked ``is_deleted``.
     """
-    flagged = _flag_deletes(changes, op)
+    op = op if op in changes.columns else None
     shape = [field for field in base.schema.fields if field.name != IS_DELETED]
     absent = [field.name for field in shape if field.name not in changes.columns]
-    latest = flagged if reduced else latest_change(flagged, keys, order_by)
-    heads = _heads(flagged, keys, order_by, reduced)
-    other = _held(heads, heads.columns)
     guard = bool(order_by) and all(name in base.columns for name in order_by)
-    stays = _newer(order_by) if guard else F.lit(False)
-    kept = base.join(other, _matches(keys) & ~stays, "left_anti")
+    rows = arranged(changes, shape, op)
+    latest = rows if reduced else latest_change(rows, keys, order_by, ranking=total_order(order_by))
+    if guard:
+        heads = latest.select(*map(ref, dict.fromkeys([*keys, *order_by])), ref(IS_DELETED), ref(_TIE))
+    else:  # any change replaces the row, so which one it is does not matter here
+        heads = changes.select(*map(ref, keys))
+    other = _held(heads, heads.columns)
     if guard:
-        stale = base.join(other, _matches(keys) & stays).select(*map(ref, keys))
+        tied = _tied(base, shape, changes.columns)
+        stays = _stays(order_by)
+        kept = tied.join(other, _matches(keys) & ~stays, "left_anti").select(*map(ref, base.columns))
+        stale = tied.join(other, _matches(keys) & stays).select(*map(ref, keys))
         latest = _without(latest, stale, keys)
+    else:
+        kept = base.join(other, _matches(keys), "left_anti")
     if absent:
-        latest = fill_from_table(latest, base, keys, absent, heads=heads)
+        latest = fill_from_table(latest, base, keys, absent)
     return kept, _in_shape(latest, shape)
 
 
@@ -160,14 +217,16 @@ def classify_changes(
     stale (older than the stored row).
     """
     op = op if op in changes.columns else None
-    flagged = _flag_deletes(changes, op)
-    latest = flagged if reduced else latest_change(flagged, keys, order_by)
-    heads = _heads(flagged, keys, order_by, reduced)
+    shape = [field for field in base.schema.fields if field.name != IS_DELETED]
+    rows = arranged(changes, shape, op)
+    latest = rows if reduced else latest_change(rows, keys, order_by, ranking=total_order(order_by))
     guard = bool(order_by) and all(name in base.columns for name in order_by)
     alive = ~F.coalesce(ref(IS_DELETED), F.lit(False)) if IS_DELETED in base.columns else F.lit(True)
-    stale = _newer(order_by) if guard else F.lit(False)
-    hits = base.join(_held(heads, heads.columns), _matches(keys)).select(
-        *map(ref, keys), alive.alias("_hit_alive"), stale.alias("_hit_stale")
+    stale = _stays(order_by) if guard else F.lit(False)
+    heads = latest.select(*map(ref, dict.fromkeys([*keys, *order_by])), ref(IS_DELETED), ref(_TIE))
+    known = _tied(base, shape, changes.columns).withColumn("_hit_alive", alive)
+    hits = known.join(_held(heads, heads.columns), _matches(keys)).select(
+        *map(ref, keys), ref("_hit_alive"), stale.alias("_hit_stale")
     )
     hits = _held(hits, keys)
     known = F.coalesce(ref("_hit_alive"), F.lit(False))
@@ -190,12 +249,11 @@ def _flag_deletes(changes: DataFrame, op: str | None) -> DataFrame:
     return changes.withColumn(IS_DELETED, deleted)
 
 
-def _heads(
-    changes: DataFrame, keys: Sequence[str], order_by: Sequence[str], reduced: bool
-) -> DataFrame:
-    """Key and order of each key's latest change: the narrow side of every match."""
-    narrow = changes.select(*map(ref, dict.fromkeys([*keys, *order_by])))
-    return narrow if reduced else latest_change(narrow, keys, order_by, tie_break=False)
+def _tied(base: DataFrame, shape: Sequence[T.StructField], carried: Sequence[str]) -> DataFrame:
+    """The table with a delete flag and the hash of the columns that the changes carry."""
+    flag = F.coalesce(ref(IS_DELETED), F.lit(False)) if IS_DELETED in base.columns else F.lit(False)
+    hashed = row_hash([field for field in shape if field.name in carried])
+    return base.withColumns({IS_DELETED: flag, _TIE: hashed})
 
 
 def _held(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -207,14 +265,21 @@ def _matches(keys: Sequence[str]) -> Column:
     return reduce(and_, [ref(name).eqNullSafe(ref(_HELD + name)) for name in keys])
 
 
-def _newer(order_by: Sequence[str]) -> Column:
-    """True where the plain side is later than the renamed side; NULL is the oldest value."""
+def _stays(order_by: Sequence[str]) -> Column:
+    """True where the stored row comes after the change in the total order; NULL is the oldest value.
+
+    A change equal to the stored row is applied, and so is one that states no time at all.
+    """
     later, tied = F.lit(False), F.lit(True)
     for name in order_by:
         mine, other = ref(name), ref(_HELD + name)
         ahead = mine.isNotNull() & (other.isNull() | (mine > other))
         later = later | (tied & ahead)
         tied = tied & mine.eqNullSafe(other)
+    tied = tied & ref(order_by[0]).isNotNull()
+    for name in (IS_DELETED, _TIE):
+        later = later | (tied & (ref(name) > ref(_HELD + name)))
+        tied = tied & (ref(name) == ref(_HELD + name))
     return F.coalesce(later, F.lit(False))
 
 
@@ -246,20 +311,26 @@ def _in_shape(changes: DataFrame, shape: Sequence[T.StructField], also: Sequence
 
 def _rank_together(
     base: DataFrame,
-    flagged: DataFrame,
+    changes: DataFrame,
     shape: Sequence[T.StructField],
     keys: Sequence[str],
+    op: str | None,
     order_by: Sequence[str],
     guard: bool,
 ) -> DataFrame:
     stored = {field.name for field in shape}
     extra = [name for name in order_by if name not in stored]
-    incoming = _in_shape(flagged, shape, extra).withColumn(_SIDE, F.lit(1))
-    rows = base.withColumn(_SIDE, F.lit(0)).unionByName(incoming, allowMissingColumns=True)
-    ranking = [*order_by, _SIDE] if guard else [_SIDE, *order_by]
-    return latest_change(rows, keys, ranking)
-
-
-def _row_hash(df: DataFrame) -> Column:
-    hashable = [ref(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.xxhash64(*hashable)
+    also = [*extra, _TIE]
+    incoming = _in_shape(arranged(changes, shape, op), shape, also).withColumn(_SIDE, F.lit(1))
+    held = _tied(base, shape, changes.columns).withColumn(_SIDE, F.lit(0))
+    rows = held.unionByName(incoming, allowMissingColumns=True)
+    ranking = total_order(order_by, ref(_SIDE)) if guard else [ref(_SIDE).desc(), *total_order(order_by)]
+    return latest_change(rows, keys, order_by, ranking=ranking)
+
+
+def row_hash(fields: Sequence[T.StructField]) -> Column:
+    """Hash of a row; columns with maps, which Spark can't hash, count as JSON."""
+    parts = [
+        F.to_json(F.struct(ref(f.name))) if "map<" in f.dataType.simpleString() else ref(f.name) for f in fields
+    ]
+    return F.xxhash64(*(parts or [F.lit(0)]))

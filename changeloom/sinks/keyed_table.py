@@ -4,7 +4,8 @@ The table is a base (one row per key, hashed into buckets) plus change batches t
 since. Applying a batch only writes that batch, so its cost follows the batch and not the table.
 Readers see base and batches merged by ``apply_changes``; ``compact`` folds the batches into the
 buckets they touch. A small JSON document names the folders that make up the current state and is
-the commit point, so a job that dies half-way leaves the table as it was.
+the commit point, so a job that dies half-way leaves the table as it was. A table has one writer at a
+time: a second one is told so and never builds on a state it has not seen.
 
 Deleted keys stay in storage as rows marked deleted. That is what lets a late update be told from
 a new row; readers ask for the ``hard`` view (without them) or the ``soft`` one.
@@ -31,8 +32,9 @@ from changeloom.operators.changes import (
     classify_changes,
     estimated_bytes,
     fill_from_table,
-    latest_change,
+    last_applied,
     pick_strategy,
+    reduced_changes,
     split_by_match,
 )
 from changeloom.sinks.layout import even_files
@@ -41,7 +43,6 @@ from changeloom.storage import PathTaken, Storage
 BUCKET = "_bucket"
 GENERATION = "_gen"
 APPLIED = "_applied"
-_COMMIT_TRIES = 20
 _BUCKET_BYTES = 256 * 2**20
 _MOST_BUCKETS = 2**14  # keeps a commit below a megabyte; a bucket may have many files
 _UNKNOWN_BYTES = 2**60
@@ -52,7 +53,11 @@ class TableMissing(LookupError):
 
 
 class CommitConflict(RuntimeError):
-    """Another writer changed the same part of the table."""
+    """Another writer is at work on the table, or died while it committed (see ``release``)."""
+
+
+class TypeDrift(ValueError):
+    """A batch brings a column in a type that the table's column can't hold without loss."""
 
 
 @dataclass(frozen=True)
@@ -136,7 +141,7 @@ class KeyedTable:
             sort_by=[name for name in sort_by if name in changes.columns and name not in keys],
             schema=_nullable(changes.schema).jsonValue(),
         )
-        rows = apply_changes(changes.where(F.lit(False)), changes, keys, op, order_by, "soft")
+        rows = apply_changes(changes.where(F.lit(False)), changes, keys, op, order_by, "soft", strategy="join")
         generation = self._write_base(self._place(rows, state), state)
         written = self._storage.names(f"{self._path}/base/{GENERATION}={generation}")
         base = {n.split("=")[1]: generation for n in written if n.startswith(f"{BUCKET}=")}
@@ -152,8 +157,9 @@ class KeyedTable:
         number, state = self._latest()
         op = op if op in changes.columns else None
         changes = _with_order_columns(changes, state.order_by)
-        deleted = F.coalesce(ref(op) == F.lit("D"), F.lit(False)) if op else F.lit(False)
-        batch = latest_change(changes.withColumn(IS_DELETED, deleted), state.keys, state.order_by)
+        _check_types(changes.schema, state.columns)
+        shape = state.columns.fields
+        batch = reduced_changes(changes, shape, state.keys, op, state.order_by)
         absent = [f.name for f in state.columns.fields if f.name not in changes.columns]
         if absent:
             batch = fill_from_table(batch, self.read("soft"), state.keys, absent)
@@ -245,10 +251,13 @@ class KeyedTable:
 
         Run it when no reader or writer still works on a dropped state. Returns folders removed.
         """
-        commits = self._commit_names()
+        folder = f"{self._path}/commits"
+        commits = [n for n in self._storage.names(folder) if n.endswith(".json")]
         for name in commits[:-keep]:
-            self._storage.remove(f"{self._path}/commits/{name}")
-        live = [s for s in map(self._load, commits[-keep:]) if s is not None]
+            self._storage.remove(f"{folder}/{name}")
+            self._storage.remove(f"{folder}/{name.removesuffix('.json')}.claim")
+        texts = (self._storage.read_text(f"{folder}/{name}") for name in commits[-keep:])
+        live = [TableState(**json.loads(text)) for text in texts]
         used = {f"base/{GENERATION}={g}" for s in live for g in s.base.values()}
         used |= {f"changes/{f}" for s in live for f in s.pending.values()}
         found = [f"{part}/{n}" for part in ("base", "changes") for n in self._storage.names(f"{self._path}/{part}")]
@@ -320,12 +329,12 @@ class KeyedTable:
         return rows.drop(GENERATION, BUCKET)
 
     def _pending(self, state: TableState, *, keep_applied: bool = False) -> DataFrame:
-        """Waiting changes, one row per key. Between equal ones the batch applied last counts."""
+        """Waiting changes, one row per key by the total order of changes."""
         paths = [f"{self._path}/changes/{folder}" for folder in state.pending.values()]
         schema = T.StructType([*state.stored.fields, T.StructField(APPLIED, T.LongType())])
         rows = self._spark.read.schema(schema).parquet(*paths)
         if len(paths) > 1:
-            rows = latest_change(rows, state.keys, [*state.order_by, APPLIED])
+            rows = last_applied(rows, state.columns.fields, state.keys, state.order_by, APPLIED)
         return rows if keep_applied else rows.drop(APPLIED)
 
     def _write_changes(self, rows: DataFrame, folder: str) -> None:
@@ -339,34 +348,60 @@ class KeyedTable:
         writer.parquet(f"{self._path}/base/{GENERATION}={generation}")
         return generation
 
-    def _commit_names(self) -> list[str]:
-        return [n for n in self._storage.names(f"{self._path}/commits") if n.endswith(".json")]
-
-    def _load(self, name: str) -> TableState | None:
-        try:
-            return TableState(**json.loads(self._storage.read_text(f"{self._path}/commits/{name}")))
-        except ValueError:
-            return None  # being written, or left by a writer that died: not a commit
-
     def _latest(self) -> tuple[int, TableState | None]:
-        names = self._commit_names()
-        number = int(names[-1].removesuffix(".json")) if names else 0
-        for name in reversed(names):
-            state = self._load(name)
-            if state is not None:
-                return number, state
-        return number, None
+        names = [n for n in self._storage.names(f"{self._path}/commits") if n.endswith(".json")]
+        if not names:
+            return 0, None
+        text = self._storage.read_text(f"{self._path}/commits/{names[-1]}")
+        return int(names[-1].removesuffix(".json")), TableState(**json.loads(text))
 
     def _commit(self, change: Callable[[TableState | None], TableState]) -> None:
-        for _ in range(_COMMIT_TRIES):
-            number, current = self._latest()
-            text = json.dumps(asdict(change(current)))
-            try:
-                self._storage.create_text(f"{self._path}/commits/{number + 1:020d}.json", text)
-            except PathTaken:
-                continue  # another writer was first: build on its state
-            return
-        raise CommitConflict(f"{self._path}: no commit after {_COMMIT_TRIES} tries")
+        """Claim the next number, then put the whole state under it."""
+        number, current = self._latest()
+        path = f"{self._path}/commits/{number + 1:020d}"
+        text = json.dumps(asdict(change(current)))
+        try:
+            self._storage.claim(f"{path}.claim")
+            self._storage.put_text(f"{path}.json", text)
+        except PathTaken as taken:
+            raise CommitConflict(f"{self._path}: commit {number + 1} belongs to another writer") from taken
+
+    def release(self) -> bool:
+        """Free a number claimed by a writer that died before it committed. No writer may be at work."""
+        number, _ = self._latest()
+        claim = f"{self._path}/commits/{number + 1:020d}.claim"
+        left = self._storage.exists(claim)
+        if left:
+            self._storage.remove(claim)
+        return left
+
+
+def _check_types(incoming: T.StructType, stored: T.StructType) -> None:
+    """Lossless widening is fine; anything else would turn values into NULL unseen."""
+    held = {field.name: field.dataType for field in stored.fields}
+    for field in incoming.fields:
+        to = held.get(field.name)
+        if to is not None and to != field.dataType and not _widens(field.dataType, to):
+            raise TypeDrift(f"{field.name}: {field.dataType.simpleString()} does not fit {to.simpleString()}")
+
+
+def _widens(kind: T.DataType, to: T.DataType) -> bool:
+    whole = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+    if isinstance(kind, T.NullType) or type(kind) is type(to) and not isinstance(kind, T.DecimalType):
+        return isinstance(kind, T.NullType) or not isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+    if type(kind) in whole:
+        at = whole.index(type(kind))
+        digits = (3, 5, 10, 19)[at]
+        return (
+            type(to) in whole[at:]
+            or isinstance(to, T.DecimalType) and to.precision - to.scale >= digits
+            or isinstance(to, T.DoubleType) and at < 3
+        )
+    if isinstance(kind, T.DecimalType) and isinstance(to, T.DecimalType):
+        return to.scale >= kind.scale and to.precision - to.scale >= kind.precision - kind.scale
+    return (isinstance(kind, T.FloatType) and isinstance(to, T.DoubleType)) or (
+        isinstance(kind, T.DateType) and isinstance(to, T.TimestampType)
+    )
 
 
 def _bucket_count(size: int) -> int:

@@ -52,19 +52,28 @@ class Storage:
         finally:
             stream.close()
 
-    def create_text(self, path: str, text: str) -> None:
-        """Write a new file; fails if it exists, which makes it usable as a commit point."""
+    def claim(self, path: str) -> None:
+        """Create an empty file; fails if it exists. Of several callers one succeeds."""
         fs, target = self._open(path)
         try:
-            stream = fs.create(target, False)
+            fs.create(target, False).close()
         except Py4JJavaError as error:
             if fs.exists(target):
                 raise PathTaken(path) from error
             raise
+
+    def put_text(self, path: str, text: str) -> None:
+        """Write a file so that it is either absent or whole: it is filled under another name."""
+        fs, target = self._open(path)
+        draft = self._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+        stream = fs.create(draft, False)
         try:
             stream.write(bytearray(text.encode("utf-8")))
         finally:
             stream.close()
+        if fs.exists(target) or not fs.rename(draft, target):
+            fs.delete(draft, False)
+            raise PathTaken(path)
 
     def remove(self, path: str) -> None:
         fs, target = self._open(path)

@@ -150,6 +150,22 @@ def test_ties_are_settled_the_same_way_for_any_layout(spark):
     assert len(seen) == 1
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_ties_have_one_result_for_any_plan_and_split(spark, seed):
+    draw = random.Random(seed)
+    rows = [(str(draw.randint(1, 9)), "x", draw.choice("abc"), draw.randint(0, 1), None, draw.choice("IUUD")) for _ in range(40)]
+    changes = change_frame(spark, rows).drop("seq")
+    base = base_frame(spark, [(str(i), "x", "b", draw.choice([0, 1]), None) for i in range(5)]).drop("seq")
+    results = []
+    for strategy in ("join", "shuffle"):
+        for parts in ([rows], [rows[:13], rows[13:25], rows[25:]], [rows[25:], rows[:13], rows[13:25]]):
+            table = base
+            for part in parts:
+                table = apply_changes(table, change_frame(spark, part).drop("seq"), KEYS, "op", ["ts"], "soft", strategy=strategy)
+            results.append(sorted(map(tuple, table.select(*base.columns, IS_DELETED).collect())))
+    assert changes.count() == 40 and all(r == results[0] for r in results)
+
+
 def test_duplicate_keys(spark):
     df = change_frame(spark, [("a", "x", "1", 1, 1, "U"), ("a", "x", "2", 2, 2, "U"), ("b", "x", "1", 1, 1, "U")])
     assert [tuple(r) for r in duplicate_keys(df, KEYS).collect()] == [("a", "x", 2)]

@@ -115,30 +115,52 @@ def test_columns_are_stored_by_name(spark, table):
     assert state(table) == {1: "b"}
 
 
-def test_a_half_written_commit_is_ignored_and_stepped_over(spark, table):
+def test_a_writer_that_pauses_while_it_commits_loses_nothing(spark, table, monkeypatch):
     put(table, rows(spark, (1, "a", 0, "I")), "b0")
-    with open(f"{table.path}/commits/{2:020d}.json", "w") as handle:
-        handle.write('{"keys": ["id"')
+    slow, outcome = KeyedTable(spark, table.path), []
+    put_text = slow._storage.put_text
+
+    def pause(path, text):  # the number is claimed, the state not yet written
+        assert state(table) == {1: "a"}
+        with pytest.raises(CommitConflict):
+            put(table, rows(spark, (2, "other", 1, "I")), "other")
+        outcome.append("told")
+        put_text(path, text)
+
+    monkeypatch.setattr(slow._storage, "put_text", pause)
+    put(slow, rows(spark, (3, "slow", 1, "I")), "slow")
+    put(table, rows(spark, (2, "other", 1, "I")), "other")
+    assert outcome == ["told"] and state(table) == {1: "a", 2: "other", 3: "slow"}
+
+
+def test_a_writer_that_died_while_it_committed_is_never_stepped_over(spark, table):
+    put(table, rows(spark, (1, "a", 0, "I")), "b0")
+    table._storage.claim(f"{table.path}/commits/{2:020d}.claim")
+    with pytest.raises(CommitConflict):
+        put(table, rows(spark, (1, "b", 1, "U")), "b1")
     assert state(table) == {1: "a"}
+    assert table.release() and not table.release()
     put(table, rows(spark, (1, "b", 1, "U")), "b1")
     assert state(table) == {1: "b"}
 
 
-def test_writers_that_collide_build_on_each_other(spark, table, monkeypatch):
-    put(table, rows(spark, (1, "a", 0, "I")), "b0")
+def test_a_commit_is_whole_or_absent(spark, table):
     storage = table._storage
-    create, raced = storage.create_text, []
+    storage.put_text(f"{table.path}/x.json", "one")
+    with pytest.raises(PathTaken):
+        storage.put_text(f"{table.path}/x.json", "two")
+    assert storage.read_text(f"{table.path}/x.json") == "one"
+    assert [n for n in storage.names(table.path) if "x.json" in n] == ["x.json"]
 
-    def race(path, text):
-        if not raced:
-            raced.append(path)
-            other = KeyedTable(spark, table.path)
-            put(other, rows(spark, (2, "other", 1, "I")), "other")
-        create(path, text)
 
-    monkeypatch.setattr(storage, "create_text", race)
-    put(table, rows(spark, (3, "mine", 1, "I")), "mine")
-    assert state(table) == {1: "a", 2: "other", 3: "mine"}
+def test_type_drift_is_an_error_and_widening_is_not(spark, table):
+    from changeloom.sinks.keyed_table import TypeDrift
+
+    put(table, spark.createDataFrame([(1, 5)], "id long, n long"), "b0")
+    put(table, spark.createDataFrame([(2, 6)], "id int, n int"), "b1")
+    with pytest.raises(TypeDrift, match="n: string"):
+        put(table, spark.createDataFrame([(1, "many")], "id long, n string"), "b2")
+    assert {r.id: r.n for r in table.read().collect()} == {1: 5, 2: 6}
 
 
 def test_compactions_that_collide(spark, table, monkeypatch):
@@ -159,18 +181,6 @@ def test_compactions_that_collide(spark, table, monkeypatch):
     assert state(table) == {1: "b"}
 
 
-def test_gives_up_after_too_many_collisions(spark, table, monkeypatch):
-    put(table, rows(spark, (1, "a", 0, "I")), "b0")
-
-    def never(path, text):
-        raise PathTaken(path)
-
-    monkeypatch.setattr(table._storage, "create_text", never)
-    monkeypatch.setattr(keyed_table, "_COMMIT_TRIES", 2)
-    with pytest.raises(CommitConflict):
-        put(table, rows(spark, (1, "b", 1, "U")), "b1")
-
-
 def test_maintenance(spark, table):
     put(table, rows(spark, *[(i, "a", 0, "I") for i in range(50)]), "b0")
     put(table, rows(spark, (1, "b", 1, "U"), (2, "b", 1, "D")), "b1")
