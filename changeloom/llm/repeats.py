@@ -30,11 +30,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.llm.common import bounded, documents, narrow, raw, staged
 
+BLOCK = "_repeats_block"
 KEY_BYTES = 5  # of an anchor inside its bucket
 #: odd multipliers, any would do
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
@@ -449,7 +450,7 @@ def bucket_spans(table: pa.Table, length: int) -> pa.Table:
     return pa.table([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["doc_id", "start", "finish"])
 
 
-def repeat_spans(docs: DataFrame, how: Repeats, per_block: int, total: int) -> DataFrame:
+def repeat_spans(docs: DataFrame, how: Repeats, total: int) -> DataFrame:
     """doc_id, start, finish: stretches that some earlier document holds too; they may overlap."""
     bits = max(0, int(total / 13.5 / how.bucket_anchors)).bit_length()
     replies = exchange_anchors(docs, how, bits)
@@ -475,31 +476,43 @@ def merged(starts: np.ndarray, finishes: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts[at], reach[np.append(at[1:], len(starts)) - 1] if len(starts) else reach
 
 
+def _blocks(docs: DataFrame, how: Repeats) -> tuple[Column, int]:
+    """A document's block, from its id, so that a block has about ``block_bytes`` of text; all the text's size."""
+    total, rows = docs.agg(F.sum(F.octet_length("text")), F.count("doc_id")).first()
+    total = total or 0
+    per_block = max(1, int(how.block_bytes * rows / max(total, how.block_bytes))) if rows else 1
+    return F.floor(F.col("doc_id").cast("long") / per_block).cast("long").alias("block"), total
+
+
+def _spans_by_doc(table: pa.Table) -> dict[int, tuple[list[int], list[int]]]:
+    """Merged starts and finishes of each document of a block."""
+    ids = table.column("doc_id").to_numpy()
+    order = np.argsort(ids, kind="stable")
+    starts, finishes = table.column("start").to_numpy()[order], table.column("finish").to_numpy()[order]
+    first = np.flatnonzero(np.diff(ids[order], prepend=-1)) if len(ids) else np.zeros(0, np.int64)
+    own = {}
+    for a, n in zip(first, np.diff(first, append=len(ids)), strict=True):
+        own[int(ids[order[a]])] = tuple(x.tolist() for x in merged(starts[a : a + n], finishes[a : a + n]))
+    return own
+
+
+def _cut(text: bytes, spans: tuple[list[int], list[int]]) -> tuple[bytes, list[int], list[int]]:
+    starts, finishes = spans[0], [min(x, len(text)) for x in spans[1]]
+    kept = b"".join(text[p:q] for p, q in zip([0, *finishes], [*starts, len(text)], strict=True))
+    return kept, starts, finishes
+
+
 def remove_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     """doc_id, n_bytes, kept (bytes left), starts and finishes of the removed stretches, for every row."""
     plain = narrow(docs)
-    total, rows = plain.agg(F.sum(F.octet_length("text")), F.count("doc_id")).first()
-    total = total or 0
-    per_block = max(1, int(how.block_bytes * rows / max(total, how.block_bytes))) if rows else 1
-    block = F.floor(F.col("doc_id") / per_block).cast("long").alias("block")
+    block, total = _blocks(plain, how)
     dealt = plain.where("doc_id IS NOT NULL").select("doc_id", "text", block)
-    spans = repeat_spans(dealt, how, per_block, total).select("doc_id", "start", "finish", block)
+    spans = repeat_spans(dealt, how, total).select("doc_id", "start", "finish", block)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        own: dict[int, list[int]] = {}
-        ids = right.column("doc_id").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        starts, finishes = right.column("start").to_numpy()[order], right.column("finish").to_numpy()[order]
-        first = np.flatnonzero(np.diff(ids[order], prepend=-1)) if len(ids) else np.zeros(0, np.int64)
-        for a, n in zip(first, np.diff(first, append=len(ids)), strict=True):
-            own[int(ids[order[a]])] = merged(starts[a : a + n], finishes[a : a + n])
-        rows = []
-        for docs_, texts in _unpacked(left):
-            for doc_id, text in zip(docs_, texts, strict=True):
-                a, b = own.get(doc_id, ((), ()))
-                a, b = [int(x) for x in a], [min(int(x), len(text)) for x in b]
-                kept = b"".join(text[p:q] for p, q in zip([0, *b], [*a, len(text)], strict=True))
-                rows.append((doc_id, len(text), kept, a, b))
+        own, rows = _spans_by_doc(right), []
+        for ids, texts in _unpacked(left):
+            rows += [(i, len(text), *_cut(text, own.get(i, ([], [])))) for i, text in zip(ids, texts, strict=True)]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     names = ["doc_id", "n_bytes", "kept", "starts", "finishes"]
@@ -519,20 +532,40 @@ def remove_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
 def without_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     """The same rows and columns with repeated passages gone from ``text``; a null text stays null.
 
-    Bytes of a character that was cut through go too.
+    Bytes of a character that was cut through go too. Whole rows travel to their block in compressed
+    form, so the texts are not joined to the table again.
     """
+    plain, schema = narrow(docs), docs.schema
+    block, total = _blocks(plain, how)
+    dealt = plain.where("doc_id IS NOT NULL").select("doc_id", "text", block)
+    spans = repeat_spans(dealt, how, total).select("doc_id", "start", "finish", block)
 
-    def decoded(batches):
-        for batch in bounded(b.rename_columns(["doc_id", "text"]) for b in batches):
-            texts = [t.decode(errors="ignore") for t in raw(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "left"])
-
-    left = remove_repeats(docs.where("doc_id IS NOT NULL"), how).where(F.size("starts") > 0)
-    changed = left.select("doc_id", "kept").dropDuplicates(["doc_id"]).mapInArrow(decoded, "doc_id long, left string")
-    changed = changed.select(F.col("doc_id").alias("_changed_id"), F.col("left").alias("_changed_text"))
-    text = F.when(F.col("_changed_id").isNotNull() & F.col("text").isNotNull(), F.col("_changed_text")).otherwise(F.col("text"))
-    joined = docs.join(changed, docs["doc_id"].cast("long") == F.col("_changed_id"), "left")
-    return joined.withColumn("text", text).select(docs.columns)
+    def pack(batches):
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in bounded(batches):
+            blocks = batch.column(BLOCK).to_numpy()
+            rows = batch.select(schema.names)
+            for number in np.unique(blocks):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema) as out:
+                    out.write_batch(rows.filter(pa.array(blocks == number)))
+                columns = [pa.array([number], pa.int64()), pa.array([press.compress(sink.getvalue().to_pybytes())], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "rows"])
+
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        own, parts = _spans_by_doc(right), []
+        for packed in left.column("rows").to_pylist():
+            part = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(packed)).read_all()
+            texts, at = part.column("text").to_pylist(), part.schema.get_field_index("text")
+            for i, doc_id in enumerate(part.column("doc_id").cast(pa.int64()).to_pylist()):
+                if doc_id in own and texts[i] is not None:
+                    texts[i] = _cut(texts[i].encode(), own[doc_id])[0].decode(errors="ignore")
+            parts.append(part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type)))
+        return pa.concat_tables(parts)
+
+    sent = docs.where("doc_id IS NOT NULL").withColumn(BLOCK, block).mapInArrow(pack, "block long, rows binary")
+    done = sent.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
+    return done.unionByName(docs.where("doc_id IS NULL"))
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
