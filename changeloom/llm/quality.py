@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from changeloom.llm.common import bounded, documents, narrow, raw, staged
 
 SYMBOLS = b"#*$%&|<>"
 CLASSES = 8
-MOST_KEYS = 400_000  # words held by one task before it hands its counts on
+MOST_KEYS = 300_000  # words held by one task before it hands its counts on
 
 
 @dataclass(frozen=True)
@@ -109,14 +110,18 @@ def language_counts(docs: DataFrame) -> DataFrame:
         classes: dict[str, np.ndarray] = {}
 
         def emit():
-            rows = [(lang, "word", w, n) for lang, c in words.items() for w, n in c.items()]
-            rows += [(lang, "class", b"%d" % k, int(n)) for lang, h in classes.items() for k, n in enumerate(h)]
-            words.clear()
+            for lang, histogram in classes.items():
+                yield part(lang, "class", [b"%d" % k for k in range(CLASSES)], histogram.tolist())
             classes.clear()
-            for start in range(0, len(rows), 50_000):
-                columns = list(zip(*rows[start : start + 50_000], strict=True))
-                kinds = (pa.string(), pa.string(), pa.binary(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+            while words:
+                lang, counted = words.popitem()
+                pairs = iter(counted.items())
+                while some := list(islice(pairs, 50_000)):
+                    yield part(lang, "word", *map(list, zip(*some, strict=True)))
+
+        def part(lang, kind, keys, counts):
+            same = [pa.array([value] * len(keys), pa.string()) for value in (lang, kind)]
+            return pa.RecordBatch.from_arrays([*same, pa.array(keys, pa.binary()), pa.array(counts, pa.int64())], names)
 
         for batch in bounded(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), raw(batch.column("text")), strict=True):
