@@ -329,8 +329,6 @@ def _rank_together(
 
 
 def row_hash(fields: Sequence[T.StructField]) -> Column:
-    """Hash of a row; columns with maps, which Spark can't hash, count as JSON."""
-    parts = [
-        F.to_json(F.struct(ref(f.name))) if "map<" in f.dataType.simpleString() else ref(f.name) for f in fields
-    ]
-    return F.xxhash64(*(parts or [F.lit(0)]))
+    """MD5 of the row as text, maps included: any engine that can write the values can compute it."""
+    parts = [F.coalesce(ref(f.name).cast("string"), F.lit("\\N")) for f in fields]
+    return F.md5(F.concat_ws("|", *parts))

@@ -89,6 +89,7 @@ def load_rows(
                 order_by=options.order_by([*target.schema, *rows.columns]),
                 buckets=options.buckets,
                 sort_by=[key.name for key in target.partition_keys],
+                deletes=source.cdc.deletes if source.cdc else "hard",
             )
         return counts
     finally:

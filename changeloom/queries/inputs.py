@@ -35,7 +35,7 @@ ORDERS_RAW = LoadPlan.from_dicts(
             "partition_keys": [{"name": "event_date", "type": "date"}],
         },
     }
-).source
+).sources[0]
 
 USER_CHANGES = LoadPlan.from_dicts(
     {
@@ -53,7 +53,7 @@ USER_CHANGES = LoadPlan.from_dicts(
             "partition_keys": [{"name": "event_date", "type": "date"}],
         },
     }
-).source
+).sources[0]
 
 USER_KEY = ["user_id"]
 USER_ORDER = ["dms_timestamp", "event_id"]

@@ -169,6 +169,22 @@ FROM merged WHERE changed GROUP BY 1""",
     "merge_sink_roundtrip": _STATE,
     "late_change_guard": _STATE,
     "stream_apply": _STATE,
+    "merge_ties": f"""
+WITH {_CHG}, ranked AS (
+  SELECT *, CAST(dms_timestamp AS DATE) AS day,
+         row_number() OVER (PARTITION BY user_id ORDER BY CAST(dms_timestamp AS DATE) DESC, op = 'D' DESC,
+           md5(concat_ws('|', user_id, event_type, event_id, CAST(dms_timestamp AS DATE))) DESC) AS rn
+  FROM chg),
+state AS (
+  SELECT user_id, event_type, CAST(event_id AS VARCHAR) AS event_id FROM ranked WHERE rn = 1 AND op <> 'D'
+  UNION ALL
+  SELECT c_custkey * 2, c_mktsegment, NULL FROM customer
+  WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey * 2))
+SELECT state.*, way FROM state, (VALUES ('join'), ('shuffle'), ('three batches'), ('reversed')) AS ways(way)""",
+    "load_soft_delete": f"WITH {_LATEST} SELECT {_USER}, CAST(op = 'D' AS INTEGER) AS is_deleted FROM latest",
+    "run_throughput": """
+SELECT 'orders' AS source, CAST(1 AS BIGINT) AS runs, count(*) AS records_read,
+       1 AS has_longest_run, 1 AS has_rate FROM orders""",
     "merge_upsert_no_op": f"WITH {_MERGE} SELECT {_USER} FROM merged",
     "merge_soft_delete": f"WITH {_MERGE} SELECT {_USER}, "
     "CAST(coalesce(op, 'I') = 'D' AS INTEGER) AS is_deleted FROM merged",

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -335,26 +337,29 @@ def merge_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_changes(empty, user_changes(spark, sf_dir), USER_KEY, "Op", USER_ORDER)
 
 
-def _effects(spark: SparkSession, sf_dir: str, effect: str) -> DataFrame:
-    effects = classify_changes(
-        users(spark, sf_dir), user_changes(spark, sf_dir), USER_KEY, "Op", USER_ORDER
-    )
-    return effects.where(F.col(EFFECT) == effect).select(*USER_COLUMNS)
+def _applied(spark: SparkSession, sf_dir: str, was_there: bool, deleted: bool) -> DataFrame:
+    """What an apply made of the user table: rows by whether the key was there and is deleted now."""
+    before = users(spark, sf_dir)
+    after = apply_changes(before, user_changes(spark, sf_dir), USER_KEY, "Op", USER_ORDER, "soft")
+    # the table as it was has no event in any row
+    changed = after.where(F.col("event_id").isNotNull() & (F.col(IS_DELETED) == F.lit(deleted)))
+    held = before.select(*USER_KEY)
+    return changed.join(held, USER_KEY, "left_semi" if was_there else "left_anti").select(*USER_COLUMNS)
 
 
 @query
 def merge_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _effects(spark, sf_dir, "insert")
+    return _applied(spark, sf_dir, was_there=False, deleted=False)
 
 
 @query
 def merge_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _effects(spark, sf_dir, "update")
+    return _applied(spark, sf_dir, was_there=True, deleted=False)
 
 
 @query
 def merge_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _effects(spark, sf_dir, "delete")
+    return _applied(spark, sf_dir, was_there=True, deleted=True)
 
 
 @query
@@ -390,6 +395,39 @@ def merge_apply_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(spark, sf_dir, strategy="shuffle")
 
 
+@query
+def merge_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes timed by the day and without a sequence: one result for every plan, split and order."""
+    changes = renamed_user_changes(spark, sf_dir).withColumn("cdc_timestamp", F.to_date("cdc_timestamp"))
+    base = users(spark, sf_dir).withColumn("cdc_timestamp", F.lit(None).cast("date"))
+    part = F.col("event_id") % 3
+    thirds = [changes.where(part == i) for i in range(3)]
+    shown_by = []
+    for way, strategy, parts in (
+        ("join", "join", [changes]),
+        ("shuffle", "shuffle", [changes]),
+        ("three batches", "shuffle", thirds),
+        ("reversed", "join", thirds[::-1]),
+    ):
+        rows = base
+        for batch in parts:
+            rows = apply_changes(rows, batch, USER_KEY, "cdc_operation", ["cdc_timestamp"], "soft", strategy=strategy)
+        kept = shown(rows.where(~F.col(IS_DELETED)), "event_id").select(*USER_COLUMNS)
+        shown_by.append(kept.withColumn("way", F.lit(way)))
+    return reduce(DataFrame.unionByName, shown_by)
+
+
+@query
+def load_soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spec asks for soft deletes: the table, read by name, shows deleted keys as such."""
+    lake = scratch_lake(spark, "load_soft_delete")
+    source = replace(USER_CHANGES, cdc=replace(USER_CHANGES.cdc, delete_strategy="soft_delete"))
+    load_table(spark, source, lake, dataframe=user_changes(spark, sf_dir), options=USER_LOAD)
+    lake.table(spark, source.target).register("loaded_users")
+    loaded = shown(spark.table("loaded_users"), "event_id")
+    return loaded.select(*USER_COLUMNS, F.col(IS_DELETED).cast("int").alias(IS_DELETED))
+
+
 @query
 def merge_upsert_no_op(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = user_changes(spark, sf_dir).drop("Op")
@@ -607,7 +645,12 @@ def validity_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = read_audit(spark, _logged_orders(spark, sf_dir, "run_throughput").run_log_path, RUN_LOG)
-    return throughput_of(log)
+    rates = throughput_of(log)
+    return rates.select(
+        "source", "runs", "records_read",
+        (F.col("longest_run_seconds") >= 0).cast("int").alias("has_longest_run"),
+        (F.col("records_per_minute") > 0).cast("int").alias("has_rate"),
+    )
 
 
 @query

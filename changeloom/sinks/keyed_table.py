@@ -71,6 +71,7 @@ class TableState:
     schema: dict
     base: dict[str, str] = field(default_factory=dict)
     pending: dict[str, str] = field(default_factory=dict)
+    deletes: str = "hard"  # what readers see if they do not choose
 
     @property
     def columns(self) -> T.StructType:
@@ -118,6 +119,7 @@ class KeyedTable:
         order_by: Sequence[str] = (),
         buckets: int | None = None,
         sort_by: Sequence[str] = (),
+        deletes: str = "hard",
     ) -> None:
         """Apply one batch; the first one creates the table with the given settings.
 
@@ -127,11 +129,11 @@ class KeyedTable:
         if self.exists():
             self._append(changes, batch_key, op)
         else:
-            self._bootstrap(changes, list(keys), op, list(order_by), buckets, list(sort_by))
+            self._bootstrap(changes, list(keys), op, list(order_by), buckets, list(sort_by), deletes)
 
     def _bootstrap(
         self, changes: DataFrame, keys: list[str], op: str | None, order_by: list[str],
-        buckets: int | None, sort_by: list[str],
+        buckets: int | None, sort_by: list[str], deletes: str,
     ) -> None:
         buckets = buckets or _bucket_count(estimated_bytes(changes))
         op = op if op in changes.columns else None
@@ -140,6 +142,7 @@ class KeyedTable:
             keys=keys, order_by=order_by, buckets=buckets,
             sort_by=[name for name in sort_by if name in changes.columns and name not in keys],
             schema=_nullable(changes.schema).jsonValue(),
+            deletes=deletes,
         )
         rows = apply_changes(changes.where(F.lit(False)), changes, keys, op, order_by, "soft", strategy="join")
         generation = self._write_base(self._place(rows, state), state)
@@ -268,9 +271,13 @@ class KeyedTable:
 
     # Reading
 
-    def read(self, deletes: str = "hard") -> DataFrame:
-        """The current rows: ``hard`` without deleted keys, ``soft`` with the delete flag."""
+    def read(self, deletes: str | None = None) -> DataFrame:
+        """The current rows: ``hard`` without deleted keys, ``soft`` with the delete flag.
+
+        Without a choice it is the one the table was made with.
+        """
         state = self.state()
+        deletes = deletes or state.deletes
         rows = self._base(state)
         if state.pending:
             rows = apply_changes(
@@ -288,7 +295,7 @@ class KeyedTable:
         )
         return classified.groupBy(EFFECT).agg(F.count(F.lit(1)).alias("n_keys"))
 
-    def register(self, name: str, deletes: str = "hard") -> None:
+    def register(self, name: str, deletes: str | None = None) -> None:
         """Session view of the current state, so the table can be read by name."""
         self.read(deletes).createOrReplaceTempView(name)
 

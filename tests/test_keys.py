@@ -13,18 +13,18 @@ from changeloom.functions.keys import (
     with_merge_key,
     with_partition_columns,
 )
-from tests.flights import TIME, flights, flights_spec
+from tests.meters import TIME, meters, meters_spec
 
 
 def test_key_from_primary_key(spark):
-    out = with_merge_key(flights(spark, (1, "AA", "x", TIME)), flights_spec().target)
+    out = with_merge_key(meters(spark, (1, "AA", "x", TIME)), meters_spec().target)
     assert out.first().cod_unique == "1"
 
 
 def test_ready_made_key_is_kept(spark):
-    df = flights(spark, (1, "AA", "x", TIME)).withColumn("cod_unique", F.lit("mine"))
-    assert with_merge_key(df, flights_spec().target) is df
-    assert match_columns(flights_spec().target, df.columns) == ["cod_unique"]
+    df = meters(spark, (1, "AA", "x", TIME)).withColumn("cod_unique", F.lit("mine"))
+    assert with_merge_key(df, meters_spec().target) is df
+    assert match_columns(meters_spec().target, df.columns) == ["cod_unique"]
 
 
 def test_key_text_skips_nulls_and_uses_the_separator(spark):
@@ -48,48 +48,48 @@ def test_missing_key_columns(spark, target):
 
 
 def test_date_from_the_change_time(spark):
-    source = flights_spec()
-    out = with_partition_columns(flights(spark, (1, "AA", "x", TIME)), source.target, source)
+    source = meters_spec()
+    out = with_partition_columns(meters(spark, (1, "AA", "x", TIME)), source.target, source)
     assert str(out.first().event_date) == "2026-06-30"
 
 
 def test_date_from_a_source_column(spark):
-    source = flights_spec(partition_keys=[{"name": "event_date", "source_column": "scheduled_departure"}])
+    source = meters_spec(partition_keys=[{"name": "event_date", "source_column": "planned_at"}])
     df = spark.createDataFrame(
         [(1, "2026-06-30 08:30:00", TIME), (2, "soon", TIME), (3, "2026-07-01", TIME)],
-        "flight_id long, scheduled_departure string, dms_timestamp timestamp",
+        "meter_id long, planned_at string, dms_timestamp timestamp",
     ).coalesce(1)
     out = with_partition_columns(df, source.target, source).collect()
     assert [str(r.event_date) for r in out] == ["2026-06-30", "None", "2026-07-01"]
 
 
 def test_missing_source_column_falls_back_to_the_change_time(spark):
-    source = flights_spec(partition_keys=[{"name": "event_date", "source_column": "absent"}])
-    out = with_partition_columns(flights(spark, (1, "AA", "x", TIME)), source.target, source)
+    source = meters_spec(partition_keys=[{"name": "event_date", "source_column": "absent"}])
+    out = with_partition_columns(meters(spark, (1, "AA", "x", TIME)), source.target, source)
     assert str(out.first().event_date) == "2026-06-30"
 
 
 def test_partition_columns_that_cannot_be_derived(spark):
-    source = flights_spec(partition_keys=[{"name": "region"}, {"name": "status"}, {"name": "event_date"}])
-    df = flights(spark, (1, "AA", "x", TIME)).drop("dms_timestamp")
+    source = meters_spec(partition_keys=[{"name": "region"}, {"name": "status"}, {"name": "event_date"}])
+    df = meters(spark, (1, "AA", "x", TIME)).drop("dms_timestamp")
     assert with_partition_columns(df, source.target, source) is df
     assert "event_date" not in with_partition_columns(df, source.target).columns
 
 
 def test_rename(spark):
-    df = spark.createDataFrame([(1, "I", None)], "flight_id long, Op string, dms_timestamp timestamp")
-    assert rename_cdc_columns(df, flights_spec()).columns == ["flight_id", "cdc_operation", "cdc_timestamp"]
+    df = spark.createDataFrame([(1, "I", None)], "meter_id long, Op string, dms_timestamp timestamp")
+    assert rename_cdc_columns(df, meters_spec()).columns == ["meter_id", "cdc_operation", "cdc_timestamp"]
     assert rename_cdc_columns(df, None) is df
-    assert rename_cdc_columns(df.select("flight_id"), flights_spec()).columns == ["flight_id"]
+    assert rename_cdc_columns(df.select("meter_id"), meters_spec()).columns == ["meter_id"]
 
 
 def test_project_keeps_the_operation(spark):
-    df = spark.createDataFrame([(1, "I", 2)], "flight_id long, cdc_operation string, extra int")
-    assert project_to_target(df, ["flight_id", "other"]).columns == ["flight_id", "cdc_operation"]
-    assert project_to_target(df, ["flight_id"], None).columns == ["flight_id"]
+    df = spark.createDataFrame([(1, "I", 2)], "meter_id long, cdc_operation string, extra int")
+    assert project_to_target(df, ["meter_id", "other"]).columns == ["meter_id", "cdc_operation"]
+    assert project_to_target(df, ["meter_id"], None).columns == ["meter_id"]
 
 
 def test_prepared_shape(spark):
-    source = flights_spec()
-    out = prepare_for_target(flights(spark, (1, "AA", "x", datetime(2026, 1, 2))), source.target, source)
-    assert out.columns == ["flight_id", "airline_code", "status", "cdc_timestamp", "cod_unique", "event_date"]
+    source = meters_spec()
+    out = prepare_for_target(meters(spark, (1, "AA", "x", datetime(2026, 1, 2))), source.target, source)
+    assert out.columns == ["meter_id", "zone", "status", "cdc_timestamp", "cod_unique", "event_date"]

@@ -19,7 +19,7 @@ from changeloom.plans.lake import Lake, LoadOptions
 from changeloom.plans.loads import LoadFailed, load_table, load_tables
 from changeloom.sinks.audit import read_audit
 from changeloom.sinks.rejects import read_rejects
-from tests.flights import TIME, flights, flights_spec
+from tests.meters import TIME, meters, meters_spec
 
 SMALL = LoadOptions(buckets=4)
 NOW = datetime(2026, 7, 1, 12, tzinfo=timezone.utc)
@@ -30,11 +30,11 @@ def lake(tmp_path):
     return Lake(str(tmp_path / "lake"))
 
 
-def ten_flights(spark):
-    rows = [(i + 1, "UAL", f"UA{100 + i}", "active" if i % 2 == 0 else "landed", TIME, "I") for i in range(10)]
-    return flights(
-        spark, *rows,
-        columns="flight_id long, airline_icao string, flight_number string, status string, dms_timestamp timestamp, Op string",
+def ten_readings(spark):
+    states = ["active", "read", "sealed", "spare"]
+    rows = [(n, f"zone {n % 3}", n * 1.5, states[n % 4], TIME, "I") for n in range(1, 11)]
+    return meters(
+        spark, *rows, columns="meter_id long, zone string, litres double, status string, dms_timestamp timestamp, Op string"
     )
 
 
@@ -42,9 +42,9 @@ def log_of(spark, lake):
     return read_audit(spark, lake.run_log_path, RUN_LOG)
 
 
-def test_ten_flights_end_to_end(spark, lake):
-    source = flights_spec()
-    result = load_table(spark, source, lake, dataframe=ten_flights(spark), options=SMALL)
+def test_ten_readings_end_to_end(spark, lake):
+    source = meters_spec()
+    result = load_table(spark, source, lake, dataframe=ten_readings(spark), options=SMALL)
     assert (result.status, result.records_read, result.records_written, result.records_rejected) == ("success", 10, 10, 0)
     loaded = lake.table(spark, source.target).read()
     assert {r.cod_unique for r in loaded.collect()} == {str(i) for i in range(1, 11)}
@@ -55,49 +55,51 @@ def test_ten_flights_end_to_end(spark, lake):
 
 @pytest.mark.parametrize("cache", [True, False, None])
 def test_bad_status_never_lands(spark, lake, cache):
-    source = flights_spec()
-    df = flights(spark, (1, "AA", "invalid_status", TIME), (2, "AA", "active", TIME))
+    source = meters_spec()
+    df = meters(spark, (1, "AA", "invalid_status", TIME), (2, "AA", "active", TIME))
     load_table(spark, source, lake, dataframe=df, options=LoadOptions(buckets=4, cache=cache))
     assert [r.status for r in lake.table(spark, source.target).read().collect()] == ["active"]
     rejects = read_rejects(spark, lake.rejects_path(source.target)).collect()
-    assert [(r.flight_id, r._reject_rule) for r in rejects] == [(1, "enum_check")]
+    assert [(r.meter_id, r._reject_rule) for r in rejects] == [(1, "enum_check")]
     row = log_of(spark, lake).first()
     assert (row.records_read, row.records_written, row.records_rejected) == (2, 1, 1)
-    assert (row.source, row.status, row.target_partition, row.error_message) == ("flights", "success", "event_date=", "")
+    assert (row.source, row.status, row.target_partition, row.error_message) == ("meters", "success", "event_date=", "")
 
 
 def test_second_full_load_merges(spark, lake, tmp_path):
-    source = flights_spec(source_location=str(tmp_path / "full"))
-    flights(spark, (1, "AA", "active", TIME), (2, "AA", "active", TIME)).write.parquet(str(tmp_path / "full"))
+    source = meters_spec(source_location=str(tmp_path / "full"))
+    meters(spark, (1, "AA", "active", TIME), (2, "AA", "active", TIME)).write.parquet(str(tmp_path / "full"))
     load_table(spark, source, lake, options=SMALL)
     later = TIME + timedelta(hours=1)
-    df = flights(spark, (1, "AA", "landed", later), (3, "BB", "active", later))
+    df = meters(spark, (1, "AA", "read", later), (3, "BB", "active", later))
     load_table(spark, source, lake, dataframe=df, options=SMALL)
     table = lake.table(spark, source.target)
-    assert {r.flight_id: r.status for r in table.read().collect()} == {1: "landed", 2: "active", 3: "active"}
-    assert table.pending_batches() == 0
+    assert {r.meter_id: r.status for r in table.read().collect()} == {1: "read", 2: "active", 3: "active"}
+    assert table.pending_batches() == 1  # a small load rewrites no bucket
+    table.compact()
+    assert table.pending_batches() == 0 and table.read().count() == 3
     assert log_of(spark, lake).count() == 2
 
 
 def test_effects_are_counted_if_asked(spark, lake):
-    source, options = flights_spec(), LoadOptions(buckets=4, count_effects=True)
-    first = flights(spark, (1, "AA", "active", TIME), (2, "AA", "active", TIME), (3, "AA", "active", TIME))
+    source, options = meters_spec(), LoadOptions(buckets=4, count_effects=True)
+    first = meters(spark, (1, "AA", "active", TIME), (2, "AA", "active", TIME), (3, "AA", "active", TIME))
     assert load_table(spark, source, lake, dataframe=first, options=options).effects == {}
-    columns = "flight_id long, status string, dms_timestamp timestamp, Op string"
+    columns = "meter_id long, status string, dms_timestamp timestamp, Op string"
     later, before = TIME + timedelta(hours=1), TIME - timedelta(hours=1)
-    df = flights(
-        spark, (1, "landed", later, "U"), (2, "landed", later, "D"), (3, "landed", before, "U"),
+    df = meters(
+        spark, (1, "read", later, "U"), (2, "read", later, "D"), (3, "read", before, "U"),
         (4, "active", later, "I"), (5, "active", later, "D"), columns=columns,
     )
     result = load_table(spark, source, lake, dataframe=df, options=options)
     assert result.effects == {"update": 1, "delete": 1, "stale": 1, "insert": 1, "unknown_delete": 1}
-    again = load_table(spark, source, lake, dataframe=df.where("flight_id = 2"), options=options)
+    again = load_table(spark, source, lake, dataframe=df.where("meter_id = 2"), options=options)
     assert again.effects == {"unknown_delete": 1}
 
 
 def test_positions_from_monthly_folders(spark, lake, tmp_path):
     """A two-part key with a time in it, a plain partition column, decimals, a wildcard path."""
-    source = flights_spec(
+    source = meters_spec(
         source_location=str(tmp_path / "positions_*"),
         schema={
             "position_id": {"type": "bigint", "nullable": False},
@@ -109,10 +111,10 @@ def test_positions_from_monthly_folders(spark, lake, tmp_path):
         cod_unique_expr={"columns": ["position_id", "recorded_at"], "separator": "_"},
     )
     columns = "position_id long, aircraft string, latitude string, recorded_at timestamp"
-    flights(spark, (1, "abc", "52.1234567", TIME), (1, "abc", "x", TIME + timedelta(days=1)), columns=columns).write.parquet(
+    meters(spark, (1, "abc", "52.1234567", TIME), (1, "abc", "x", TIME + timedelta(days=1)), columns=columns).write.parquet(
         str(tmp_path / "positions_202606")
     )
-    flights(spark, (2, None, "1", TIME), (1, "abc", "9", None), columns=columns).write.parquet(
+    meters(spark, (2, None, "1", TIME), (1, "abc", "9", None), columns=columns).write.parquet(
         str(tmp_path / "positions_202607")
     )
     result = load_table(spark, source, lake, options=SMALL)
@@ -125,22 +127,22 @@ def test_positions_from_monthly_folders(spark, lake, tmp_path):
 
 
 def test_empty_input_writes_nothing_but_the_log(spark, lake):
-    source = flights_spec()
-    result = load_table(spark, source, lake, dataframe=flights(spark), options=SMALL)
+    source = meters_spec()
+    result = load_table(spark, source, lake, dataframe=meters(spark), options=SMALL)
     assert (result.status, result.records_read) == ("success", 0)
     assert not lake.table(spark, source.target).exists()
     assert log_of(spark, lake).count() == 1
 
 
 def test_only_rejects(spark, lake):
-    source = flights_spec()
-    result = load_table(spark, source, lake, dataframe=flights(spark, (None, "A", "x", TIME)), options=SMALL)
+    source = meters_spec()
+    result = load_table(spark, source, lake, dataframe=meters(spark, (None, "A", "x", TIME)), options=SMALL)
     assert (result.records_written, result.records_rejected) == (0, 1)
     assert not lake.table(spark, source.target).exists()
 
 
 def test_keys_that_look_alike_stay_two_rows(spark, lake):
-    source = flights_spec(
+    source = meters_spec(
         schema={"a": {"type": "string", "nullable": False}, "b": "string"}, primary_key=["a", "b"],
         cod_unique_expr={"columns": ["a", "b"], "separator": "_"}, enum_columns={}, partition_keys=[],
     )
@@ -151,8 +153,8 @@ def test_keys_that_look_alike_stay_two_rows(spark, lake):
 
 
 def test_a_failure_is_logged_and_raised(spark, lake):
-    source = flights_spec(source_location="/nowhere")
-    with pytest.raises(LoadFailed, match="flights"):
+    source = meters_spec(source_location="/nowhere")
+    with pytest.raises(LoadFailed, match="meters"):
         load_table(spark, source, lake)
     row = log_of(spark, lake).first()
     assert row.status == "failed" and "nowhere" in row.error_message
@@ -168,20 +170,20 @@ def test_audit_failures(spark, lake, monkeypatch):
         raise OSError("disk full")
 
     monkeypatch.setattr(loads, "write_audit", broken)
-    df = flights(spark, (1, "AA", "active", TIME))
-    assert load_table(spark, flights_spec(), lake, dataframe=df, options=SMALL).status == "success"
+    df = meters(spark, (1, "AA", "active", TIME))
+    assert load_table(spark, meters_spec(), lake, dataframe=df, options=SMALL).status == "success"
     with pytest.raises(OSError):
-        load_table(spark, flights_spec(), lake, dataframe=df, options=LoadOptions(strict_audit=True))
+        load_table(spark, meters_spec(), lake, dataframe=df, options=LoadOptions(strict_audit=True))
 
 
 def plan_of_three(spark, tmp_path):
     good = tmp_path / "full"
-    flights(spark, (1, "AA", "active", TIME)).write.parquet(str(good))
+    meters(spark, (1, "AA", "active", TIME)).write.parquet(str(good))
     paths = {"first": str(good), "second": "/nowhere", "third": str(good)}
     return [
         SourceSpec.parse({
-            **flights_spec().to_dict(), "source": name, "order": order, "source_location": paths[name],
-            "target": {**flights_spec(enum_columns={}).target.to_dict(), "catalog": {"database": "db_raw", "table": f"tbl_{name}"}},
+            **meters_spec().to_dict(), "source": name, "order": order, "source_location": paths[name],
+            "target": {**meters_spec(enum_columns={}).target.to_dict(), "catalog": {"database": "db_raw", "table": f"tbl_{name}"}},
         })
         for name, order in (("third", 3), ("first", 1), ("second", 2))
     ]
@@ -206,8 +208,8 @@ def test_all_tables_go_on_if_asked(spark, lake, tmp_path):
 
 
 def test_audit_rows(spark):
-    target = flights_spec(partition_keys=[{"name": "event_date"}, {"name": "region"}]).target
-    result = RunResult("id-1", "flights", "success", NOW - timedelta(seconds=30), NOW, 10, 9, 1)
+    target = meters_spec(partition_keys=[{"name": "event_date"}, {"name": "region"}]).target
+    result = RunResult("id-1", "meters", "success", NOW - timedelta(seconds=30), NOW, 10, 9, 1)
     log = run_log_row(spark, result, target)
     assert log.schema.names == RUN_LOG.names and [f.dataType for f in log.schema] == [f.dataType for f in RUN_LOG]
     row = log.first()
@@ -229,10 +231,10 @@ def test_reports_without_runs(spark, tmp_path):
 
 
 def test_column_profile(spark):
-    source = flights_spec(schema={"flight_id": {"type": "bigint", "nullable": False}, "status": "string", "gone": "int"})
-    df = spark.createDataFrame([("1", "active"), ("x", "odd"), (None, None)], "flight_id string, status string")
+    source = meters_spec(schema={"meter_id": {"type": "bigint", "nullable": False}, "status": "string", "gone": "int"})
+    df = spark.createDataFrame([("1", "active"), ("x", "odd"), (None, None)], "meter_id string, status string")
     profile = {r.column_name: tuple(r)[1:] for r in column_profile(df, source.target).collect()}
-    assert profile == {"flight_id": (True, 3, 1, 1, 0), "status": (False, 3, 1, 0, 1)}
+    assert profile == {"meter_id": (True, 3, 1, 1, 0), "status": (False, 3, 1, 0, 1)}
 
 
 def test_fk_orphans(spark):
@@ -242,8 +244,8 @@ def test_fk_orphans(spark):
 
 
 def test_strict_load_keeps_the_raw_input(spark, lake):
-    source = flights_spec(schema={"flight_id": {"type": "bigint", "nullable": False}, "gate": "int"}, enum_columns={})
-    df = spark.createDataFrame([("1", "5", TIME), ("2", "five", TIME)], "flight_id string, gate string, dms_timestamp timestamp")
+    source = meters_spec(schema={"meter_id": {"type": "bigint", "nullable": False}, "gate": "int"}, enum_columns={})
+    df = spark.createDataFrame([("1", "5", TIME), ("2", "five", TIME)], "meter_id string, gate string, dms_timestamp timestamp")
     options = LoadOptions(buckets=4, quality=QualityOptions(casts="strict", keep_raw=True))
     result = load_table(spark, source, lake, dataframe=df, options=options)
     assert (result.records_written, result.records_rejected) == (1, 1)

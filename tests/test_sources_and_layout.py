@@ -12,7 +12,7 @@ from changeloom.storage import PathTaken, Storage, scratch_folder, scratch_root
 
 
 def spec(**fields):
-    return SourceSpec(source="flights", **fields)
+    return SourceSpec(source="meters", **fields)
 
 
 def parquet_files(folder):
@@ -62,7 +62,7 @@ def test_stream_scan_falls_back_to_the_full_load_path(spark, landing):
     assert read_source(spark, spec(source_location=landing)).isStreaming
     assert read_source(spark, spec(source_location=landing), "anything").isStreaming
     assert scan_stream(spark, spec(source_location="/nowhere", cdc_source_location=landing)).columns == ["id"]
-    assert archive_folder("/landing/flights_cdc/") == "/landing/flights_cdc_archive/"
+    assert archive_folder("/landing/parcels_cdc/") == "/landing/parcels_cdc_archive/"
 
 
 @pytest.mark.parametrize("options, batches", [({}, 2), ({"max_files": 5}, 1), ({"max_bytes": 10**9}, 1)])
@@ -145,10 +145,13 @@ def test_rejects_of_a_batch_replace_themselves(spark, tmp_path):
 def test_storage(spark, tmp_path):
     storage = Storage(spark)
     path = str(tmp_path / "a" / "b.txt")
-    storage.create_text(path, "grün")
+    storage.put_text(path, "grün")
     assert storage.read_text(path) == "grün" and storage.exists(path)
     with pytest.raises(PathTaken):
-        storage.create_text(path, "again")
+        storage.put_text(path, "again")
+    storage.claim(f"{path}.claim")
+    with pytest.raises(PathTaken):
+        storage.claim(f"{path}.claim")
     assert storage.bytes_under(str(tmp_path / "a")) >= 5 and storage.bytes_under(str(tmp_path / "none")) == 0
     assert "b.txt" in storage.names(str(tmp_path / "a")) and storage.names(str(tmp_path / "none")) == []
     storage.remove(path)

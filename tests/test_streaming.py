@@ -15,16 +15,16 @@ from changeloom.streaming.loads import (
     run_streams,
     start_stream,
 )
-from tests.flights import TIME, flights, flights_spec
+from tests.meters import TIME, meters, meters_spec
 
-COLUMNS = "flight_id long, airline_code string, status string, dms_timestamp timestamp, Op string"
+COLUMNS = "meter_id long, zone string, status string, dms_timestamp timestamp, Op string"
 NOW = StreamOptions(available_now=True)
 SMALL = LoadOptions(buckets=4)
 
 
 def changes(spark, *rows):
     """(id, status, minute, op)"""
-    return flights(spark, *[(i, "AA", s, TIME + timedelta(minutes=m), op) for i, s, m, op in rows], columns=COLUMNS)
+    return meters(spark, *[(i, "AA", s, TIME + timedelta(minutes=m), op) for i, s, m, op in rows], columns=COLUMNS)
 
 
 def land(df, landing, name):
@@ -38,24 +38,24 @@ def lake(tmp_path):
 
 @pytest.fixture
 def source(tmp_path):
-    return flights_spec(
-        cdc_source_location=str(tmp_path / "flights_cdc"), checkpoint_location=str(tmp_path / "checkpoint")
+    return meters_spec(
+        cdc_source_location=str(tmp_path / "meters_cdc"), checkpoint_location=str(tmp_path / "checkpoint")
     )
 
 
 def state(spark, lake, source):
-    return {r.flight_id: r.status for r in lake.table(spark, source.target).read().collect()}
+    return {r.meter_id: r.status for r in lake.table(spark, source.target).read().collect()}
 
 
 def test_four_files_one_per_batch_then_restart(spark, lake, source):
     landing = source.cdc_source_location
     land(changes(spark, (1, "active", 1, "I"), (2, "active", 1, "I"), (9, "odd", 1, "I")), landing, "2026/06/30")
-    land(changes(spark, (1, "landed", 2, "U"), (2, "active", 5, "D")), landing, "2026/07/01")
-    land(changes(spark, (2, "landed", 3, "U"), (3, "active", 1, "I")), landing, "2026/07/02")
+    land(changes(spark, (1, "read", 2, "U"), (2, "active", 5, "D")), landing, "2026/07/01")
+    land(changes(spark, (2, "read", 3, "U"), (3, "active", 1, "I")), landing, "2026/07/02")
     land(changes(spark, (4, "active", 1, None)), landing, "2026/07/03")
     options = LoadOptions(buckets=4, compact_every=2)
     run_streams(spark, [source], lake, options=options, stream=NOW)
-    expected = {1: "landed", 3: "active", 4: "active"}
+    expected = {1: "read", 3: "active", 4: "active"}
     assert state(spark, lake, source) == expected
     log = read_audit(spark, lake.run_log_path, RUN_LOG)
     assert log.count() == 4 and log.agg(F.sum("records_read")).first()[0] == 8
@@ -63,21 +63,21 @@ def test_four_files_one_per_batch_then_restart(spark, lake, source):
 
     run_streams(spark, [source], lake, options=options, stream=NOW)
     assert log.count() == read_audit(spark, lake.run_log_path, RUN_LOG).count()
-    land(changes(spark, (4, "landed", 2, "U")), landing, "2026/07/04")
+    land(changes(spark, (4, "read", 2, "U")), landing, "2026/07/04")
     run_streams(spark, [source], lake, options=options, stream=NOW)
-    assert state(spark, lake, source) == expected | {4: "landed"}
+    assert state(spark, lake, source) == expected | {4: "read"}
     assert read_audit(spark, lake.run_log_path, RUN_LOG).count() == 5
 
 
 def test_a_replayed_batch_changes_nothing(spark, lake, source):
     batch = changes(spark, (1, "active", 1, "I"), (2, "odd", 1, "I"), (3, "active", 1, "D"))
-    later = changes(spark, (1, "landed", 2, "U"))
+    later = changes(spark, (1, "read", 2, "U"))
     apply_micro_batch(batch, 0, source, lake, SMALL, stream_id="q")
     apply_micro_batch(later, 1, source, lake, SMALL, stream_id="q")
     before = state(spark, lake, source)
     for number, df in ((0, batch), (1, later), (0, batch)):
         apply_micro_batch(df, number, source, lake, SMALL, stream_id="q")
-    assert state(spark, lake, source) == before == {1: "landed"}
+    assert state(spark, lake, source) == before == {1: "read"}
     assert read_rejects(spark, lake.rejects_path(source.target)).count() == 1
     assert read_audit(spark, lake.run_log_path, RUN_LOG).count() == 2
 
@@ -97,7 +97,7 @@ def test_a_new_checkpoint_does_not_overwrite_older_batches(spark, lake, source,
 def test_a_failing_table_stops_the_others(spark, lake, source, tmp_path):
     land(changes(spark, (1, "active", 1, "I")), source.cdc_source_location, "a")
     bad = replace(
-        flights_spec(cdc_source_location=str(tmp_path / "bad_cdc"), checkpoint_location=str(tmp_path / "bad_checkpoint")),
+        meters_spec(cdc_source_location=str(tmp_path / "bad_cdc"), checkpoint_location=str(tmp_path / "bad_checkpoint")),
         source="bad",
     )
     spark.range(3).write.parquet(bad.cdc_source_location)  # lacks the key column
@@ -106,12 +106,12 @@ def test_a_failing_table_stops_the_others(spark, lake, source, tmp_path):
         run_streams(spark, [source, bad], lake, options=SMALL, stream=forever)
     assert spark.streams.active == []
     failed = read_audit(spark, lake.run_log_path, RUN_LOG).where("status = 'failed' and source = 'bad'")
-    assert "flight_id" in failed.first().error_message
+    assert "meter_id" in failed.first().error_message
 
     # a batch that the stop cut off runs again and replaces what it had recorded
     run_streams(spark, [source], lake, options=SMALL, stream=NOW)
     assert state(spark, lake, source) == {1: "active"}
-    log = read_audit(spark, lake.run_log_path, RUN_LOG).where("source = 'flights'").collect()
+    log = read_audit(spark, lake.run_log_path, RUN_LOG).where("source = 'meters'").collect()
     assert [r.status for r in log] == ["success"]
 
 
@@ -119,7 +119,7 @@ def test_query_name_and_trigger(spark, lake, source):
     land(changes(spark, (1, "active", 1, "I")), source.cdc_source_location, "a")
     query = start_stream(spark, source, lake, options=SMALL, stream=StreamOptions(interval="1 second"))
     try:
-        assert query.name == "stream-flights"
+        assert query.name == "stream-meters"
         query.processAllAvailable()
         assert state(spark, lake, source) == {1: "active"}
     finally:
