@@ -21,9 +21,9 @@ class Shape:
     classes: int = 128
     own: int = 112  # of them for one id each
     width: int = 16
-    window: int = 64
-    stride: int = 48  # tokens of a window that are scored; the others are context only
-    batch: int = 192  # windows at once
+    window: int = 32
+    stride: int = 24  # tokens of a window that are scored; the others are context only
+    batch: int = 64  # windows at once
 
 
 class Classes:
@@ -82,40 +82,55 @@ def causal(n: int) -> np.ndarray:
     return np.tril(np.ones((n, n), np.float32))
 
 
-def windows(length: int, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First input, first scored input and end of the scored part, of each window over ``length`` inputs."""
-    scored = np.arange(0, length, shape.stride)
-    return np.maximum(0, scored - (shape.window - shape.stride)), scored, np.minimum(scored + shape.stride, length)
-
-
 def log10_scores(weights, texts: list[np.ndarray], shape: Shape) -> np.ndarray:
-    """log10 probability of every class of the texts, in order, each scored once, in batches of windows."""
-    lengths = np.array([len(t) for t in texts])
+    """log10 probability of every class of the texts, in order, each scored once, in batches of windows.
+
+    A window is ``window - stride`` places of context and then ``stride`` that are scored. Only these ask;
+    all up to the one that asks are attended to. Before the start of a text there is nothing to see.
+    """
+    table, places, projection, out, u, bias = weights
+    d, context = table.shape[1], shape.window - shape.stride
+    lengths = np.array([len(t) for t in texts], np.int64)
+    parts = -(-lengths // shape.stride)
+    if not parts.sum():
+        return np.zeros(0)
     base = np.cumsum(lengths) - lengths
-    after = np.concatenate([*texts, np.zeros(shape.window, np.int64)])
+    after = np.concatenate([*texts, np.zeros(shape.stride, np.int64)])
     before = np.concatenate([[START], after[:-1]])
     before[base[lengths > 0]] = START
-    owner = np.repeat(np.arange(len(texts)), -(-lengths // shape.stride))
-    parts = [windows(int(n), shape) for n in lengths if n]
-    if not parts:
-        return np.zeros(0)
-    first, scored, end = (np.concatenate(p) for p in zip(*parts, strict=True))
-    u, bias = weights[4], weights[5]
-    mask, place, scores = causal(shape.window), np.arange(shape.window), []
+    owner = np.repeat(np.arange(len(texts)), parts)
+    scored = (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * shape.stride
+    causal_ = np.tril(np.ones((shape.stride, shape.window), np.float32), context)
+    place, scores = np.arange(shape.window), []
+    scale, place_scored = np.float32(d**-0.5), np.arange(shape.stride)
     for a in range(0, len(owner), shape.batch):
-        own = owner[a : a + shape.batch]
-        at = base[own][:, None] + first[a : a + shape.batch][:, None] + place
-        hidden, _ = attend(weights, before[np.minimum(at, len(before) - 1)], mask)
-        inside = place + first[a : a + shape.batch][:, None]
-        wanted = (inside >= scored[a : a + shape.batch][:, None]) & (inside < end[a : a + shape.batch][:, None])
-        logits = hidden[wanted] @ u
+        own, first = owner[a : a + shape.batch], scored[a : a + shape.batch]
+        at = (base[own] + first - context)[:, None] + place
+        x = table[before[np.clip(at, 0, len(before) - 1)]]
+        x += places
+        asking = np.ascontiguousarray(x[:, context:])
+        q = (asking.reshape(-1, d) @ projection[:, :d]).reshape(asking.shape)
+        k, v = np.split((x.reshape(-1, d) @ projection[:, d:]).reshape(*at.shape, 2 * d), 2, axis=2)
+        share = q @ k.transpose(0, 2, 1)
+        share *= scale
+        if share.max() > 40:
+            np.minimum(share, 40, out=share)
+        np.exp(share, out=share)
+        share *= causal_
+        share[np.flatnonzero(first == 0), :, :context] = 0
+        mixed = share @ v
+        mixed /= share.sum(axis=2, keepdims=True)
+        asking += (mixed.reshape(-1, d) @ out).reshape(asking.shape)
+        logits = asking.reshape(-1, d) @ u
         logits += bias
-        target = after[at[wanted]]
+        valid = (first[:, None] + place_scored < lengths[own][:, None]).ravel()
+        target = after[at[:, context:].ravel() % len(after)]
         picked = logits[np.arange(len(target)), target].astype(np.float64)
-        np.clip(logits, -60, 60, out=logits)
+        if logits.max() > 60:
+            np.minimum(logits, 60, out=logits)
         np.exp(logits, out=logits)
         picked -= np.log(logits.sum(axis=1))
-        scores.append(picked)
+        scores.append(picked[valid])
     return np.concatenate(scores) / np.log(10)
 
 
@@ -140,8 +155,8 @@ def gradients(weights, inputs: np.ndarray, targets: np.ndarray, valid: np.ndarra
     d_score = share * (d_share - (d_share * share).sum(axis=2, keepdims=True)) * np.float32(d**-0.5)
     joint = np.concatenate([d_score @ k, d_score.transpose(0, 2, 1) @ q, d_v], axis=2).reshape(-1, 3 * d)
     d_x = d_hidden + (joint @ projection.T).reshape(x.shape)
-    d_table = np.zeros_like(table)
-    np.add.at(d_table, inputs.ravel(), d_x.reshape(-1, d))
+    flat_x, rows_ = d_x.reshape(-1, d), inputs.ravel()
+    d_table = np.stack([np.bincount(rows_, flat_x[:, i], len(table)) for i in range(d)], axis=1).astype(table.dtype)
     d_places = np.zeros_like(places)
     d_places[: inputs.shape[1]] = d_x.sum(axis=0)
     return loss, [d_table, d_places, x.reshape(-1, d).T @ joint, d_out, d_u, d_bias]

@@ -7,7 +7,7 @@ The vocabulary is never in one place.
 
 The attention model is trained by averaging. Each round, every task makes one pass over its own windows,
 starting from the common weights, and the weighted mean of the results is the next start. Windows come
-from every training document, one for each ``words_per_window`` words, so training grows with the corpus
+from every training document, one for each ``bytes_per_window`` bytes, so training grows with the corpus
 like the counts do. Only sums as long as the weights or the subword vocabulary reach the driver.
 
 A text is then scored in overlapping windows: each is attended to with a causal mask, and only its
@@ -43,6 +43,7 @@ from changeloom.llm.attention import Classes, Shape
 from changeloom.llm.common import bounded, documents, narrow, raw, remainder, staged
 from changeloom.llm.packing import WordCodes
 
+WORD = 12  # bytes of text read for each token of a window
 END = b"\n"  # no word holds a line break, so it can stand for the end among words
 
 
@@ -53,8 +54,8 @@ class Scoring:
     end_id: int = 49_407
     block_bytes: int = 16 << 20
     bucket_bytes: int = 4 << 20  # of text for each bucket of words
-    words_per_window: int = 1024
-    rounds: int = 3
+    bytes_per_window: int = 3072
+    rounds: int = 2
     rate: float = 0.01
     train_batch: int = 32
     word_share: float = 0.6
@@ -177,27 +178,27 @@ def training_windows(docs: DataFrame, tokenizer: str, classes: Classes, how: Sco
     """One row per window: the class before it and its classes, from every training document."""
     longest = how.shape.window
 
-    def windows(doc_id: int | None, text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        words = text.lower().split()
-        parts = max(1, len(words) // how.words_per_window)
+    def windows(doc_id: int | None, text: bytes) -> Iterator[tuple[int, np.ndarray]]:
+        parts = max(1, len(text) // how.bytes_per_window)
         for part in range(parts):
-            low, high = part * len(words) // parts, (part + 1) * len(words) // parts
-            spread = max(1, high - low - longest)
-            begin = low + xxhash.xxh32_intdigest(f"{doc_id}:{part}") % spread if part or parts > 1 else 0
-            # one word before the window gives the class before it
-            own = words[max(0, begin - 1) : begin + longest]
-            ids, at = subword_ids(tokenizer, own)
-            if begin + longest > len(words):
+            low, high = part * len(text) // parts, (part + 1) * len(text) // parts
+            begin = low + xxhash.xxh32_intdigest(f"{doc_id}:{part}") % max(1, high - low - WORD * longest) if parts > 1 else 0
+            end = begin + WORD * longest
+            words = text[begin:end].lower().split()
+            # what was cut through is left out, and the word before the window gives the class before it
+            words = words[1 if begin else 0 : None if end >= len(text) else -1]
+            ids, at = subword_ids(tokenizer, words)
+            if end >= len(text):
                 ids = np.append(ids, how.end_id)
             held = classes.of[ids]
-            cut = int(at[1]) if begin else 0
-            before = held[cut - 1] if cut else attention.START
-            yield before, held[cut : cut + longest]
+            cut = int(at[1]) if begin and words else 0
+            if cut < len(held):
+                yield int(held[cut - 1]) if cut else attention.START, held[cut : cut + longest]
 
     def run(batches):
         for batch in bounded(batches):
             rows = [
-                (int(before), held.astype(np.uint8).tobytes())
+                (before, held.astype(np.uint8).tobytes())
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), raw(batch.column("text")), strict=True)
                 for before, held in windows(doc_id, text)
             ]

@@ -259,11 +259,14 @@ def test_every_token_is_scored_once_from_what_is_before_it():
     texts = [draw.integers(1, 9, n) for n in (1, 4, 5, 17)]
     got = attention.log10_scores(weights, texts, shape)
     wanted = []
+    context = shape.window - shape.stride
     for text in texts:
         before = np.concatenate([[attention.START], text[:-1]])
         for t in range(len(text)):
-            first = max(0, t // shape.stride * shape.stride - (shape.window - shape.stride))
-            hidden, _ = attention.attend(weights, before[None, first : t + 1], attention.causal(t + 1 - first))
+            scored = t // shape.stride * shape.stride
+            first = max(0, scored - context)
+            own = [*weights[:1], weights[1][first - scored + context :], *weights[2:]]
+            hidden, _ = attention.attend(own, before[None, first : t + 1], attention.causal(t + 1 - first))
             logits = hidden[0, -1] @ weights[4] + weights[5]
             wanted.append((logits[text[t]] - np.log(np.exp(logits).sum())) / np.log(10))
     assert got == pytest.approx(np.array(wanted), abs=1e-4)
