@@ -48,7 +48,7 @@ class Packing:
     sentence_penalty: int = 4
     hard_penalty: int = 16
     stride: int = 16  # between cuts inside a sentence longer than four strides
-    most_words: int = 400_000  # distinct words remembered
+    most_words: int = 300_000  # distinct spellings remembered, and twice as many words
 
 
 class _Numbered(dict):
@@ -65,10 +65,13 @@ class WordCodes:
     def __init__(self, path: str, most_words: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for every core
         self.tokenizer, self.most = Tokenizer.from_file(path), most_words
+        self.stems: dict[bytes, tuple[int, ...]] = {}
         self.reset()
 
     def reset(self) -> None:
-        self.known, self.stems = _Numbered(), {}
+        self.known = _Numbered()
+        if len(self.stems) > 2 * self.most:  # dear to make, so kept for longer
+            self.stems = {}
         self.flat, self.starts = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
         self.ends_sentence = np.zeros(0, bool)
 

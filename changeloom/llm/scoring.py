@@ -70,7 +70,7 @@ def subword_ids(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words in one array, and where each word's begin."""
     table = codes(path)
     if len(table.stems) > 600_000:
-        table.reset()
+        table.stems = {}
     ids = table._coded(words)
     sizes = np.fromiter(map(len, ids), np.int64, len(ids))
     return np.fromiter((i for own in ids for i in own), np.int64, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
