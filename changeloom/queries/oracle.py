@@ -185,6 +185,10 @@ SELECT state.*, way FROM state, (VALUES ('join'), ('shuffle'), ('three batches')
     "run_throughput": """
 SELECT 'orders' AS source, CAST(1 AS BIGINT) AS runs, count(*) AS records_read,
        1 AS has_longest_run, 1 AS has_rate FROM orders""",
+    "rebucket": "SELECT o_orderkey, o_custkey, lower(o_orderstatus) AS o_orderstatus FROM orders",
+    "dq_empty": "SELECT 'valid' AS half, CAST(0 AS BIGINT) AS n_rows, 5 AS n_columns "
+    "UNION ALL SELECT 'rejects', 0, 8",
+    "table_probe": "SELECT 0 AS before, 1 AS after, count(*) AS n_rows FROM customer",
     "merge_upsert_no_op": f"WITH {_MERGE} SELECT {_USER} FROM merged",
     "merge_soft_delete": f"WITH {_MERGE} SELECT {_USER}, "
     "CAST(coalesce(op, 'I') = 'D' AS INTEGER) AS is_deleted FROM merged",

@@ -462,6 +462,42 @@ def merge_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(stored.read().select(*USER_COLUMNS), "event_id")
 
 
+@query
+def rebucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stored in two buckets, changed, and dealt anew into sixteen: the rows stay the same."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    stored = KeyedTable(spark, scratch_folder(spark, "rebucket"))
+    stored.apply(orders, "all", keys=["o_orderkey"], buckets=2)
+    stored.apply(orders.withColumn("o_orderstatus", F.lower("o_orderstatus")), "lower", keys=["o_orderkey"])
+    stored.rebucket(16)
+    return stored.read()
+
+
+@query
+def dq_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation of no rows: both halves are empty and have the columns they always have."""
+    nothing = raw_orders(spark, sf_dir).where(F.lit(False))
+    halves = zip(("valid", "rejects"), validate(nothing, ORDERS_RAW.target, ORDERS_RAW, rejected_at=REJECTED_AT))
+    counted = [
+        rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(half).alias("half"), "n_rows", F.lit(len(rows.columns)).alias("n_columns")
+        )
+        for half, rows in halves
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query
+def table_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a keyed table is there: before its first load, after it, and how many rows it then has."""
+    stored = KeyedTable(spark, scratch_folder(spark, "table_probe"))
+    before = stored.exists()
+    stored.apply(users_with_time(spark, sf_dir), "start", keys=USER_KEY)
+    return stored.read().agg(
+        F.lit(int(before)).alias("before"), F.lit(int(stored.exists())).alias("after"), F.count(F.lit(1)).alias("n_rows")
+    )
+
+
 @query
 def late_change_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest changes first, older ones later, one batch twice: the state stays the same."""

@@ -44,7 +44,7 @@ BUCKET = "_bucket"
 GENERATION = "_gen"
 APPLIED = "_applied"
 _BUCKET_BYTES = 256 * 2**20
-_MOST_BUCKETS = 2**14  # keeps a commit below a megabyte; a bucket may have many files
+_GROWN = 4  # times the wanted bytes a bucket may have before the table is dealt anew
 _UNKNOWN_BYTES = 2**60
 
 
@@ -239,16 +239,36 @@ class KeyedTable:
         state = self.state()
         if len(state.pending) < max_batches:
             return "none"
-        base = sum(
-            self._storage.bytes_under(f"{self._path}/base/{GENERATION}={g}/{BUCKET}={b}")
-            for b, g in state.base.items()
-        )
+        base = self._base_bytes(state)
+        if base > _GROWN * _BUCKET_BYTES * state.buckets:
+            self.rebucket()
+            return "rebucketed"
         if self._pending_bytes(state) >= ratio * base:
             self.compact()
             return "compacted"
         self.merge_pending()
         return "merged"
 
+    def rebucket(self, buckets: int | None = None) -> int:
+        """Rewrite the table, waiting batches included, in a number of buckets that fits its size.
+
+        Without a number it is derived from the bytes the table has now. Returns the number.
+        """
+        state = self.state()
+        count = buckets or _bucket_count(self._base_bytes(state) + self._pending_bytes(state))
+        wanted = replace(state, buckets=count, base={}, pending={})
+        generation = self._write_base(even_files(_with_bucket(self.read("soft"), wanted), [BUCKET]), wanted)
+        written = self._storage.names(f"{self._path}/base/{GENERATION}={generation}")
+        base = {n.split("=")[1]: generation for n in written if n.startswith(f"{BUCKET}=")}
+
+        def swap(now: TableState | None) -> TableState:
+            if now != state:
+                raise CommitConflict(f"{self._path} was changed while its buckets were")
+            return replace(wanted, base=base)
+
+        self._commit(swap)
+        return count
+
     def expire(self, keep: int = 10) -> int:
         """Drop old committed states and the folders no remaining one uses.
 
@@ -301,6 +321,10 @@ class KeyedTable:
 
     # Inner workings
 
+    def _base_bytes(self, state: TableState) -> int:
+        folders = [f"{self._path}/base/{GENERATION}={g}/{BUCKET}={b}" for b, g in state.base.items()]
+        return sum(map(self._storage.bytes_under, folders))
+
     def _pending_bytes(self, state: TableState) -> int:
         folders = [f"{self._path}/changes/{folder}" for folder in state.pending.values()]
         return sum(map(self._storage.bytes_under, folders))
@@ -416,7 +440,7 @@ def _bucket_count(size: int) -> int:
     if size >= _UNKNOWN_BYTES:
         return 16
     wanted = math.ceil(size / _BUCKET_BYTES)
-    return min(max(8, 1 << (wanted - 1).bit_length()), _MOST_BUCKETS)
+    return max(8, 1 << (wanted - 1).bit_length())
 
 
 def _with_bucket(df: DataFrame, state: TableState) -> DataFrame:

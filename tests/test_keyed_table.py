@@ -212,6 +212,18 @@ def test_expire_keeps_what_is_in_use(spark, table):
     assert table.expire(keep=1) == 0
 
 
+def test_buckets_can_change(spark, table):
+    put(table, rows(spark, *[(i, "a", 0, "I") for i in range(200)]), "b0")
+    put(table, rows(spark, (1, "b", 1, "U"), (2, "b", 1, "D"), (900, "b", 1, "I")), "b1")
+    before = state(table)
+    assert table.rebucket(64) == 64 and table.state().buckets == 64 and table.pending_batches() == 0
+    assert state(table) == before
+    put(table, rows(spark, (2, "late", 0, "U"), (3, "c", 2, "U")), "b2")
+    table.compact()
+    assert state(table) == {**before, 3: "c"}
+    assert table.rebucket() == 8 and state(table) == {**before, 3: "c"}
+
+
 def test_register_gives_the_table_a_name(spark, table):
     put(table, rows(spark, (1, "a", 0, "I")), "b0")
     table.register("my_users")
@@ -239,7 +251,7 @@ def test_aligned_buckets_need_one_shuffle_and_one_file_each(spark, tmp_path):
 
 @pytest.mark.parametrize(
     "size, buckets",
-    [(0, 8), (2**30, 8), (3 * 2**30, 16), (10**12, 4096), (10**14, 16384), (2**63 - 1, 16)],
+    [(0, 8), (2**30, 8), (3 * 2**30, 16), (10**12, 4096), (10**14, 2**19), (2**63 - 1, 16)],
 )
 def test_buckets_follow_the_size(size, buckets):
     assert keyed_table._bucket_count(size) == buckets
