@@ -28,6 +28,7 @@ logger = logging.getLogger(__name__)
 
 RULE = "_rule"
 RAW = "_reject_raw"
+_GIVEN = "_given_"
 
 # Rule names and reject metadata columns.
 TYPE_CAST = "type_cast"
@@ -93,12 +94,17 @@ def tag_rules(
         hidden[RAW] = F.to_json(F.struct(*[ref(c) for c in df.columns]))
     bad_value, bad_time = "_bad_value", "_bad_time"
     if options.casts == "strict":
-        lost = {n: ref(n).isNotNull() & casts[n].isNull() for n in declared}
-        times = {n for n in declared if isinstance(resolve_type(target.schema[n].type), T.TimestampType)}
-        hidden[bad_value] = _any([cond for n, cond in lost.items() if n not in times])
-        hidden[bad_time] = _any([cond for n, cond in lost.items() if n in times])
+        hidden |= {_GIVEN + n: ref(n) for n in declared}
 
     cast = _select_cast(df, casts, hidden)
+    if options.casts == "strict":  # in a projection of its own, so that no cast is made twice
+        lost = {n: ref(_GIVEN + n).isNotNull() & ref(n).isNull() for n in declared}
+        times = {n for n in declared if isinstance(resolve_type(target.schema[n].type), T.TimestampType)}
+        found = {
+            bad_value: _any([cond for n, cond in lost.items() if n not in times]),
+            bad_time: _any([cond for n, cond in lost.items() if n in times]),
+        }
+        cast = cast.withColumns(found).drop(*(_GIVEN + n for n in declared))
     is_delete = _is_delete(cast, source) if not options.validate_deletes else F.lit(False)
     required = [n for n in declared if not target.schema[n].nullable]
     key_required = [n for n in required if n in target.primary_key]

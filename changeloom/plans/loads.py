@@ -24,7 +24,7 @@ from changeloom.operators.quality import (
 from changeloom.plans.lake import Lake, LoadOptions
 from changeloom.plans.specs import SourceSpec
 from changeloom.sinks.audit import write_audit
-from changeloom.sinks.rejects import write_rejects
+from changeloom.sinks.rejects import clear_rejects, write_rejects
 from changeloom.sources.files import scan_batch
 
 logger = logging.getLogger(__name__)
@@ -73,6 +73,8 @@ def load_rows(
         if counts.rejected:
             rejects = rejected_rows(tagged, target, started)
             write_rejects(rejects, lake.rejects_path(target), batch_key, compression=target.compression)
+        else:
+            clear_rejects(spark, lake.rejects_path(target), batch_key)
         if counts.written:
             rows = valid_rows(tagged)
             prepared = prepare_for_target(rows, target, source)
@@ -182,6 +184,6 @@ def record_run(
         write_audit(run_log_row(spark, result, source.target, options.job_name), lake.run_log_path, run_key)
         write_audit(quality_metric_rows(spark, result, source.target), lake.metrics_path, run_key)
     except Exception as failure:
-        if options.strict_audit:
+        if options.strict_audit and result.status != "failed":  # never hides the error of the run
             raise
         logger.warning("run of %s was not recorded: %s", source.source, failure)

@@ -18,6 +18,13 @@ def write_rejects(
     writer.parquet(f"{location.rstrip('/')}/batch_id={batch_key}")
 
 
+def clear_rejects(spark: SparkSession, location: str, batch_key: str) -> None:
+    """A batch that has no rejects any more, after a change of rules say, keeps none of its old ones."""
+    storage, folder = Storage(spark), f"{location.rstrip('/')}/batch_id={batch_key}"
+    if storage.exists(folder):
+        storage.remove(folder)
+
+
 def read_rejects(
     spark: SparkSession, location: str, schema: T.StructType | None = None
 ) -> DataFrame:

@@ -250,3 +250,15 @@ def test_strict_load_keeps_the_raw_input(spark, lake):
     result = load_table(spark, source, lake, dataframe=df, options=options)
     assert (result.records_written, result.records_rejected) == (1, 1)
     assert "five" in read_rejects(spark, lake.rejects_path(source.target)).first()._reject_raw
+
+
+def test_a_replay_without_rejects_clears_the_old_ones(spark, lake):
+    from changeloom.plans.loads import load_rows
+
+    source = meters_spec()
+    bad, good = meters(spark, (1, "AA", "no_such", TIME)), meters(spark, (1, "AA", "active", TIME))
+    location = lake.rejects_path(source.target)
+    load_rows(spark, bad, source, lake, "same", started=NOW, options=SMALL)
+    assert read_rejects(spark, location).count() == 1
+    load_rows(spark, good, source, lake, "same", started=NOW, options=SMALL)
+    assert read_rejects(spark, location).isEmpty()
