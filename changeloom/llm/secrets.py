@@ -47,8 +47,17 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+# From BEGIN to END, whatever is between; without END over header lines and all base64 that follows. Lines may
+# be quoted, indented, joined by blanks or by written-out line ends.
+_GAP = r"""(?:\\[rn]|[\s"',>#*|;])+"""
+_BASE64 = r"""(?:[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9+/]+={0,2}(?=[\x20\t"',]*(?:[\r\n]|\\[rn]|\Z)))"""
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:"
+    r"(?:[^-]|-(?!----(?:BEGIN|END) ))*-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    rf"|(?:{_GAP}[A-Z][A-Za-z-]{{1,40}}:[^\r\n\\]*)*(?:{_GAP}{_BASE64})+)?"
+)
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", PRIVATE_KEY),
     Rule("signed_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("code_host", r"gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{16,}"),
