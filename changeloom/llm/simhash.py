@@ -8,6 +8,10 @@ tiles have members. Components are then joined over the forests by alternating s
 round written to the shared folder. Nothing but the 65 sizes of the population counts reaches the
 driver.
 
+The pipeline's stage asks for more: five-word shingle sets whose Jaccard similarity is 0.8 or more. Its
+fingerprints have 128 bits, its tiles are dealt by the size of the set, which bounds the similarity, and
+every candidate link is verified on the sets themselves before components are formed.
+
 Defined results: a null, empty or wordless text has fingerprint zero and is linked like any other; a
 row without an id gets the component of its fingerprint and founds none (null if no row with an id
 holds it); repeated rows are in one component; an empty table gives an empty table; other columns are
@@ -189,12 +193,168 @@ def near_duplicates(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
     return rows.join(known, "fp", "left")
 
 
-def without_near_duplicates(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
-    """The rows, with all their columns, that are the first of their component.
+# ---- the pipeline's stage: links are verified ---------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Similar:
+    words: int = 5  # of a shingle
+    similarity: float = 0.8  # Jaccard, of shingle sets
+    radius: int = 34  # of 128 bits
+    half: int = 22  # of the first 64 of them
+    tile: int = 16_384  # classes
+    links: int = 4  # that a class asks for in a tile pair, in the first round
+
+
+def shingle_set(text: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles as sorted 64-bit hashes, and a fingerprint of 128 bits as two numbers."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64), np.zeros(2, np.uint64)
+    line = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    finish = ends[width - 1 :] - 1 if len(words) >= width else ends[-1:] - 1
+    start = np.concatenate([[0], ends])[: len(finish)]
+    digest = xxhash.xxh3_128_digest
+    hashes = b"".join([digest(line[a:b], SEED) for a, b in zip(start.tolist(), finish.tolist(), strict=True)])
+    held, first = np.unique(np.frombuffer(hashes, np.uint64)[::2], return_index=True)
+    table = np.frombuffer(hashes, np.uint8).reshape(-1, 16)[first]
+    ones = np.concatenate([np.bincount(table[:, i], minlength=256) @ BYTE_BITS for i in range(16)])
+    return held, np.packbits(2 * ones > len(table)).view(np.uint64)
+
+
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, key (one for each different set), size, both halves of the fingerprint and the set."""
+    names = ["doc_id", "key", "size", "fp", "fp2", "held"]
+
+    def run(batches):
+        for batch in bounded(batches):
+            found = [shingle_set(text, width) for text in raw(batch.column("text"))]
+            keys = np.array([xxhash.xxh3_64_intdigest(held.tobytes()) for held, _ in found], np.uint64).view(np.int64)
+            sizes = np.array([len(held) for held, _ in found], np.int64)
+            prints = np.array([fp for _, fp in found], np.uint64).reshape(-1, 2).view(np.int64)
+            flat = np.concatenate([np.zeros(0, np.uint64), *(held for held, _ in found)]).view(np.int64)
+            held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat))
+            columns = [batch.column("doc_id"), *map(pa.array, (keys, sizes, prints[:, 0].copy(), prints[:, 1].copy())), held]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return narrow(docs).mapInArrow(run, "doc_id long, key long, size long, fp long, fp2 long, held array<long>")
+
 
-    Of rows with the same id one stays; a row without an id founds no group and stays.
+def _size_tiles(classes: DataFrame, how: Similar) -> tuple[DataFrame, dict[int, int]]:
+    """Classes by size band and chunk, packed. Sets as alike as asked for are in one band or in two next to each other."""
+    banded = classes.withColumn("band", F.floor(F.log(F.greatest("size", F.lit(1))) / -np.log(how.similarity)).cast("int"))
+    chunks = {r.band: -(-r.n // how.tile) for r in banded.groupBy("band").agg(F.count("*").alias("n")).collect()}
+    number = F.element_at(F.create_map(*(F.lit(x) for pair in chunks.items() for x in pair)), F.col("band")) if chunks else F.lit(1)
+    columns = ["key", "size", "fp", "fp2", "root"]
+
+    def packed(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("key").to_numpy())
+        return pa.table({
+            "band": pa.array([table.column("band")[0].as_py()], pa.int32()),
+            "chunk": pa.array([table.column("chunk")[0].as_py()], pa.int32()),
+            "data": pa.array([np.stack([table.column(c).to_numpy()[order] for c in columns]).tobytes()], pa.binary()),
+        })
+
+    dealt = banded.withColumn("chunk", F.pmod(F.xxhash64("key"), number).cast("int"))
+    return dealt.groupBy("band", "chunk").applyInArrow(packed, "band int, chunk int, data binary"), chunks
+
+
+def _size_tile_pairs(packed: DataFrame, chunks: dict[int, int]) -> DataFrame:
+    partners = F.array(*(F.struct(F.lit(b).alias("band"), F.lit(n).alias("n")) for b, n in sorted(chunks.items())))
+    near = F.filter(partners, lambda p: p["band"].between(F.col("band"), F.col("band") + 1))
+    left = (
+        packed.select("*", F.explode(near).alias("other"))
+        .select("band", "chunk", "data", F.col("other.band").alias("band_b"),
+                F.explode(F.sequence(F.lit(0), F.col("other.n") - 1)).alias("chunk_b"))
+        .where("band_b > band OR chunk_b >= chunk")
+    )
+    right = packed.select(F.col("band").alias("band_b"), F.col("chunk").alias("chunk_b"), F.col("data").alias("data_b"))
+    same = (F.col("band") == F.col("band_b")) & (F.col("chunk") == F.col("chunk_b"))
+    return left.join(right, ["band_b", "chunk_b"]).select(same.alias("same"), "data", "data_b")
+
+
+def candidates(a: np.ndarray, b: np.ndarray, same: bool, how: Similar, most: int, rows: int = 64):
+    """Places (i, j) in two tiles that may be alike and are not joined yet, in parts, at most ``most`` for each i.
+
+    The third array is true where an i has more of them. Which ones are taken is turned from i to i, so
+    that the links of a large group are spread over its members.
+    """
+    (_, size, fp, fp2, root), (_, size_b, fp_b, fp2_b, root_b) = a, b
+    fp, fp2, fp_b, fp2_b = (x.view(np.uint64) for x in (fp, fp2, fp_b, fp2_b))
+    for start in range(0, len(fp), rows):
+        first = start if same else 0
+        far = np.bitwise_count(fp[start : start + rows, None] ^ fp_b[None, first:])
+        i, j = np.nonzero(far <= how.half)
+        near = far[i, j]
+        i, j = i + start, j + first
+        ok = near + np.bitwise_count(fp2[i] ^ fp2_b[j]) <= how.radius
+        if same:
+            ok &= i < j
+        i, j = i[ok], j[ok]
+        ok = (np.minimum(size[i], size_b[j]) >= how.similarity * np.maximum(size[i], size_b[j]) - 1e-9) & (root[i] != root_b[j])
+        i, j = i[ok], j[ok]
+        if len(i):
+            begin = np.flatnonzero(np.diff(i, prepend=-1))
+            count = np.diff(begin, append=len(i))
+            n, place = np.repeat(count, count), np.arange(len(i)) - np.repeat(begin, count)
+            take = (place if same else (place - i * 40_503) % n) < most
+            yield i[take], j[take], (n > most)[take]
+
+
+def similar_links(classes: DataFrame, docs: DataFrame, how: Similar) -> DataFrame:
+    """node, root over keys of classes: components of the links whose Jaccard similarity is as asked for.
+
+    Sets are larger than texts, so only those of candidates are kept, read again from the class's document.
+
+    A round asks for a few candidates of each class in each tile pair and verifies them. As long as some
+    class had more, the next round asks for sixteen times as many among those not joined yet; so a group
+    of near copies is joined by a few links each, and no candidate is left out.
+    """
+    joined, most = classes.select(F.col("key").alias("node"), F.col("key").alias("root")).where("false"), how.links
+    while True:
+        placed = classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        packed, chunks = _size_tiles(placed, how)
+        if not chunks:
+            return joined
+
+        def run(batches, most=most):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    a, b = (np.frombuffer(row[k], np.int64).reshape(5, -1) for k in ("data", "data_b"))
+                    for i, j, more in candidates(a, b, row["same"], how, most):
+                        yield pa.RecordBatch.from_arrays([pa.array(a[0][i]), pa.array(b[0][j]), pa.array(more)], ["a", "b", "more"])
+
+        pairs = _size_tile_pairs(staged(packed, "size-tiles"), chunks)
+        asked = staged(pairs.mapInArrow(run, "a long, b long, more boolean"), "candidates")
+        wanted = asked.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        owners = classes.join(wanted, "key").select("doc_id").distinct()
+        used = shingle_sets(narrow(docs).join(owners, "doc_id", "left_semi"), how.words).select("key", "held")
+        used = staged(used.dropDuplicates(["key"]), "candidate-sets")
+        both = asked.join(used.select(F.col("key").alias("a"), F.col("held").alias("held_a")), "a").join(
+            used.select(F.col("key").alias("b"), F.col("held").alias("held_b")), "b"
+        )
+        shared = both.withColumn("shared", F.size(F.array_intersect("held_a", "held_b")))
+        alike = F.col("shared") >= how.similarity * (F.size("held_a") + F.size("held_b") - F.col("shared")) - 1e-9
+        links = shared.where(alike).select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
+        joined = components(joined.unionByName(links))
+        if not asked.where("more").limit(1).count():
+            return joined
+        most *= 16
+
+
+def without_near_duplicates(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
+    """The rows, with all their columns, that are the first of their component of verified links.
+
+    Texts without words are one group. Of rows with the same id one stays; a row without an id founds no
+    group and stays.
     """
-    first = near_duplicates(docs, how).where("doc_id = component_id").select("doc_id").distinct()
+    rows = staged(shingle_sets(docs.where("doc_id IS NOT NULL"), how.words).drop("held"), "shingle-sets")
+    classes = rows.groupBy("key").agg(F.min(F.struct("doc_id", "size", "fp", "fp2")).alias("c")).select("key", "c.*")
+    classes = staged(classes, "set-classes")
+    found = similar_links(classes, docs, how)
+    known = classes.join(found.withColumnRenamed("node", "key"), "key", "left")
+    first = known.groupBy(F.coalesce("root", "key")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 

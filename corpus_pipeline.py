@@ -34,7 +34,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of texts that are alike by 0.8 or more the document with the smallest id stays."""
     importable(spark)
     return without_near_duplicates(docs)
 

@@ -84,6 +84,40 @@ def test_stages_keep_other_columns(spark):
         assert {r["kept"] for r in out.collect()} <= {"x"}
 
 
+def edited(text, draw, n):
+    words = text.split()
+    for i in draw.sample(range(len(words)), n):
+        words[i] = "changed"
+    return " ".join(words)
+
+
+def brute_kept(texts, least=0.8):
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in ((i, t.lower().split()) for i, t in texts.items())}
+    root = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for i in sets:
+            to = min(root[j] for j in sets if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]) - 1e-9)
+            changed |= to < root[i]
+            root[i] = min(root[i], to)
+    return {i for i in sets if root[i] == i}
+
+
+def test_edited_copies_go_and_less_alike_texts_stay(spark, monkeypatch):
+    draw = random.Random(3)
+    texts = {i: prose(draw, 300) for i in range(12)}
+    texts |= {100 + i: edited(texts[i], draw, 4) for i in range(6)}  # about 0.88 alike
+    texts |= {200 + i: edited(texts[i], draw, 12) for i in range(6, 9)}  # about 0.67 alike
+    texts |= {300 + i: edited(texts[9], draw, 1) for i in range(70)}  # a large group
+    wanted = brute_kept(texts)
+    assert wanted == {*range(12), 206, 207, 208}
+    docs = documents(spark, [(i, t, "en", "a", len(t)) for i, t in texts.items()])
+    for how in (simhash.Similar(), simhash.Similar(tile=16, links=1)):
+        assert {r.doc_id for r in simhash.without_near_duplicates(docs, how).collect()} == wanted
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, "").collect()} == wanted
+
+
 def test_no_byte_of_a_private_key_is_left(spark):
     draw = random.Random(8)
     body = ["".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=64)) for _ in range(20)] + ["Qm9keQ=="]
