@@ -6,9 +6,8 @@ subwords of its words on the way, and sends each block the corpus counts of the
 The vocabulary is never in one place.
 
 The attention model is trained by averaging. Each round, every task makes one pass over its own windows,
-starting from the common weights, and the weighted mean of the results is the next start. Windows come
-from every training document, one for each ``bytes_per_window`` bytes, so training grows with the corpus
-like the counts do. Only sums as long as the weights or the subword vocabulary reach the driver.
+starting from the common weights, and the weighted mean of the results is the next start. Windows are
+consecutive and cover every training text from its first token to its end. Only sums as long as the weights or the subword vocabulary reach the driver.
 
 A text is then scored in overlapping windows: each is attended to with a causal mask, and only its
 last ``stride`` places are scored, so that every token is scored once and, but for the first of a text,
@@ -43,7 +42,7 @@ from changeloom.llm.attention import Classes, Shape
 from changeloom.llm.common import bounded, documents, narrow, raw, remainder, staged
 from changeloom.llm.packing import WordCodes
 
-WORD = 12  # bytes of text read for each token of a window
+PART = 100_000  # words of a text that are cut into windows at once
 END = b"\n"  # no word holds a line break, so it can stand for the end among words
 
 
@@ -54,7 +53,6 @@ class Scoring:
     end_id: int = 49_407
     block_bytes: int = 8 << 20
     bucket_bytes: int = 4 << 20  # of text for each bucket of words
-    bytes_per_window: int = 3072
     rounds: int = 2
     rate: float = 0.01
     train_batch: int = 32
@@ -175,32 +173,28 @@ def subword_counts(replies: DataFrame, how: Scoring) -> np.ndarray:
 
 
 def training_windows(docs: DataFrame, tokenizer: str, classes: Classes, how: Scoring) -> DataFrame:
-    """One row per window: the class before it and its classes, from every training document."""
+    """One row per window: the class before it and its classes. Every token of every training text is in one window."""
     longest = how.shape.window
 
-    def windows(doc_id: int | None, text: bytes) -> Iterator[tuple[int, np.ndarray]]:
-        parts = max(1, len(text) // how.bytes_per_window)
-        for part in range(parts):
-            low, high = part * len(text) // parts, (part + 1) * len(text) // parts
-            begin = low + xxhash.xxh32_intdigest(f"{doc_id}:{part}") % max(1, high - low - WORD * longest) if parts > 1 else 0
-            end = begin + WORD * longest
-            words = text[begin:end].lower().split()
-            # what was cut through is left out, and the word before the window gives the class before it
-            words = words[1 if begin else 0 : None if end >= len(text) else -1]
-            ids, at = subword_ids(tokenizer, words)
-            if end >= len(text):
-                ids = np.append(ids, how.end_id)
-            held = classes.of[ids]
-            cut = int(at[1]) if begin and words else 0
-            if cut < len(held):
-                yield int(held[cut - 1]) if cut else attention.START, held[cut : cut + longest]
+    def windows(text: bytes) -> Iterator[tuple[int, np.ndarray]]:
+        words, before, left = text.lower().split(), attention.START, np.zeros(0, np.int64)
+        for a in range(0, len(words) + 1, PART):
+            held = np.append(left, classes.of[subword_ids(tokenizer, words[a : a + PART])[0]])
+            last = a + PART > len(words)
+            if last:
+                held = np.append(held, classes.of[how.end_id])
+            whole = len(held) if last else len(held) - len(held) % longest
+            for k in range(0, whole, longest):
+                yield before, held[k : min(k + longest, whole)]
+                before = int(held[min(k + longest, whole) - 1])
+            left = held[whole:]
 
     def run(batches):
         for batch in bounded(batches):
             rows = [
                 (before, held.astype(np.uint8).tobytes())
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), raw(batch.column("text")), strict=True)
-                for before, held in windows(doc_id, text)
+                for text in raw(batch.column("text"))
+                for before, held in windows(text)
             ]
             yield _record(rows, ["before", "classes"], [pa.int32(), pa.binary()])
 

@@ -300,6 +300,22 @@ def test_scores(spark, shape):
         assert r.base_score == pytest.approx(base) and r.score <= 0
 
 
+def test_training_windows_cover_every_token(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "PART", 50)
+    how = scoring.Scoring()
+    classes = attention.Classes(np.arange(how.subwords), how.shape)
+    docs = documents(spark).where("doc_id in (1, 2, 6, 8)").withColumn("learn", F.lit(True)).coalesce(1)
+    rows = scoring.training_windows(docs, WORDS, classes, how).collect()
+    wanted = []
+    for _, text, *_ in (row for row in ROWS if row[0] in (1, 2, 6, 8)):
+        ids, _ = scoring.subword_ids(WORDS, (text or "").encode().lower().split())
+        own = classes.of[np.append(ids, how.end_id)].tolist()
+        before = [attention.START, *own]
+        wanted += [(before[k], own[k : k + how.shape.window]) for k in range(0, len(own), how.shape.window)]
+    got = [(r.before, list(r.classes)) for r in rows]
+    assert sorted(got) == sorted(wanted) and sum(len(c) for _, c in got) > 30_000
+
+
 def test_nothing_to_learn_from(spark):
     docs = documents(spark, [(1, "a b", "en", "a", 0)])
     row = scoring.score(docs, F.lit(True), WORDS).first()
