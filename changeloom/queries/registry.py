@@ -148,7 +148,7 @@ def dq_type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_date": F.col("o_orderdate").cast("string"), "c_geometry": price,
     }
     declared = {name: name.removeprefix("c_") for name in texts} | {"c_decimal": "decimal(10,2)", "c_char": "CHAR(1)"}
-    target = LoadPlan.from_dicts({"target": {"schema": {"o_orderkey": "bigint", **declared}}}).target
+    target = LoadPlan.from_dicts({"target": {"schema": {"o_orderkey": "bigint", **declared}}}).sources[0].target
     raw = table(spark, sf_dir, "orders").select("o_orderkey", *[e.alias(n) for n, e in texts.items()])
     shown = {n: F.col(n).cast("string") for n in ("c_decimal", "c_boolean", "c_bool", "c_date")}
     return cast_to_schema(raw, target).withColumns(shown)
@@ -281,7 +281,7 @@ def merge_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = LoadPlan.from_dicts(
         {"target": {"partition_keys": [{"name": "event_date", "source_column": "o_orderdate"}]}}
-    ).target
+    ).sources[0].target
     dated = with_partition_columns(table(spark, sf_dir, "orders"), target)
     counted = dated.groupBy("event_date").agg(F.count(F.lit(1)).alias("n_rows"))
     return shown(counted, "event_date")
