@@ -9,7 +9,8 @@ What is left of a block goes into the next one. The end of a task's stream is cu
 which need no padding, if that costs less than padding it.
 
 Words between ASCII white space are tokenised apart, for white space is dropped anyway, and each
-distinct word once while it is remembered; memory is bounded by the remembered words, one block of
+distinct word once while it is remembered; a text that spells a special token is looked up as it is
+written, for only the exact spelling is one. Memory is bounded by the remembered words, one block of
 tokens and the longest document.
 
 Defined results: a null or empty text is a document of the end id alone; repeated rows are packed
@@ -24,7 +25,7 @@ from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,11 @@ from tokenizers import Tokenizer
 from changeloom.llm.common import bounded, documents, narrow, raw
 
 SENTENCE_ENDS = (b".", b"!", b"?", b".'", b'."', b"!\"", b"?\"")
-
-
-MARKS = tuple(b".,;:!?"[i : i + 1] for i in range(6))
+#: a letter before one of these marks is parted from it, as the tokeniser does
+IS_MARK = np.isin(np.arange(256), list(b".,;:!?"))
+IS_LETTER = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz"))
+WORD_END = "</w>"  # of the last token of a word, in the tokeniser's own spelling
+TOGETHER = 500  # words of nothing but letters that are tokenised as one text
 
 
 @dataclass(frozen=True)
@@ -48,7 +51,7 @@ class Packing:
     sentence_penalty: int = 4
     hard_penalty: int = 16
     stride: int = 16  # between cuts inside a sentence longer than four strides
-    most_words: int = 300_000  # distinct spellings remembered, and twice as many words
+    most_words: int = 1_000_000  # distinct words remembered
 
 
 class _Numbered(dict):
@@ -60,58 +63,96 @@ class _Numbered(dict):
 
 
 class WordCodes:
-    """Token ids of texts, by way of a table of the words seen so far."""
+    """Token ids of texts, by way of a table of the words seen so far.
+
+    The tokeniser lower-cases A-Z anyway and parts a letter from a mark behind it, so words are lower-cased
+    and parted before they are looked up: a word is tokenised once in all its spellings.
+    """
 
     def __init__(self, path: str, most_words: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for every core
         self.tokenizer, self.most = Tokenizer.from_file(path), most_words
-        self.stems: dict[bytes, tuple[int, ...]] = {}
-        self.reset()
-
-    def reset(self) -> None:
-        self.known = _Numbered()
-        if len(self.stems) > 2 * self.most:  # dear to make, so kept for longer
-            self.stems = {}
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends_word[number] = token.endswith(WORD_END)
+        self.known, self.seen = _Numbered(), np.zeros(0, np.int32)
         self.flat, self.starts = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
         self.ends_sentence = np.zeros(0, bool)
 
-    def _coded(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of words. A word and the same with a mark behind it or a capital are tokenised once.
-
-        The tokeniser lower-cases anyway, and takes marks after a letter for a piece of their own.
-        """
-        parts = []
-        for word in map(bytes.lower, words):
-            if word[-1:] in MARKS and word[-2:-1].isalpha():
-                parts.append((word[:-1], word[-1:]))
-            else:
-                parts.append((word,))
-        if new := list(dict.fromkeys(p for own in parts for p in own if p not in self.stems)):
-            coded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-            self.stems.update(zip(new, (tuple(c.ids) for c in coded), strict=True))
-        return [self.stems[own[0]] + self.stems[own[1]] if len(own) > 1 else self.stems[own[0]] for own in parts]
+    def forget(self) -> None:
+        """Keep the words seen most often, half of the most that are remembered."""
+        keep = np.sort(np.argsort(-self.seen, kind="stable")[: self.most // 2])
+        n, begins = np.diff(self.starts)[keep], self.starts[:-1][keep]
+        self.starts = np.concatenate([[0], np.cumsum(n)])
+        self.flat = self.flat[np.repeat(begins - self.starts[:-1], n) + np.arange(self.starts[-1])]
+        words = list(self.known)
+        self.known = _Numbered(zip((words[i] for i in keep.tolist()), range(len(keep))))
+        self.ends_sentence, self.seen = self.ends_sentence[keep], np.zeros(len(keep), np.int32)
+
+    def words(self, text: bytes) -> list[bytes]:
+        """What of a text is looked up, in order; white space is dropped."""
+        low = text.lower()
+        if any(t in low for t in self.special):  # only its exact spelling is a special token
+            return text.split()
+        letters = np.frombuffer(low, np.uint8)
+        at = np.flatnonzero(IS_MARK[letters[1:]] & IS_LETTER[letters[:-1]]) + 1
+        return (np.insert(letters, at, 32).tobytes() if len(at) else low).split()
+
+    def _coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one after the other, and how many each has."""
+        texts = [w.decode() for w in words]
+        plain = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        lengths = np.zeros(len(texts), np.int64)
+        own: dict[int, np.ndarray] = {}
+        joined, at = [], np.flatnonzero(plain)
+        for part in (at[i : i + TOGETHER] for i in range(0, len(at), TOGETHER)):
+            ids = self._ids([" ".join([texts[i] for i in part])])[0]
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                lengths[part] = np.diff(ends, prepend=0)
+                joined.append(ids)
+            else:  # a letter whose lower case is more than a letter
+                plain[part] = False
+        other = np.flatnonzero(~plain)
+        own = dict(zip(other.tolist(), self._ids([texts[i] for i in other]), strict=True))
+        lengths[other] = [len(ids) for ids in own.values()]
+        out = np.zeros(int(lengths.sum()), np.uint32)
+        begins = np.cumsum(lengths) - lengths
+        if joined:
+            n = lengths[plain]
+            skipped = np.repeat(begins[plain] - np.cumsum(n) + n, n)
+            out[skipped + np.arange(len(skipped))] = np.concatenate(joined)
+        for i, ids in own.items():
+            out[begins[i] : begins[i] + len(ids)] = ids
+        return out, lengths
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(c.ids, np.uint32) for c in coded]
 
     def learn(self, words: list[bytes]) -> None:
-        ids = self._coded(words)
-        new = np.fromiter(chain.from_iterable(ids), np.uint32)
+        new, lengths = self._coded(words)
         used = int(self.starts[-1])
         if used + len(new) > len(self.flat):
             grown = np.zeros(2 * (used + len(new)), np.uint32)
             grown[:used] = self.flat[:used]
             self.flat = grown
         self.flat[used : used + len(new)] = new
-        self.starts = np.concatenate([self.starts, used + np.cumsum([len(own) for own in ids])])
+        self.starts = np.concatenate([self.starts, used + np.cumsum(lengths)])
         self.ends_sentence = np.concatenate([self.ends_sentence, [w.endswith(SENTENCE_ENDS) for w in words]])
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per text its ids, and after how many of them a sentence ends."""
         if len(self.known) > self.most:
-            self.reset()
+            self.forget()
         before = len(self.known)
         number = self.known.__getitem__
-        numbered = [np.fromiter(map(number, text.split()), np.int64) for text in texts]
+        numbered = [np.fromiter(map(number, self.words(text)), np.int32) for text in texts]
         if len(self.known) > before:
             self.learn(list(islice(self.known, before, None)))
+        self.seen = np.append(self.seen, np.zeros(len(self.known) - before, np.int32))
+        self.seen += np.bincount(np.concatenate(numbered), minlength=len(self.known)).astype(np.int32)
         lengths = np.diff(self.starts)
         for at in numbered:
             n = lengths[at]
