@@ -8,9 +8,12 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from changeloom.llm.bestfit import op13_best_fit
 from changeloom.llm.hamming import OP3_SQL, op3_hamming_topk
+from changeloom.llm.hilbert import OP12_SQL, op12_curve_clusters
 from changeloom.llm.languages import op4_language_mixture
 from changeloom.llm.packing import op7_pack
+from changeloom.llm.partcodes import OP11_SQL, op11_part_codes
 from changeloom.llm.quality import op2_quality_divergence
 from changeloom.llm.repeats import op9_repeats
 from changeloom.llm.scoring import op8_attention_scores
@@ -50,7 +53,14 @@ OPERATORS = (
     op8_attention_scores,
     op9_repeats,
     op10_shard,
+    op11_part_codes,
+    op12_curve_clusters,
+    op13_best_fit,
 )
 QUERIES = {query.__name__: _ready(query) for query in OPERATORS}
 
-ORACLE: dict[str, str] = {"op3_hamming_topk": OP3_SQL}
+ORACLE: dict[str, str] = {
+    "op3_hamming_topk": OP3_SQL,
+    "op11_part_codes": OP11_SQL,
+    "op12_curve_clusters": OP12_SQL,
+}
