@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,3 +102,19 @@ def prepare_for_target(
     """Merge key, then partition columns, then CDC names: the shape a target table stores."""
     keyed = with_merge_key(df, target)
     return rename_cdc_columns(with_partition_columns(keyed, target, source), source)
+
+
+def key_text(shape: Sequence[T.StructField], keys: Sequence[str]) -> Column:
+    """The key as one text: never NULL, equal for equal keys and for no others, in any session."""
+    types, parts = {f.name: f.dataType for f in shape}, []
+    for name in keys:
+        value = ref(name)
+        if isinstance(types[name], T.TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(types[name], T.BinaryType):
+            value = F.hex(value)
+        elif isinstance(types[name], (T.FloatType, T.DoubleType)):
+            value = value + F.lit(0).cast(types[name])  # -0.0 equals 0.0
+        text = value.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat(*parts)

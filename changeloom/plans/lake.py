@@ -12,6 +12,7 @@ from changeloom.operators.audit import JOB_NAME
 from changeloom.operators.quality import QualityOptions
 from changeloom.plans.specs import TargetSpec
 from changeloom.sinks.keyed_table import KeyedTable
+from changeloom.sinks.partitioned_table import PartitionedTable
 
 # Audit tables and their database.
 AUDIT_DATABASE = "db_raw"
@@ -25,6 +26,8 @@ class LoadOptions:
 
     sequence_column: orders changes that share a change time.
     buckets: hash buckets of a new table; None derives them from the size of the first load.
+    layout: ``keyed`` buckets a target by its key; ``partitioned`` keeps it in folders by its partition
+        columns, if it has any, and rewrites the folders that a batch touches.
     cache: keep a validated input instead of scanning it again. None decides by mode: a
         micro-batch is bounded and kept, a full load is not.
     compact_every: batches a stream leaves waiting before it merges them or folds them into the
@@ -39,6 +42,7 @@ class LoadOptions:
     sequence_column: str | None = None
     buckets: int | None = None
     cache: bool | None = None
+    layout: str = "keyed"
     compact_every: int = 50
     compact_ratio: float = 0.1
     on_error: str = "stop"
@@ -53,7 +57,11 @@ class LoadOptions:
 
 @dataclass(frozen=True)
 class Lake:
-    """Folder that holds target tables, rejects and audit tables."""
+    """Folder that holds target tables, rejects and audit tables.
+
+    In the catalog they have the names of their specs. If several lakes use one name, it means the table
+    that was written last; a handle always means its own lake.
+    """
 
     root: str
 
@@ -64,6 +72,9 @@ class Lake:
         named = target.rejected_location
         return named.rstrip("/") if named else f"{self.root}/rejected/{target.database}/{target.table}"
 
+    run_log_name = f"{AUDIT_DATABASE}.{RUN_LOG_TABLE}"
+    metrics_name = f"{AUDIT_DATABASE}.{METRICS_TABLE}"
+
     @property
     def run_log_path(self) -> str:
         return f"{self.root}/{AUDIT_DATABASE}/{RUN_LOG_TABLE}"
@@ -72,5 +83,10 @@ class Lake:
     def metrics_path(self) -> str:
         return f"{self.root}/{AUDIT_DATABASE}/{METRICS_TABLE}"
 
-    def table(self, spark: SparkSession, target: TargetSpec) -> KeyedTable:
-        return KeyedTable(spark, self.table_path(target), compression=target.compression)
+    def table(self, spark: SparkSession, target: TargetSpec, layout: str = "keyed") -> KeyedTable | PartitionedTable:
+        name = ".".join(filter(None, [target.database, target.table]))
+        if layout == "partitioned" and target.partition_keys:
+            folders = [key.name for key in target.partition_keys]
+            path = f"{self.table_path(target)}_partitioned"
+            return PartitionedTable(spark, path, folders, name=name or None, compression=target.compression)
+        return KeyedTable(spark, self.table_path(target), name=name or None, compression=target.compression)

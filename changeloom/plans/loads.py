@@ -78,7 +78,7 @@ def load_rows(
         if counts.written:
             rows = valid_rows(tagged)
             prepared = prepare_for_target(rows, target, source)
-            table = lake.table(spark, target)
+            table = lake.table(spark, target, options.layout)
             if options.count_effects and table.exists():
                 # one row per effect
                 effects = {r[EFFECT]: r["n_keys"] for r in table.effects(prepared, OPERATION).collect()}
@@ -120,7 +120,7 @@ def load_table(
             spark, df, source, lake, execution_id,
             started=started, options=options, cache=bool(options.cache),
         )
-        table = lake.table(spark, source.target)
+        table = lake.table(spark, source.target, options.layout)
         if options.compact_every and counts.written:
             table.maintain(options.compact_every, options.compact_ratio)
     except Exception as failure:
@@ -181,8 +181,10 @@ def record_run(
 ) -> None:
     """Write the run-log row and the metric rows of one run."""
     try:
-        write_audit(run_log_row(spark, result, source.target, options.job_name), lake.run_log_path, run_key)
-        write_audit(quality_metric_rows(spark, result, source.target), lake.metrics_path, run_key)
+        log = run_log_row(spark, result, source.target, options.job_name)
+        write_audit(log, lake.run_log_path, run_key, lake.run_log_name)
+        metrics = quality_metric_rows(spark, result, source.target)
+        write_audit(metrics, lake.metrics_path, run_key, lake.metrics_name)
     except Exception as failure:
         if options.strict_audit and result.status != "failed":  # never hides the error of the run
             raise

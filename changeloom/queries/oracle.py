@@ -207,6 +207,17 @@ SELECT order_id, cust_id, CAST(score AS VARCHAR) AS score, status, dms_timestamp
        CAST(order_id AS VARCHAR) AS cod_unique,
        CAST(CAST(dms_timestamp AS DATE) AS VARCHAR) AS event_date
 FROM tagged WHERE rule = 'valid'""",
+    "load_then_catalog": f"""
+WITH {_TAGGED}, totals AS (SELECT {_ORDER_COUNTS} FROM tagged)
+SELECT 'db_raw.tbl_orders' AS table_name, n_valid AS n_rows,
+       (SELECT CAST(sum(order_id) AS BIGINT) FROM tagged WHERE rule = 'valid') AS total FROM totals
+UNION ALL SELECT 'db_raw.etl_control', CAST(1 AS BIGINT), n FROM totals
+UNION ALL SELECT 'db_raw.data_quality_metrics', CAST(4 AS BIGINT), n_valid FROM totals""",
+    "target_partition_move": """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN 2 ELSE 1 END AS version,
+       CAST(CAST(date_trunc('month', o_orderdate)
+            + CASE WHEN o_orderkey % 10 = 0 THEN INTERVAL 2 MONTH ELSE INTERVAL 0 MONTH END AS DATE) AS VARCHAR) AS event_month
+FROM orders WHERE o_orderkey % 30 <> 0""",
     "run_log": f"""
 WITH {_TAGGED}, totals AS (SELECT {_ORDER_COUNTS} FROM tagged)
 SELECT 'changeloom' AS job_name, 'orders' AS source, 'success' AS status, n AS records_read,

@@ -61,6 +61,7 @@ from changeloom.queries.inputs import (
 from changeloom.sinks.audit import read_audit
 from changeloom.sinks.keyed_table import KeyedTable
 from changeloom.sinks.layout import compact_files, write_partitioned
+from changeloom.sinks.partitioned_table import PartitionedTable
 from changeloom.sinks.rejects import read_rejects, write_rejects
 from changeloom.sources import catalog, files
 from changeloom.storage import scratch_folder
@@ -655,6 +656,40 @@ def _logged_orders(spark: SparkSession, sf_dir: str, label: str):
     return lake
 
 
+@query
+def load_then_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load leaves its target and both audit tables in the catalog, under the names of the spec."""
+    lake = scratch_lake(spark, "load_then_catalog")
+    load_table(spark, ORDERS_RAW, lake, dataframe=raw_orders(spark, sf_dir))
+    sums = {
+        "db_raw.tbl_orders": F.sum("order_id"),
+        lake.run_log_name: F.sum("records_read"),
+        lake.metrics_name: F.sum(F.when(F.col("metric") == "rows_written", F.col("failure_reason").cast("long"))),
+    }
+    found = [
+        catalog.read_table(spark, name).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), total.alias("total")
+        )
+        for name, total in sums.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def target_partition_move(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in folders by month; every tenth moves two months on, every thirtieth is deleted."""
+    month = F.trunc("o_orderdate", "MM")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", month.alias("event_month"), F.lit(1).alias("version"))
+    stored = PartitionedTable(spark, scratch_folder(spark, "target_partition_move"), ["event_month"])
+    stored.apply(orders, "all", keys=["o_orderkey"], order_by=["version"])
+    key = F.col("o_orderkey")
+    changes = orders.where(key % 10 == 0).withColumns(
+        {"event_month": F.add_months("event_month", 2), "version": F.lit(2), "op": F.when(key % 30 == 0, "D").otherwise("U")}
+    )
+    stored.apply(changes, "moved", keys=["o_orderkey"], op="op", order_by=["version"])
+    return shown(stored.read(), "event_month")
+
+
 @query
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = read_audit(spark, _logged_orders(spark, sf_dir, "run_log").run_log_path, RUN_LOG)

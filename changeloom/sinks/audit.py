@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from changeloom.sources.catalog import enter_partition
 from changeloom.storage import Storage
 
+RUN_KEY = "run_key"
 
-def write_audit(rows: DataFrame, path: str, run_key: str) -> None:
-    """The rows of one run: a single small file."""
-    rows.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_key={run_key}")
+
+def write_audit(rows: DataFrame, path: str, run_key: str, name: str | None = None) -> None:
+    """The rows of one run: a single small file, and a partition of the catalog table ``name``."""
+    path = path.rstrip("/")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/{RUN_KEY}={run_key}")
+    if name:
+        enter_partition(rows.sparkSession, name, path, rows.schema, RUN_KEY, run_key)
 
 
 def read_audit(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All rows of an audit table; empty before the first run."""
     if not Storage(spark).names(path):
         return spark.createDataFrame([], schema)
-    keyed = T.StructType([*schema.fields, T.StructField("run_key", T.StringType())])
-    return spark.read.schema(keyed).parquet(path).drop("run_key")
+    keyed = T.StructType([*schema.fields, T.StructField(RUN_KEY, T.StringType())])
+    return spark.read.schema(keyed).parquet(path).drop(RUN_KEY)

@@ -1,11 +1,17 @@
-"""A keyed target table on plain Parquet.
+"""A keyed target table in the catalog, on bucketed Parquet.
 
-The table is a base (one row per key, hashed into buckets) plus change batches that were applied
-since. Applying a batch only writes that batch, so its cost follows the batch and not the table.
-Readers see base and batches merged by ``apply_changes``; ``compact`` folds the batches into the
-buckets they touch. A small JSON document names the folders that make up the current state and is
-the commit point, so a job that dies half-way leaves the table as it was. A table has one writer at a
-time: a second one is told so and never builds on a state it has not seen.
+Three catalog entries make up a table. The base holds one row per key; a version of it is a folder, and the
+entry is the pointer that moves to the next one. The changes hold the batches that were applied since, one
+partition each. A view under the table's own name merges the two and is what readers ask for. Applying a
+batch writes that batch, so its cost follows the batch and not the table; ``compact`` makes the next version.
+
+Base and changes are bucketed alike by the key as text, which is never NULL and the same for equal keys. So
+changes too many to broadcast are merged bucket by bucket, with no shuffle of either side.
+
+A version counts once its settings file is there, a batch once its mark is, and both are written last. If a
+writer dies before that, the table is as it was; if it dies after, whoever comes next continues from there,
+for putting a change on top of itself changes nothing. A session whose catalog does not know the table
+enters it again from these files. A table has one writer at a time; Spark sees to that for a stream.
 
 Deleted keys stay in storage as rows marked deleted. That is what lets a late update be told from
 a new row; readers ask for the ``hard`` view (without them) or the ``soft`` one.
@@ -15,62 +21,54 @@ from __future__ import annotations
 
 import json
 import math
-import uuid
-from collections.abc import Callable, Sequence
-from dataclasses import asdict, dataclass, field, replace
+import re
+import zlib
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeloom.functions.casts import safe_casts
-from changeloom.functions.columns import ref
+from changeloom.functions.columns import quoted, ref
+from changeloom.functions.keys import key_text
+from changeloom.functions.types import TypeDrift, check_types
 from changeloom.operators.changes import (
     EFFECT,
     IS_DELETED,
-    apply_changes,
     classify_changes,
     estimated_bytes,
     fill_from_table,
-    last_applied,
-    pick_strategy,
     reduced_changes,
-    split_by_match,
+    row_hash,
 )
-from changeloom.sinks.layout import even_files
-from changeloom.storage import PathTaken, Storage
+from changeloom.sinks.merged_view import KEY, TIE, MergedView
+from changeloom.sources.catalog import ensure_database, named
+from changeloom.storage import Storage
+
+__all__ = ["KeyedTable", "Settings", "TableMissing", "TypeDrift"]
 
-BUCKET = "_bucket"
-GENERATION = "_gen"
-APPLIED = "_applied"
+SEQUENCE, BATCH = "_seq", "_batch"
 _BUCKET_BYTES = 256 * 2**20
 _GROWN = 4  # times the wanted bytes a bucket may have before the table is dealt anew
 _UNKNOWN_BYTES = 2**60
+_SETTINGS, _MARK = "_table.json", "_done"
 
 
 class TableMissing(LookupError):
-    """The table has no committed state."""
-
-
-class CommitConflict(RuntimeError):
-    """Another writer is at work on the table, or died while it committed (see ``release``)."""
-
-
-class TypeDrift(ValueError):
-    """A batch brings a column in a type that the table's column can't hold without loss."""
+    """The table has no committed version."""
 
 
 @dataclass(frozen=True)
-class TableState:
-    """One committed state: settings, folder of every bucket, and batches not folded in yet."""
+class Settings:
+    """What a version is made with."""
 
     keys: list[str]
     order_by: list[str]
     buckets: int
     sort_by: list[str]
     schema: dict
-    base: dict[str, str] = field(default_factory=dict)
-    pending: dict[str, str] = field(default_factory=dict)
     deletes: str = "hard"  # what readers see if they do not choose
 
     @property
@@ -79,33 +77,43 @@ class TableState:
 
     @property
     def stored(self) -> T.StructType:
-        return T.StructType([*self.columns.fields, T.StructField(IS_DELETED, T.BooleanType())])
+        own = [(IS_DELETED, T.BooleanType()), (KEY, T.StringType()), (TIE, T.BinaryType())]
+        return T.StructType([*self.columns.fields, *[T.StructField(*field) for field in own]])
 
 
 class KeyedTable:
-    """Handle on the table below ``path``."""
+    """Handle on the table whose files are below ``path`` and whose view is ``name``, if it has one."""
 
-    def __init__(self, spark: SparkSession, path: str, *, compression: str = "snappy"):
-        self._spark = spark
-        self._path = path.rstrip("/")
-        self._compression = compression
+    def __init__(self, spark: SparkSession, path: str, *, name: str | None = None, compression: str = "snappy"):
+        self._spark, self._path, self._compression = spark, path.rstrip("/"), compression
         self._storage = Storage(spark)
+        self.name = name
+        # two tables may want one name, say in two lakes, but never share files
+        database, _, own = (name or "keyed").rpartition(".")
+        prefix = f"{own}_{zlib.crc32(self._path.encode()):08x}"
+        self._database = database or spark.catalog.currentDatabase()
+        self._base, self._changes, self._next = (
+            f"{quoted(self._database)}.{quoted(prefix + part)}" for part in ("_base", "_changes", "_next")
+        )
 
     @property
     def path(self) -> str:
         return self._path
 
     def exists(self) -> bool:
-        return self._latest()[1] is not None
+        return bool(self._versions())
 
-    def state(self) -> TableState:
-        found = self._latest()[1]
-        if found is None:
+    def settings(self) -> Settings:
+        versions = self._versions()
+        if not versions:
             raise TableMissing(self._path)
-        return found
+        return Settings(**json.loads(self._storage.read_text(f"{self._folder(versions[-1])}/{_SETTINGS}")))
+
+    def version(self) -> int:
+        return self._versions()[-1]
 
     def pending_batches(self) -> int:
-        return len(self.state().pending)
+        return len(self._batches())
 
     # Writing
 
@@ -126,167 +134,104 @@ class KeyedTable:
         Without a number of buckets it is derived from the estimated size of the first batch.
         A batch that comes again under the same key replaces itself.
         """
+        op = op if op in changes.columns else None
         if self.exists():
-            self._append(changes, batch_key, op)
-        else:
-            self._bootstrap(changes, list(keys), op, list(order_by), buckets, list(sort_by), deletes)
-
-    def _bootstrap(
-        self, changes: DataFrame, keys: list[str], op: str | None, order_by: list[str],
-        buckets: int | None, sort_by: list[str], deletes: str,
-    ) -> None:
+            # as it can stand in a folder's name
+            return self._append(changes, re.sub(r"[^A-Za-z0-9._-]", lambda m: f"~{ord(m[0]):x}", batch_key), op)
         buckets = buckets or _bucket_count(estimated_bytes(changes))
-        op = op if op in changes.columns else None
         changes = _with_order_columns(changes, order_by)
-        state = TableState(
-            keys=keys, order_by=order_by, buckets=buckets,
-            sort_by=[name for name in sort_by if name in changes.columns and name not in keys],
-            schema=_nullable(changes.schema).jsonValue(),
-            deletes=deletes,
-        )
-        rows = apply_changes(changes.where(F.lit(False)), changes, keys, op, order_by, "soft", strategy="join")
-        generation = self._write_base(self._place(rows, state), state)
-        written = self._storage.names(f"{self._path}/base/{GENERATION}={generation}")
-        base = {n.split("=")[1]: generation for n in written if n.startswith(f"{BUCKET}=")}
+        sort_by = [name for name in sort_by if name in changes.columns and name not in keys]
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in changes.schema.fields])
+        settings = Settings([*keys], [*order_by], buckets, sort_by, schema.jsonValue(), deletes)
+        rows = self._by_bucket(self._reduced(changes, op, settings), buckets, reduced=True)
+        self._write_version(rows, settings)
+
+    def _reduced(self, changes: DataFrame, op: str | None, settings: Settings) -> DataFrame:
+        """One stored row per key, the last by the total order of changes."""
+        shape = settings.columns.fields
+        casts = safe_casts(changes, {f.name: f.dataType for f in shape if f.name in settings.keys})
+        keyed = changes.withColumns(casts).withColumn(KEY, key_text(shape, settings.keys))
+        batch = reduced_changes(keyed, shape, [KEY], op, settings.order_by)
+        absent = [f.name for f in shape if f.name not in changes.columns]
+        if absent:
+            batch = fill_from_table(batch, self.read("soft"), settings.keys, absent)
+        casts = safe_casts(batch, {f.name: f.dataType for f in shape})
+        rows = batch.select(*casts.values(), ref(IS_DELETED), ref(KEY))
+        return rows.withColumn(TIE, F.unhex(row_hash(shape)))
 
-        def create(current: TableState | None) -> TableState:
-            if current is not None:
-                raise CommitConflict(f"{self._path} was created by another writer")
-            return replace(state, base=base)
+    def _append(self, changes: DataFrame, batch_key: str, op: str | None) -> None:
+        settings = self._attached()
+        changes = _with_order_columns(changes, settings.order_by)
+        check_types(changes.schema, settings.columns)
+        rows = self._by_bucket(self._reduced(changes, op, settings), settings.buckets, reduced=True)
+        self._put_batch(rows, batch_key, [b for b in self._batches() if b[1] == batch_key])
 
-        self._commit(create)
+    def compact(self) -> bool:
+        """Fold the waiting batches into a new version of the base; false if there are none.
 
-    def _append(self, changes: DataFrame, batch_key: str, op: str | None) -> None:
-        number, state = self._latest()
-        op = op if op in changes.columns else None
-        changes = _with_order_columns(changes, state.order_by)
-        _check_types(changes.schema, state.columns)
-        shape = state.columns.fields
-        batch = reduced_changes(changes, shape, state.keys, op, state.order_by)
-        absent = [f.name for f in state.columns.fields if f.name not in changes.columns]
-        if absent:
-            batch = fill_from_table(batch, self.read("soft"), state.keys, absent)
-        casts = safe_casts(batch, {f.name: f.dataType for f in state.columns.fields})
-        applied = F.lit(number + 1).cast("bigint").alias(APPLIED)
-        staged = batch.select(*casts.values(), ref(IS_DELETED), applied)
-        folder = f"{batch_key}-{uuid.uuid4().hex}"
-        self._write_changes(staged, folder)
-        self._commit(lambda now: replace(now, pending={**now.pending, batch_key: folder}))
-
-    def compact(self, strategy: str | None = None) -> list[int]:
-        """Fold pending batches into the buckets they touch; returns those buckets.
-
-        With a change set small enough to broadcast, table rows go from old to new files without
-        a shuffle. A larger one is ranked together with its buckets in one shuffle.
+        Base rows go from old to new files in the buckets they are in; only changes are dealt out.
         """
-        state = self.state()
-        if not state.pending:
-            return []
-        pending = self._pending(state)
-        # bounded by the number of buckets, whatever the size of the batches
-        touched = sorted(
-            row[0] for row in _with_bucket(pending, state).select(BUCKET).distinct().collect()
-        )
-        base = self._base(state, touched)
-        if (strategy or pick_strategy(pending, state.keys, state.order_by)) == "join":
-            kept, applied = split_by_match(
-                base, pending, state.keys, None, state.order_by, reduced=True
-            )
-            moved = even_files(_with_bucket(applied, state), [BUCKET])
-            placed = _with_bucket(kept, state).unionByName(moved)
-        else:
-            rows = apply_changes(
-                base, pending, state.keys, None, state.order_by, "soft",
-                reduced=True, strategy="shuffle",
-            )
-            placed = self._place(rows, state)
-        generation = self._write_base(placed, state)
-
-        def fold(now: TableState) -> TableState:
-            if any(now.base.get(str(b)) != state.base.get(str(b)) for b in touched):
-                raise CommitConflict(f"{self._path}: buckets were rewritten by another writer")
-            left = {k: f for k, f in now.pending.items() if state.pending.get(k) != f}
-            moved_buckets = {str(b): generation for b in touched}
-            return replace(now, base={**now.base, **moved_buckets}, pending=left)
-
-        self._commit(fold)
-        return touched
+        settings, folded = self._attached(), self._batches()
+        if not folded:
+            return False
+        view = self._view(settings)
+        applied = self._by_bucket(self._spark.sql(view.applied()), settings.buckets)
+        self._write_version(self._spark.sql(view.kept()).unionByName(applied), settings)
+        self._drop_batches(folded)
+        return True
 
     def merge_pending(self) -> None:
-        """Put all pending batches into one, without touching the base."""
-        state = self.state()
-        if len(state.pending) < 2:
-            return
-        rows = self._pending(state, keep_applied=True)
-        merged = f"merged-{uuid.uuid4().hex}"
-        self._write_changes(rows, merged)
-
-        def swap(now: TableState) -> TableState:
-            left = {k: f for k, f in now.pending.items() if state.pending.get(k) != f}
-            if len(now.pending) - len(left) != len(state.pending):
-                raise CommitConflict(f"{self._path}: batches were folded in by another writer")
-            return replace(now, pending={merged: merged, **left})
-
-        self._commit(swap)
+        """Put all waiting batches into one, without touching the base."""
+        settings, merged = self._attached(), self._batches()
+        if len(merged) > 1:
+            rows = self._by_bucket(self._spark.sql(self._view(settings).latest()), settings.buckets)
+            self._put_batch(rows, "merged", merged)
 
     def maintain(self, max_batches: int = 50, ratio: float = 0.1) -> str:
-        """Keep reads cheap: returns what was done, ``none``, ``merged`` or ``compacted``.
+        """Keep reads cheap: returns what was done, ``none``, ``merged``, ``compacted`` or ``rebucketed``.
 
         Nothing happens below ``max_batches``. Then the batches are merged, or, once they hold
         ``ratio`` of the bytes of the base, folded in. So a byte of changes causes at most about
-        ``1 / ratio`` bytes of the base to be rewritten, however small the batches are.
+        ``1 / ratio`` bytes of the base to be rewritten, however small the batches are. The version before
+        stays for readers that are at work on it.
         """
-        state = self.state()
-        if len(state.pending) < max_batches:
+        if self.pending_batches() < max_batches:
             return "none"
-        base = self._base_bytes(state)
-        if base > _GROWN * _BUCKET_BYTES * state.buckets:
+        base = self._storage.bytes_under(self._folder(self.version()))
+        if base > _GROWN * _BUCKET_BYTES * self.settings().buckets:
             self.rebucket()
-            return "rebucketed"
-        if self._pending_bytes(state) >= ratio * base:
+            done = "rebucketed"
+        elif self._storage.bytes_under(f"{self._path}/changes") >= ratio * base:
             self.compact()
-            return "compacted"
-        self.merge_pending()
-        return "merged"
+            done = "compacted"
+        else:
+            self.merge_pending()
+            return "merged"
+        self.expire(keep=2)
+        return done
 
     def rebucket(self, buckets: int | None = None) -> int:
-        """Rewrite the table, waiting batches included, in a number of buckets that fits its size.
-
-        Without a number it is derived from the bytes the table has now. Returns the number.
-        """
-        state = self.state()
-        count = buckets or _bucket_count(self._base_bytes(state) + self._pending_bytes(state))
-        wanted = replace(state, buckets=count, base={}, pending={})
-        generation = self._write_base(even_files(_with_bucket(self.read("soft"), wanted), [BUCKET]), wanted)
-        written = self._storage.names(f"{self._path}/base/{GENERATION}={generation}")
-        base = {n.split("=")[1]: generation for n in written if n.startswith(f"{BUCKET}=")}
-
-        def swap(now: TableState | None) -> TableState:
-            if now != state:
-                raise CommitConflict(f"{self._path} was changed while its buckets were")
-            return replace(wanted, base=base)
-
-        self._commit(swap)
-        return count
-
-    def expire(self, keep: int = 10) -> int:
-        """Drop old committed states and the folders no remaining one uses.
-
-        Run it when no reader or writer still works on a dropped state. Returns folders removed.
+        """Write the table, waiting batches included, in a number of buckets that fits its size."""
+        settings, folded = self._attached(), self._batches()
+        size = self._storage.bytes_under(self._folder(self.version())) + self._storage.bytes_under(f"{self._path}/changes")
+        wanted = replace(settings, buckets=buckets or _bucket_count(size))
+        rows = self._spark.sql(self._view(settings).stored())
+        self._write_version(self._by_bucket(rows, wanted.buckets), wanted)
+        self._drop_batches(folded)
+        return wanted.buckets
+
+    def expire(self, keep: int = 1) -> int:
+        """Remove all but the last versions, and batches that no longer count. Returns folders removed.
+
+        Run it when no reader still works on what it removes.
         """
-        folder = f"{self._path}/commits"
-        commits = [n for n in self._storage.names(folder) if n.endswith(".json")]
-        for name in commits[:-keep]:
-            self._storage.remove(f"{folder}/{name}")
-            self._storage.remove(f"{folder}/{name.removesuffix('.json')}.claim")
-        texts = (self._storage.read_text(f"{folder}/{name}") for name in commits[-keep:])
-        live = [TableState(**json.loads(text)) for text in texts]
-        used = {f"base/{GENERATION}={g}" for s in live for g in s.base.values()}
-        used |= {f"changes/{f}" for s in live for f in s.pending.values()}
-        found = [f"{part}/{n}" for part in ("base", "changes") for n in self._storage.names(f"{self._path}/{part}")]
-        stale = [folder for folder in found if folder not in used]
+        held = {self._batch_folder(b) for b in self._batches()}
+        stale = [self._folder(v) for v in self._versions()[:-keep]]
+        for sequence in self._storage.names(f"{self._path}/changes"):
+            found = (f"{sequence}/{n}" for n in self._storage.names(f"{self._path}/changes/{sequence}"))
+            stale += [f"{self._path}/changes/{n}" for n in found if n.split("/")[1].startswith(BATCH) and f"{self._path}/changes/{n}" not in held]
         for folder in stale:
-            self._storage.remove(f"{self._path}/{folder}")
+            self._storage.remove(folder)
         return len(stale)
 
     # Reading
@@ -296,143 +241,127 @@ class KeyedTable:
 
         Without a choice it is the one the table was made with.
         """
-        state = self.state()
-        deletes = deletes or state.deletes
-        rows = self._base(state)
-        if state.pending:
-            rows = apply_changes(
-                rows, self._pending(state), state.keys, None, state.order_by, "soft", reduced=True
-            )
-        if deletes == "soft":
-            return rows
-        return rows.where(~ref(IS_DELETED)).drop(IS_DELETED)
+        settings = self._attached()
+        return self._spark.sql(self._view(settings).current(deletes or settings.deletes))
 
     def effects(self, changes: DataFrame, op: str | None = None) -> DataFrame:
         """How many keys applying the changes would insert, update, delete or leave alone."""
-        state = self.state()
-        classified = classify_changes(
-            self.read("soft"), _with_order_columns(changes, state.order_by), state.keys, op, state.order_by
-        )
+        settings = self.settings()
+        changes = _with_order_columns(changes, settings.order_by)
+        classified = classify_changes(self.read("soft"), changes, settings.keys, op, settings.order_by)
         return classified.groupBy(EFFECT).agg(F.count(F.lit(1)).alias("n_keys"))
 
     def register(self, name: str, deletes: str | None = None) -> None:
-        """Session view of the current state, so the table can be read by name."""
+        """Session view of the table under another name."""
         self.read(deletes).createOrReplaceTempView(name)
 
     # Inner workings
 
-    def _base_bytes(self, state: TableState) -> int:
-        folders = [f"{self._path}/base/{GENERATION}={g}/{BUCKET}={b}" for b, g in state.base.items()]
-        return sum(map(self._storage.bytes_under, folders))
-
-    def _pending_bytes(self, state: TableState) -> int:
-        folders = [f"{self._path}/changes/{folder}" for folder in state.pending.values()]
-        return sum(map(self._storage.bytes_under, folders))
-
-    def _place(self, rows: DataFrame, state: TableState) -> DataFrame:
-        """Rows grouped by bucket for the write, after they were shuffled by key.
-
-        Buckets use the hash Spark shuffles by. If one of the two counts divides the other, a
-        shuffle partition holds whole buckets or part of one, and no second shuffle is needed.
-        """
-        placed = _with_bucket(rows, state)
-        conf = self._spark._jsparkSession.sessionState().conf()
-        partitions = conf.numShufflePartitions()
-        aligned = partitions % state.buckets == 0 or state.buckets % partitions == 0
-        return placed if aligned else even_files(placed, [BUCKET])
-
-    def _base(self, state: TableState, buckets: Sequence[int] | None = None) -> DataFrame:
-        """Rows of the base, or of some of its buckets, without listing any other folder."""
-        wanted = state.base
-        if buckets is not None:
-            wanted = {str(b): state.base[str(b)] for b in buckets if str(b) in state.base}
-        if not wanted:
-            return self._spark.createDataFrame([], state.stored)
-        root = f"{self._path}/base"
-        generations = set(wanted.values())
-        if len(generations) == 1 and buckets is None:
-            paths = [f"{root}/{GENERATION}={generation}" for generation in generations]
-        else:
-            paths = [f"{root}/{GENERATION}={g}/{BUCKET}={b}" for b, g in sorted(wanted.items())]
-        folders = [T.StructField(GENERATION, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
-        schema = T.StructType([*state.stored.fields, *folders])
-        rows = self._spark.read.schema(schema).option("basePath", root).parquet(*paths)
-        return rows.drop(GENERATION, BUCKET)
-
-    def _pending(self, state: TableState, *, keep_applied: bool = False) -> DataFrame:
-        """Waiting changes, one row per key by the total order of changes."""
-        paths = [f"{self._path}/changes/{folder}" for folder in state.pending.values()]
-        schema = T.StructType([*state.stored.fields, T.StructField(APPLIED, T.LongType())])
-        rows = self._spark.read.schema(schema).parquet(*paths)
-        if len(paths) > 1:
-            rows = last_applied(rows, state.columns.fields, state.keys, state.order_by, APPLIED)
-        return rows if keep_applied else rows.drop(APPLIED)
-
-    def _write_changes(self, rows: DataFrame, folder: str) -> None:
-        writer = rows.write.option("compression", self._compression)
-        writer.parquet(f"{self._path}/changes/{folder}")
-
-    def _write_base(self, placed: DataFrame, state: TableState) -> str:
-        generation = uuid.uuid4().hex
-        ordered = placed.sortWithinPartitions(*map(ref, [BUCKET, *state.sort_by, *state.keys]))
-        writer = ordered.write.partitionBy(BUCKET).option("compression", self._compression)
-        writer.parquet(f"{self._path}/base/{GENERATION}={generation}")
-        return generation
-
-    def _latest(self) -> tuple[int, TableState | None]:
-        names = [n for n in self._storage.names(f"{self._path}/commits") if n.endswith(".json")]
-        if not names:
-            return 0, None
-        text = self._storage.read_text(f"{self._path}/commits/{names[-1]}")
-        return int(names[-1].removesuffix(".json")), TableState(**json.loads(text))
-
-    def _commit(self, change: Callable[[TableState | None], TableState]) -> None:
-        """Claim the next number, then put the whole state under it."""
-        number, current = self._latest()
-        path = f"{self._path}/commits/{number + 1:020d}"
-        text = json.dumps(asdict(change(current)))
-        try:
-            self._storage.claim(f"{path}.claim")
-            self._storage.put_text(f"{path}.json", text)
-        except PathTaken as taken:
-            raise CommitConflict(f"{self._path}: commit {number + 1} belongs to another writer") from taken
-
-    def release(self) -> bool:
-        """Free a number claimed by a writer that died before it committed. No writer may be at work."""
-        number, _ = self._latest()
-        claim = f"{self._path}/commits/{number + 1:020d}.claim"
-        left = self._storage.exists(claim)
-        if left:
-            self._storage.remove(claim)
-        return left
-
-
-def _check_types(incoming: T.StructType, stored: T.StructType) -> None:
-    """Lossless widening is fine; anything else would turn values into NULL unseen."""
-    held = {field.name: field.dataType for field in stored.fields}
-    for field in incoming.fields:
-        to = held.get(field.name)
-        if to is not None and to != field.dataType and not _widens(field.dataType, to):
-            raise TypeDrift(f"{field.name}: {field.dataType.simpleString()} does not fit {to.simpleString()}")
-
-
-def _widens(kind: T.DataType, to: T.DataType) -> bool:
-    whole = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
-    if isinstance(kind, T.NullType) or type(kind) is type(to) and not isinstance(kind, T.DecimalType):
-        return isinstance(kind, T.NullType) or not isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
-    if type(kind) in whole:
-        at = whole.index(type(kind))
-        digits = (3, 5, 10, 19)[at]
-        return (
-            type(to) in whole[at:]
-            or isinstance(to, T.DecimalType) and to.precision - to.scale >= digits
-            or isinstance(to, T.DoubleType) and at < 3
-        )
-    if isinstance(kind, T.DecimalType) and isinstance(to, T.DecimalType):
-        return to.scale >= kind.scale and to.precision - to.scale >= kind.precision - kind.scale
-    return (isinstance(kind, T.FloatType) and isinstance(to, T.DoubleType)) or (
-        isinstance(kind, T.DateType) and isinstance(to, T.TimestampType)
-    )
+    def _folder(self, version: int) -> str:
+        return f"{self._path}/base/v{version:012d}"
+
+    def _versions(self) -> list[int]:
+        names = self._storage.names(f"{self._path}/base")
+        return [int(n[1:]) for n in names if self._storage.exists(f"{self._path}/base/{n}/{_SETTINGS}")]
+
+    def _batch_folder(self, batch: tuple[int, str]) -> str:
+        return f"{self._path}/changes/{SEQUENCE}={batch[0]}/{BATCH}={batch[1]}"
+
+    def _batches(self) -> list[tuple[int, str]]:
+        """Sequence number and key of the batches that count; there are never more than ``maintain`` allows."""
+        root, out = f"{self._path}/changes", []
+        for name in self._storage.names(root):
+            if name.startswith(f"{SEQUENCE}="):
+                inside = [n for n in self._storage.names(f"{root}/{name}") if n.startswith(f"{BATCH}=")]
+                out += [(int(name.split("=")[1]), n.split("=", 1)[1]) for n in inside]
+        return sorted(b for b in out if self._storage.exists(f"{self._batch_folder(b)}/{_MARK}"))
+
+    def _view(self, settings: Settings) -> MergedView:
+        return MergedView(self._base, self._changes, SEQUENCE, settings.columns.names, settings.order_by)
+
+    def _by_bucket(self, rows: DataFrame, buckets: int, *, reduced: bool = False) -> DataFrame:
+        """Rows dealt out as buckets are. The shuffle that reduced them has done so if the counts fit."""
+        partitions = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        return rows if reduced and buckets % partitions == 0 else rows.repartition(buckets, KEY)
+
+    def _write_version(self, rows: DataFrame, settings: Settings) -> None:
+        """Write the next version, then let the catalog point to it."""
+        version = max(self._versions(), default=0) + 1
+        folder = self._folder(version)
+        self._storage.remove(folder)  # of a writer that died
+        ensure_database(self._spark, self._database, self._path)
+        self._spark.sql(f"DROP TABLE IF EXISTS {self._next}")
+        (
+            rows.write.format("parquet").bucketBy(settings.buckets, KEY).sortBy(*settings.sort_by, KEY)
+            .option("path", folder).option("compression", self._compression).saveAsTable(self._next)
+        )
+        self._storage.put_text(f"{folder}/{_SETTINGS}", json.dumps(asdict(settings)))
+        self._spark.sql(f"DROP TABLE {self._next}")
+        self.publish()
+
+    def _attached(self) -> Settings:
+        """Let the catalog entries point to the last version and the batches that count."""
+        settings, folder = self.settings(), self._folder(self.version())
+        bucketed = f"CLUSTERED BY ({KEY}) INTO {settings.buckets} BUCKETS"
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in settings.stored.fields)
+        held = self._entry(self._base)
+        if held is None or held != (folder, settings.buckets):
+            if held is not None and held[1] == settings.buckets:
+                self._spark.sql(f"ALTER TABLE {self._base} SET LOCATION '{folder}'")
+            else:
+                for name in (self._base, self._changes):  # external: no file goes
+                    self._spark.sql(f"DROP TABLE IF EXISTS {name}")
+                ensure_database(self._spark, self._database, self._path)
+                self._spark.sql(f"CREATE TABLE {self._base} ({columns}) USING parquet {bucketed} LOCATION '{folder}'")
+                self._spark.sql(
+                    f"CREATE TABLE {self._changes} ({columns}, {SEQUENCE} BIGINT, {BATCH} STRING) USING parquet "
+                    f"PARTITIONED BY ({SEQUENCE}, {BATCH}) {bucketed} LOCATION '{self._path}/changes'"
+                )
+        listed = {tuple(r[0].split("/")) for r in self._spark.sql(f"SHOW PARTITIONS {self._changes}").collect()}
+        wanted = {(f"{SEQUENCE}={s}", f"{BATCH}={b}"): (s, b) for s, b in self._batches()}
+        for part in listed - set(wanted):
+            self._spark.sql(f"ALTER TABLE {self._changes} DROP IF EXISTS PARTITION {_spec(part)}")
+        for part, batch in wanted.items():
+            if part not in listed:
+                self._spark.sql(f"ALTER TABLE {self._changes} ADD PARTITION {_spec(part)} LOCATION '{self._batch_folder(batch)}'")
+        for name in (self._base, self._changes):
+            self._spark.catalog.refreshTable(name)
+        return settings
+
+    def publish(self) -> None:
+        """Let the table's own name, if it has one, mean this table."""
+        settings = self._attached()
+        if self.name:
+            text = self._view(settings).current(settings.deletes)
+            self._spark.sql(f"CREATE OR REPLACE VIEW {named(self.name)} AS {text}")
+
+    def _entry(self, name: str) -> tuple[str, int] | None:
+        """Folder and number of buckets of a table in the catalog."""
+        if not self._spark.catalog.tableExists(name):
+            return None
+        told = {r.col_name: r.data_type for r in self._spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        return self._storage.plain(told["Location"]), int(told["Num Buckets"])
+
+    def _put_batch(self, rows: DataFrame, batch_key: str, replaced: list[tuple[int, str]]) -> None:
+        number = max((b[0] for b in self._batches()), default=0) + 1
+        folder = self._batch_folder((number, batch_key))
+        self._storage.remove(folder)  # of a writer that died
+        placed = rows.withColumns({SEQUENCE: F.lit(number).cast("bigint"), BATCH: F.lit(batch_key)})
+        wanted = self._spark.table(self._changes).columns
+        placed.select(*map(ref, wanted)).write.option("compression", self._compression).insertInto(self._changes)
+        self._storage.put_text(f"{folder}/{_MARK}", "")
+        self._drop_batches(replaced)
+
+    def _drop_batches(self, batches: list[tuple[int, str]]) -> None:
+        """They count no longer; their files stay until ``expire``, for readers at work."""
+        for batch in batches:
+            self._storage.remove(f"{self._batch_folder(batch)}/{_MARK}")
+        self._attached()
+
+
+def _spec(part: tuple[str, str]) -> str:
+    number, batch = (p.split("=", 1)[1] for p in part)
+    return f"({SEQUENCE}={number}, {BATCH}='{batch}')"
 
 
 def _bucket_count(size: int) -> int:
@@ -443,17 +372,8 @@ def _bucket_count(size: int) -> int:
     return max(8, 1 << (wanted - 1).bit_length())
 
 
-def _with_bucket(df: DataFrame, state: TableState) -> DataFrame:
-    bucket = F.pmod(F.hash(*map(ref, state.keys)), F.lit(state.buckets))
-    return df.withColumn(BUCKET, bucket)
-
-
 def _with_order_columns(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Add the ordering columns a batch lacks as NULL (the oldest): a time, then sequences."""
     types = ["timestamp" if i == 0 else "bigint" for i in range(len(order_by))]
     absent = {n: F.lit(None).cast(t) for n, t in zip(order_by, types) if n not in df.columns}
     return df.withColumns(absent) if absent else df
-
-
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])

@@ -9,7 +9,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -52,18 +51,8 @@ class Storage:
         finally:
             stream.close()
 
-    def claim(self, path: str) -> None:
-        """Create an empty file; fails if it exists. Of several callers one succeeds."""
-        fs, target = self._open(path)
-        try:
-            fs.create(target, False).close()
-        except Py4JJavaError as error:
-            if fs.exists(target):
-                raise PathTaken(path) from error
-            raise
-
     def put_text(self, path: str, text: str) -> None:
-        """Write a file so that it is either absent or whole: it is filled under another name."""
+        """Write a new file so that it is either absent or whole: it is filled under another name."""
         fs, target = self._open(path)
         draft = self._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
         stream = fs.create(draft, False)
@@ -75,6 +64,10 @@ class Storage:
             fs.delete(draft, False)
             raise PathTaken(path)
 
+    def plain(self, path: str) -> str:
+        """A path as it was given: without the ``file:`` that the catalog puts before local ones."""
+        return path.removeprefix("file://").removeprefix("file:") if path.startswith("file:/") else path
+
     def remove(self, path: str) -> None:
         fs, target = self._open(path)
         fs.delete(target, True)

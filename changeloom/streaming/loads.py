@@ -65,7 +65,7 @@ def apply_micro_batch(
             started=started, options=options, cache=options.cache is not False,
         )
         if options.compact_every and counts.written:
-            table = lake.table(spark, source.target)
+            table = lake.table(spark, source.target, options.layout)
             table.maintain(options.compact_every, options.compact_ratio)
         return counts
     except Exception as failure:

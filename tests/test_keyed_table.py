@@ -2,8 +2,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from changeloom.functions.keys import key_text
 from changeloom.sinks import keyed_table
-from changeloom.sinks.keyed_table import CommitConflict, KeyedTable, TableMissing
+from changeloom.sinks.keyed_table import KeyedTable, TableMissing, TypeDrift
 from changeloom.storage import PathTaken
 
 T0 = datetime(2026, 6, 30, 10)
@@ -40,23 +41,29 @@ def test_first_batch_is_reduced_and_deletes_do_not_show(spark, table):
     assert table.read().columns == ["id", "v", "cdc_timestamp", "cdc_operation"]
 
 
-@pytest.mark.parametrize("strategy", ["join", "shuffle"])
-def test_apply_then_compact(spark, table, strategy):
+@pytest.mark.parametrize("limit", ["10m", "-1"], ids=["broadcast", "buckets"])
+def test_apply_then_compact(spark, table, limit, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        apply_then_compact(spark, table)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def apply_then_compact(spark, table):
     put(table, rows(spark, *[(i, "a", 0, "I") for i in range(20)]), "b0")
     put(table, rows(spark, (1, "b", 1, "U"), (2, "b", 1, "D"), (30, "b", 1, "I")), "b1")
     put(table, rows(spark, (1, "c", 2, "U"), (2, "late", 0, "U")), "b2")
     expected = {i: "a" for i in range(20) if i != 2} | {1: "c", 30: "b"}
     assert table.pending_batches() == 2
     assert state(table) == expected
-    before = table.state().base
-    touched = table.compact(strategy)
-    after = table.state()
+    assert table.compact() and table.version() == 2
     assert table.pending_batches() == 0
     assert state(table) == expected
-    assert {b for b in before if after.base[b] == before[b]} == set(before) - {str(b) for b in touched}
     put(table, rows(spark, (2, "late", 0, "U")), "b3")
     assert state(table) == expected, "a late update must not bring a deleted key back"
-    assert table.compact() != [] and table.compact() == []
+    assert table.compact() and not table.compact()
+    assert state(table) == expected
 
 
 def test_replay_replaces_its_own_batch(spark, table):
@@ -71,15 +78,6 @@ def test_replay_replaces_its_own_batch(spark, table):
     assert state(table) == {1: "b", 2: "b"}
 
 
-def test_only_touched_buckets_are_rewritten(spark, table):
-    put(table, rows(spark, *[(i, "a", 0, "I") for i in range(50)]), "b0")
-    put(table, rows(spark, (7, "b", 1, "U")), "b1")
-    before = table.state().base
-    assert len(table.compact()) == 1
-    after = table.state().base
-    assert sum(before[b] != after[b] for b in before) == 1
-
-
 def test_changes_without_some_columns(spark, table):
     put(table, rows(spark, (1, "a", 0, "I"), (2, "a", 0, "I")), "b0")
     put(table, rows(spark, (1, "x", 1, "U"), (3, "x", 1, "I")).drop("v"), "b1")
@@ -115,33 +113,93 @@ def test_columns_are_stored_by_name(spark, table):
     assert state(table) == {1: "b"}
 
 
-def test_a_writer_that_pauses_while_it_commits_loses_nothing(spark, table, monkeypatch):
-    put(table, rows(spark, (1, "a", 0, "I")), "b0")
-    slow, outcome = KeyedTable(spark, table.path), []
-    put_text = slow._storage.put_text
+class Killed(Exception):
+    """Stands for the death of the driver."""
 
-    def pause(path, text):  # the number is claimed, the state not yet written
-        assert state(table) == {1: "a"}
-        with pytest.raises(CommitConflict):
-            put(table, rows(spark, (2, "other", 1, "I")), "other")
-        outcome.append("told")
-        put_text(path, text)
 
-    monkeypatch.setattr(slow._storage, "put_text", pause)
-    put(slow, rows(spark, (3, "slow", 1, "I")), "slow")
-    put(table, rows(spark, (2, "other", 1, "I")), "other")
-    assert outcome == ["told"] and state(table) == {1: "a", 2: "other", 3: "slow"}
+@pytest.mark.parametrize("step", ["put_text", "_attached"])
+@pytest.mark.parametrize("act", ["apply", "compact", "merge_pending", "rebucket"])
+def test_a_driver_that_dies_anywhere_loses_nothing(spark, table, monkeypatch, act, step):
+    """Whatever step of a write is the last, another driver reads the state before or after it and goes on."""
+    put(table, rows(spark, *[(i, "a", 0, "I") for i in range(9)]), "b0")
+    put(table, rows(spark, (1, "b", 1, "U"), (2, "b", 1, "D")), "b1")
+    put(table, rows(spark, (1, "c", 2, "U")), "b2")
+    before, batch = state(table), rows(spark, (3, "d", 3, "U"))
+    after = {**before, 3: "d"}
+    for calls in (1, 2):
+        dying, n = KeyedTable(spark, table.path), [0]
+        owner = dying if step == "_attached" else dying._storage
+        real = getattr(owner, step)
+
+        def fail(*args, real=real, n=n, calls=calls):
+            n[0] += 1
+            if n[0] == calls:
+                raise Killed
+            return real(*args)
+
+        setattr(owner, step, fail)
+        try:
+            put(dying, batch, "b3") if act == "apply" else getattr(dying, act)()
+        except Killed:
+            pass
+        assert state(KeyedTable(spark, table.path)) in (before, after)
+    put(table, batch, "b3")
+    assert state(table) == after
+    table.compact()
+    assert state(table) == after and table.expire() >= 0 and state(table) == after
 
 
-def test_a_writer_that_died_while_it_committed_is_never_stepped_over(spark, table):
-    put(table, rows(spark, (1, "a", 0, "I")), "b0")
-    table._storage.claim(f"{table.path}/commits/{2:020d}.claim")
-    with pytest.raises(CommitConflict):
-        put(table, rows(spark, (1, "b", 1, "U")), "b1")
-    assert state(table) == {1: "a"}
-    assert table.release() and not table.release()
+def test_a_session_that_does_not_know_the_table_enters_it_again(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "table"), name="db_again.tbl")
+    put(table, rows(spark, (1, "a", 0, "I"), (2, "a", 0, "I")), "b0")
     put(table, rows(spark, (1, "b", 1, "U")), "b1")
-    assert state(table) == {1: "b"}
+    spark.sql("DROP DATABASE db_again CASCADE")
+    assert state(KeyedTable(spark, table.path, name="db_again.tbl")) == {1: "b", 2: "a"}
+    put(table, rows(spark, (2, "b", 1, "U")), "b2")
+    table.publish()
+    assert {r.id: r.v for r in spark.table("db_again.tbl").collect()} == {1: "b", 2: "b"}
+
+
+def test_the_name_follows_every_batch_and_version(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "table"), name="db_named.tbl")
+    named = lambda: {r.id: r.v for r in spark.table("db_named.tbl").collect()}
+    put(table, rows(spark, (1, "a", 0, "I"), (2, "a", 0, "I")), "b0")
+    assert named() == {1: "a", 2: "a"}
+    put(table, rows(spark, (1, "b", 1, "U"), (2, "b", 1, "D")), "b1")
+    assert named() == {1: "b"}
+    table.compact()
+    assert named() == {1: "b"} and spark.table("db_named.tbl").columns == ["id", "v", "cdc_timestamp", "cdc_operation"]
+
+
+def test_many_changes_meet_the_base_without_a_shuffle(spark, table):
+    put(table, rows(spark, *[(i, "a", 0, "I") for i in range(50)]), "b0")
+    put(table, rows(spark, *[(i, "b", 1, "U") for i in range(0, 50, 3)]), "b1")
+    put(table, rows(spark, *[(i, "c", 2, "U") for i in range(0, 50, 5)]), "b2")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        current = table.read().where("v = 'a'")
+        plan = current._jdf.queryExecution().executedPlan().toString()
+        assert current.count() == sum(1 for i in range(50) if i % 3 and i % 5)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert "EqualTo(v,a)" in plan
+
+
+def test_key_text_tells_keys_apart(spark):
+    rows = [("a", None), (None, "a"), ("a", "b"), ("ab", ""), ("a1:", "b"), ("", ""), (None, None), ("-", "-")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    texts = [r[0] for r in df.select(key_text(df.schema.fields, ["a", "b"])).collect()]
+    assert None not in texts and len(set(texts)) == len(rows)
+    numbers = spark.createDataFrame([(0.0,), (-0.0,)], "x double")
+    assert numbers.select(key_text(numbers.schema.fields, ["x"])).distinct().count() == 1
+
+
+def test_keys_may_be_null(spark, table):
+    df = spark.createDataFrame([(None, "a"), (1, "a")], "id long, v string")
+    put(table, df, "b0")
+    put(table, spark.createDataFrame([(None, "b")], "id long, v string"), "b1")
+    assert state(table) == {None: "b", 1: "a"}
 
 
 def test_a_commit_is_whole_or_absent(spark, table):
@@ -154,8 +212,6 @@ def test_a_commit_is_whole_or_absent(spark, table):
 
 
 def test_type_drift_is_an_error_and_widening_is_not(spark, table):
-    from changeloom.sinks.keyed_table import TypeDrift
-
     put(table, spark.createDataFrame([(1, 5)], "id long, n long"), "b0")
     put(table, spark.createDataFrame([(2, 6)], "id int, n int"), "b1")
     with pytest.raises(TypeDrift, match="n: string"):
@@ -163,33 +219,15 @@ def test_type_drift_is_an_error_and_widening_is_not(spark, table):
     assert {r.id: r.n for r in table.read().collect()} == {1: 5, 2: 6}
 
 
-def test_compactions_that_collide(spark, table, monkeypatch):
-    put(table, rows(spark, (1, "a", 0, "I")), "b0")
-    put(table, rows(spark, (1, "b", 1, "U")), "b1")
-    write = KeyedTable._write_base
-    raced = []
-
-    def race(self, placed, settings):
-        if not raced:
-            raced.append(True)
-            KeyedTable(spark, table.path).compact()
-        return write(self, placed, settings)
-
-    monkeypatch.setattr(KeyedTable, "_write_base", race)
-    with pytest.raises(CommitConflict):
-        table.compact()
-    assert state(table) == {1: "b"}
-
-
 def test_maintenance(spark, table):
     put(table, rows(spark, *[(i, "a", 0, "I") for i in range(50)]), "b0")
     put(table, rows(spark, (1, "b", 1, "U"), (2, "b", 1, "D")), "b1")
     put(table, rows(spark, (1, "c", 2, "U"), (60, "c", 1, "I")), "b2")
     expected = state(table)
     assert table.maintain(max_batches=3) == "none"
-    base = table.state().base
+    version = table.version()
     assert table.maintain(max_batches=2, ratio=100) == "merged"
-    assert table.pending_batches() == 1 and table.state().base == base
+    assert table.pending_batches() == 1 and table.version() == version
     assert state(table) == expected
     put(table, rows(spark, (2, "b", 1, "D"), (1, "c", 2, "U")), "b2")
     assert state(table) == expected
@@ -209,6 +247,8 @@ def test_expire_keeps_what_is_in_use(spark, table):
     assert table.expire(keep=1) > 0
     assert state(table) == expected
     assert len(table._storage.names(f"{table.path}/base")) == 1
+    batches = [n for n in table._storage.names(f"{table.path}/changes") if n.startswith("_seq=")]
+    assert [len(table._storage.names(f"{table.path}/changes/{n}")) for n in batches] == [1]
     assert table.expire(keep=1) == 0
 
 
@@ -216,7 +256,7 @@ def test_buckets_can_change(spark, table):
     put(table, rows(spark, *[(i, "a", 0, "I") for i in range(200)]), "b0")
     put(table, rows(spark, (1, "b", 1, "U"), (2, "b", 1, "D"), (900, "b", 1, "I")), "b1")
     before = state(table)
-    assert table.rebucket(64) == 64 and table.state().buckets == 64 and table.pending_batches() == 0
+    assert table.rebucket(64) == 64 and table.settings().buckets == 64 and table.pending_batches() == 0
     assert state(table) == before
     put(table, rows(spark, (2, "late", 0, "U"), (3, "c", 2, "U")), "b2")
     table.compact()
@@ -235,18 +275,18 @@ def test_bucket_count_that_does_not_fit_the_shuffle(spark, tmp_path):
     table.apply(rows(spark, *[(i, "a", 0, "I") for i in range(40)]), "b0", keys=["id"],
                 op="cdc_operation", order_by=["cdc_timestamp"], buckets=3)
     assert len(state(table)) == 40
-    assert set(table.state().base) == {"0", "1", "2"}
+    assert len(files_of(table)) == 3
 
 
 def test_aligned_buckets_need_one_shuffle_and_one_file_each(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "even"))
     table.apply(rows(spark, *[(i, "a", 0, "I") for i in range(400)]), "b0", keys=["id"],
                 op="cdc_operation", order_by=["cdc_timestamp"], buckets=4)
-    generation = next(iter(table.state().base.values()))
-    for bucket in range(4):
-        folder = f"{table.path}/base/_gen={generation}/_bucket={bucket}"
-        files = [n for n in table._storage.names(folder) if n.endswith(".parquet")]
-        assert len(files) == 1
+    assert len(files_of(table)) == 4
+
+
+def files_of(table):
+    return [n for n in table._storage.names(f"{table.path}/base/v{table.version():012d}") if n.endswith(".parquet")]
 
 
 @pytest.mark.parametrize(
@@ -258,22 +298,17 @@ def test_buckets_follow_the_size(size, buckets):
 
 
 def test_first_load_shuffles_once(spark, tmp_path, monkeypatch):
-    plans, write = [], KeyedTable._write_base
+    plans, write = [], KeyedTable._write_version
 
-    def keep_plan(self, placed, settings):
-        plans.append(placed._jdf.queryExecution().executedPlan().toString())
-        return write(self, placed, settings)
+    def keep_plan(self, rows, settings):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, rows, settings)
 
-    monkeypatch.setattr(KeyedTable, "_write_base", keep_plan)
+    monkeypatch.setattr(KeyedTable, "_write_version", keep_plan)
     put(KeyedTable(spark, str(tmp_path / "t")), rows(spark, (1, "a", 0, "I")), "b0")
     assert plans[0].count("Exchange") == 1 and "Join" not in plans[0]
 
 
-def test_bucket_hash_is_the_shuffle_hash(spark):
-    df = spark.range(1000).selectExpr("id", "cast(if(id % 7 = 0, null, id) as string) k").repartition(4, "id", "k")
-    assert df.where("pmod(hash(id, k), 4) <> spark_partition_id()").count() == 0
-
-
 def test_filters_reach_the_base_scan(spark, table):
     put(table, rows(spark, *[(i, "a", 0, "I") for i in range(9)]), "b0")
     put(table, rows(spark, (1, "b", 1, "U")), "b1")
