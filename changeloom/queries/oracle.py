@@ -73,6 +73,7 @@ ORACLE: dict[str, str] = {
     "scan_glob": "SELECT * FROM orders",
     "scan_recursive": "SELECT * FROM orders",
     "compact": "SELECT * FROM orders",
+    "compact_small": "SELECT * FROM orders",
     "stream_scan": "SELECT * FROM events",
     "catalog_read": "SELECT o_orderstatus, count(*) AS n_orders FROM orders GROUP BY o_orderstatus",
     "sql_query": "SELECT o_orderstatus, count(*) AS n_orders, min(o_orderkey) AS first_order "

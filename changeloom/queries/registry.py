@@ -59,6 +59,7 @@ from changeloom.queries.inputs import (
     users_with_time,
 )
 from changeloom.sinks.audit import read_audit
+from changeloom.sinks.compaction import compact_small as merge_small_files
 from changeloom.sinks.keyed_table import KeyedTable
 from changeloom.sinks.layout import compact_files, write_partitioned
 from changeloom.sinks.partitioned_table import PartitionedTable
@@ -745,3 +746,18 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "orders").repartition(pieces).write.parquet(small)
     compact_files(spark, small, even)
     return spark.read.parquet(even)
+
+
+@query
+def compact_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by year, half of them in one file a year and half in eight: only the eight are merged."""
+    folder = scratch_folder(spark, "compact_small")
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    half = F.col("o_orderkey") % 2 == 0
+    orders.where(half).repartition(8, "year").write.partitionBy("year").parquet(folder)
+    spread = orders.where(~half).withColumn("part", F.pmod("o_orderkey", F.lit(8)))
+    spread.repartition(64, "year", "part").drop("part").write.mode("append").partitionBy("year").parquet(folder)
+    files_before = spark.read.parquet(folder).select("_metadata.file_path", "_metadata.file_size").distinct()
+    largest = files_before.agg(F.max("file_size")).first()[0]
+    merge_small_files(spark, folder, target_bytes=2 * largest, small_share=0.4)
+    return spark.read.parquet(folder).drop("year")

@@ -356,7 +356,8 @@ class KeyedTable:
         """They count no longer; their files stay until ``expire``, for readers at work."""
         for batch in batches:
             self._storage.remove(f"{self._batch_folder(batch)}/{_MARK}")
-        self._attached()
+        if batches:
+            self._attached()
 
 
 def _spec(part: tuple[str, str]) -> str:

@@ -64,6 +64,15 @@ class Storage:
             fs.delete(draft, False)
             raise PathTaken(path)
 
+    def decoded(self, uri: str) -> str:
+        """The path that a file's metadata give as a URI, where blanks and such are escaped."""
+        return self._jvm.org.apache.hadoop.fs.Path(self._jvm.java.net.URI(uri)).toString()
+
+    def move(self, path: str, to: str) -> None:
+        fs, target = self._open(path)
+        if not fs.rename(target, self._jvm.org.apache.hadoop.fs.Path(to)):
+            raise OSError(f"{path} could not be moved to {to}")
+
     def plain(self, path: str) -> str:
         """A path as it was given: without the ``file:`` that the catalog puts before local ones."""
         return path.removeprefix("file://").removeprefix("file:") if path.startswith("file:/") else path

@@ -1,0 +1,92 @@
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from changeloom.sinks import compaction
+from changeloom.sinks.compaction import compact_small, first_fit_decreasing
+from changeloom.storage import Storage
+
+
+def listed(folder):
+    return {os.path.join(d, n): os.path.getsize(os.path.join(d, n)) for d, _, names in os.walk(folder) for n in names if n.endswith(".parquet")}
+
+
+def test_bins_hold_their_sizes():
+    rng = random.Random(3)
+    for _ in range(50):
+        sizes = [rng.randint(1, 50) for _ in range(rng.randint(1, 80))]
+        numbers = first_fit_decreasing(sizes, 100)
+        used = {}
+        for size, number in zip(sizes, numbers, strict=True):
+            used[number] = used.get(number, 0) + size
+        assert max(used.values()) <= 100
+        assert len(used) <= 1.25 * sum(sizes) / 100 + 2
+    assert first_fit_decreasing([], 10) == []
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """Two partition folders, each with one large file and nine small ones."""
+    path = str(tmp_path / "data")
+    for k, n in [("a b", 20000), ("b", 20000)]:
+        big = spark.range(n).select("id", F.md5(F.col("id").cast("string")).alias("v"), F.lit(k).alias("k"))
+        big.coalesce(1).write.mode("append").partitionBy("k").parquet(path)
+        small = spark.range(900).select((F.col("id") + 10**6).alias("id"), F.lit("x").alias("v"), F.lit(k).alias("k"))
+        small.repartition(9).write.mode("append").partitionBy("k").parquet(path)
+    return path
+
+
+def content(spark, path):
+    return sorted(map(tuple, spark.read.parquet(path).groupBy("k").agg(F.count("*"), F.sum("id"), F.countDistinct("id")).collect()))
+
+
+def test_small_files_merge_and_large_ones_stay(spark, folder):
+    rows, before = content(spark, folder), listed(folder)
+    large = {f for f, n in before.items() if n > 100_000}
+    assert len(before) == 20 and len(large) == 2
+    assert compact_small(spark, folder, target_bytes=200_000) == 18
+    after = listed(folder)
+    assert large <= set(after) and all(after[f] == before[f] for f in large) and len(after) == 4
+    assert content(spark, folder) == rows
+    assert not os.path.exists(f"{folder}/_compaction") or os.listdir(f"{folder}/_compaction") == []
+    assert compact_small(spark, folder, target_bytes=200_000) == 0 and content(spark, folder) == rows
+
+
+@pytest.mark.parametrize("step", ["before", "during"])
+def test_a_run_that_died_is_finished_by_the_next(spark, folder, monkeypatch, step):
+    rows = content(spark, folder)
+
+    class Died(Exception):
+        pass
+
+    real, calls = Storage.remove, []
+
+    def remove(self, path):
+        calls.append(path)
+        if step == "during" and len(calls) == 5:
+            raise Died
+        real(self, path)
+
+    def put_text(self, path, text):
+        raise Died
+
+    with monkeypatch.context() as patched:
+        if step == "before":
+            patched.setattr(Storage, "put_text", put_text)
+        else:
+            patched.setattr(Storage, "remove", remove)
+        with pytest.raises(Died):
+            compact_small(spark, folder, target_bytes=200_000)
+    if step == "before":
+        assert content(spark, folder) == rows  # nothing has been touched
+    compact_small(spark, folder, target_bytes=200_000)
+    assert content(spark, folder) == rows and len(listed(folder)) == 4
+
+
+def test_nothing_to_do(spark, tmp_path):
+    assert compact_small(spark, str(tmp_path / "none")) == 0
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "one"))
+    assert compact_small(spark, str(tmp_path / "one")) == 0
+    assert compaction.finish(spark, str(tmp_path / "one")) == 0
