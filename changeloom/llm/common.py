@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.storage import scratch_folder
+from changeloom.storage import Storage, scratch_folder
 
 #: A-Z and nothing else is lower-cased wherever a contract speaks of letters of ASCII
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -30,10 +30,20 @@ def narrow(docs: DataFrame, *extra: Column) -> DataFrame:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write to the cluster's shared folder and read again: cuts lineage, survives lost executors."""
+    return staged_at(df, label)[0]
+
+
+def staged_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``staged``, and the folder, for ``drop_staged`` once nothing reads it any more."""
     spark = df.sparkSession
     path = scratch_folder(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    if path:
+        Storage(spark).remove(path)
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

@@ -10,7 +10,8 @@ driver.
 
 The pipeline's stage asks for more: five-word shingle sets whose Jaccard similarity is 0.8 or more. Its
 fingerprints have 128 bits, its tiles are dealt by the size of the set, which bounds the similarity, and
-every candidate link is verified on the sets themselves before components are formed.
+links are verified on the sets themselves: each tile pair gets the sets of its classes that have a candidate
+and gives a forest of those alike enough.
 
 Defined results: a null, empty or wordless text has fingerprint zero and is linked like any other; a
 row without an id gets the component of its fingerprint and founds none (null if no row with an id
@@ -26,9 +27,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from changeloom.llm.common import bounded, documents, narrow, raw, staged
+from changeloom.llm.common import bounded, documents, drop_staged, narrow, raw, staged, staged_at
 
 SEED = 42
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -162,9 +165,16 @@ def forests(pairs: DataFrame, radius: int) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, root for every linked node: the smallest node it can reach. Links are (node, root) with root < node."""
-    edges, before = staged(links.distinct(), "links"), None
+    """node, root for every linked node: the smallest node it can reach. Links are (node, root) with root < node.
+
+    A round's folder goes once the next one is written.
+    """
+    spark, path = links.sparkSession, ""
+    edges, before = links.distinct(), None
     while True:
+        edges, written = staged_at(edges, "links")
+        drop_staged(spark, path)
+        path = written
         mark = edges.agg(F.count("*"), F.sum(F.xxhash64("node", "root").cast("decimal(20,0)"))).first()
         if mark[0] == 0 or mark == before:
             return edges
@@ -173,11 +183,13 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("node").agg(F.least(F.min("root"), F.col("node")).alias("least"))
         # every larger neighbour is tied to the smallest of the neighbourhood, then every smaller one
         large = both.join(least, "node").where("root > node").select(F.col("root").alias("node"), F.col("least").alias("root"))
-        large = staged(large.where("node != root").distinct(), "large-star")
+        large, written = staged_at(large.where("node != root").distinct(), "large-star")
+        drop_staged(spark, path)
+        path = written
         least = large.groupBy("node").agg(F.min("root").alias("least"))
         small = large.join(least, "node").select(F.col("root").alias("node"), F.col("least").alias("root"))
         small = small.where("node != root").unionByName(least.select("node", F.col("least").alias("root")))
-        edges = staged(small.distinct(), "small-star")
+        edges = small.distinct()
 
 
 def near_duplicates(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
@@ -203,7 +215,7 @@ class Similar:
     radius: int = 34  # of 128 bits
     half: int = 22  # of the first 64 of them
     tile: int = 16_384  # classes
-    links: int = 4  # that a class asks for in a tile pair, in the first round
+    tile_bytes: int = 32 << 20  # of their sets, so that both sides of a tile pair fit a task
 
 
 def shingle_set(text: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,9 +235,12 @@ def shingle_set(text: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     return held, np.packbits(2 * ones > len(table)).view(np.uint64)
 
 
-def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, key (one for each different set), size, both halves of the fingerprint and the set."""
-    names = ["doc_id", "key", "size", "fp", "fp2", "held"]
+SET = ["near__key", "near__size", "near__fp", "near__fp2"]  # names no column of the documents has
+
+
+def with_sets(docs: DataFrame, width: int) -> DataFrame:
+    """The rows with the key, size and fingerprint halves of their shingle sets; equal sets have equal keys."""
+    schema = docs.schema
 
     def run(batches):
         for batch in bounded(batches):
@@ -233,20 +248,20 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
             keys = np.array([xxhash.xxh3_64_intdigest(held.tobytes()) for held, _ in found], np.uint64).view(np.int64)
             sizes = np.array([len(held) for held, _ in found], np.int64)
             prints = np.array([fp for _, fp in found], np.uint64).reshape(-1, 2).view(np.int64)
-            flat = np.concatenate([np.zeros(0, np.uint64), *(held for held, _ in found)]).view(np.int64)
-            held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat))
-            columns = [batch.column("doc_id"), *map(pa.array, (keys, sizes, prints[:, 0].copy(), prints[:, 1].copy())), held]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            own = map(pa.array, (keys, sizes, prints[:, 0].copy(), prints[:, 1].copy()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], [*batch.schema.names, *SET])
 
-    return narrow(docs).mapInArrow(run, "doc_id long, key long, size long, fp long, fp2 long, held array<long>")
+    return docs.mapInArrow(run, T.StructType([*schema.fields, *[T.StructField(name, T.LongType()) for name in SET]]))
 
 
 def _size_tiles(classes: DataFrame, how: Similar) -> tuple[DataFrame, dict[int, int]]:
     """Classes by size band and chunk, packed. Sets as alike as asked for are in one band or in two next to each other."""
     banded = classes.withColumn("band", F.floor(F.log(F.greatest("size", F.lit(1))) / -np.log(how.similarity)).cast("int"))
-    chunks = {r.band: -(-r.n // how.tile) for r in banded.groupBy("band").agg(F.count("*").alias("n")).collect()}
+    held = banded.groupBy("band").agg(F.count("*").alias("n"), F.sum("size").alias("numbers"))
+    # one row per band: sizes grow by a quarter from band to band
+    chunks = {r.band: max(-(-r.n // how.tile), -(-8 * r.numbers // how.tile_bytes)) for r in held.collect()}
     number = F.element_at(F.create_map(*(F.lit(x) for pair in chunks.items() for x in pair)), F.col("band")) if chunks else F.lit(1)
-    columns = ["key", "size", "fp", "fp2", "root"]
+    columns = ["key", "size", "fp", "fp2"]
 
     def packed(table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("key").to_numpy())
@@ -271,16 +286,13 @@ def _size_tile_pairs(packed: DataFrame, chunks: dict[int, int]) -> DataFrame:
     )
     right = packed.select(F.col("band").alias("band_b"), F.col("chunk").alias("chunk_b"), F.col("data").alias("data_b"))
     same = (F.col("band") == F.col("band_b")) & (F.col("chunk") == F.col("chunk_b"))
-    return left.join(right, ["band_b", "chunk_b"]).select(same.alias("same"), "data", "data_b")
-
+    name = F.concat_ws(":", "band", "chunk", "band_b", "chunk_b").alias("tiles")
+    return left.join(right, ["band_b", "chunk_b"]).select(name, same.alias("same"), "data", "data_b")
 
-def candidates(a: np.ndarray, b: np.ndarray, same: bool, how: Similar, most: int, rows: int = 64):
-    """Places (i, j) in two tiles that may be alike and are not joined yet, in parts, at most ``most`` for each i.
 
-    The third array is true where an i has more of them. Which ones are taken is turned from i to i, so
-    that the links of a large group are spread over its members.
-    """
-    (_, size, fp, fp2, root), (_, size_b, fp_b, fp2_b, root_b) = a, b
+def candidates(a: np.ndarray, b: np.ndarray, same: bool, how: Similar, rows: int = 64):
+    """Places (i, j) in two tiles that may be alike by fingerprint and size, in parts; i < j inside one tile."""
+    (_, size, fp, fp2), (_, size_b, fp_b, fp2_b) = a, b
     fp, fp2, fp_b, fp2_b = (x.view(np.uint64) for x in (fp, fp2, fp_b, fp2_b))
     for start in range(0, len(fp), rows):
         first = start if same else 0
@@ -292,71 +304,105 @@ def candidates(a: np.ndarray, b: np.ndarray, same: bool, how: Similar, most: int
         if same:
             ok &= i < j
         i, j = i[ok], j[ok]
-        ok = (np.minimum(size[i], size_b[j]) >= how.similarity * np.maximum(size[i], size_b[j]) - 1e-9) & (root[i] != root_b[j])
-        i, j = i[ok], j[ok]
-        if len(i):
-            begin = np.flatnonzero(np.diff(i, prepend=-1))
-            count = np.diff(begin, append=len(i))
-            n, place = np.repeat(count, count), np.arange(len(i)) - np.repeat(begin, count)
-            take = (place if same else (place - i * 40_503) % n) < most
-            yield i[take], j[take], (n > most)[take]
+        ok = np.minimum(size[i], size_b[j]) >= how.similarity * np.maximum(size[i], size_b[j]) - 1e-9
+        if ok.any():
+            yield i[ok], j[ok]
 
 
-def similar_links(classes: DataFrame, docs: DataFrame, how: Similar) -> DataFrame:
-    """node, root over keys of classes: components of the links whose Jaccard similarity is as asked for.
+def verified(table: pa.Table, how: Similar) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, root) over the keys of the classes of a tile pair: a forest of those alike enough.
 
-    Sets are larger than texts, so only those of candidates are kept, read again from the class's document.
+    Pairs joined already are not looked at again, so a group of near copies is verified in about as many
+    comparisons as it has members.
+    """
+    keys, first = np.unique(table.column("near__key").to_numpy(), return_index=True)
+    held = table.column("held").combine_chunks()
+    ends, flat = held.offsets.to_numpy(), held.values.to_numpy().view(np.uint64)
+    begin, size = ends[:-1][first].astype(np.int64), np.diff(ends)[first].astype(np.int64)
+    tile = np.stack([keys, size, *(table.column(c).to_numpy()[first] for c in SET[2:])])
+    root = np.arange(len(keys))
+    for i, j in candidates(tile, tile, True, how):
+        for at, stop in zip(starts := np.flatnonzero(np.diff(i, prepend=-1)), [*starts[1:], len(i)], strict=True):
+            one, others = i[at], j[at:stop]
+            own = flat[begin[one] : begin[one] + size[one]]
+            while len(others := others[root[others] != root[one]]):
+                n = max(1, int(np.searchsorted(np.cumsum(size[others]), 1 << 21, side="right")))
+                part, others = others[:n], others[n:]
+                ends = np.cumsum(size[part])
+                numbers = flat[np.repeat(begin[part] - ends + size[part], size[part]) + np.arange(ends[-1])]
+                place = np.minimum(np.searchsorted(own, numbers), len(own) - 1)
+                shared = np.add.reduceat(own[place] == numbers, ends - size[part], dtype=np.int64)
+                alike = part[shared >= how.similarity * (size[one] + size[part] - shared) - 1e-9]
+                joined = np.unique(root[np.append(alike, one)])
+                if len(joined) > 1:
+                    root[np.isin(root, joined)] = joined[0]
+    at = np.flatnonzero(root != np.arange(len(keys)))
+    return keys[at], keys[root[at]]
+
+
+def similar_links(rows: DataFrame, classes: DataFrame, how: Similar) -> DataFrame:
+    """node, root over keys of classes: components of the links whose Jaccard similarity is as asked for.
 
-    A round asks for a few candidates of each class in each tile pair and verifies them. As long as some
-    class had more, the next round asks for sixteen times as many among those not joined yet; so a group
-    of near copies is joined by a few links each, and no candidate is left out.
+    Sets are larger than texts, so only those of classes with a candidate are made again. Each tile pair first
+    names its classes that have one; then their sets are sent to it, and it answers with a forest. So
+    what is written grows with the members of a group and not with its pairs.
     """
-    joined, most = classes.select(F.col("key").alias("node"), F.col("key").alias("root")).where("false"), how.links
-    while True:
-        placed = classes.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        packed, chunks = _size_tiles(placed, how)
-        if not chunks:
-            return joined
-
-        def run(batches, most=most):
-            for batch in batches:
-                for row in batch.to_pylist():
-                    a, b = (np.frombuffer(row[k], np.int64).reshape(5, -1) for k in ("data", "data_b"))
-                    for i, j, more in candidates(a, b, row["same"], how, most):
-                        yield pa.RecordBatch.from_arrays([pa.array(a[0][i]), pa.array(b[0][j]), pa.array(more)], ["a", "b", "more"])
-
-        pairs = _size_tile_pairs(staged(packed, "size-tiles"), chunks)
-        asked = staged(pairs.mapInArrow(run, "a long, b long, more boolean"), "candidates")
-        wanted = asked.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        owners = classes.join(wanted, "key").select("doc_id").distinct()
-        used = shingle_sets(narrow(docs).join(owners, "doc_id", "left_semi"), how.words).select("key", "held")
-        used = staged(used.dropDuplicates(["key"]), "candidate-sets")
-        both = asked.join(used.select(F.col("key").alias("a"), F.col("held").alias("held_a")), "a").join(
-            used.select(F.col("key").alias("b"), F.col("held").alias("held_b")), "b"
-        )
-        shared = both.withColumn("shared", F.size(F.array_intersect("held_a", "held_b")))
-        alike = F.col("shared") >= how.similarity * (F.size("held_a") + F.size("held_b") - F.col("shared")) - 1e-9
-        links = shared.where(alike).select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
-        joined = components(joined.unionByName(links))
-        if not asked.where("more").limit(1).count():
-            return joined
-        most *= 16
+    packed, chunks = _size_tiles(classes, how)
+    if not chunks:
+        return classes.select(F.col("key").alias("node"), F.col("key").alias("root")).where("false")
+
+    def named(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                a, b = (np.frombuffer(row[k], np.int64).reshape(4, -1) for k in ("data", "data_b"))
+                asked = [np.zeros(a.shape[1], bool), np.zeros(b.shape[1], bool)]
+                for i, j in candidates(a, b, row["same"], how):
+                    asked[0][i] = asked[1][j] = True
+                keys = np.union1d(a[0][asked[0]], b[0][asked[1]])
+                yield pa.RecordBatch.from_arrays([pa.array([row["tiles"]] * len(keys), pa.string()), pa.array(keys)], ["tiles", "near__key"])
+
+    def sets(batches):
+        for batch in bounded(batches):
+            found = [shingle_set(text, how.words) for text in raw(batch.column("text"))]
+            prints = np.array([fp for _, fp in found], np.uint64).reshape(-1, 2).view(np.int64)
+            flat = np.concatenate([np.zeros(0, np.uint64), *(held for held, _ in found)]).view(np.int64)
+            ends = np.cumsum([0, *(len(held) for held, _ in found)])
+            columns = [batch.column("near__key"), *(pa.array(prints[:, k].copy()) for k in (0, 1))]
+            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
+            yield pa.RecordBatch.from_arrays(columns, ["near__key", *SET[2:], "held"])
+
+    def forest(table: pa.Table) -> pa.Table:
+        node, root = verified(table, how)
+        return pa.table({"node": pa.array(node), "root": pa.array(root)})
+
+    pairs = _size_tile_pairs(staged(packed, "size-tiles"), chunks)
+    asked = staged(pairs.mapInArrow(named, "tiles string, near__key long"), "candidates")
+    wanted = rows.join(asked.select("near__key").distinct(), "near__key", "left_semi")
+    texts = wanted.groupBy("near__key").agg(F.min("text").alias("text"))
+    made = texts.mapInArrow(sets, "near__key long, near__fp long, near__fp2 long, held array<long>")
+    sent = asked.join(made, "near__key")
+    return components(sent.groupBy("tiles").applyInArrow(forest, "node long, root long"))
 
 
 def without_near_duplicates(docs: DataFrame, how: Similar = Similar()) -> DataFrame:
     """The rows, with all their columns, that are the first of their component of verified links.
 
-    Texts without words are one group. Of rows with the same id one stays; a row without an id founds no
-    group and stays.
+    The first has the smallest id; rows without an id come last, and rows with one id are told apart by
+    their sets and by a hash of all they hold. Of equal rows one stays. Texts without words are one group.
     """
-    rows = staged(shingle_sets(docs.where("doc_id IS NOT NULL"), how.words).drop("held"), "shingle-sets")
-    classes = rows.groupBy("key").agg(F.min(F.struct("doc_id", "size", "fp", "fp2")).alias("c")).select("key", "c.*")
-    classes = staged(classes, "set-classes")
-    found = similar_links(classes, docs, how)
-    known = classes.join(found.withColumnRenamed("node", "key"), "key", "left")
-    first = known.groupBy(F.coalesce("root", "key")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    rows = staged(with_sets(docs, how.words), "shingle-sets")
+    hashed = [f.name for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.xxhash64(*hashed).alias("row"))
+    one = F.min(F.struct(*SET[1:]))
+    classes = rows.groupBy("near__key").agg(one.alias("c"), F.min(place).alias("place"))
+    classes = staged(classes.select(F.col("near__key").alias("key"), *[F.col(f"c.{n}").alias(n[6:]) for n in SET[1:]], "place"), "set-classes")
+    found = similar_links(rows, classes, how)
+    known = classes.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    first = known.groupBy("root").agg(F.min(F.struct("place", "key")).alias("first")).select(F.col("first.key").alias("near__key"))
+    # of each set the first row, found before the shuffle in each task; then the first set of each component
+    order = W.partitionBy("near__key").orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64(*hashed))
+    single = rows.withColumn("near__rank", F.row_number().over(order)).where("near__rank = 1")
+    return single.join(first, "near__key", "left_semi").select(docs.columns)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,7 +84,8 @@ def test_near_duplicates(spark, shape):
     kept = simhash.without_near_duplicates(shape(documents(spark)))
     assert kept.columns == shape(documents(spark)).columns
     ids = [r.doc_id for r in kept.collect()]
-    assert len(ids) == len(set(ids)) and {1, 2, 6, None} <= set(ids) and not {4, 3, 9} & set(ids)
+    # the row without an id is 0.8 like the first
+    assert len(ids) == len(set(ids)) and {1, 2, 6} <= set(ids) and not {4, 3, 9, None} & set(ids)
 
 
 def test_no_documents(spark):

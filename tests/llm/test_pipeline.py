@@ -113,11 +113,40 @@ def test_edited_copies_go_and_less_alike_texts_stay(spark, monkeypatch):
     wanted = brute_kept(texts)
     assert wanted == {*range(12), 206, 207, 208}
     docs = documents(spark, [(i, t, "en", "a", len(t)) for i, t in texts.items()])
-    for how in (simhash.Similar(), simhash.Similar(tile=16, links=1)):
+    for how in (simhash.Similar(), simhash.Similar(tile=16), simhash.Similar(tile_bytes=20_000)):
         assert {r.doc_id for r in simhash.without_near_duplicates(docs, how).collect()} == wanted
     assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, "").collect()} == wanted
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_by_their_texts(spark):
+    draw = random.Random(4)
+    a, b, c, d = (prose(draw, 200) for _ in range(4))
+    rows = [(1, a), (1, b), (1, b), (2, edited(a, draw, 1)), (None, c), (None, c), (None, edited(b, draw, 1)), (3, d), (4, edited(c, draw, 1))]
+    docs = documents(spark, [(i, t, "en", "a", len(t)) for i, t in rows])
+    found = {(r.doc_id, r.text) for r in simhash.without_near_duplicates(docs).collect()}
+    assert found == {(1, a), (1, b), (3, d), rows[8]}
+    assert simhash.without_near_duplicates(docs).count() == 4
+    assert simhash.without_near_duplicates(docs.where("false")).count() == 0
+
+
+def test_a_group_of_near_copies_gives_a_forest_and_not_its_pairs(spark, monkeypatch):
+    draw = random.Random(6)
+    base = prose(draw, 300)
+    docs = documents(spark, [(i, edited(base, draw, 1), "en", "a", 0) for i in range(120)])
+    written, staged_at = {}, simhash.staged_at
+
+    def counted(df, label):
+        out, path = staged_at(df, label)
+        written.setdefault(label, []).append(out.count())
+        return out, path
+
+    monkeypatch.setattr(simhash, "staged_at", counted)
+    monkeypatch.setattr(simhash, "staged", lambda df, label: counted(df, label)[0])
+    assert simhash.without_near_duplicates(docs, simhash.Similar(tile=60)).count() == 1
+    tiles = written["size-tiles"][0]
+    assert tiles > 1 and max(written["candidates"] + written["links"]) <= 120 * tiles
+
+
 def test_no_byte_of_a_private_key_is_left(spark):
     draw = random.Random(8)
     body = ["".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=64)) for _ in range(20)] + ["Qm9keQ=="]
