@@ -16,8 +16,6 @@ repeated results; an empty table gives an empty table; other columns are ignored
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +24,6 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import bounded, documents, narrow, raw, remainder
 
 BINS = 1 << 15
-LETTER = re.compile(r"[^\W\d_]")
 ROUNDS = 25
 #: trigrams overlap, so three of them are about one piece of evidence
 EVIDENCE = 1 / 3
@@ -119,7 +116,7 @@ def identify(docs: DataFrame, langs: list[str], p: np.ndarray, *extra: Column) -
             mixes = []
             for text in raw(batch.column("text")):
                 found = {}
-                if langs and LETTER.search(text.decode()):
+                if langs and any(map(str.isalpha, text.decode())):
                     n = np.bincount(trigram_bins(text), minlength=BINS)
                     at = np.flatnonzero(n)
                     found = mixture(p[:, at], n[at])
