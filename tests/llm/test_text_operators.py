@@ -246,6 +246,30 @@ def test_every_id_is_packed_once(spark, shape):
         assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 128
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.one_of(st.text(st.sampled_from("ab'sé1! \n"), max_size=6), st.tuples(st.sampled_from(" \t\n\r\x0b\x85\u3000"), st.integers(4000, 4200)).map(lambda r: r[0] * r[1])), max_size=5))
+def test_long_white_space_has_the_ids_of_the_whole_text(parts):
+    text = "".join(parts)
+    blank = tokens.encoding(RANKS, tokens.BLANK)
+    assert tokens.encode_text(ENC, blank, text).tolist() == ENC.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("char", [" ", "\t", "\n", "\u3000"])
+def test_millions_of_blanks_do_not_fail(char):
+    blank = tokens.encoding(RANKS, tokens.BLANK)
+    small, large = (f"x{char * n}end {char * n}".replace(" end ", " end") for n in (5000, 2_000_000))
+    found = tokens.encode_text(ENC, blank, large)
+    assert ENC.decode_bytes(found.tolist()) == large.encode()
+    assert tokens.encode_text(ENC, blank, small).tolist() == ENC.encode_ordinary(small)
+
+
+@pytest.mark.parametrize("text, letter", [("½ ² Ⅷ ① 12 …", False), ("½ é", True), ("日", True), ("ʰ", True)])
+def test_number_signs_are_no_letters(spark, text, letter):
+    docs = documents(spark, [(1, PROSE * 3, "en", "a", 0), (2, text, None, "a", 0)])
+    found = {r.doc_id: r.lang_pred for r in languages.identify(docs, *languages.fit(docs.where("doc_id = 1"))).collect()}
+    assert found[2] == ("en" if letter else "und")
+
+
 def test_digest_of_ids(spark, tmp_path):
     from tests.llm.cases import write
 
