@@ -187,8 +187,17 @@ SELECT state.*, way FROM state, (VALUES ('join'), ('shuffle'), ('three batches')
 SELECT 'orders' AS source, CAST(1 AS BIGINT) AS runs, count(*) AS records_read,
        1 AS has_longest_run, 1 AS has_rate FROM orders""",
     "rebucket": "SELECT o_orderkey, o_custkey, lower(o_orderstatus) AS o_orderstatus FROM orders",
-    "dq_empty": "SELECT 'valid' AS half, CAST(0 AS BIGINT) AS n_rows, 5 AS n_columns "
-    "UNION ALL SELECT 'rejects', 0, 8",
+    "dq_empty": f"""
+WITH {_TAGGED}, totals AS (SELECT {_ORDER_COUNTS} FROM tagged)
+SELECT 'all' AS input, 'valid' AS half, n_valid AS n_rows, 5 AS n_columns FROM totals
+UNION ALL SELECT 'all', 'rejects', n - n_valid, 8 FROM totals
+UNION ALL SELECT 'none', 'valid', 0, 5 UNION ALL SELECT 'none', 'rejects', 0, 8""",
+    "fk_orphans_incremental": """
+SELECT o_orderkey, o_custkey
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey
+      FROM orders WHERE o_orderkey % 10 <> 5) o
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey
+                  AND (c_custkey % 3 = 2 OR c_custkey % 6 = 0 OR c_custkey % 9 = 1))""",
     "table_probe": "SELECT 0 AS before, 1 AS after, count(*) AS n_rows FROM customer",
     "merge_upsert_no_op": f"WITH {_MERGE} SELECT {_USER} FROM merged",
     "merge_soft_delete": f"WITH {_MERGE} SELECT {_USER}, "

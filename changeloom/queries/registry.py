@@ -28,6 +28,7 @@ from changeloom.operators.changes import (
 )
 from changeloom.operators.changes import duplicate_keys as keys_that_repeat
 from changeloom.operators.changes import latest_change as latest_per_key
+from changeloom.operators.orphans import ORPHAN_OP, orphan_changes
 from changeloom.operators.profile import column_profile as profile_columns
 from changeloom.operators.profile import fk_orphans as orphans_of
 from changeloom.operators.quality import (
@@ -477,15 +478,19 @@ def rebucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validation of no rows: both halves are empty and have the columns they always have."""
-    nothing = raw_orders(spark, sf_dir).where(F.lit(False))
-    halves = zip(("valid", "rejects"), validate(nothing, ORDERS_RAW.target, ORDERS_RAW, rejected_at=REJECTED_AT))
-    counted = [
-        rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(half).alias("half"), "n_rows", F.lit(len(rows.columns)).alias("n_columns")
-        )
-        for half, rows in halves
-    ]
+    """Validation of what is left of orders without orders, beside that of all orders."""
+    every = raw_orders(spark, sf_dir)
+    again = raw_orders(spark, sf_dir).select(F.col("dms_timestamp").alias("t"), F.col("status").alias("s"))
+    nothing = every.join(again, (F.col("dms_timestamp") == F.col("t")) & (F.col("status") == F.col("s")), "left_anti")
+    counted = []
+    for label, rows in (("all", every), ("none", nothing)):
+        halves = zip(("valid", "rejects"), validate(rows, ORDERS_RAW.target, ORDERS_RAW, rejected_at=REJECTED_AT))
+        counted += [
+            part.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(label).alias("input"), F.lit(half).alias("half"), "n_rows", F.lit(len(part.columns)).alias("n_columns")
+            )
+            for half, part in halves
+        ]
     return reduce(DataFrame.unionByName, counted)
 
 
@@ -732,6 +737,36 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans_of(orders, "cust_id", table(spark, sf_dir, "customer"), "c_custkey")
 
 
+@query
+def fk_orphans_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of orphans after a first load and three batches that change orders, customers or both."""
+    key, cust, parent = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_custkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    even, all_orders = orders.where(key % 2 == 0), orders
+    last = orders.where(key % 10 != 5).withColumn("o_custkey", F.when(key % 10 == 0, cust + 1).otherwise(cust))
+    first_parents = customers.where(parent % 3 != 0)
+    later = (parent % 3 == 2) | (parent % 6 == 0)
+    second_parents, last_parents = customers.where(later), customers.where(later | (parent % 9 == 1))
+    nobody = customers.where(F.lit(False))
+    steps = [  # children and parents after the batch, children it changed, parents that went and came
+        (even, first_parents, even, nobody, first_parents),
+        (all_orders, first_parents, orders.where(key % 2 == 1), nobody, nobody),
+        (all_orders, second_parents, orders.where(F.lit(False)),
+         customers.where(parent % 3 == 1), customers.where(parent % 6 == 0)),
+        (last, last_parents, orders.where(key % 5 == 0), nobody, customers.where(parent % 9 == 1)),
+    ]
+    stored = KeyedTable(spark, scratch_folder(spark, "fk_orphans_incremental"))
+    for n, (children, parents, changed, gone, come) in enumerate(steps):
+        held = stored.read() if stored.exists() else orders.where(F.lit(False))
+        found = orphan_changes(
+            held, children, changed, parents, gone, come,
+            child_keys=["o_orderkey"], reference="o_custkey", parent_key="c_custkey",
+        )
+        stored.apply(found, f"batch-{n}", keys=["o_orderkey"], op=ORPHAN_OP)
+    return stored.read().select("o_orderkey", "o_custkey")
+
+
 @query
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = profile_columns(raw_orders(spark, sf_dir), ORDERS_RAW.target)
