@@ -149,9 +149,11 @@ def test_storage(spark, tmp_path):
     assert storage.read_text(path) == "grün" and storage.exists(path)
     with pytest.raises(PathTaken):
         storage.put_text(path, "again")
-    storage.claim(f"{path}.claim")
-    with pytest.raises(PathTaken):
-        storage.claim(f"{path}.claim")
+    assert storage.plain("file:/a b") == storage.plain("file:///a b") == storage.plain("/a b") == "/a b"
+    assert storage.plain("s3a://x/a") == "s3a://x/a" and storage.plain(storage.decoded("file:///a%20b")) == "/a b"
+    storage.move(path, f"{path}.moved")
+    assert not storage.exists(path) and storage.read_text(f"{path}.moved") == "grün"
+    storage.move(f"{path}.moved", path)
     assert storage.bytes_under(str(tmp_path / "a")) >= 5 and storage.bytes_under(str(tmp_path / "none")) == 0
     assert "b.txt" in storage.names(str(tmp_path / "a")) and storage.names(str(tmp_path / "none")) == []
     storage.remove(path)
