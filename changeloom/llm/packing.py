@@ -99,7 +99,7 @@ class WordCodes:
         at = np.flatnonzero(IS_MARK[letters[1:]] & IS_LETTER[letters[:-1]]) + 1
         return (np.insert(letters, at, 32).tobytes() if len(at) else low).split()
 
-    def _coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, one after the other, and how many each has."""
         texts = [w.decode() for w in words]
         plain = np.fromiter(map(str.isalpha, texts), bool, len(texts))
@@ -132,7 +132,7 @@ class WordCodes:
         return [np.array(c.ids, np.uint32) for c in coded]
 
     def learn(self, words: list[bytes]) -> None:
-        new, lengths = self._coded(words)
+        new, lengths = self.coded(words)
         used = int(self.starts[-1])
         if used + len(new) > len(self.flat):
             grown = np.zeros(2 * (used + len(new)), np.uint32)

@@ -67,11 +67,9 @@ def codes(path: str) -> WordCodes:
 def subword_ids(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words in one array, and where each word's begin."""
     table = codes(path)
-    if len(table.stems) > 600_000:
-        table.stems = {}
-    ids = table._coded(words)
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.fromiter((i for own in ids for i in own), np.int64, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
+    lowered = [w.lower() for w in words]
+    ids, sizes = table.coded([w if any(t in low for t in table.special) else low for w, low in zip(words, lowered, strict=True)])
+    return ids.astype(np.int64), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def _packed(values: np.ndarray | bytes) -> bytes:
