@@ -7,7 +7,9 @@ its change batch, and applying a change twice gives the same table, so the outco
 from __future__ import annotations
 
 import logging
+import threading
 import uuid
+from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -22,6 +24,7 @@ from changeloom.plans.specs import SourceSpec
 from changeloom.sources.files import scan_stream
 
 logger = logging.getLogger(__name__)
+_AT_WORK: defaultdict[str, threading.Lock] = defaultdict(threading.Lock)  # one writer a table
 
 
 class StreamFailed(RuntimeError):
@@ -92,7 +95,9 @@ def start_stream(
     )
 
     def handle(df: DataFrame, batch_id: int) -> None:
-        apply_micro_batch(df, batch_id, source, lake, options)
+        # a stop ends the stream but not the call it is in: the next start waits for that one
+        with _AT_WORK[lake.table_path(source.target)]:
+            apply_micro_batch(df, batch_id, source, lake, options)
 
     trigger = {"availableNow": True} if stream.available_now else {"processingTime": stream.interval}
     return (
