@@ -13,8 +13,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.functions.keys import project_to_target
-from changeloom.operators.changes import IS_DELETED, latest_change
+from changeloom.operators.changes import IS_DELETED, reduced_changes
 
 
 def merge_into_catalog(
@@ -25,15 +24,13 @@ def merge_into_catalog(
     order_by: Sequence[str] = (),
     deletes: str = "hard",
 ) -> None:
-    """Reduce the changes to one per key, then let the table format merge them by name."""
-    target_columns = changes.sparkSession.table(table).columns
-    latest = project_to_target(latest_change(changes, keys, order_by), target_columns, op)
+    """Reduce the changes to one per key by their total order, then let the table format merge them by name."""
+    shape = [f for f in changes.sparkSession.table(table).schema.fields if f.name != IS_DELETED]
+    latest = reduced_changes(changes, shape, keys, op, order_by)
     target = table.rsplit(".", 1)[-1]
     matches = [F.col(f"{target}.{k}").eqNullSafe(F.col(f"source.{k}")) for k in keys]
-    values = {c: F.col(f"source.{c}") for c in latest.columns if c in target_columns}
-    deleted = F.lit(False)
-    if op in latest.columns:
-        deleted = F.coalesce(F.col(f"source.{op}") == F.lit("D"), F.lit(False))
+    values = {f.name: F.col(f"source.{f.name}") for f in shape if f.name in latest.columns}
+    deleted = F.col(f"source.{IS_DELETED}")
 
     merge = latest.alias("source").mergeInto(table, reduce(and_, matches))
     if deletes == "soft":
