@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from changeloom.functions.casts import safe_casts
 from changeloom.functions.columns import ref
+from changeloom.functions.types import resolve_type
 from changeloom.plans.specs import SourceSpec, TargetSpec
 
 logger = logging.getLogger(__name__)
@@ -88,6 +89,12 @@ def rename_cdc_columns(df: DataFrame, source: SourceSpec | None) -> DataFrame:
     return df.withColumnsRenamed(names) if names else df
 
 
+def declared_types(target: TargetSpec, source: SourceSpec | None = None) -> dict[str, T.DataType]:
+    """Declared columns, CDC columns under their target names, with their types."""
+    names = cdc_names(source)
+    return {names.get(n, n): resolve_type(column.type) for n, column in target.schema.items() if names.get(n, n) != OPERATION}
+
+
 def project_to_target(
     changes: DataFrame, target_columns: Sequence[str], op: str | None = OPERATION
 ) -> DataFrame:

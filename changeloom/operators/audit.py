@@ -88,13 +88,14 @@ def run_log_row(
 
 
 def quality_metric_rows(spark: SparkSession, result: RunResult, target: TargetSpec) -> DataFrame:
-    """Four metric rows; the value is kept as text in ``failure_reason``."""
+    """Four metric rows, and one per effect if they were counted; the value is text in ``failure_reason``."""
     outcome = "success" if result.status == "success" else "failed"
     metrics = [
         ("rows_read", str(result.records_read), outcome),
         ("rows_written", str(result.records_written), outcome),
         ("rows_rejected", str(result.records_rejected), "success"),
         ("pipeline_status", result.status, "success"),
+        *((f"keys_{effect}", str(count), outcome) for effect, count in sorted(result.effects.items())),
     ]
     names, shown, states = (F.array(*map(F.lit, column)) for column in zip(*metrics))
     values = {

@@ -18,6 +18,8 @@ from changeloom.sinks.partitioned_table import PartitionedTable
 AUDIT_DATABASE = "db_raw"
 RUN_LOG_TABLE = "etl_control"
 METRICS_TABLE = "data_quality_metrics"
+SKETCHES_TABLE = "column_sketches"
+PROGRESS_TABLE = "stream_progress"
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,10 @@ class LoadOptions:
     compact_ratio: share of the table's bytes the waiting batches must reach to be folded in.
     on_error: ``stop`` ends a multi-table load at the first failure, ``continue`` goes on.
     count_effects: also count the keys a load inserts, updates and deletes.
+    sketch_columns: leave a sketch of every column of the valid rows (see ``operators.sketches``).
+    tombstone_retention: an interval such as ``30 days``. When a keyed table is folded, deleted keys go whose
+        delete is older than the table's newest change by more than this; a change that arrives later still
+        is taken for a new row. None keeps them for good.
     strict_audit: a failure to write an audit row fails the run instead of being logged.
     """
 
@@ -47,6 +53,8 @@ class LoadOptions:
     compact_ratio: float = 0.1
     on_error: str = "stop"
     count_effects: bool = False
+    sketch_columns: bool = False
+    tombstone_retention: str | None = None
     strict_audit: bool = False
     job_name: str = JOB_NAME
 
@@ -74,6 +82,8 @@ class Lake:
 
     run_log_name = f"{AUDIT_DATABASE}.{RUN_LOG_TABLE}"
     metrics_name = f"{AUDIT_DATABASE}.{METRICS_TABLE}"
+    sketches_name = f"{AUDIT_DATABASE}.{SKETCHES_TABLE}"
+    progress_name = f"{AUDIT_DATABASE}.{PROGRESS_TABLE}"
 
     @property
     def run_log_path(self) -> str:
@@ -83,6 +93,14 @@ class Lake:
     def metrics_path(self) -> str:
         return f"{self.root}/{AUDIT_DATABASE}/{METRICS_TABLE}"
 
+    @property
+    def sketches_path(self) -> str:
+        return f"{self.root}/{AUDIT_DATABASE}/{SKETCHES_TABLE}"
+
+    @property
+    def progress_path(self) -> str:
+        return f"{self.root}/{AUDIT_DATABASE}/{PROGRESS_TABLE}"
+
     def table(self, spark: SparkSession, target: TargetSpec, layout: str = "keyed") -> KeyedTable | PartitionedTable:
         name = ".".join(filter(None, [target.database, target.table]))
         if layout == "partitioned" and target.partition_keys:

@@ -11,7 +11,7 @@ from datetime import datetime, timezone
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from changeloom.functions.keys import OPERATION, match_columns, prepare_for_target
+from changeloom.functions.keys import OPERATION, declared_types, match_columns, prepare_for_target
 from changeloom.operators.audit import RunResult, quality_metric_rows, run_log_row
 from changeloom.operators.changes import EFFECT
 from changeloom.operators.quality import (
@@ -21,6 +21,7 @@ from changeloom.operators.quality import (
     tag_rules,
     valid_rows,
 )
+from changeloom.operators.sketches import column_sketches
 from changeloom.plans.lake import Lake, LoadOptions
 from changeloom.plans.specs import SourceSpec
 from changeloom.sinks.audit import write_audit
@@ -58,7 +59,7 @@ def load_rows(
     """Validate rows, store the rejects, apply the valid rows to the target.
 
     Three jobs: counts (reads only the columns the rules use), rejects (if any), target (if any
-    valid row). The counts come from their own job and not from accumulators, which would count
+    valid row); a fourth if columns are sketched. The counts come from their own job and not from accumulators, which would count
     twice when a lost executor makes Spark repeat a stage.
     """
     target = source.target
@@ -77,6 +78,8 @@ def load_rows(
             clear_rejects(spark, lake.rejects_path(target), batch_key)
         if counts.written:
             rows = valid_rows(tagged)
+            if options.sketch_columns:
+                write_audit(column_sketches(rows, target), lake.sketches_path, batch_key, lake.sketches_name)
             prepared = prepare_for_target(rows, target, source)
             table = lake.table(spark, target, options.layout)
             if options.count_effects and table.exists():
@@ -92,6 +95,7 @@ def load_rows(
                 buckets=options.buckets,
                 sort_by=[key.name for key in target.partition_keys],
                 deletes=source.cdc.deletes if source.cdc else "hard",
+                declared=declared_types(target, source),
             )
         return counts
     finally:
@@ -122,7 +126,7 @@ def load_table(
         )
         table = lake.table(spark, source.target, options.layout)
         if options.compact_every and counts.written:
-            table.maintain(options.compact_every, options.compact_ratio)
+            table.maintain(options.compact_every, options.compact_ratio, options.tombstone_retention)
     except Exception as failure:
         error = failure
         raise LoadFailed(f"loading {source.source!r} failed: {failure}") from failure

@@ -268,6 +268,51 @@ SELECT 'score', 0, count(*), count(*) FILTER (WHERE score IS NULL),
 UNION ALL
 SELECT 'status', 0, count(*), count(*) FILTER (WHERE status IS NULL), 0,
        count(*) FILTER (WHERE status NOT IN ('O', 'F')) FROM raw""",
+    "profile_merged": f"WITH {_TAGGED}, valid AS (SELECT * FROM tagged WHERE rule = 'valid') "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, count(*) AS n_rows, count(*) - count({name}) AS n_null, "
+        + ", ".join(
+            f"CAST({value if shown else 'NULL'} AS VARCHAR) AS {label}"
+            for value, label, shown in (
+                (f"min({name})", "low", name != "status"),
+                (f"max({name})", "high", name != "status"),
+                (f"min({name})", "low_text", name == "status"),
+                (f"max({name})", "high_text", name == "status"),
+            )
+        )
+        + ", 1 AS distinct_ok, 1 AS median_ok FROM valid"
+        for name in ("order_id", "cust_id", "score", "status")
+    ),
+    "effect_metrics": f"""
+WITH {_MERGE}
+SELECT 'keys_' || CASE WHEN op = 'D' AND was_there THEN 'delete' WHEN op = 'D' THEN 'unknown_delete'
+                       WHEN was_there THEN 'update' ELSE 'insert' END AS metric, count(*) AS n_keys
+FROM merged WHERE changed GROUP BY 1""",
+    "tombstone_purge": f"""
+WITH {_MERGE}
+SELECT m.user_id, m.event_type, CAST(m.event_id AS VARCHAR) AS event_id,
+       CAST(coalesce(m.op, 'I') = 'D' AS INTEGER) AS is_deleted
+FROM merged m LEFT JOIN latest l ON m.user_id = l.user_id
+WHERE NOT coalesce(m.op = 'D' AND day(l.dms_timestamp) <= 15
+                   AND l.dms_timestamp < (SELECT max(ts) FROM events) - INTERVAL 10 DAY, false)""",
+    "stream_progress": "SELECT 'stream-orders' AS stream, count(*) AS input_rows, 1 AS one_file_each, 1 AS meets_target "
+    "FROM orders",
+    "stream_fair": "SELECT 'stream-orders' AS stream, count(*) AS input_rows, CAST(1 AS BIGINT) AS place "
+    "FROM orders WHERE o_orderstatus = 'P' "
+    "UNION ALL SELECT 'stream-users', count(*), CAST(2 AS BIGINT) FROM events",
+    "stream_archive": "SELECT count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS event_id_sum, 1 AS some_archived "
+    "FROM events",
+    "scan_mode": "SELECT 'batch' AS mode, 0 AS is_stream, count(*) AS n_rows FROM orders "
+    "UNION ALL SELECT 'streaming', 1, count(*) FROM events",
+    "dq_no_rejects": f"""
+WITH {_TAGGED}, totals AS (SELECT {_ORDER_COUNTS} FROM tagged)
+SELECT 'clean' AS input, 1 AS same_shape, CAST(0 AS BIGINT) AS n_rejects
+UNION ALL SELECT 'damaged', 1, n - n_valid FROM totals""",
+    "stream_fail_fast": f"""
+WITH {_LATEST}
+SELECT 1 AS raised, 0 AS still_running, count(*) AS n_users, CAST(1 AS BIGINT) AS failed_runs FROM latest WHERE op <> 'D'""",
 }
 # the batch load of several tables ends in the same state as streaming them
 ORACLE["multi_table_load"] = ORACLE["stream_multi_table"]
+# files that land twice change nothing
+ORACLE["stream_redelivery"] = ORACLE["stream_restart"]

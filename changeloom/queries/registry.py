@@ -8,7 +8,7 @@ from dataclasses import replace
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeloom.functions.keys import (
@@ -38,8 +38,11 @@ from changeloom.operators.quality import (
     combine_rejects,
     rule_counts,
     tag_rules,
+    valid_rows,
     validate,
 )
+from changeloom.operators.sketches import COLUMN_SKETCHES, DISTINCT_ERROR, RANK_ERROR, merged_profile
+from changeloom.plans.lake import LoadOptions
 from changeloom.plans.loads import load_table, load_tables
 from changeloom.plans.specs import LoadPlan, SourceSpec, TargetSpec
 from changeloom.queries.inputs import (
@@ -67,7 +70,8 @@ from changeloom.sinks.partitioned_table import PartitionedTable
 from changeloom.sinks.rejects import read_rejects, write_rejects
 from changeloom.sources import catalog, files
 from changeloom.storage import scratch_folder
-from changeloom.streaming.loads import run_streams
+from changeloom.streaming.loads import StreamFailed, StreamOptions, run_streams
+from changeloom.streaming.progress import STREAM_PROGRESS, stream_latency
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -796,3 +800,212 @@ def compact_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     largest = files_before.agg(F.max("file_size")).first()[0]
     merge_small_files(spark, folder, target_bytes=2 * largest, small_share=0.4)
     return spark.read.parquet(folder).drop("year")
+
+
+# Reports that grow with the runs
+
+
+@query
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders loaded in three parts, profiled from the sketches of the three, held against exact figures."""
+    lake = scratch_lake(spark, "profile_merged")
+    raw = raw_orders(spark, sf_dir)
+    third = F.pmod(F.day("dms_timestamp"), F.lit(3))
+    for part in range(3):
+        load_table(spark, ORDERS_RAW, lake, dataframe=raw.where(third == part), options=LoadOptions(sketch_columns=True))
+    profile = merged_profile(read_audit(spark, lake.sketches_path, COLUMN_SKETCHES), quantiles=[0.5])
+
+    valid = valid_rows(tag_rules(raw, ORDERS_RAW.target, ORDERS_RAW))
+    # try_cast: a status has no number, and so no median
+    values = [
+        valid.select(
+            F.lit(name).alias("column_name"), F.col(name).try_cast("double").alias("v"), F.col(name).cast("string").alias("t")
+        )
+        for name in ORDERS_RAW.target.schema
+    ]
+    median = F.col("quantiles")[0]
+    exact = reduce(DataFrame.unionByName, values).join(profile.select("column_name", "quantiles"), "column_name")
+    exact = exact.groupBy("column_name").agg(
+        F.countDistinct("t").alias("exact"),
+        F.avg((F.col("v") < median).cast("int")).alias("below"),
+        F.avg((F.col("v") <= median).cast("int")).alias("upto"),
+    )
+    close = F.abs(F.col("n_distinct") - F.col("exact")) <= DISTINCT_ERROR * F.col("exact")
+    ranked = (F.col("below") <= 0.5 + RANK_ERROR) & (F.col("upto") >= 0.5 - RANK_ERROR)
+    return profile.join(exact, "column_name").select(
+        "column_name", "n_rows", "n_null",
+        F.col("low").cast("bigint").cast("string").alias("low"),
+        F.col("high").cast("bigint").cast("string").alias("high"),
+        "low_text", "high_text",
+        close.cast("int").alias("distinct_ok"),
+        F.when(median.isNull(), 1).otherwise(ranked.cast("int")).alias("median_ok"),
+    )
+
+
+@query
+def effect_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that the changes inserted, updated and deleted, as the audit keeps them."""
+    lake = scratch_lake(spark, "effect_metrics")
+    load_table(spark, USER_CHANGES, lake, dataframe=_users_before(spark, sf_dir), options=USER_LOAD)
+    counted = replace(USER_LOAD, count_effects=True)
+    load_table(spark, USER_CHANGES, lake, dataframe=user_changes(spark, sf_dir), options=counted)
+    metrics = read_audit(spark, lake.metrics_path, QUALITY_METRICS).where(F.col("metric").startswith("keys_"))
+    return metrics.select("metric", F.col("failure_reason").cast("bigint").alias("n_keys"))
+
+
+@query
+def tombstone_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deleted keys after two folds, the second with a retention of ten days, and changes above the mark again."""
+    stored, apply = _user_table(spark, sf_dir, "tombstone_purge")
+    changes = renamed_user_changes(spark, sf_dir)
+    early = F.day("cdc_timestamp") <= 15
+    apply(changes.where(early), "early")
+    stored.compact()
+    apply(changes.where(~early), "late")
+    mark = stored.low_water_mark("10 days")
+    stored.compact("10 days")
+    apply(changes.where(F.col("cdc_timestamp") >= F.lit(mark).cast("timestamp_ntz")), "again")
+    state = stored.read("soft").withColumn(IS_DELETED, F.col(IS_DELETED).cast("int"))
+    return shown(state.select(*USER_COLUMNS, IS_DELETED), "event_id")
+
+
+@query
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress rows of a stream that takes one file a micro-batch."""
+    lake = scratch_lake(spark, "stream_progress")
+    landing = f"{lake.root}/landing/orders_cdc"
+    write_partitioned(raw_orders(spark, sf_dir).withColumn("y", F.year("dms_timestamp")), landing, ["y"])
+    landed = spark.read.parquet(landing).select("_metadata.file_path").distinct().count()
+    options = StreamOptions(available_now=True, max_files=1, progress=True)
+    run_streams(spark, [located(ORDERS_RAW, lake, landing)], lake, stream=options)
+    latency = stream_latency(read_audit(spark, lake.progress_path, STREAM_PROGRESS))
+    return latency.select(
+        "stream", "input_rows", (F.col("batches") == landed).cast("int").alias("one_file_each"),
+        F.col("meets_target").cast("int").alias("meets_target"),
+    )
+
+
+@query
+def stream_fair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog of user changes and a small feed of new orders side by side: who begins its last batch first."""
+    lake = scratch_lake(spark, "stream_fair")
+    sources, options = [], {}
+    feeds = [(USER_CHANGES, user_changes(spark, sf_dir)), (ORDERS_RAW, raw_orders(spark, sf_dir).where(F.col("status") == "P"))]
+    for spec, changes in feeds:
+        landing = f"{lake.root}/landing/{spec.source}_cdc"
+        land_changes(changes, landing)
+        sources.append(located(spec, lake, landing))
+        options[spec.source] = catch_up(spark, landing)
+    options["orders"] = replace(options["orders"], max_bytes=256 * 2**30)
+    run_streams(
+        spark, sources, lake, options=USER_LOAD, stream=StreamOptions(available_now=True, progress=True), per_source=options
+    )
+    seen = read_audit(spark, lake.progress_path, STREAM_PROGRESS).groupBy("stream")
+    ends = seen.agg(F.sum("input_rows").alias("input_rows"), F.max("batch_start").alias("last_start"))
+    place = F.rank().over(Window.orderBy("last_start"))  # one row a stream
+    return ends.select("stream", "input_rows", place.cast("bigint").alias("place"))
+
+
+@query
+def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change file landed twice, under another name: the same table, every row counted once."""
+    lake = scratch_lake(spark, "stream_redelivery")
+    landing = f"{lake.root}/landing/users_cdc"
+    for folder in (f"{landing}/first", f"{landing}/second"):
+        land_changes(user_changes(spark, sf_dir), folder)
+    source = located(USER_CHANGES, lake, landing)
+    load_table(spark, source, lake, dataframe=_users_before(spark, sf_dir), options=USER_LOAD)
+    once = replace(catch_up(spark, landing), redelivery="1 day")
+    run_streams(spark, [source], lake, options=USER_LOAD, stream=once)
+    log = read_audit(spark, lake.run_log_path, RUN_LOG)
+    rows_read = log.where(F.col("execution_id").startswith("users-")).agg(F.sum("records_read").alias("records_read"))
+    state = lake.table(spark, source.target).read().agg(
+        F.count(F.lit(1)).alias("n_users"), F.sum("event_id").alias("event_id_sum")
+    )
+    return _side_by_side(state, rows_read)
+
+
+@query
+def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events streamed with processed files moved to the archive: landing and archive still hold each row once."""
+    lake = scratch_lake(spark, "stream_archive")
+    landing = f"{lake.root}/landing/events"
+    events = table(spark, sf_dir, "events")
+    land_changes(events, landing, "ts")
+    source = located(USER_CHANGES, lake, landing)
+    size = catch_up(spark, landing).max_bytes
+    stream = files.scan_stream(spark, source, schema=events.schema, max_bytes=size)
+    writer = stream.writeStream.format("noop").option("checkpointLocation", source.checkpoint_location)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    everywhere = spark.read.schema(events.schema).option("recursiveFileLookup", "true")
+    archived = F.col("_metadata.file_path").contains("/events_archive/")
+    return everywhere.parquet(f"{lake.root}/landing").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("event_id_sum"),
+        F.max(archived.cast("int")).alias("some_archived"),
+    )
+
+
+@query
+def scan_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One source read by its mode: the full load as a batch, the changes as a stream."""
+    lake = scratch_lake(spark, "scan_mode")
+    landing = f"{lake.root}/landing/events"
+    write_partitioned(table(spark, sf_dir, "events"), landing)
+    spec = replace(located(USER_CHANGES, lake, landing), source_location=f"{sf_dir}/orders.parquet")
+    batch, stream = files.read_source(spark, spec, "batch"), files.read_source(spark, spec)
+    out = f"{lake.root}/out"
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", spec.checkpoint_location)
+    writer.trigger(availableNow=True).start(out).awaitTermination()
+    read = [("batch", batch), ("streaming", spark.read.schema(stream.schema).parquet(out))]
+    flags = {"batch": batch.isStreaming, "streaming": stream.isStreaming}
+    counted = [
+        rows.agg(F.lit(mode).alias("mode"), F.lit(int(flags[mode])).alias("is_stream"), F.count(F.lit(1)).alias("n_rows"))
+        for mode, rows in read
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query
+def dq_no_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of orders that break no rule: none, in the shape of those of orders that do."""
+    damaged = raw_orders(spark, sf_dir)
+    key = F.col("o_orderkey").cast("string")
+    clean = table(spark, sf_dir, "orders").select(
+        key.alias("order_id"), key.alias("cust_id"), F.lit("1").alias("score"),
+        F.lit("O").alias("status"), F.col("o_orderdate").alias("dms_timestamp"),
+    )
+    found = {
+        name: validate(rows, ORDERS_RAW.target, ORDERS_RAW, rejected_at=REJECTED_AT)
+        for name, rows in (("clean", clean), ("damaged", damaged))
+    }
+    shapes = {name: [(f.name, f.dataType) for f in rejects.schema.fields] for name, (_, rejects) in found.items()}
+    same = F.lit(int(shapes["clean"] == shapes["damaged"])).alias("same_shape")
+    counted = [
+        rejects.agg(F.lit(name).alias("input"), same, F.count(F.lit(1)).alias("n_rejects"))
+        for name, (_, rejects) in found.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query
+def stream_fail_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed without its key column ends all streams; the other table is whole once it has run again."""
+    lake = scratch_lake(spark, "stream_fail_fast")
+    sources = []
+    for spec, changes in ((USER_CHANGES, user_changes(spark, sf_dir)), (ORDERS_RAW, raw_orders(spark, sf_dir).drop("order_id"))):
+        landing = f"{lake.root}/landing/{spec.source}_cdc"
+        write_partitioned(changes, landing)
+        sources.append(located(spec, lake, landing))
+    raised = 0
+    try:
+        run_streams(spark, sources, lake, options=USER_LOAD, stream=StreamOptions(interval="1 second"))
+    except StreamFailed:
+        raised = 1
+    names = {f"stream-{source.source}" for source in sources}
+    left = sum(active.name in names for active in spark.streams.active)
+    run_streams(spark, sources[:1], lake, options=USER_LOAD, stream=StreamOptions(available_now=True))
+    failed = read_audit(spark, lake.run_log_path, RUN_LOG).where("source = 'orders' AND status = 'failed'")
+    state = lake.table(spark, USER_CHANGES.target).read().agg(
+        F.lit(raised).alias("raised"), F.lit(left).alias("still_running"), F.count(F.lit(1)).alias("n_users")
+    )
+    return _side_by_side(state, failed.agg(F.count(F.lit(1)).alias("failed_runs")))

@@ -23,7 +23,7 @@ import json
 import math
 import re
 import zlib
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,9 +128,12 @@ class KeyedTable:
         buckets: int | None = None,
         sort_by: Sequence[str] = (),
         deletes: str = "hard",
+        declared: Mapping[str, T.DataType] | None = None,
     ) -> None:
         """Apply one batch; the first one creates the table with the given settings.
 
+        The table has the columns of the first batch and the ``declared`` ones that it lacks, NULL at first.
+
         Without a number of buckets it is derived from the estimated size of the first batch.
         A batch that comes again under the same key replaces itself.
         """
@@ -140,6 +143,8 @@ class KeyedTable:
             return self._append(changes, re.sub(r"[^A-Za-z0-9._-]", lambda m: f"~{ord(m[0]):x}", batch_key), op)
         buckets = buckets or _bucket_count(estimated_bytes(changes))
         changes = _with_order_columns(changes, order_by)
+        lacking = {n: F.lit(None).cast(kind) for n, kind in (declared or {}).items() if n not in changes.columns}
+        changes = changes.withColumns(lacking) if lacking else changes
         sort_by = [name for name in sort_by if name in changes.columns and name not in keys]
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in changes.schema.fields])
         settings = Settings([*keys], [*order_by], buckets, sort_by, schema.jsonValue(), deletes)
@@ -166,20 +171,47 @@ class KeyedTable:
         rows = self._by_bucket(self._reduced(changes, op, settings), settings.buckets, reduced=True)
         self._put_batch(rows, batch_key, [b for b in self._batches() if b[1] == batch_key])
 
-    def compact(self) -> bool:
+    def compact(self, retention: str | None = None) -> bool:
         """Fold the waiting batches into a new version of the base; false if there are none.
 
-        Base rows go from old to new files in the buckets they are in; only changes are dealt out.
+        Base rows go from old to new files in the buckets they are in; only changes are dealt out. With a
+        ``retention``, an interval such as ``30 days``, deleted keys go whose delete is older than the low-water
+        mark: the newest change time in the table, or now if that is earlier, less the retention. A late
+        change above the mark still finds every delete that is newer than it; one below the mark is taken
+        for a new row. A deleted key for which a change waits stays until the next fold, so a writer that
+        dies before the batches are dropped revives nothing.
         """
         settings, folded = self._attached(), self._batches()
         if not folded:
             return False
         view = self._view(settings)
         applied = self._by_bucket(self._spark.sql(view.applied()), settings.buckets)
-        self._write_version(self._spark.sql(view.kept()).unionByName(applied), settings)
+        kept = self._spark.sql(view.kept(self._expired(settings, retention) if retention else None))
+        self._write_version(kept.unionByName(applied), settings)
         self._drop_batches(folded)
         return True
 
+    def low_water_mark(self, retention: str) -> str | None:
+        """Deletes before this time may go, as text; nothing if the table holds no change time."""
+        return self._low_water(self._attached(), retention)
+
+    def _low_water(self, settings: Settings, retention: str) -> str | None:
+        kind = settings.columns[settings.order_by[0]].dataType if settings.order_by else None
+        if not isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return None
+        time = ref(settings.order_by[0])
+        now = F.localtimestamp() if isinstance(kind, T.TimestampNTZType) else F.current_timestamp()
+        both = self._spark.table(self._base).select(time).unionAll(self._spark.table(self._changes).select(time))
+        newest = F.least(F.max(time), now)
+        return both.agg((newest - F.expr(f"INTERVAL '{retention}'")).cast("string")).first()[0]
+
+    def _expired(self, settings: Settings, retention: str) -> str | None:
+        mark = self._low_water(settings, retention)
+        if mark is None:
+            return None
+        time = settings.columns[settings.order_by[0]]
+        return f"k.{IS_DELETED} AND k.{quoted(time.name)} < CAST('{mark}' AS {time.dataType.simpleString()})"
+
     def merge_pending(self) -> None:
         """Put all waiting batches into one, without touching the base."""
         settings, merged = self._attached(), self._batches()
@@ -187,13 +219,13 @@ class KeyedTable:
             rows = self._by_bucket(self._spark.sql(self._view(settings).latest()), settings.buckets)
             self._put_batch(rows, "merged", merged)
 
-    def maintain(self, max_batches: int = 50, ratio: float = 0.1) -> str:
+    def maintain(self, max_batches: int = 50, ratio: float = 0.1, retention: str | None = None) -> str:
         """Keep reads cheap: returns what was done, ``none``, ``merged``, ``compacted`` or ``rebucketed``.
 
         Nothing happens below ``max_batches``. Then the batches are merged, or, once they hold
         ``ratio`` of the bytes of the base, folded in. So a byte of changes causes at most about
         ``1 / ratio`` bytes of the base to be rewritten, however small the batches are. The version before
-        stays for readers that are at work on it.
+        stays for readers that are at work on it. ``retention`` is that of ``compact``.
         """
         if self.pending_batches() < max_batches:
             return "none"
@@ -202,7 +234,7 @@ class KeyedTable:
             self.rebucket()
             done = "rebucketed"
         elif self._storage.bytes_under(f"{self._path}/changes") >= ratio * base:
-            self.compact()
+            self.compact(retention)
             done = "compacted"
         else:
             self.merge_pending()

@@ -52,8 +52,11 @@ class MergedView:
             tied.append(f"b.{name} = c.{name}")
         return "coalesce(" + " OR ".join(f"({term})" for term in terms) + ", false)"
 
-    def kept(self) -> str:
-        """Base rows that no waiting change replaces."""
+    def kept(self, expired: str | None = None) -> str:
+        """Base rows that no waiting change replaces, without ``expired`` ones for whose key no change waits."""
+        if expired:
+            waits = f"EXISTS (SELECT 1 FROM {self.changes} w WHERE w.{KEY} = k.{KEY})"
+            return f"SELECT {self._all} FROM ({self.kept()}) k WHERE NOT coalesce({expired}, false) OR {waits}"
         heads = self.latest() if self.order_by else f"SELECT {KEY} FROM {self.changes}"
         return (
             f"SELECT {self._all} FROM {self.base} b LEFT ANTI JOIN ({heads}) c ON b.{KEY} = c.{KEY} AND NOT {self._stays()}"

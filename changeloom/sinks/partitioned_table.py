@@ -12,7 +12,7 @@ again then: it finds a moved key in both folders and replaces both rows. A table
 from __future__ import annotations
 
 import zlib
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -60,12 +60,16 @@ class PartitionedTable:
         buckets: int | None = None,
         sort_by: Sequence[str] = (),
         deletes: str = "hard",
+        declared: Mapping[str, T.DataType] | None = None,
     ) -> None:
         """Apply one batch; the first one creates the table. A batch that comes again changes nothing.
 
+        The table has the columns of the first batch and the ``declared`` ones that it lacks, NULL at first.
         ``batch_key`` and ``buckets`` are there so that either kind of table can be asked alike.
         """
         if not self.exists():
+            lacking = {n: F.lit(None).cast(kind) for n, kind in (declared or {}).items() if n not in changes.columns}
+            changes = changes.withColumns(lacking) if lacking else changes
             columns = [T.StructField(f.name, f.dataType) for f in changes.schema.fields]
             self._enter(T.StructType([*columns, T.StructField(IS_DELETED, T.BooleanType())]), deletes)
         held = self._table()
@@ -99,8 +103,8 @@ class PartitionedTable:
             return held
         return held.where(~ref(IS_DELETED)).drop(IS_DELETED)
 
-    def maintain(self, max_batches: int = 50, ratio: float = 0.1) -> str:
-        """Nothing waits here: every batch is in its folders already."""
+    def maintain(self, max_batches: int = 50, ratio: float = 0.1, retention: str | None = None) -> str:
+        """Nothing waits here: every batch is in its folders already. Deleted keys stay."""
         return "none"
 
     # Inner workings
