@@ -57,13 +57,14 @@ def column_sketches(df: DataFrame, target: TargetSpec) -> DataFrame:
         none, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
         numeric = number if number is not None else none
         range_text = no_text if number is not None else text
+        # the sketch passes over an empty text, hence the sign before it
         aggregates += [
             F.count_if(ref(name).isNull()).alias(f"null_{i}"),
             F.min(numeric).alias(f"low_{i}"),
             F.max(numeric).alias(f"high_{i}"),
             F.min(range_text).alias(f"low_text_{i}"),
             F.max(range_text).alias(f"high_text_{i}"),
-            F.hll_sketch_agg(text, DISTINCT_LG_K).alias(f"distinct_{i}"),
+            F.hll_sketch_agg(F.concat(F.lit("="), text), DISTINCT_LG_K).alias(f"distinct_{i}"),
             F.kll_sketch_agg_double(numeric, QUANTILE_K).alias(f"quantile_{i}"),
         ]
     totals = df.agg(*aggregates)

@@ -1,6 +1,8 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeloom.functions.keys import key_text
 from changeloom.sinks import keyed_table
@@ -314,3 +316,50 @@ def test_filters_reach_the_base_scan(spark, table):
     put(table, rows(spark, (1, "b", 1, "U")), "b1")
     plan = table.read().where("v = 'a'").select("id")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(v,a)" in plan
+
+
+def deleted(table):
+    return {r.id for r in table.read("soft").collect() if r.is_deleted}
+
+
+def test_old_deletes_go_and_late_changes_above_the_mark_revive_nothing(spark, table):
+    put(table, rows(spark, (1, "a", 0, "I"), (2, "a", 0, "I"), (3, "a", 0, "I"), (4, "a", 0, "I")), "b0")
+    put(table, rows(spark, (1, "a", 1, "D"), (2, "a", 8, "D"), (3, "a", 1, "D")), "b1")
+    table.compact()
+    put(table, rows(spark, (4, "b", 10, "U"), (3, "late", 0, "U")), "b2")
+    assert table.low_water_mark("5 minutes") == "2026-06-30 10:05:00"
+    table.compact("5 minutes")
+    # 1 is older than the mark; 2 is not; a change waited for 3, so it stays until the next fold
+    assert deleted(table) == {2, 3} and state(table) == {4: "b"}
+    put(table, rows(spark, (2, "late", 6, "U")), "b3")
+    assert deleted(table) == {2, 3} and state(table) == {4: "b"}
+    table.compact("5 minutes")
+    assert deleted(table) == {2} and state(table) == {4: "b"}
+
+
+def test_a_driver_that_dies_after_a_purge_revives_nothing(spark, table, monkeypatch):
+    put(table, rows(spark, (1, "a", 0, "I"), (9, "a", 30, "I")), "b0")
+    put(table, rows(spark, (1, "a", 1, "D")), "b1")
+    table.compact()
+    put(table, rows(spark, (1, "late", 0, "U")), "b2")
+    monkeypatch.setattr(KeyedTable, "_drop_batches", lambda *args: (_ for _ in ()).throw(RuntimeError("dead")))
+    with pytest.raises(RuntimeError):
+        table.compact("5 minutes")
+    monkeypatch.undo()
+    assert table.pending_batches() == 1 and state(table) == {9: "a"}
+
+
+def test_a_change_far_in_the_future_does_not_move_the_mark(spark, table):
+    put(table, rows(spark, (1, "a", 0, "I"), (2, "a", 60 * 24 * 365 * 50, "I")), "b0")
+    assert table.low_water_mark("1 day") < "2060"
+    untimed = KeyedTable(spark, table.path + "_untimed")
+    untimed.apply(rows(spark, (1, "a", 0, "I")).select("id", "v"), "b0", keys=["id"], buckets=4)
+    assert untimed.low_water_mark("1 day") is None
+    untimed.apply(rows(spark, (1, "b", 0, "I")).select("id", "v"), "b1", keys=["id"])
+    assert untimed.compact("1 day") and state(untimed) == {1: "b"}
+
+
+def test_a_declared_column_that_the_first_batch_lacks(spark, table):
+    put(table, rows(spark, (1, "a", 0, "I"), (2, "a", 0, "I")), "b0", declared={"id": T.LongType(), "w": T.IntegerType()})
+    put(table, rows(spark, (1, "b", 1, "U")).withColumn("w", F.lit(7)), "b1")
+    assert {(r.id, r.v, r.w) for r in table.read().collect()} == {(1, "b", 7), (2, "a", None)}

@@ -15,6 +15,7 @@ from changeloom.streaming.loads import (
     run_streams,
     start_stream,
 )
+from changeloom.streaming.progress import STREAM_PROGRESS, stream_latency
 from tests.meters import TIME, meters, meters_spec
 
 COLUMNS = "meter_id long, zone string, status string, dms_timestamp timestamp, Op string"
@@ -130,3 +131,37 @@ def test_an_empty_batch_is_only_logged(spark, lake, source):
     counts = apply_micro_batch(changes(spark), 0, source, lake, SMALL, stream_id="q")
     assert (counts.read, counts.written) == (0, 0)
     assert not lake.table(spark, source.target).exists()
+
+
+def test_redelivered_rows_count_once_and_none_is_dropped_as_late(spark, lake, source):
+    landing, once = source.cdc_source_location, replace(NOW, redelivery="1 day", archive=False)
+    first = changes(spark, (1, "active", 50000, "I"), (2, "active", 1, "I"), (2, "sealed", 1, "I"))
+    land(first, landing, "a")
+    run_streams(spark, [source], lake, options=SMALL, stream=once)
+    land(first, landing, "again")
+    land(changes(spark, (3, "active", -50000, "I")), landing, "old")  # long before the newest change time
+    run_streams(spark, [source], lake, options=SMALL, stream=once)
+    log = read_audit(spark, lake.run_log_path, RUN_LOG)
+    assert log.agg(F.sum("records_read")).first()[0] == 4  # rows that differ in one column both count
+    assert set(state(spark, lake, source)) == {1, 2, 3}
+
+
+def test_progress_and_pool_of_a_stream(spark, lake, source, monkeypatch):
+    pools = []
+    monkeypatch.setattr(
+        "changeloom.streaming.loads.apply_micro_batch",
+        lambda df, *rest: pools.append((df.sparkSession.sparkContext.getLocalProperty("spark.scheduler.pool"), df.count())),
+    )
+    for minute, rows in enumerate(([1, 2, 3], [4], [5, 6])):
+        land(changes(spark, *[(i, "active", minute, "I") for i in rows]), source.cdc_source_location, str(minute))
+    before = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+    run_streams(spark, [source], lake, options=SMALL, stream=replace(NOW, progress=True, archive=False))
+    assert sorted(pools) == [("stream-meters", n) for n in (1, 2, 3)]
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == before
+    progress = read_audit(spark, lake.progress_path, STREAM_PROGRESS)
+    assert sorted(r.input_rows for r in progress.collect()) == [1, 2, 3]
+    assert spark.table(lake.progress_name).count() == 3
+    tried_again = progress.unionByName(progress.withColumn("run_id", F.lit("x")))
+    latency = stream_latency(tried_again).collect()
+    assert [(r.stream, r.batches, r.input_rows, r.largest_batch, r.meets_target) for r in latency] == [("stream-meters", 3, 6, 3, True)]
+    assert not stream_latency(progress, target_seconds=0).first().meets_target
