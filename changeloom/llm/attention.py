@@ -125,9 +125,9 @@ def log10_scores(weights, texts: list[np.ndarray], shape: Shape) -> np.ndarray:
         logits += bias
         valid = (first[:, None] + place_scored < lengths[own][:, None]).ravel()
         target = after[at[:, context:].ravel() % len(after)]
+        if logits.max() > 60:  # beyond what exp can hold; a shift by row changes no probability
+            logits -= logits.max(axis=1, keepdims=True)
         picked = logits[np.arange(len(target)), target].astype(np.float64)
-        if logits.max() > 60:
-            np.minimum(logits, 60, out=logits)
         np.exp(logits, out=logits)
         picked -= np.log(logits.sum(axis=1))
         scores.append(picked[valid])

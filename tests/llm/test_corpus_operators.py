@@ -273,6 +273,15 @@ def test_every_token_is_scored_once_from_what_is_before_it():
     assert got == pytest.approx(np.array(wanted), abs=1e-4)
 
 
+@pytest.mark.parametrize("height", [0, 70, 500])
+def test_probabilities_of_all_classes_sum_to_one(height):
+    shape = attention.Shape(classes=9, own=6, width=4, window=6, stride=4, batch=3)
+    weights = attention.start_weights(shape, np.zeros(9, np.float32))
+    weights[5][3], weights[5][4] = height, height - 2
+    each = np.concatenate([attention.log10_scores(weights, [np.array([c])], shape) for c in range(9)])
+    assert (10**each).sum() == pytest.approx(1, abs=1e-4) and each.max() <= 1e-6
+
+
 def test_training_lowers_the_loss():
     shape = attention.Shape(classes=6, own=4, width=8, window=8, stride=4)
     rows = np.tile(np.array([1, 2, 3, 4, 1, 2, 3, 4]), (64, 1))
