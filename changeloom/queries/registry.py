@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -62,14 +62,14 @@ from changeloom.queries.inputs import (
     users,
     users_with_time,
 )
-from changeloom.sinks.audit import read_audit
+from changeloom.sinks.audit import merge_closed_runs, read_audit
 from changeloom.sinks.compaction import compact_small as merge_small_files
 from changeloom.sinks.keyed_table import KeyedTable
 from changeloom.sinks.layout import compact_files, write_partitioned
 from changeloom.sinks.partitioned_table import PartitionedTable
 from changeloom.sinks.rejects import read_rejects, write_rejects
 from changeloom.sources import catalog, files
-from changeloom.storage import scratch_folder
+from changeloom.storage import Storage, scratch_folder
 from changeloom.streaming.loads import StreamFailed, StreamOptions, run_streams
 from changeloom.streaming.progress import STREAM_PROGRESS, stream_latency
 
@@ -853,6 +853,27 @@ def effect_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.select("metric", F.col("failure_reason").cast("bigint").alias("n_keys"))
 
 
+@query
+def audit_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log of three loads, merged into one folder: the same rows, by path and by name."""
+    lake = scratch_lake(spark, "audit_merge")
+    raw = raw_orders(spark, sf_dir)
+    third = F.pmod(F.day("dms_timestamp"), F.lit(3))
+    for part in range(3):
+        load_table(spark, ORDERS_RAW, lake, dataframe=raw.where(third == part))
+    merged = merge_closed_runs(spark, lake.run_log_path, RUN_LOG, date.today() + timedelta(days=2), lake.run_log_name)
+    folders = [n for n in Storage(spark).names(lake.run_log_path) if "=" in n]
+    found = [("path", read_audit(spark, lake.run_log_path, RUN_LOG)), ("name", catalog.read_table(spark, lake.run_log_name))]
+    counted = [
+        log.agg(
+            F.lit(way).alias("way"), F.lit(merged).alias("merged"), F.lit(len(folders)).alias("folders"),
+            F.count(F.lit(1)).alias("n_runs"), F.sum("records_read").alias("records_read"),
+        )
+        for way, log in found
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query
 def tombstone_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deleted keys after two folds, the second with a retention of ten days, and changes above the mark again."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -63,6 +63,13 @@ def enter_partition(spark: SparkSession, name: str, path: str, schema: T.StructT
     spark.catalog.refreshTable(named(name))
 
 
+def drop_partitions(spark: SparkSession, name: str, column: str, values: Sequence[str]) -> None:
+    """Take partitions out of an external table; their files are the caller's."""
+    for value in values:
+        spark.sql(f"ALTER TABLE {named(name)} DROP IF EXISTS PARTITION ({column}='{value}')")
+    spark.catalog.refreshTable(named(name))
+
+
 def run_sql(
     spark: SparkSession,
     query: str,
