@@ -363,3 +363,15 @@ def test_a_declared_column_that_the_first_batch_lacks(spark, table):
     put(table, rows(spark, (1, "a", 0, "I"), (2, "a", 0, "I")), "b0", declared={"id": T.LongType(), "w": T.IntegerType()})
     put(table, rows(spark, (1, "b", 1, "U")).withColumn("w", F.lit(7)), "b1")
     assert {(r.id, r.v, r.w) for r in table.read().collect()} == {(1, "b", 7), (2, "a", None)}
+
+
+def test_a_fold_with_a_retention_shuffles_no_base_row(spark, table):
+    put(table, rows(spark, *[(i, "a", 0, "I") for i in range(50)]), "b0")
+    put(table, rows(spark, *[(i, "a", 9, "D") for i in range(9)]), "b1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        settings = table._attached()
+        kept = spark.sql(table._view(settings).kept(table._expired(settings, "5 minutes")))
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
