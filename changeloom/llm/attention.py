@@ -1,9 +1,10 @@
-"""A small causal self-attention model over token classes, in numpy: one head, one layer.
+"""A small causal self-attention model over subword ids, in numpy: one head, one layer.
 
-Subword ids are grouped into classes: the most frequent ids have one each, all others are dealt over
-the remaining classes by the rank of their count. The model gives the class of the next token from up to
-``window`` tokens before it; inside a class a token has its share of the corpus. So every text has a
-proper probability, and the softmax stays small.
+Every id has a vector of its own, which it shows to the places after it and by which it is told apart
+from the others of its class. The model gives the next id from up to ``window`` ids before it in two steps:
+the id's class, then the id among the class. The most frequent ids are a class each; the others are
+dealt by rank of their count into classes of ``members``, so that no softmax is wide. So every text has a
+proper probability.
 """
 
 from __future__ import annotations
@@ -13,52 +14,65 @@ from dataclasses import dataclass
 
 import numpy as np
 
-START = 0  # the class before the first token
-
 
 @dataclass(frozen=True)
 class Shape:
-    classes: int = 128
-    own: int = 112  # of them for one id each
+    own: int = 112  # ids with a class of their own
+    members: int = 256  # ids of any other class
     width: int = 16
     window: int = 32
     stride: int = 24  # tokens of a window that are scored; the others are context only
-    batch: int = 64  # windows at once
+    batch: int = 256  # windows at once
 
 
 class Classes:
-    """Class of every id, and the log10 share of the id in its class, from corpus counts."""
+    """Class of every id, the ids of every class, and the log share of an id in its class."""
 
     def __init__(self, counts: np.ndarray, shape: Shape):
-        order = np.lexsort((np.arange(len(counts)), -counts))
-        self.of = np.empty(len(counts), np.int64)
-        top = order[: shape.own - 1]
-        self.of[top] = np.arange(1, len(top) + 1)
-        rest = order[len(top) :]
-        spare = shape.classes - shape.own
-        # ranks are dealt on a logarithmic scale: ids as frequent as each other share a class
-        rank = np.log1p(np.arange(len(rest))) / np.log1p(max(1, len(rest)))
-        self.of[rest] = shape.own + np.minimum(spare - 1, (rank * spare).astype(np.int64))
+        self.ids, own = len(counts), min(shape.own, len(counts))
+        self.start = self.ids  # stands before the first token; it has a vector and is never predicted
+        order = np.lexsort((np.arange(self.ids), -counts))
+        rank = np.empty(self.ids, np.int64)
+        rank[order] = np.arange(self.ids)
+        self.of = np.where(rank < own, rank, own + (rank - own) // shape.members)
+        self.place = np.where(rank < own, 0, (rank - own) % shape.members)
+        self.own, self.n = own, int(self.of.max()) + 1
+        rest = order[own:]
+        self.members = [rest[a : a + shape.members] for a in range(0, len(rest), shape.members)]
         smooth = counts + 0.1
-        total = np.bincount(self.of, weights=smooth, minlength=shape.classes)
-        self.share = np.log10(smooth / total[self.of])
-        self.prior = np.log(np.maximum(total, 0.1) / total.sum()).astype(np.float32)
-
-
-def start_weights(shape: Shape, prior: np.ndarray, seed: int = 7) -> list[np.ndarray]:
+        total = np.bincount(self.of, weights=smooth, minlength=self.n)
+        self.share = np.log(smooth / total[self.of]).astype(np.float32)
+        self.prior = np.log(total / total.sum()).astype(np.float32)
+
+    def shared(self, targets: np.ndarray, valid: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each class of several ids: the places whose valid target is in it, and its ids."""
+        at = np.flatnonzero(valid & (self.of[targets] >= self.own))
+        at = at[np.argsort(self.of[targets[at]], kind="stable")]
+        of = self.of[targets[at]]
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        for a, size in zip(first, np.diff(first, append=len(at)), strict=True):
+            yield at[a : a + size], self.members[of[a] - self.own]
+
+
+def start_weights(shape: Shape, classes: Classes, seed: int = 7) -> list[np.ndarray]:
+    """Vectors of the ids and of the start, of places, of queries, keys and values, of the way out, and of classes."""
     draw, d = np.random.default_rng(seed), shape.width
     small = lambda *size: (draw.standard_normal(size) * 0.3 / np.sqrt(d)).astype(np.float32)
-    shapes = [(shape.classes, d), (shape.window, d), (d, 3 * d), (d, d), (d, shape.classes)]
-    return [*(small(*s) for s in shapes), prior.copy()]
+    shapes = [(classes.ids + 1, d), (shape.window, d), (d, 3 * d), (d, d), (d, classes.n)]
+    return [*(small(*s) for s in shapes), classes.prior.copy()]
 
 
-def flat(weights: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate([w.ravel() for w in weights])
+def as_rows(weights: list[np.ndarray]) -> np.ndarray:
+    """All weights as rows as wide as a vector, those of the ids first; the last row may end in zeros."""
+    d = weights[0].shape[1]
+    values = np.concatenate([w.ravel() for w in weights])
+    return np.append(values, np.zeros(-len(values) % d, values.dtype)).reshape(-1, d)
 
 
-def unflat(values: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
+def from_rows(rows: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
     ends = np.cumsum([w.size for w in like])
-    return [part.reshape(w.shape).astype(np.float32) for part, w in zip(np.split(values, ends[:-1]), like, strict=True)]
+    parts = np.split(rows.ravel()[: ends[-1]], ends[:-1])
+    return [part.reshape(w.shape).astype(w.dtype) for part, w in zip(parts, like, strict=True)]
 
 
 def attend(weights, inputs: np.ndarray, mask: np.ndarray):
@@ -82,8 +96,24 @@ def causal(n: int) -> np.ndarray:
     return np.tril(np.ones((n, n), np.float32))
 
 
-def log10_scores(weights, texts: list[np.ndarray], shape: Shape) -> np.ndarray:
-    """log10 probability of every class of the texts, in order, each scored once, in batches of windows.
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
+def _log_picked(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log probability of each row's target; the logits are used up."""
+    if logits.max() > 60 or logits.min() < -60:  # beyond what exp can hold; a shift by row changes no probability
+        logits -= logits.max(axis=1, keepdims=True)
+    picked = logits[np.arange(len(target)), target].astype(np.float64)
+    np.exp(logits, out=logits)
+    return picked - np.log(logits.sum(axis=1))
+
+
+def log10_scores(weights, texts: list[np.ndarray], classes: Classes, shape: Shape) -> np.ndarray:
+    """log10 probability of every id of the texts, in order, each scored once, in batches of windows.
 
     A window is ``window - stride`` places of context and then ``stride`` that are scored. Only these ask;
     all up to the one that asks are attended to. Before the start of a text there is nothing to see.
@@ -96,8 +126,8 @@ def log10_scores(weights, texts: list[np.ndarray], shape: Shape) -> np.ndarray:
         return np.zeros(0)
     base = np.cumsum(lengths) - lengths
     after = np.concatenate([*texts, np.zeros(shape.stride, np.int64)])
-    before = np.concatenate([[START], after[:-1]])
-    before[base[lengths > 0]] = START
+    before = np.concatenate([[classes.start], after[:-1]])
+    before[base[lengths > 0]] = classes.start
     owner = np.repeat(np.arange(len(texts)), parts)
     scored = (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * shape.stride
     causal_ = np.tril(np.ones((shape.stride, shape.window), np.float32), context)
@@ -113,66 +143,85 @@ def log10_scores(weights, texts: list[np.ndarray], shape: Shape) -> np.ndarray:
         k, v = np.split((x.reshape(-1, d) @ projection[:, d:]).reshape(*at.shape, 2 * d), 2, axis=2)
         share = q @ k.transpose(0, 2, 1)
         share *= scale
-        if share.max() > 40:
-            np.minimum(share, 40, out=share)
+        np.clip(share, -40, 40, out=share)
         np.exp(share, out=share)
         share *= causal_
         share[np.flatnonzero(first == 0), :, :context] = 0
         mixed = share @ v
         mixed /= share.sum(axis=2, keepdims=True)
         asking += (mixed.reshape(-1, d) @ out).reshape(asking.shape)
-        logits = asking.reshape(-1, d) @ u
-        logits += bias
         valid = (first[:, None] + place_scored < lengths[own][:, None]).ravel()
-        target = after[at[:, context:].ravel() % len(after)]
-        if logits.max() > 60:  # beyond what exp can hold; a shift by row changes no probability
-            logits -= logits.max(axis=1, keepdims=True)
-        picked = logits[np.arange(len(target)), target].astype(np.float64)
-        np.exp(logits, out=logits)
-        picked -= np.log(logits.sum(axis=1))
-        scores.append(picked[valid])
+        hidden = asking.reshape(-1, d)[valid]
+        target = after[at[:, context:].ravel()[valid]]
+        picked = _log_picked(hidden @ u + bias, classes.of[target])
+        for rows, ids in classes.shared(target, np.ones(len(target), bool)):
+            picked[rows] += _log_picked(hidden[rows] @ table[ids].T + classes.share[ids], classes.place[target[rows]])
+        scores.append(picked)
     return np.concatenate(scores) / np.log(10)
 
 
-def gradients(weights, inputs: np.ndarray, targets: np.ndarray, valid: np.ndarray, mask: np.ndarray):
+def gradients(weights, inputs: np.ndarray, targets: np.ndarray, times: np.ndarray, classes: Classes, mask: np.ndarray):
+    """Mean loss a token, its gradients, and the ids whose vectors have one; a place counts ``times`` times."""
     table, places, projection, out, u, bias = weights
-    n, d = max(1, int(valid.sum())), table.shape[1]
+    n, d, flat_targets = max(1.0, float(times.sum())), table.shape[1], targets.ravel()
     hidden, (x, q, k, v, share, mixed) = attend(weights, inputs, mask)
-    logits = hidden.reshape(-1, d) @ u + bias
-    logits -= logits.max(axis=1, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=1, keepdims=True)
-    row = np.arange(len(p))
-    loss = -float(np.log(p[row, targets.ravel()] + 1e-30)[valid.ravel()].sum()) / n
-    p[row, targets.ravel()] -= 1
-    p *= valid.reshape(-1, 1) / np.float32(n)
-    d_u, d_bias = hidden.reshape(-1, d).T @ p, p.sum(axis=0)
-    d_hidden = (p @ u.T).reshape(x.shape)
-    d_out = mixed.reshape(-1, d).T @ d_hidden.reshape(-1, d)
-    d_mixed = (d_hidden.reshape(-1, d) @ out.T).reshape(x.shape)
+    flat_hidden, each = hidden.reshape(-1, d), (times.reshape(-1, 1) / n).astype(table.dtype)
+    valid = each[:, 0] > 0
+    p = _softmax(flat_hidden @ u + bias)
+    row, of = np.arange(len(p)), classes.of[flat_targets]
+    loss = -float((np.log(p[row, of] + 1e-30) * each[:, 0]).sum())
+    p[row, of] -= 1
+    p *= each
+    d_u, d_bias, d_flat = flat_hidden.T @ p, p.sum(axis=0), p @ u.T
+    d_table, touched = np.zeros_like(table), [inputs.ravel()]
+    for rows, ids in classes.shared(flat_targets, valid):
+        p = _softmax(flat_hidden[rows] @ table[ids].T + classes.share[ids])
+        row, of = np.arange(len(p)), classes.place[flat_targets[rows]]
+        loss -= float((np.log(p[row, of] + 1e-30) * each[rows, 0]).sum())
+        p[row, of] -= 1
+        p *= each[rows]
+        d_flat[rows] += p @ table[ids]
+        d_table[ids] += p.T @ flat_hidden[rows]
+        touched.append(ids)
+    d_hidden = d_flat.reshape(x.shape)
+    d_out = mixed.reshape(-1, d).T @ d_flat
+    d_mixed = (d_flat @ out.T).reshape(x.shape)
     d_share = d_mixed @ v.transpose(0, 2, 1)
     d_v = share.transpose(0, 2, 1) @ d_mixed
     d_score = share * (d_share - (d_share * share).sum(axis=2, keepdims=True)) * np.float32(d**-0.5)
     joint = np.concatenate([d_score @ k, d_score.transpose(0, 2, 1) @ q, d_v], axis=2).reshape(-1, 3 * d)
     d_x = d_hidden + (joint @ projection.T).reshape(x.shape)
-    flat_x, rows_ = d_x.reshape(-1, d), inputs.ravel()
-    d_table = np.stack([np.bincount(rows_, flat_x[:, i], len(table)) for i in range(d)], axis=1).astype(table.dtype)
+    order = np.argsort(touched[0], kind="stable")
+    first = np.flatnonzero(np.diff(touched[0][order], prepend=-1))
+    touched[0] = touched[0][order][first]
+    d_table[touched[0]] += np.add.reduceat(d_x.reshape(-1, d)[order], first, axis=0)
     d_places = np.zeros_like(places)
     d_places[: inputs.shape[1]] = d_x.sum(axis=0)
-    return loss, [d_table, d_places, x.reshape(-1, d).T @ joint, d_out, d_u, d_bias]
+    return loss, [d_table, d_places, x.reshape(-1, d).T @ joint, d_out, d_u, d_bias], np.unique(np.concatenate(touched))
 
 
-def train(weights: list[np.ndarray], batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], rate: float) -> tuple[list[np.ndarray], int, float]:
-    """Adam over batches of (inputs, targets, valid): weights, windows seen, mean loss."""
+def train(weights: list[np.ndarray], batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], classes: Classes, rate: float):
+    """One pass over batches of (inputs, targets, times): weights, occurrences of each id, tokens, mean loss.
+
+    Vectors of ids take steps by Adagrad where a batch touches them, all other weights by Adam.
+    """
     weights = [w.copy() for w in weights]
-    mean, square = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
-    seen, losses, mask = 0, 0.0, causal(weights[1].shape[0])
-    for step, (inputs, targets, valid) in enumerate(batches, 1):
-        loss, grads = gradients(weights, inputs, targets, valid, mask)
-        for w, g, m, s in zip(weights, grads, mean, square, strict=True):
+    table, others = weights[0], weights[1:]
+    power = np.zeros_like(table)
+    mean, square = [np.zeros_like(w) for w in others], [np.zeros_like(w) for w in others]
+    seen, tokens, losses, mask = np.zeros(len(table), np.int64), 0, 0.0, causal(len(others[0]))
+    for step, (inputs, targets, times) in enumerate(batches, 1):
+        loss, (d_table, *grads), touched = gradients(weights, inputs, targets, times, classes, mask)
+        g = d_table[touched]
+        power[touched] += g * g
+        table[touched] -= np.float32(5 * rate) * g / (np.sqrt(power[touched]) + np.float32(1e-8))
+        for w, g, m, s in zip(others, grads, mean, square, strict=True):
             m += np.float32(0.1) * (g - m)
             s += np.float32(0.01) * (g * g - s)
             w -= np.float32(rate) * (m / np.float32(1 - 0.9**step)) / (np.sqrt(s / np.float32(1 - 0.99**step)) + np.float32(1e-8))
-        seen += len(inputs)
-        losses += loss * len(inputs)
-    return weights, seen, losses / max(1, seen)
+        n = int(times.sum())
+        for ids in (inputs, targets):
+            np.add.at(seen, ids.ravel(), times.ravel())
+        tokens += n
+        losses += loss * n
+    return weights, seen, tokens, losses / max(1, tokens)

@@ -5,9 +5,11 @@ sends its distinct words with their counts to the words' buckets, a bucket adds
 subwords of its words on the way, and sends each block the corpus counts of the words it asked for.
 The vocabulary is never in one place.
 
-The attention model is trained by averaging. Each round, every task makes one pass over its own windows,
-starting from the common weights, and the weighted mean of the results is the next start. Windows are
-consecutive and cover every training text from its first token to its end. Only sums as long as the weights or the subword vocabulary reach the driver.
+The attention model is trained by averaging. Windows are consecutive and cover every training text from
+its first token to its end; equal ones are one that counts as often as it occurs. Windows are dealt into shards by a hash. Each
+round, every shard is passed over once from the common weights; the mean of the results is the next
+start, for an id's vector weighted by how often the shard holds the id. Only sums as long as the weights
+or the subword vocabulary reach the driver.
 
 A text is then scored in overlapping windows: each is attended to with a causal mask, and only its
 last ``stride`` places are scored, so that every token is scored once and, but for the first of a text,
@@ -20,13 +22,14 @@ Words are runs of bytes other than ASCII white space, with A-Z lower-cased; one
 Defined results: a null or empty text has the end as its only token; a row without an id is in no
 held-out part, so it is learned from; repeated rows give repeated results and are learned from each; an
 empty table gives an empty table; without any training text all counts are zero and the model keeps its
-first weights; other columns are ignored.
+first weights; other columns are ignored. Rows without an id are dealt by their text.
+Scores do not depend on how rows are dealt over tasks, but for rounding.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -55,7 +58,9 @@ class Scoring:
     bucket_bytes: int = 4 << 20  # of text for each bucket of words
     rounds: int = 2
     rate: float = 0.01
-    train_batch: int = 32
+    train_batch: int = 256
+    shard_windows: int = 1 << 17  # different windows that one task learns from in a round
+    grain: int = 1 << 18  # steps of a weight to one; an id's occurrences times its steps must fit a long
     word_share: float = 0.6
 
 
@@ -170,17 +175,17 @@ def subword_counts(replies: DataFrame, how: Scoring) -> np.ndarray:
 # ---- training ----------------------------------------------------------------------------------
 
 
-def training_windows(docs: DataFrame, tokenizer: str, classes: Classes, how: Scoring) -> DataFrame:
-    """One row per window: the class before it and its classes. Every token of every training text is in one window."""
+def training_windows(docs: DataFrame, tokenizer: str, start: int, how: Scoring) -> DataFrame:
+    """Different windows and how often each occurs: the id before it, its ids. Every token of every training text is in one window."""
     longest = how.shape.window
 
     def windows(text: bytes) -> Iterator[tuple[int, np.ndarray]]:
-        words, before, left = text.lower().split(), attention.START, np.zeros(0, np.int64)
+        words, before, left = text.lower().split(), start, np.zeros(0, np.int64)
         for a in range(0, len(words) + 1, PART):
-            held = np.append(left, classes.of[subword_ids(tokenizer, words[a : a + PART])[0]])
+            held = np.append(left, subword_ids(tokenizer, words[a : a + PART])[0])
             last = a + PART > len(words)
             if last:
-                held = np.append(held, classes.of[how.end_id])
+                held = np.append(held, how.end_id)
             whole = len(held) if last else len(held) - len(held) % longest
             for k in range(0, whole, longest):
                 yield before, held[k : min(k + longest, whole)]
@@ -190,52 +195,64 @@ def training_windows(docs: DataFrame, tokenizer: str, classes: Classes, how: Sco
     def run(batches):
         for batch in bounded(batches):
             rows = [
-                (before, held.astype(np.uint8).tobytes())
+                (before, held.astype(np.uint16).tobytes())
                 for text in raw(batch.column("text"))
                 for before, held in windows(text)
             ]
-            yield _record(rows, ["before", "classes"], [pa.int32(), pa.binary()])
+            yield _record(rows, ["before", "ids"], [pa.int32(), pa.binary()])
 
-    return docs.where("learn").mapInArrow(run, "before int, classes binary")
+    each = docs.where("learn").mapInArrow(run, "before int, ids binary")
+    return each.groupBy("before", "ids").agg(F.count("*").alias("times"))
+
+
+def batches_of(table: pa.Table, how: Scoring) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Windows of a shard in the order of their hashes, as inputs, targets and times a place counts."""
+    before, times = table.column("before").to_numpy(), table.column("times").to_numpy()
+    held, longest = table.column("ids").to_pylist(), how.shape.window
+    order = np.lexsort((before, table.column("hash").to_numpy()))
+    for a in range(0, len(order), how.train_batch):
+        at = order[a : a + how.train_batch]
+        own = [np.frombuffer(held[i], np.uint16) for i in at]
+        inside = np.arange(longest) < np.array([len(ids) for ids in own])[:, None]
+        targets = np.zeros(inside.shape, np.int64)
+        targets[inside] = np.concatenate(own)
+        inputs = np.concatenate([before[at, None], targets[:, :-1]], axis=1)
+        yield inputs, targets, np.where(inside, times[at, None], 0)
 
 
 def fit(windows: DataFrame, classes: Classes, how: Scoring) -> list[np.ndarray]:
-    weights = attention.start_weights(how.shape, classes.prior)
-    longest = how.shape.window
+    """Weights after all rounds; they depend on the windows, not on how rows are dealt over tasks.
 
-    def batches_of(batches):
-        held: list[tuple[int, bytes]] = []
-        for batch in batches:
-            held += zip(batch.column("before").to_pylist(), batch.column("classes").to_pylist(), strict=True)
-            while len(held) >= how.train_batch:
-                yield as_arrays(held[: how.train_batch])
-                held = held[how.train_batch :]
-        if held:
-            yield as_arrays(held)
-
-    def as_arrays(rows):
-        targets, valid = np.zeros((len(rows), longest), np.int64), np.zeros((len(rows), longest), bool)
-        inputs = np.zeros((len(rows), longest), np.int64)
-        for i, (before, held) in enumerate(rows):
-            own = np.frombuffer(held, np.uint8)
-            targets[i, : len(own)], valid[i, : len(own)] = own, True
-            inputs[i, 0], inputs[i, 1 : len(own)] = before, own[:-1]
-        return inputs, targets, valid
+    A window's hash says its shard and its place there. Shards are of about one size whatever the number of
+    tasks. What a shard learned is added up in whole numbers, whose sum does not depend on the order.
+    """
+    weights, d = attention.start_weights(how.shape, classes), how.shape.width
+    shards = -(-windows.count() // how.shard_windows)
+    if not shards:
+        return weights
+    values = [f"v{i}" for i in range(d)]
+    schema = ", ".join(["row int", "n long", *(f"{v} long" for v in values)])
+    hash_ = F.xxhash64("before", "ids")
+    dealt = windows.withColumn("hash", hash_).withColumn("shard", F.pmod(hash_, F.lit(shards)))
+
+    def learner(start: list[np.ndarray], rate: float) -> Callable[[pa.Table], pa.Table]:
+        def run(table: pa.Table) -> pa.Table:
+            trained, seen, tokens, _ = attention.train(start, batches_of(table, how), classes, rate)
+            moved = attention.as_rows(trained).astype(np.float64) - attention.as_rows(start)
+            n = np.append(seen, np.full(len(moved) - len(seen), tokens))
+            at = np.flatnonzero(n)
+            steps = np.rint(moved[at] * how.grain).astype(np.int64) * n[at, None]
+            return pa.table([pa.array(at, pa.int32()), pa.array(n[at]), *map(pa.array, steps.T)], ["row", "n", *values])
+
+        return run
 
     for turn in range(how.rounds):
-        start, rate = weights, how.rate / (1 + turn)
-
-        def run(batches, start=start, rate=rate):
-            trained, seen, loss = attention.train(start, batches_of(batches), rate)
-            if seen:
-                values = np.append(attention.flat(trained).astype(np.float64) * seen, [seen, loss * seen])
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int32()), pa.array(values)], ["i", "v"])
-
-        sums = windows.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
-        if sums.num_rows:
-            values = np.zeros(sums.num_rows)
-            values[sums.column("i").to_numpy()] = sums.column("v").to_numpy()
-            weights = attention.unflat(values[:-2] / values[-2], weights)
+        learned = dealt.groupBy("shard").applyInArrow(learner(weights, how.rate / (1 + turn)), schema)
+        sums = learned.groupBy("row").agg(*(F.sum(c).alias(c) for c in ["n", *values])).toArrow()
+        rows, at = attention.as_rows(weights).astype(np.float64), sums.column("row").to_numpy()
+        steps = np.stack([sums.column(v).to_numpy() for v in values], axis=1)
+        rows[at] += steps / (sums.column("n").to_numpy()[:, None] * float(how.grain))
+        weights = attention.from_rows(rows, weights)
     return weights
 
 
@@ -277,13 +294,14 @@ def score(docs: DataFrame, held_out: Column, tokenizer: str, how: Scoring = Scor
     plain = narrow(docs, (~held_out).alias("learn"))
     total, rows = plain.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     per_block = max(1, int(how.block_bytes * rows / max(total or 0, how.block_bytes)))
-    block = F.floor(F.coalesce("doc_id", F.lit(0)) / per_block).cast("long")
+    blocks = 1 + (total or 0) // how.block_bytes
+    block = F.coalesce(F.floor(F.col("doc_id") / per_block), F.pmod(F.xxhash64("text"), F.lit(blocks))).cast("long")
     dealt = plain.withColumn("block", block)
     buckets = 1 + (total or 0) // how.bucket_bytes
     replies = staged(answered(word_requests(dealt, buckets, how), tokenizer, how), "word-counts")
     n, distinct = replies.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     classes = Classes(subword_counts(replies, how), how.shape)
-    weights = fit(staged(training_windows(dealt, tokenizer, classes, how), "windows"), classes, how)
+    weights = fit(staged(training_windows(dealt, tokenizer, classes.start, how), "windows"), classes, how)
     names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     types = [*[pa.int64()] * 4, *[pa.float64()] * 2]
 
@@ -295,26 +313,23 @@ def score(docs: DataFrame, held_out: Column, tokenizer: str, how: Scoring = Scor
         times = np.fromiter(counts.values(), np.int64, len(counts))
         base = np.log10((times + 0.1) / (n + 0.1 * (distinct + 1)))
         ids, begin = subword_ids(tokenizer, [w if w != END else b"" for w in counts])
-        sizes, of, share = np.diff(begin), classes.of[ids], classes.share[ids]
-        end, end_class, end_share = number.get(END), classes.of[how.end_id], classes.share[how.end_id]
+        sizes, end = np.diff(begin), number.get(END)
         known = how.word_share * times / max(1, n)
         out = []
         for row in left.to_pylist():
             doc_ids, texts = _texts(row)
             for a in range(0, len(texts), 64):
-                held, spelled, words = [], [], []
+                held, words = [], []
                 for text in texts[a : a + 64]:
                     at = np.fromiter(map(number.__getitem__, text.lower().split()), np.int64)
                     size = sizes[at]
                     place = np.repeat(begin[at] - np.cumsum(size) + size, size) + np.arange(size.sum())
-                    held.append(np.append(of[place], end_class))
-                    spelled.append(np.append(share[place], end_share))
+                    held.append(np.append(ids[place], how.end_id))
                     words.append(np.append(at, end))
-                logs = np.concatenate([[0], np.cumsum(attention.log10_scores(weights, held, how.shape) + np.concatenate(spelled))])
+                logs = attention.log10_scores(weights, held, classes, how.shape)
                 every = np.concatenate(words)
                 width = np.where(every == end, 1, sizes[every])
-                stop = np.cumsum(width)
-                attended = logs[stop] - logs[stop - width]
+                attended = np.where(width > 0, np.add.reduceat(logs, np.cumsum(width) - width), 0)
                 mixed = np.log10(known[every] + (1 - how.word_share) * 10.0 ** np.maximum(attended, -300))
                 first = np.cumsum([0, *map(len, words)])[:-1]
                 columns = (np.add.reduceat(base[every], first), np.add.reduceat(mixed, first), np.add.reduceat((times[every] > 0).astype(np.int64), first))

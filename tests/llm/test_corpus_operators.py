@@ -235,62 +235,91 @@ def test_nothing_to_shard(spark):
 # language-model scores
 
 
+SMALL = attention.Shape(own=3, members=4, width=4, window=6, stride=4, batch=3)
+FEW = attention.Classes(np.array([5, 0, 9, 1, 1, 7, 2, 3, 1]), SMALL)
+
+
 def test_gradients_are_those_of_the_loss():
-    shape = attention.Shape(classes=7, own=5, width=4, window=5, stride=3)
     draw = np.random.default_rng(0)
-    weights = [w.astype(np.float64) for w in attention.start_weights(shape, np.zeros(7, np.float32))]
-    inputs, targets = draw.integers(0, 7, (3, 5)), draw.integers(0, 7, (3, 5))
-    valid, mask = draw.random((3, 5)) < 0.8, attention.causal(5)
-    _, grads = attention.gradients(weights, inputs, targets, valid, mask)
+    weights = [w.astype(np.float64) for w in attention.start_weights(SMALL, FEW)]
+    inputs, targets = draw.integers(0, 10, (3, 6)), draw.integers(0, 9, (3, 6))
+    times, mask = draw.integers(0, 4, (3, 6)), attention.causal(6)
+    loss = lambda: attention.gradients(weights, inputs, targets, times, FEW, mask)[0]
+    _, grads, touched = attention.gradients(weights, inputs, targets, times, FEW, mask)
+    assert set(np.flatnonzero(np.abs(grads[0]).sum(axis=1))) <= set(touched)
     for w, g in zip(weights, grads, strict=True):
-        at = tuple(draw.integers(0, n) for n in w.shape)
-        kept, eps = w[at], 1e-5
-        w[at] = kept + eps
-        more = attention.gradients(weights, inputs, targets, valid, mask)[0]
-        w[at] = kept - eps
-        less = attention.gradients(weights, inputs, targets, valid, mask)[0]
-        w[at] = kept
-        assert g[at] == pytest.approx((more - less) / (2 * eps), rel=1e-3, abs=1e-6)
+        for at in [tuple(draw.integers(0, n) for n in w.shape) for _ in range(6)]:
+            kept, eps = w[at], 1e-5
+            w[at] = kept + eps
+            more = loss()
+            w[at] = kept - eps
+            less = loss()
+            w[at] = kept
+            assert g[at] == pytest.approx((more - less) / (2 * eps), rel=1e-3, abs=1e-6)
+
+
+def test_a_place_that_counts_twice_is_two_places():
+    draw = np.random.default_rng(2)
+    weights = [w.astype(np.float64) for w in attention.start_weights(SMALL, FEW)]
+    inputs, targets = draw.integers(0, 10, (2, 6)), draw.integers(0, 9, (2, 6))
+    twice = np.ones((2, 6), np.int64) * [[2], [1]]
+    one = attention.gradients(weights, inputs, targets, twice, FEW, attention.causal(6))
+    again = [np.concatenate([v, v[:1]]) for v in (inputs, targets)]
+    two = attention.gradients(weights, *again, np.ones((3, 6), np.int64), FEW, attention.causal(6))
+    assert one[0] == pytest.approx(two[0])
+    for g, h in zip(one[1], two[1], strict=True):
+        assert g == pytest.approx(h)
+
+
+def plain_log10(weights, classes, shape, ids):
+    """log10 probability of each id from a loop over its window and one softmax over all ids."""
+    table, context, out = weights[0], shape.window - shape.stride, []
+    before = np.concatenate([[classes.start], ids[:-1]]).astype(int)
+    for t, target in enumerate(ids):
+        scored = t // shape.stride * shape.stride
+        first = max(0, scored - context)
+        own = [table, weights[1][first - scored + context :], *weights[2:]]
+        hidden, _ = attention.attend(own, before[None, first : t + 1], attention.causal(t + 1 - first))
+        of_class = np.exp((hidden[0, -1] @ weights[4] + weights[5]).astype(float))
+        among = np.exp((table[:-1] @ hidden[0, -1] + classes.share).astype(float))
+        mass = np.bincount(classes.of, among, classes.n)
+        single = classes.of < classes.own
+        each = of_class[classes.of] / of_class.sum() * np.where(single, 1, among / mass[classes.of])
+        assert each.sum() == pytest.approx(1)
+        out.append(math.log10(each[target]))
+    return out
 
 
 def test_every_token_is_scored_once_from_what_is_before_it():
-    shape = attention.Shape(classes=9, own=6, width=4, window=6, stride=4, batch=3)
     draw = np.random.default_rng(1)
-    weights = attention.start_weights(shape, np.zeros(9, np.float32))
-    texts = [draw.integers(1, 9, n) for n in (1, 4, 5, 17)]
-    got = attention.log10_scores(weights, texts, shape)
-    wanted = []
-    context = shape.window - shape.stride
-    for text in texts:
-        before = np.concatenate([[attention.START], text[:-1]])
-        for t in range(len(text)):
-            scored = t // shape.stride * shape.stride
-            first = max(0, scored - context)
-            own = [*weights[:1], weights[1][first - scored + context :], *weights[2:]]
-            hidden, _ = attention.attend(own, before[None, first : t + 1], attention.causal(t + 1 - first))
-            logits = hidden[0, -1] @ weights[4] + weights[5]
-            wanted.append((logits[text[t]] - np.log(np.exp(logits).sum())) / np.log(10))
+    weights = attention.start_weights(SMALL, FEW)
+    texts = [draw.integers(0, 9, n) for n in (1, 4, 5, 17)]
+    got = attention.log10_scores(weights, texts, FEW, SMALL)
+    wanted = [v for text in texts for v in plain_log10(weights, FEW, SMALL, text)]
     assert got == pytest.approx(np.array(wanted), abs=1e-4)
 
 
 @pytest.mark.parametrize("height", [0, 70, 500])
-def test_probabilities_of_all_classes_sum_to_one(height):
-    shape = attention.Shape(classes=9, own=6, width=4, window=6, stride=4, batch=3)
-    weights = attention.start_weights(shape, np.zeros(9, np.float32))
+def test_probabilities_of_all_ids_sum_to_one(height):
+    weights = attention.start_weights(SMALL, FEW)
     weights[5][3], weights[5][4] = height, height - 2
-    each = np.concatenate([attention.log10_scores(weights, [np.array([c])], shape) for c in range(9)])
+    weights[0][:] *= 1 + height
+    each = np.concatenate([attention.log10_scores(weights, [np.array([c])], FEW, SMALL) for c in range(9)])
     assert (10**each).sum() == pytest.approx(1, abs=1e-4) and each.max() <= 1e-6
 
 
-def test_training_lowers_the_loss():
-    shape = attention.Shape(classes=6, own=4, width=8, window=8, stride=4)
-    rows = np.tile(np.array([1, 2, 3, 4, 1, 2, 3, 4]), (64, 1))
-    inputs = np.concatenate([np.zeros((64, 1), int), rows[:, :-1]], axis=1)
-    batch = (inputs, rows, np.ones(rows.shape, bool))
-    weights = attention.start_weights(shape, np.zeros(6, np.float32))
-    trained, seen, _ = attention.train(weights, iter([batch] * 120), 0.02)
-    assert seen == 120 * 64
-    assert attention.gradients(trained, *batch, attention.causal(8))[0] < 0.3
+def test_ids_of_one_class_are_told_apart():
+    """Which of two rare ids comes next is learned from which of two others came before."""
+    shape = attention.Shape(own=1, members=8, width=8, window=4, stride=2)
+    classes = attention.Classes(np.ones(9), shape)
+    rows = np.array([[1, 2, 1, 2], [3, 4, 3, 4], [5, 6, 5, 6], [7, 8, 7, 8]] * 16)
+    assert len(set(classes.of[rows].ravel())) == 1
+    inputs = np.concatenate([np.full((64, 1), classes.start), rows[:, :-1]], axis=1)
+    batch = (inputs, rows, np.ones(rows.shape, np.int64))
+    trained, seen, tokens, _ = attention.train(attention.start_weights(shape, classes), iter([batch] * 300), classes, 0.02)
+    assert tokens == 300 * 256 and seen[classes.start] == 300 * 64 and not seen[0]
+    after = attention.log10_scores(trained, [np.array([1, 2]), np.array([3, 4]), np.array([1, 4])], classes, shape)
+    assert 10 ** after[1] > 0.8 and 10 ** after[3] > 0.8 and 10 ** after[5] < 0.1
 
 
 @both
@@ -313,17 +342,51 @@ def test_scores(spark, shape):
 def test_training_windows_cover_every_token(spark, monkeypatch):
     monkeypatch.setattr(scoring, "PART", 50)
     how = scoring.Scoring()
-    classes = attention.Classes(np.arange(how.subwords), how.shape)
     docs = documents(spark).where("doc_id in (1, 2, 6, 8)").withColumn("learn", F.lit(True)).coalesce(1)
-    rows = scoring.training_windows(docs, WORDS, classes, how).collect()
-    wanted = []
+    rows = scoring.training_windows(docs, WORDS, how.subwords, how).collect()
+    wanted = Counter()
     for _, text, *_ in (row for row in ROWS if row[0] in (1, 2, 6, 8)):
-        ids, _ = scoring.subword_ids(WORDS, (text or "").encode().lower().split())
-        own = classes.of[np.append(ids, how.end_id)].tolist()
-        before = [attention.START, *own]
-        wanted += [(before[k], own[k : k + how.shape.window]) for k in range(0, len(own), how.shape.window)]
-    got = [(r.before, list(r.classes)) for r in rows]
-    assert sorted(got) == sorted(wanted) and sum(len(c) for _, c in got) > 30_000
+        own = np.append(scoring.subword_ids(WORDS, (text or "").encode().lower().split())[0], how.end_id).tolist()
+        before = [how.subwords, *own]
+        wanted.update((before[k], tuple(own[k : k + how.shape.window])) for k in range(0, len(own), how.shape.window))
+    got = {(r.before, tuple(np.frombuffer(r.ids, np.uint16).tolist())): r.times for r in rows}
+    assert got == wanted and sum(len(ids) * n for (_, ids), n in got.items()) > 30_000
+
+
+def test_scores_do_not_depend_on_how_rows_are_dealt(spark):
+    how = scoring.Scoring(shard_windows=40, train_batch=8)
+    docs = documents(spark, [*ROWS, *ROWS[:3]])
+    found = [
+        sorted((r.doc_id or 0, r.n_tokens, r.score) for r in scoring.score(dealt, F.col("doc_id") == 3, WORDS, how).collect())
+        for dealt in (docs.coalesce(1), docs.repartition(7, F.rand(3)))
+    ]
+    assert [r[:2] for r in found[0]] == [r[:2] for r in found[1]]
+    assert [r[2] for r in found[0]] == pytest.approx([r[2] for r in found[1]], rel=1e-6)
+
+
+def test_score_is_that_of_a_plain_loop(spark, monkeypatch):
+    """0.6 of a word's share of the training tokens, 0.4 of what attention gives its subwords, by a loop over windows."""
+    held, fit = [], scoring.fit
+
+    def kept(windows, classes, how):
+        held.append((fit(windows, classes, how), classes))
+        return held[0][0]
+
+    monkeypatch.setattr(scoring, "fit", kept)
+    texts = [(1, "the cat sat on the mat " * 9), (2, "Unseenly quixotic zebras, THE cat"), (3, None), (4, "the dog ate the cat")]
+    docs = documents(spark, [(i, t, "en", "a", 0) for i, t in texts])
+    how = scoring.Scoring()
+    found = {r.doc_id: r.score for r in scoring.score(docs, F.col("doc_id") == 2, WORDS, how).collect()}
+    weights, classes = held[0]
+    split = {i: [*(t or "").encode().lower().split(), b""] for i, t in texts}
+    counts = Counter(w for i, words in split.items() if i != 2 for w in words)
+    for i, words in split.items():
+        spelled = [scoring.subword_ids(WORDS, [w])[0].tolist() if w else [how.end_id] for w in words]
+        logs, wanted = iter(plain_log10(weights, classes, how.shape, [x for ids in spelled for x in ids])), 0.0
+        for word, ids in zip(words, spelled, strict=True):
+            attended = 10 ** sum(next(logs) for _ in ids)
+            wanted += math.log10(0.6 * counts[word] / counts.total() + 0.4 * attended)
+        assert found[i] == pytest.approx(wanted, abs=1e-3)
 
 
 def test_nothing_to_learn_from(spark):
