@@ -241,6 +241,13 @@ def classify_changes(
     return matched.withColumn(EFFECT, effect).select(*map(ref, changes.columns), ref(EFFECT))
 
 
+def effect_counts(
+    base: DataFrame, changes: DataFrame, keys: Sequence[str], op: str | None = None, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """How many keys applying the changes would insert, update, delete or leave alone."""
+    return classify_changes(base, changes, keys, op, order_by).groupBy(EFFECT).agg(F.count(F.lit(1)).alias("n_keys"))
+
+
 def _flag_deletes(changes: DataFrame, op: str | None) -> DataFrame:
     """Turn the operation into a delete flag; changes staged earlier carry the flag already."""
     if op is None and IS_DELETED in changes.columns:

@@ -11,6 +11,7 @@ from changeloom.functions.keys import CHANGE_TIME
 from changeloom.operators.audit import JOB_NAME
 from changeloom.operators.quality import QualityOptions
 from changeloom.plans.specs import TargetSpec
+from changeloom.sinks.format_table import FormatTable
 from changeloom.sinks.keyed_table import KeyedTable
 from changeloom.sinks.partitioned_table import PartitionedTable
 
@@ -29,7 +30,8 @@ class LoadOptions:
     sequence_column: orders changes that share a change time.
     buckets: hash buckets of a new table; None derives them from the size of the first load.
     layout: ``keyed`` buckets a target by its key; ``partitioned`` keeps it in folders by its partition
-        columns, if it has any, and rewrites the folders that a batch touches.
+        columns, if it has any, and rewrites the folders that a batch touches; ``format`` keeps it by the
+        format its spec names, which must have row-level operations to take a second batch.
     cache: keep a validated input instead of scanning it again. None decides by mode: a
         micro-batch is bounded and kept, a full load is not.
     compact_every: batches a stream leaves waiting before it merges them or folds them into the
@@ -101,10 +103,14 @@ class Lake:
     def progress_path(self) -> str:
         return f"{self.root}/{AUDIT_DATABASE}/{PROGRESS_TABLE}"
 
-    def table(self, spark: SparkSession, target: TargetSpec, layout: str = "keyed") -> KeyedTable | PartitionedTable:
+    def table(self, spark: SparkSession, target: TargetSpec, layout: str = "keyed") -> KeyedTable | PartitionedTable | FormatTable:
+        """Handle on a target. A spec without a table name has no name in the catalog; ``format`` needs one."""
         name = ".".join(filter(None, [target.database, target.table]))
-        if layout == "partitioned" and target.partition_keys:
-            folders = [key.name for key in target.partition_keys]
+        folders = [key.name for key in target.partition_keys]
+        if layout == "format":
+            path = f"{self.table_path(target)}_{target.format}"
+            return FormatTable(spark, path, target.format, folders, name=name, compression=target.compression)
+        if layout == "partitioned" and folders:
             path = f"{self.table_path(target)}_partitioned"
             return PartitionedTable(spark, path, folders, name=name or None, compression=target.compression)
         return KeyedTable(spark, self.table_path(target), name=name or None, compression=target.compression)

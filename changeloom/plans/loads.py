@@ -82,16 +82,17 @@ def load_rows(
                 write_audit(column_sketches(rows, target), lake.sketches_path, batch_key, lake.sketches_name)
             prepared = prepare_for_target(rows, target, source)
             table = lake.table(spark, target, options.layout)
+            keys, order_by = match_columns(target, rows.columns), options.order_by([*target.schema, *rows.columns])
             if options.count_effects and table.exists():
                 # one row per effect
-                effects = {r[EFFECT]: r["n_keys"] for r in table.effects(prepared, OPERATION).collect()}
-                counts = replace(counts, effects=effects)
+                effects = table.effects(prepared, OPERATION, keys=keys, order_by=order_by).collect()
+                counts = replace(counts, effects={r[EFFECT]: r["n_keys"] for r in effects})
             table.apply(
                 prepared,
                 batch_key,
-                keys=match_columns(target, rows.columns),
+                keys=keys,
                 op=OPERATION,
-                order_by=options.order_by([*target.schema, *rows.columns]),
+                order_by=order_by,
                 buckets=options.buckets,
                 sort_by=[key.name for key in target.partition_keys],
                 deletes=source.cdc.deletes if source.cdc else "hard",

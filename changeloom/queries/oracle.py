@@ -213,6 +213,12 @@ UNION ALL
 SELECT 'tbl_users', count(*) FROM latest WHERE op <> 'D'""",
     "batch_load": f"""
 WITH {_TAGGED}
+SELECT order_id, cust_id, CAST(score AS VARCHAR) AS score, status, dms_timestamp AS cdc_timestamp,
+       CAST(order_id AS VARCHAR) AS cod_unique,
+       CAST(CAST(dms_timestamp AS DATE) AS VARCHAR) AS event_date
+FROM tagged WHERE rule = 'valid'""",
+    "load_by_format": f"""
+WITH {_TAGGED}
 SELECT order_id, cust_id, CAST(score AS VARCHAR) AS score, status, dms_timestamp AS cdc_timestamp,
        CAST(order_id AS VARCHAR) AS cod_unique,
        CAST(CAST(dms_timestamp AS DATE) AS VARCHAR) AS event_date

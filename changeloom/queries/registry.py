@@ -647,6 +647,16 @@ def batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(loaded, "score", "event_date")
 
 
+@query
+def load_by_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full load into a table kept by the format its spec names, read by its name."""
+    lake, named = scratch_lake(spark, "load_by_format"), {"database": "db_raw", "table": "tbl_orders_by_format"}
+    source = SourceSpec.parse(ORDERS_RAW.to_dict() | {"target": ORDERS_RAW.target.to_dict() | {"format": "orc", "catalog": named}})
+    spark.sql("DROP TABLE IF EXISTS db_raw.tbl_orders_by_format")  # of an earlier run, in another lake
+    load_table(spark, source, lake, dataframe=raw_orders(spark, sf_dir), options=LoadOptions(layout="format"))
+    return shown(catalog.read_table(spark, "db_raw.tbl_orders_by_format"), "score", "event_date")
+
+
 @query
 def multi_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All tables of a plan in order, from their full-load paths."""

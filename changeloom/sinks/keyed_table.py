@@ -35,9 +35,8 @@ from changeloom.functions.columns import quoted, ref
 from changeloom.functions.keys import key_text
 from changeloom.functions.types import TypeDrift, check_types
 from changeloom.operators.changes import (
-    EFFECT,
     IS_DELETED,
-    classify_changes,
+    effect_counts,
     estimated_bytes,
     fill_from_table,
     reduced_changes,
@@ -276,12 +275,13 @@ class KeyedTable:
         settings = self._attached()
         return self._spark.sql(self._view(settings).current(deletes or settings.deletes))
 
-    def effects(self, changes: DataFrame, op: str | None = None) -> DataFrame:
-        """How many keys applying the changes would insert, update, delete or leave alone."""
+    def effects(
+        self, changes: DataFrame, op: str | None = None, *, keys: Sequence[str] = (), order_by: Sequence[str] = ()
+    ) -> DataFrame:
+        """See ``effect_counts``; the table knows its keys and order itself."""
         settings = self.settings()
         changes = _with_order_columns(changes, settings.order_by)
-        classified = classify_changes(self.read("soft"), changes, settings.keys, op, settings.order_by)
-        return classified.groupBy(EFFECT).agg(F.count(F.lit(1)).alias("n_keys"))
+        return effect_counts(self.read("soft"), changes, settings.keys, op, settings.order_by)
 
     def register(self, name: str, deletes: str | None = None) -> None:
         """Session view of the table under another name."""

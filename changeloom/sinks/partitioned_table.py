@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from changeloom.functions.columns import quoted, ref
 from changeloom.functions.types import check_types
-from changeloom.operators.changes import IS_DELETED, apply_changes, reduced_changes
+from changeloom.operators.changes import IS_DELETED, apply_changes, effect_counts, reduced_changes
 from changeloom.sinks.layout import even_files
 from changeloom.sources.catalog import ensure_database, location_of, named
 from changeloom.storage import Storage, scratch_folder
@@ -103,6 +103,12 @@ class PartitionedTable:
             return held
         return held.where(~ref(IS_DELETED)).drop(IS_DELETED)
 
+    def effects(
+        self, changes: DataFrame, op: str | None = None, *, keys: Sequence[str], order_by: Sequence[str] = ()
+    ) -> DataFrame:
+        """See ``effect_counts``."""
+        return effect_counts(self._table(), changes, keys, op, order_by)
+
     def maintain(self, max_batches: int = 50, ratio: float = 0.1, retention: str | None = None) -> str:
         """Nothing waits here: every batch is in its folders already. Deleted keys stay."""
         return "none"
