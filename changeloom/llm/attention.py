@@ -3,8 +3,8 @@
 Every id has a vector of its own, which it shows to the places after it and by which it is told apart
 from the others of its class. The model gives the next id from up to ``window`` ids before it in two steps:
 the id's class, then the id among the class. The most frequent ids are a class each; the others are
-dealt by rank of their count into classes of ``members``, so that no softmax is wide. So every text has a
-proper probability.
+dealt by rank of their count into classes of ``members``, so that no softmax is wide. Ids that the training
+texts never hold are one class with equal shares. So every text has a proper probability.
 """
 
 from __future__ import annotations
@@ -29,26 +29,28 @@ class Classes:
     """Class of every id, the ids of every class, and the log share of an id in its class."""
 
     def __init__(self, counts: np.ndarray, shape: Shape):
-        self.ids, own = len(counts), min(shape.own, len(counts))
+        self.ids, own = len(counts), min(shape.own, int((counts > 0).sum()))
         self.start = self.ids  # stands before the first token; it has a vector and is never predicted
         order = np.lexsort((np.arange(self.ids), -counts))
         rank = np.empty(self.ids, np.int64)
         rank[order] = np.arange(self.ids)
         self.of = np.where(rank < own, rank, own + (rank - own) // shape.members)
         self.place = np.where(rank < own, 0, (rank - own) % shape.members)
-        self.own, self.n = own, int(self.of.max()) + 1
-        rest = order[own:]
-        self.members = [rest[a : a + shape.members] for a in range(0, len(rest), shape.members)]
-        smooth = counts + 0.1
-        total = np.bincount(self.of, weights=smooth, minlength=self.n)
-        self.share = np.log(smooth / total[self.of]).astype(np.float32)
+        rest = order[own : int((counts > 0).sum())]
+        self.own, self.members = own, [rest[a : a + shape.members] for a in range(0, len(rest), shape.members)]
+        unseen = counts == 0
+        self.of[unseen], self.n = own + len(self.members), own + len(self.members) + int(unseen.any())
+        total = np.bincount(self.of, weights=counts + 0.1, minlength=self.n)
+        self.share = np.log((counts + 0.1) / total[self.of]).astype(np.float32)
+        self.equal = np.where(unseen, self.share, np.float32(0))  # log share of an id that nothing tells apart from others
         self.prior = np.log(total / total.sum()).astype(np.float32)
 
     def shared(self, targets: np.ndarray, valid: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each class of several ids: the places whose valid target is in it, and its ids."""
-        at = np.flatnonzero(valid & (self.of[targets] >= self.own))
-        at = at[np.argsort(self.of[targets[at]], kind="stable")]
-        of = self.of[targets[at]]
+        of = self.of[targets]
+        at = np.flatnonzero(valid & (of >= self.own) & (of < self.own + len(self.members)))
+        at = at[np.argsort(of[at], kind="stable")]
+        of = of[at]
         first = np.flatnonzero(np.diff(of, prepend=-1))
         for a, size in zip(first, np.diff(first, append=len(at)), strict=True):
             yield at[a : a + size], self.members[of[a] - self.own]
@@ -153,7 +155,7 @@ def log10_scores(weights, texts: list[np.ndarray], classes: Classes, shape: Shap
         valid = (first[:, None] + place_scored < lengths[own][:, None]).ravel()
         hidden = asking.reshape(-1, d)[valid]
         target = after[at[:, context:].ravel()[valid]]
-        picked = _log_picked(hidden @ u + bias, classes.of[target])
+        picked = _log_picked(hidden @ u + bias, classes.of[target]) + classes.equal[target]
         for rows, ids in classes.shared(target, np.ones(len(target), bool)):
             picked[rows] += _log_picked(hidden[rows] @ table[ids].T + classes.share[ids], classes.place[target[rows]])
         scores.append(picked)
@@ -169,7 +171,7 @@ def gradients(weights, inputs: np.ndarray, targets: np.ndarray, times: np.ndarra
     valid = each[:, 0] > 0
     p = _softmax(flat_hidden @ u + bias)
     row, of = np.arange(len(p)), classes.of[flat_targets]
-    loss = -float((np.log(p[row, of] + 1e-30) * each[:, 0]).sum())
+    loss = -float(((np.log(p[row, of] + 1e-30) + classes.equal[flat_targets]) * each[:, 0]).sum())
     p[row, of] -= 1
     p *= each
     d_u, d_bias, d_flat = flat_hidden.T @ p, p.sum(axis=0), p @ u.T

@@ -58,8 +58,8 @@ class Scoring:
     bucket_bytes: int = 4 << 20  # of text for each bucket of words
     rounds: int = 2
     rate: float = 0.01
-    train_batch: int = 256
-    shard_windows: int = 1 << 17  # different windows that one task learns from in a round
+    train_batch: int = 128
+    shard_windows: int = 1 << 15  # different windows that one task learns from in a round
     grain: int = 1 << 18  # steps of a weight to one; an id's occurrences times its steps must fit a long
     word_share: float = 0.6
 
@@ -233,7 +233,9 @@ def fit(windows: DataFrame, classes: Classes, how: Scoring) -> list[np.ndarray]:
     values = [f"v{i}" for i in range(d)]
     schema = ", ".join(["row int", "n long", *(f"{v} long" for v in values)])
     hash_ = F.xxhash64("before", "ids")
-    dealt = windows.withColumn("hash", hash_).withColumn("shard", F.pmod(hash_, F.lit(shards)))
+    # a shard is small but long to learn from, so tasks are not merged by their bytes
+    tasks = min(shards, int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = windows.withColumn("hash", hash_).withColumn("shard", F.pmod(hash_, F.lit(shards))).repartition(tasks, "shard")
 
     def learner(start: list[np.ndarray], rate: float) -> Callable[[pa.Table], pa.Table]:
         def run(table: pa.Table) -> pa.Table:
