@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import uuid
 import zlib
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
@@ -242,12 +243,22 @@ class KeyedTable:
         return done
 
     def rebucket(self, buckets: int | None = None) -> int:
-        """Write the table, waiting batches included, in a number of buckets that fits its size."""
+        """Write the table, waiting batches included, in a number of buckets that fits its size.
+
+        Base and changes meet by a shuffle on the key here, since buckets that are too few are too big for a task.
+        """
         settings, folded = self._attached(), self._batches()
         size = self._storage.bytes_under(self._folder(self.version())) + self._storage.bytes_under(f"{self._path}/changes")
         wanted = replace(settings, buckets=buckets or _bucket_count(size))
-        rows = self._spark.sql(self._view(settings).stored())
-        self._write_version(self._by_bucket(rows, wanted.buckets), wanted)
+        # the base as plain files, or Spark would take it bucket by bucket
+        base = f"rebucket_{uuid.uuid4().hex}"
+        self._spark.read.schema(settings.stored).parquet(self._folder(self.version())).createOrReplaceTempView(base)
+        changes = f"(SELECT /*+ REPARTITION({KEY}) */ * FROM {self._changes})"
+        try:
+            rows = self._spark.sql(replace(self._view(settings), base=base, changes=changes).stored())
+            self._write_version(self._by_bucket(rows, wanted.buckets), wanted)
+        finally:
+            self._spark.catalog.dropTempView(base)
         self._drop_batches(folded)
         return wanted.buckets
 
@@ -312,9 +323,12 @@ class KeyedTable:
         return MergedView(self._base, self._changes, SEQUENCE, settings.columns.names, settings.order_by)
 
     def _by_bucket(self, rows: DataFrame, buckets: int, *, reduced: bool = False) -> DataFrame:
-        """Rows dealt out as buckets are. The shuffle that reduced them has done so if the counts fit."""
+        """Rows dealt out as buckets are. The shuffle that reduced them has done so if the counts fit.
+
+        Spark splits a bucket too big for one task, which then has several files, and puts small ones together.
+        """
         partitions = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
-        return rows if reduced and buckets % partitions == 0 else rows.repartition(buckets, KEY)
+        return rows if reduced and buckets % partitions == 0 else rows.hint("rebalance", buckets, KEY)
 
     def _write_version(self, rows: DataFrame, settings: Settings) -> None:
         """Write the next version, then let the catalog point to it."""

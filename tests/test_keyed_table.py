@@ -266,6 +266,38 @@ def test_buckets_can_change(spark, table):
     assert table.rebucket() == 8 and state(table) == {**before, 3: "c"}
 
 
+def test_buckets_too_few_are_no_tasks(spark, table, monkeypatch):
+    """Big buckets are written by several tasks, and dealt anew without a task reading a whole one."""
+    plans, real = [], KeyedTable._write_version
+
+    def write(self, df, settings):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        real(self, df, settings)
+
+    monkeypatch.setattr(KeyedTable, "_write_version", write)
+    many = spark.range(20_000, numPartitions=4).select("id", F.md5(F.col("id").cast("string")).alias("v"))
+    settings = {"adaptive.advisoryPartitionSizeInBytes": "32k", "adaptive.coalescePartitions.minPartitionSize": "16k"}
+    settings |= {"autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(f"spark.sql.{name}", value)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        table.apply(many, "b0", keys=["id"], buckets=2)
+        files = [n for n in table._storage.names(f"{table.path}/base/v{1:012d}") if n.endswith(".parquet")]
+        assert len(files) > 2
+        table.apply(many.where("id % 2 = 0").withColumn("v", F.lit("even")), "b1", keys=["id"])
+        figures = [F.count("id"), F.count_if(F.col("v") == "even"), F.sum(F.crc32("v"))]
+        before = table.read().agg(*figures).first()
+        table.rebucket(16)
+        assert "Bucketed: true" not in plans[-1]
+        assert table.read().agg(*figures).first() == before
+        assert before[:2] == (20_000, 10_000)
+    finally:
+        for name in settings:
+            spark.conf.unset(f"spark.sql.{name}")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
 def test_register_gives_the_table_a_name(spark, table):
     put(table, rows(spark, (1, "a", 0, "I")), "b0")
     table.register("my_users")
