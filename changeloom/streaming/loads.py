@@ -78,6 +78,19 @@ def without_redelivered(changes: DataFrame, keys: Sequence[str], window: str) ->
     return seen.select(*map(ref, names))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A micro-batch in at least as many partitions as there are cores.
+
+    The scan of a file is one task, and without this so is every step up to the next shuffle. Rows are dealt by
+    their plain columns, as Spark sorts rows that it deals in turn.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+    return df.repartition(cores, *map(ref, plain))
+
+
 def apply_micro_batch(
     df: DataFrame,
     batch_id: int,
@@ -93,11 +106,10 @@ def apply_micro_batch(
     batch_key = f"{source.source}-{stream_id or uuid.uuid4().hex}-{batch_id}"
     started = datetime.now(timezone.utc)
     counts, error = Counts(), None
+    cache = options.cache is not False
     try:
-        counts = load_rows(
-            spark, df, source, lake, batch_key,
-            started=started, options=options, cache=options.cache is not False,
-        )
+        rows = spread(df) if cache else df
+        counts = load_rows(spark, rows, source, lake, batch_key, started=started, options=options, cache=cache)
         if options.compact_every and counts.written:
             table = lake.table(spark, source.target, options.layout)
             table.maintain(options.compact_every, options.compact_ratio, options.tombstone_retention)

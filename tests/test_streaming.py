@@ -8,6 +8,7 @@ from changeloom.operators.audit import RUN_LOG
 from changeloom.plans.lake import Lake, LoadOptions
 from changeloom.sinks.audit import read_audit
 from changeloom.sinks.rejects import read_rejects
+from changeloom.streaming import loads
 from changeloom.streaming.loads import (
     StreamFailed,
     StreamOptions,
@@ -70,6 +71,22 @@ def test_four_files_one_per_batch_then_restart(spark, lake, source):
     assert read_audit(spark, lake.run_log_path, RUN_LOG).count() == 5
 
 
+def test_one_file_is_spread_over_the_cores(spark, lake, source, monkeypatch):
+    """A micro-batch of one partition is validated in as many tasks as there are cores; a wide one stays as it is."""
+    seen, real = [], loads.load_rows
+
+    def load(spark, df, *args, **options):
+        seen.append(df.rdd.getNumPartitions())
+        return real(spark, df, *args, **options)
+
+    monkeypatch.setattr(loads, "load_rows", load)
+    batch = changes(spark, *[(i, "active", 1, "I") for i in range(40)]).withColumn("extra", F.create_map(F.lit("a"), F.lit(1)))
+    apply_micro_batch(batch.coalesce(1), 0, source, lake, SMALL, stream_id="q")
+    assert loads.spread(batch.repartition(9)).rdd.getNumPartitions() == 9
+    assert seen == [spark.sparkContext.defaultParallelism]
+    assert state(spark, lake, source) == {i: "active" for i in range(40)}
+
+
 def test_a_replayed_batch_changes_nothing(spark, lake, source):
     batch = changes(spark, (1, "active", 1, "I"), (2, "odd", 1, "I"), (3, "active", 1, "D"))
     later = changes(spark, (1, "read", 2, "U"))
