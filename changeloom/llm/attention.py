@@ -98,20 +98,35 @@ def causal(n: int) -> np.ndarray:
     return np.tril(np.ones((n, n), np.float32))
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+def _logits(hidden: np.ndarray, across: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """Logits that exp can hold; a shift by row changes no probability."""
+    logits = hidden @ across
+    logits += shift
+    longest = np.einsum("ij,ij->i", hidden, hidden).max() * np.einsum("ij,ij->j", across, across).max()
+    if not np.sqrt(longest) + np.abs(shift).max() < 60:  # no logit is larger than that
+        logits -= logits.max(axis=1, keepdims=True)
     return logits
 
 
+def _sums(values: np.ndarray) -> np.ndarray:
+    """Sum of each row, as a product: far faster than a sum over rows this short."""
+    return values @ np.ones(values.shape[1], values.dtype)
+
+
 def _log_picked(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log probability of each row's target; the logits are used up."""
-    if logits.max() > 60 or logits.min() < -60:  # beyond what exp can hold; a shift by row changes no probability
-        logits -= logits.max(axis=1, keepdims=True)
     picked = logits[np.arange(len(target)), target].astype(np.float64)
-    np.exp(logits, out=logits)
-    return picked - np.log(logits.sum(axis=1))
+    return picked - np.log(_sums(np.exp(logits, out=logits)))
+
+
+def _missed(logits: np.ndarray, target: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's log probability of its target, and its probabilities less the target's one, ``each`` times."""
+    row, p = np.arange(len(target)), np.exp(logits, out=logits)
+    total = _sums(p)
+    log = np.log(p[row, target] / total + 1e-30)
+    p *= (each / total)[:, None]
+    p[row, target] -= each
+    return log, p
 
 
 def log10_scores(weights, texts: list[np.ndarray], classes: Classes, shape: Shape) -> np.ndarray:
@@ -155,9 +170,9 @@ def log10_scores(weights, texts: list[np.ndarray], classes: Classes, shape: Shap
         valid = (first[:, None] + place_scored < lengths[own][:, None]).ravel()
         hidden = asking.reshape(-1, d)[valid]
         target = after[at[:, context:].ravel()[valid]]
-        picked = _log_picked(hidden @ u + bias, classes.of[target]) + classes.equal[target]
+        picked = _log_picked(_logits(hidden, u, bias), classes.of[target]) + classes.equal[target]
         for rows, ids in classes.shared(target, np.ones(len(target), bool)):
-            picked[rows] += _log_picked(hidden[rows] @ table[ids].T + classes.share[ids], classes.place[target[rows]])
+            picked[rows] += _log_picked(_logits(hidden[rows], table[ids].T, classes.share[ids]), classes.place[target[rows]])
         scores.append(picked)
     return np.concatenate(scores) / np.log(10)
 
@@ -167,23 +182,17 @@ def gradients(weights, inputs: np.ndarray, targets: np.ndarray, times: np.ndarra
     table, places, projection, out, u, bias = weights
     n, d, flat_targets = max(1.0, float(times.sum())), table.shape[1], targets.ravel()
     hidden, (x, q, k, v, share, mixed) = attend(weights, inputs, mask)
-    flat_hidden, each = hidden.reshape(-1, d), (times.reshape(-1, 1) / n).astype(table.dtype)
-    valid = each[:, 0] > 0
-    p = _softmax(flat_hidden @ u + bias)
-    row, of = np.arange(len(p)), classes.of[flat_targets]
-    loss = -float(((np.log(p[row, of] + 1e-30) + classes.equal[flat_targets]) * each[:, 0]).sum())
-    p[row, of] -= 1
-    p *= each
-    d_u, d_bias, d_flat = flat_hidden.T @ p, p.sum(axis=0), p @ u.T
+    flat_hidden, each = hidden.reshape(-1, d), (times.ravel() / n).astype(table.dtype)
+    log, p = _missed(_logits(flat_hidden, u, bias), classes.of[flat_targets], each)
+    loss = -float(((log + classes.equal[flat_targets]) * each).sum())
+    d_u, d_bias, d_flat = flat_hidden.T @ p, _sums(p.T), p @ u.T
     d_table, touched = np.zeros_like(table), [inputs.ravel()]
-    for rows, ids in classes.shared(flat_targets, valid):
-        p = _softmax(flat_hidden[rows] @ table[ids].T + classes.share[ids])
-        row, of = np.arange(len(p)), classes.place[flat_targets[rows]]
-        loss -= float((np.log(p[row, of] + 1e-30) * each[rows, 0]).sum())
-        p[row, of] -= 1
-        p *= each[rows]
-        d_flat[rows] += p @ table[ids]
-        d_table[ids] += p.T @ flat_hidden[rows]
+    for rows, ids in classes.shared(flat_targets, each > 0):
+        own, vectors = flat_hidden[rows], table[ids]
+        log, p = _missed(_logits(own, vectors.T, classes.share[ids]), classes.place[flat_targets[rows]], each[rows])
+        loss -= float((log * each[rows]).sum())
+        d_flat[rows] += p @ vectors
+        d_table[ids] += p.T @ own
         touched.append(ids)
     d_hidden = d_flat.reshape(x.shape)
     d_out = mixed.reshape(-1, d).T @ d_flat

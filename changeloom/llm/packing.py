@@ -95,9 +95,13 @@ class WordCodes:
         low = text.lower()
         if any(t in low for t in self.special):  # only its exact spelling is a special token
             return text.split()
+        at = self.parted(low)
+        return (np.insert(np.frombuffer(low, np.uint8), at, 32).tobytes() if len(at) else low).split()
+
+    def parted(self, low: bytes) -> np.ndarray:
+        """Places of the marks that follow a letter."""
         letters = np.frombuffer(low, np.uint8)
-        at = np.flatnonzero(IS_MARK[letters[1:]] & IS_LETTER[letters[:-1]]) + 1
-        return (np.insert(letters, at, 32).tobytes() if len(at) else low).split()
+        return np.flatnonzero(IS_MARK[letters[1:]] & IS_LETTER[letters[:-1]]) + 1
 
     def coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, one after the other, and how many each has."""

@@ -31,7 +31,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +41,12 @@ from pyspark.sql import functions as F
 
 from changeloom.llm import attention
 from changeloom.llm.attention import Classes, Shape
-from changeloom.llm.common import bounded, documents, narrow, raw, remainder, staged
-from changeloom.llm.packing import WordCodes
+from changeloom.llm.common import bounded, documents, drop_staged, narrow, raw, remainder, staged, staged_at
+from changeloom.llm.packing import word_codes
 
-PART = 100_000  # words of a text that are cut into windows at once
+PART = 100_000  # words of a text that are looked up at once
+WINDOWS = 1 << 16  # windows of a record batch
+MOST_WORDS = 500_000  # distinct words a worker remembers
 END = b"\n"  # no word holds a line break, so it can stand for the end among words
 
 
@@ -64,17 +65,26 @@ class Scoring:
     word_share: float = 0.6
 
 
-@lru_cache(maxsize=1)
-def codes(path: str) -> WordCodes:
-    return WordCodes(path, 1 << 62)
-
-
 def subword_ids(path: str, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words in one array, and where each word's begin."""
-    table = codes(path)
-    lowered = [w.lower() for w in words]
-    ids, sizes = table.coded([w if any(t in low for t in table.special) else low for w, low in zip(words, lowered, strict=True)])
-    return ids.astype(np.int64), np.concatenate([[0], np.cumsum(sizes)])
+    """Ids of all words in one array, and where each word's begin.
+
+    A word is parted where the tokeniser parts it anyway, and each part is tokenised once.
+    """
+    table = word_codes(path, MOST_WORDS)
+    joined = b" ".join(words).lower()
+    if any(t in joined for t in table.special):
+        ids, sizes = table.coded([w.lower() for w in words])
+        return ids.astype(np.int64), np.concatenate([[0], np.cumsum(sizes)])
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    inside = np.searchsorted(table.parted(joined), np.cumsum(lengths + 1))
+    parts = np.diff(inside, prepend=0) + (lengths > 0)
+    number: dict[bytes, int] = {}
+    at = np.array([number.setdefault(part, len(number)) for part in table.words(joined)], np.int64)
+    ids, sizes = table.coded(list(number))
+    begins, size = np.cumsum(sizes) - sizes, sizes[at]
+    ends = np.concatenate([[0], np.cumsum(size)])
+    spelled = ids[np.repeat(begins[at] - ends[:-1], size) + np.arange(ends[-1])]
+    return spelled.astype(np.int64), ends[np.concatenate([[0], np.cumsum(parts)])]
 
 
 def _packed(values: np.ndarray | bytes) -> bytes:
@@ -179,27 +189,34 @@ def training_windows(docs: DataFrame, tokenizer: str, start: int, how: Scoring)
     """Different windows and how often each occurs: the id before it, its ids. Every token of every training text is in one window."""
     longest = how.shape.window
 
-    def windows(text: bytes) -> Iterator[tuple[int, np.ndarray]]:
-        words, before, left = text.lower().split(), start, np.zeros(0, np.int64)
-        for a in range(0, len(words) + 1, PART):
-            held = np.append(left, subword_ids(tokenizer, words[a : a + PART])[0])
-            last = a + PART > len(words)
-            if last:
-                held = np.append(held, how.end_id)
-            whole = len(held) if last else len(held) - len(held) % longest
-            for k in range(0, whole, longest):
-                yield before, held[k : min(k + longest, whole)]
-                before = int(held[min(k + longest, whole) - 1])
-            left = held[whole:]
+    def pieces(text: bytes) -> list[bytes]:
+        if len(text) <= PART:
+            return [text.lower()]
+        words = text.lower().split()
+        return [b" ".join(words[a : a + PART]) for a in range(0, len(words), PART)]
 
     def run(batches):
+        table, end = word_codes(tokenizer, MOST_WORDS), np.array([how.end_id], np.uint16)
         for batch in bounded(batches):
-            rows = [
-                (before, held.astype(np.uint16).tobytes())
-                for text in raw(batch.column("text"))
-                for before, held in windows(text)
-            ]
-            yield _record(rows, ["before", "ids"], [pa.int32(), pa.binary()])
+            texts = [pieces(text) for text in raw(batch.column("text"))]
+            coded, held, lengths = table.encode([piece for own in texts for piece in own]), [], []
+            for own in texts:
+                spelled = [next(coded)[0].astype(np.uint16) for _ in own]
+                held += [*spelled, end]
+                lengths.append(sum(map(len, spelled)) + 1)
+            ids, n = np.concatenate(held), np.array(lengths)
+            parts = -(-n // longest)
+            first = np.cumsum(parts) - parts
+            starts = np.repeat(np.cumsum(n) - n - first * longest, parts) + np.arange(parts.sum()) * longest
+            before = ids[starts - 1].astype(np.int32)
+            before[first] = start
+            ends = np.append(starts[1:], len(ids))
+            for a in range(0, len(starts), WINDOWS):
+                own, last = starts[a : a + WINDOWS], ends[a : a + WINDOWS][-1]
+                places = (np.append(own, last) - own[0]).astype(np.int32) * 2  # bytes
+                buffers = [None, pa.py_buffer(places), pa.py_buffer(ids[own[0] : last])]
+                windows = pa.Array.from_buffers(pa.binary(), len(own), buffers)
+                yield pa.RecordBatch.from_arrays([pa.array(before[a : a + WINDOWS]), windows], ["before", "ids"])
 
     each = docs.where("learn").mapInArrow(run, "before int, ids binary")
     return each.groupBy("before", "ids").agg(F.count("*").alias("times"))
@@ -303,7 +320,9 @@ def score(docs: DataFrame, held_out: Column, tokenizer: str, how: Scoring = Scor
     replies = staged(answered(word_requests(dealt, buckets, how), tokenizer, how), "word-counts")
     n, distinct = replies.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     classes = Classes(subword_counts(replies, how), how.shape)
-    weights = fit(staged(training_windows(dealt, tokenizer, classes.start, how), "windows"), classes, how)
+    windows, path = staged_at(training_windows(dealt, tokenizer, classes.start, how), "windows")
+    weights = fit(windows, classes, how)
+    drop_staged(docs.sparkSession, path)
     names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     types = [*[pa.int64()] * 4, *[pa.float64()] * 2]
 

@@ -354,6 +354,19 @@ def test_training_windows_cover_every_token(spark, monkeypatch):
     assert got == wanted and sum(len(ids) * n for (_, ids), n in got.items()) > 30_000
 
 
+def test_a_part_of_a_word_is_tokenised_once(monkeypatch):
+    words = [b"the", b"end.", b"", b"end", b"don't!?", b"x.y,", b"\xc3\xa9a.", b"b<|endoftext|>"] * 50
+    table, looked_up = scoring.word_codes(WORDS, scoring.MOST_WORDS), []
+    coded = table.coded
+    each = [coded([w])[0].tolist() for w in words]
+    monkeypatch.setattr(table, "coded", lambda own: looked_up.append(len(own)) or coded(own))
+    for n in (7, 8):  # without and with one that spells a special token
+        own = [i for i in range(len(words)) if i % 8 < n]
+        ids, begin = scoring.subword_ids(WORDS, [words[i] for i in own])
+        assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == [each[i] for i in own]
+    assert looked_up[0] < 12
+
+
 def test_scores_do_not_depend_on_how_rows_are_dealt(spark):
     how = scoring.Scoring(shard_windows=40, train_batch=8)
     docs = documents(spark, [*ROWS, *ROWS[:3]])
