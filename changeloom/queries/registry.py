@@ -1034,7 +1034,8 @@ def stream_fail_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
         raised = 1
     names = {f"stream-{source.source}" for source in sources}
     left = sum(active.name in names for active in spark.streams.active)
-    run_streams(spark, sources[:1], lake, options=USER_LOAD, stream=StreamOptions(available_now=True))
+    # the backlog by its bytes: a micro-batch a file would be as many as there are files
+    run_streams(spark, sources[:1], lake, options=USER_LOAD, stream=catch_up(spark, sources[0].cdc_source_location))
     failed = read_audit(spark, lake.run_log_path, RUN_LOG).where("source = 'orders' AND status = 'failed'")
     state = lake.table(spark, USER_CHANGES.target).read().agg(
         F.lit(raised).alias("raised"), F.lit(left).alias("still_running"), F.count(F.lit(1)).alias("n_users")

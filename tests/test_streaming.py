@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from changeloom.operators.audit import RUN_LOG
 from changeloom.plans.lake import Lake, LoadOptions
+from changeloom.queries import registry
 from changeloom.sinks.audit import read_audit
 from changeloom.sinks.rejects import read_rejects
 from changeloom.streaming import loads
@@ -182,3 +183,21 @@ def test_progress_and_pool_of_a_stream(spark, lake, source, monkeypatch):
     latency = stream_latency(tried_again).collect()
     assert [(r.stream, r.batches, r.input_rows, r.largest_batch, r.meets_target) for r in latency] == [("stream-meters", 3, 6, 3, True)]
     assert not stream_latency(progress, target_seconds=0).first().meets_target
+
+
+def test_a_backlog_after_a_failure_takes_few_micro_batches(spark, monkeypatch):
+    lakes, made = [], registry.scratch_lake
+    monkeypatch.setattr(registry, "scratch_lake", lambda *args: lakes.append(made(*args)) or lakes[-1])
+    files = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in files}
+    try:
+        for name, value in files.items():
+            spark.conf.set(name, value)
+        row = registry.QUERIES["stream_fail_fast"](spark, "/root/testdata/sf0.001").first()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    batches = read_audit(spark, lakes[0].run_log_path, RUN_LOG).where("source = 'users'").count()
+    landed = spark.read.option("recursiveFileLookup", "true").parquet(f"{lakes[0].root}/landing/users_cdc*")
+    assert landed.select("_metadata.file_path").distinct().count() > 20 and landed.count() == 1000
+    assert row.raised == 1 and row.failed_runs == 1 and batches < 12
