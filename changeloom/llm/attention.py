@@ -15,6 +15,10 @@ from dataclasses import dataclass
 import numpy as np
 
 
+GROUP = 128  # rows of a product: the kernels for small matrices take half the time a row
+PIECE = 16 * GROUP  # rows whose logits are held at once, so that they stay in a core's cache
+
+
 @dataclass(frozen=True)
 class Shape:
     own: int = 112  # ids with a class of their own
@@ -29,31 +33,75 @@ class Classes:
     """Class of every id, the ids of every class, and the log share of an id in its class."""
 
     def __init__(self, counts: np.ndarray, shape: Shape):
-        self.ids, own = len(counts), min(shape.own, int((counts > 0).sum()))
+        self.ids, seen = len(counts), int((counts > 0).sum())
+        own = min(shape.own, seen)
         self.start = self.ids  # stands before the first token; it has a vector and is never predicted
-        order = np.lexsort((np.arange(self.ids), -counts))
+        self.counts, self.shape, self.order = counts, shape, np.lexsort((np.arange(self.ids), -counts))
         rank = np.empty(self.ids, np.int64)
-        rank[order] = np.arange(self.ids)
+        rank[self.order] = np.arange(self.ids)
         self.of = np.where(rank < own, rank, own + (rank - own) // shape.members)
         self.place = np.where(rank < own, 0, (rank - own) % shape.members)
-        rest = order[own : int((counts > 0).sum())]
-        self.own, self.members = own, [rest[a : a + shape.members] for a in range(0, len(rest), shape.members)]
+        rest = self.order[own:seen]
+        self.own, self.members = own, [_rows(rest[a : a + shape.members]) for a in range(0, len(rest), shape.members)]
+        self.several = _rows(rest)  # ids that share a class and are told apart
         unseen = counts == 0
         self.of[unseen], self.n = own + len(self.members), own + len(self.members) + int(unseen.any())
         total = np.bincount(self.of, weights=counts + 0.1, minlength=self.n)
         self.share = np.log((counts + 0.1) / total[self.of]).astype(np.float32)
         self.equal = np.where(unseen, self.share, np.float32(0))  # log share of an id that nothing tells apart from others
         self.prior = np.log(total / total.sum()).astype(np.float32)
+        self.least = float(np.abs(self.share).max(initial=0))
 
-    def shared(self, targets: np.ndarray, valid: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each class of several ids: the places whose valid target is in it, and its ids."""
+    def ranked(self) -> Classes:
+        """The same classes of ids numbered by rank, so that those of a class lie side by side."""
+        return Classes(self.counts[self.order], self.shape)
+
+    def shared(self, targets: np.ndarray, valid: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+        """For each class of several ids: the places whose valid target is in it, and its place in ``members``."""
         of = self.of[targets]
         at = np.flatnonzero(valid & (of >= self.own) & (of < self.own + len(self.members)))
-        at = at[np.argsort(of[at], kind="stable")]
+        at = at[_stable_order(of[at], self.n)]
         of = of[at]
-        first = np.flatnonzero(np.diff(of, prepend=-1))
+        first = _begins(of)
         for a, size in zip(first, np.diff(first, append=len(at)), strict=True):
-            yield at[a : a + size], self.members[of[a] - self.own]
+            yield at[a : a + size], int(of[a]) - self.own
+
+
+def _rows(ids: np.ndarray) -> np.ndarray | slice:
+    """The ids as an index; a slice, which copies nothing, if they lie side by side."""
+    return slice(int(ids[0]), int(ids[-1]) + 1) if len(ids) and (np.diff(ids) == 1).all() else ids
+
+
+def _stable_order(values: np.ndarray, n: int) -> np.ndarray:
+    """Stable order of whole numbers below n; numpy sorts short ones by radix."""
+    return np.argsort(values.astype(np.uint16) if n <= 1 << 16 else values, kind="stable")
+
+
+def _begins(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(values)), bool), values[1:] != values[:-1]]))
+
+
+def _product(rows: np.ndarray, matrix: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """``rows @ matrix``, by groups of rows."""
+    if out is None:
+        out = np.empty((len(rows), matrix.shape[1]), rows.dtype)
+    whole = len(rows) // GROUP * GROUP
+    if whole:
+        np.matmul(rows[:whole].reshape(-1, GROUP, rows.shape[1]), matrix, out=out[:whole].reshape(-1, GROUP, out.shape[1]))
+    if whole < len(rows):
+        np.matmul(rows[whole:], matrix, out=out[whole:])
+    return out
+
+
+def _crossed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """``left.T @ right``, by groups of rows."""
+    whole = len(left) // GROUP * GROUP
+    total = left[whole:].T @ right[whole:]
+    if whole:
+        grouped = left[:whole].reshape(-1, GROUP, left.shape[1]).transpose(0, 2, 1)
+        total += (grouped @ right[:whole].reshape(-1, GROUP, right.shape[1])).sum(axis=0)
+    return total
 
 
 def start_weights(shape: Shape, classes: Classes, seed: int = 7) -> list[np.ndarray]:
@@ -77,35 +125,55 @@ def from_rows(rows: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
     return [part.reshape(w.shape).astype(w.dtype) for part, w in zip(parts, like, strict=True)]
 
 
+def _shares(q: np.ndarray, k: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each place gives to those it may see, and the sum of that."""
+    given = q @ k.transpose(0, 2, 1)
+    given *= np.float32(q.shape[2] ** -0.5)
+    np.clip(given, -40, 40, out=given)
+    np.exp(given, out=given)
+    given *= mask
+    return given, given @ np.ones((given.shape[2], 1), given.dtype)
+
+
 def attend(weights, inputs: np.ndarray, mask: np.ndarray):
     """Hidden states (windows, places, width), and what the way back needs."""
     table, places, projection, out, _, _ = weights
     d = table.shape[1]
     x = table[inputs]
     x += places[: inputs.shape[1]]
-    q, k, v = np.split((x.reshape(-1, d) @ projection).reshape(*inputs.shape, 3 * d), 3, axis=2)
-    scores = q @ k.transpose(0, 2, 1)
-    scores *= np.float32(d**-0.5)
-    np.clip(scores, -40, 40, out=scores)
-    np.exp(scores, out=scores)
-    scores *= mask
-    scores /= scores.sum(axis=2, keepdims=True)
-    mixed = scores @ v
-    return x + (mixed.reshape(-1, d) @ out).reshape(x.shape), (x, q, k, v, scores, mixed)
+    q, k, v = np.split(_product(x.reshape(-1, d), projection).reshape(*inputs.shape, 3 * d), 3, axis=2)
+    share, total = _shares(q, k, mask)
+    share /= total
+    mixed = share @ v
+    return x + _product(mixed.reshape(-1, d), out).reshape(x.shape), (x, q, k, v, share, mixed)
 
 
 def causal(n: int) -> np.ndarray:
     return np.tril(np.ones((n, n), np.float32))
 
 
-def _logits(hidden: np.ndarray, across: np.ndarray, shift: np.ndarray) -> np.ndarray:
-    """Logits that exp can hold; a shift by row changes no probability."""
-    logits = hidden @ across
-    logits += shift
-    longest = np.einsum("ij,ij->i", hidden, hidden).max() * np.einsum("ij,ij->j", across, across).max()
-    if not np.sqrt(longest) + np.abs(shift).max() < 60:  # no logit is larger than that
-        logits -= logits.max(axis=1, keepdims=True)
-    return logits
+def _with_one(hidden: np.ndarray) -> np.ndarray:
+    """Rows with a one behind them, so that their product with rows that end in a shift holds the shift."""
+    rows = np.empty((len(hidden), hidden.shape[1] + 1), hidden.dtype)
+    rows[:, :-1], rows[:, -1] = hidden, 1
+    return rows
+
+
+def _with_shift(vectors: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    return np.concatenate([vectors, shift[:, None]], axis=1, dtype=vectors.dtype)
+
+
+def _longest(rows: np.ndarray) -> float:
+    """No row is longer."""
+    return float(rows.shape[1] ** 0.5 * max(rows.max(initial=0), -rows.min(initial=0)))
+
+
+def _logits(hidden: np.ndarray, across: np.ndarray, most: float, out: np.ndarray) -> np.ndarray:
+    """Logits that exp can hold, none larger than ``most`` at first; a shift by row changes no probability."""
+    _product(hidden, across.T, out)
+    if not most < 60:
+        out -= out.max(axis=1, keepdims=True)
+    return out
 
 
 def _sums(values: np.ndarray) -> np.ndarray:
@@ -113,20 +181,42 @@ def _sums(values: np.ndarray) -> np.ndarray:
     return values @ np.ones(values.shape[1], values.dtype)
 
 
-def _log_picked(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Log probability of each row's target; the logits are used up."""
-    picked = logits[np.arange(len(target)), target].astype(np.float64)
-    return picked - np.log(_sums(np.exp(logits, out=logits)))
+def _pieces(n: int) -> Iterator[slice]:
+    """Rows whose logits stay in a core's cache."""
+    return (slice(a, a + PIECE) for a in range(0, n, PIECE))
 
 
-def _missed(logits: np.ndarray, target: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's log probability of its target, and its probabilities less the target's one, ``each`` times."""
-    row, p = np.arange(len(target)), np.exp(logits, out=logits)
-    total = _sums(p)
-    log = np.log(p[row, target] / total + 1e-30)
-    p *= (each / total)[:, None]
-    p[row, target] -= each
-    return log, p
+def _log_picked(hidden: np.ndarray, across: np.ndarray, most: float, target: np.ndarray) -> np.ndarray:
+    """Log probability of each row's target."""
+    log, held = np.empty(len(target)), np.empty((min(PIECE, len(target)), len(across)), hidden.dtype)
+    for own in _pieces(len(target)):
+        at = target[own]
+        logits = _logits(hidden[own], across, most, held[: len(at)])
+        log[own] = logits[np.arange(len(at)), at]
+        log[own] -= np.log(_sums(np.exp(logits, out=logits)))
+    return log
+
+
+def _missed(hidden: np.ndarray, across: np.ndarray, most: float, target: np.ndarray, each: np.ndarray):
+    """Each row's log probability of its target, and the gradients of the rows and of ``across``; a row counts ``each`` times.
+
+    They come from the probabilities less the target's one. What a row is divided by and counts goes to its short side.
+    """
+    share, d_hidden, d_across = np.empty_like(each), np.empty_like(hidden), None
+    held = np.empty((min(PIECE, len(target)), len(across)), hidden.dtype)
+    for own in _pieces(len(target)):
+        at = target[own]
+        p, row = _logits(hidden[own], across, most, held[: len(at)]), np.arange(len(at))
+        total = _sums(np.exp(p, out=p))
+        picked = p[row, at]
+        share[own] = picked / total
+        p[row, at] = picked - total
+        by = (each[own] / total)[:, None]
+        d_own = _crossed(p, hidden[own] * by)
+        d_across = d_own if d_across is None else d_across + d_own
+        _product(p, across, d_hidden[own])
+        d_hidden[own] *= by
+    return np.log(share + 1e-30), d_hidden[:, :-1], d_across
 
 
 def log10_scores(weights, texts: list[np.ndarray], classes: Classes, shape: Shape) -> np.ndarray:
@@ -148,91 +238,123 @@ def log10_scores(weights, texts: list[np.ndarray], classes: Classes, shape: Shap
     owner = np.repeat(np.arange(len(texts)), parts)
     scored = (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * shape.stride
     causal_ = np.tril(np.ones((shape.stride, shape.window), np.float32), context)
-    place, scores = np.arange(shape.window), []
-    scale, place_scored = np.float32(d**-0.5), np.arange(shape.stride)
+    place, place_scored, scores = np.arange(shape.window), np.arange(shape.stride), []
+    across, farthest, among = _with_shift(u.T, bias), _longest(table[classes.several]), {}
+    wide, shifted = _longest(u.T), np.abs(bias).max()
     for a in range(0, len(owner), shape.batch):
         own, first = owner[a : a + shape.batch], scored[a : a + shape.batch]
         at = (base[own] + first - context)[:, None] + place
         x = table[before[np.clip(at, 0, len(before) - 1)]]
         x += places
         asking = np.ascontiguousarray(x[:, context:])
-        q = (asking.reshape(-1, d) @ projection[:, :d]).reshape(asking.shape)
-        k, v = np.split((x.reshape(-1, d) @ projection[:, d:]).reshape(*at.shape, 2 * d), 2, axis=2)
-        share = q @ k.transpose(0, 2, 1)
-        share *= scale
-        np.clip(share, -40, 40, out=share)
-        np.exp(share, out=share)
-        share *= causal_
-        share[np.flatnonzero(first == 0), :, :context] = 0
+        q = _product(asking.reshape(-1, d), projection[:, :d]).reshape(asking.shape)
+        k, v = np.split(_product(x.reshape(-1, d), projection[:, d:]).reshape(*at.shape, 2 * d), 2, axis=2)
+        share, total = _shares(q, k, causal_)
+        opening = np.flatnonzero(first == 0)
+        share[opening, :, :context] = 0
+        total[opening] = share[opening].sum(axis=2, keepdims=True)
         mixed = share @ v
-        mixed /= share.sum(axis=2, keepdims=True)
-        asking += (mixed.reshape(-1, d) @ out).reshape(asking.shape)
+        mixed /= total
+        asking += _product(mixed.reshape(-1, d), out).reshape(asking.shape)
         valid = (first[:, None] + place_scored < lengths[own][:, None]).ravel()
         hidden = asking.reshape(-1, d)[valid]
-        target = after[at[:, context:].ravel()[valid]]
-        picked = _log_picked(_logits(hidden, u, bias), classes.of[target]) + classes.equal[target]
-        for rows, ids in classes.shared(target, np.ones(len(target), bool)):
-            picked[rows] += _log_picked(_logits(hidden[rows], table[ids].T, classes.share[ids]), classes.place[target[rows]])
+        target, longest, hidden = after[at[:, context:].ravel()[valid]], _longest(hidden), _with_one(hidden)
+        picked = _log_picked(hidden, across, longest * wide + shifted, classes.of[target]) + classes.equal[target]
+        for rows, number in classes.shared(target, np.ones(len(target), bool)):
+            if number not in among:
+                ids = classes.members[number]
+                among[number] = _with_shift(table[ids], classes.share[ids])
+            most = longest * farthest + classes.least
+            picked[rows] += _log_picked(hidden[rows], among[number], most, classes.place[target[rows]])
         scores.append(picked)
     return np.concatenate(scores) / np.log(10)
 
 
-def gradients(weights, inputs: np.ndarray, targets: np.ndarray, times: np.ndarray, classes: Classes, mask: np.ndarray):
-    """Mean loss a token, its gradients, and the ids whose vectors have one; a place counts ``times`` times."""
+def gradients(
+    weights, inputs: np.ndarray, targets: np.ndarray, times: np.ndarray, classes: Classes, mask: np.ndarray, d_table=None
+):
+    """Mean loss a token, its gradients, and the ids whose vectors have one; a place counts ``times`` times.
+
+    ``d_table`` takes the gradients of the ids' vectors, if given; it must hold zeros.
+    """
     table, places, projection, out, u, bias = weights
-    n, d, flat_targets = max(1.0, float(times.sum())), table.shape[1], targets.ravel()
-    hidden, (x, q, k, v, share, mixed) = attend(weights, inputs, mask)
-    flat_hidden, each = hidden.reshape(-1, d), (times.ravel() / n).astype(table.dtype)
-    log, p = _missed(_logits(flat_hidden, u, bias), classes.of[flat_targets], each)
+    n, d, flat_inputs, flat_targets = max(1.0, float(times.sum())), table.shape[1], inputs.ravel(), targets.ravel()
+    x, (embedded, q, k, v, share, mixed) = attend(weights, inputs, mask)
+    longest, hidden = _longest(x.reshape(-1, d)), _with_one(x.reshape(-1, d))
+    most, most_among = longest * _longest(u.T) + np.abs(bias).max(), longest * _longest(table[classes.several]) + classes.least
+    each = (times.ravel() / n).astype(table.dtype)
+    log, d_flat, d_across = _missed(hidden, _with_shift(u.T, bias), most, classes.of[flat_targets], each)
     loss = -float(((log + classes.equal[flat_targets]) * each).sum())
-    d_u, d_bias, d_flat = flat_hidden.T @ p, _sums(p.T), p @ u.T
-    d_table, touched = np.zeros_like(table), [inputs.ravel()]
-    for rows, ids in classes.shared(flat_targets, each > 0):
-        own, vectors = flat_hidden[rows], table[ids]
-        log, p = _missed(_logits(own, vectors.T, classes.share[ids]), classes.place[flat_targets[rows]], each[rows])
-        loss -= float((log * each[rows]).sum())
-        d_flat[rows] += p @ vectors
-        d_table[ids] += p.T @ own
-        touched.append(ids)
+    d_flat = np.ascontiguousarray(d_flat)
+    if d_table is None:
+        d_table = np.zeros_like(table)
+    numbers = []
+    for rows, number in classes.shared(flat_targets, each > 0):
+        numbers.append(number)
+        ids, own = classes.members[number], each[rows]
+        among = _with_shift(table[ids], classes.share[ids])
+        log, d_rows, d_among = _missed(hidden[rows], among, most_among, classes.place[flat_targets[rows]], own)
+        loss -= float(log @ own)
+        d_flat[rows] += d_rows
+        d_table[ids] = d_among[:, :-1]
     d_hidden = d_flat.reshape(x.shape)
-    d_out = mixed.reshape(-1, d).T @ d_flat
-    d_mixed = (d_flat @ out.T).reshape(x.shape)
-    d_share = d_mixed @ v.transpose(0, 2, 1)
-    d_v = share.transpose(0, 2, 1) @ d_mixed
-    d_score = share * (d_share - (d_share * share).sum(axis=2, keepdims=True)) * np.float32(d**-0.5)
-    joint = np.concatenate([d_score @ k, d_score.transpose(0, 2, 1) @ q, d_v], axis=2).reshape(-1, 3 * d)
-    d_x = d_hidden + (joint @ projection.T).reshape(x.shape)
-    order = np.argsort(touched[0], kind="stable")
-    first = np.flatnonzero(np.diff(touched[0][order], prepend=-1))
-    touched[0] = touched[0][order][first]
-    d_table[touched[0]] += np.add.reduceat(d_x.reshape(-1, d)[order], first, axis=0)
+    d_out = _crossed(mixed.reshape(-1, d), d_flat)
+    d_mixed = _product(d_flat, out.T).reshape(x.shape)
+    d_score = d_mixed @ v.transpose(0, 2, 1)
+    d_score -= _sums((d_mixed * mixed).reshape(-1, d)).reshape(*inputs.shape, 1)  # what the shares' sum takes away
+    d_score *= share
+    d_score *= np.float32(d**-0.5)
+    joint = np.empty((*inputs.shape, 3 * d), table.dtype)
+    np.matmul(d_score, k, out=joint[:, :, :d])
+    np.matmul(d_score.transpose(0, 2, 1), q, out=joint[:, :, d : 2 * d])
+    np.matmul(share.transpose(0, 2, 1), d_mixed, out=joint[:, :, 2 * d :])
+    joint = joint.reshape(-1, 3 * d)
+    d_x = d_hidden + _product(joint, projection.T).reshape(x.shape)
+    order = _stable_order(flat_inputs, len(table))
+    ordered = flat_inputs[order]
+    first = _begins(ordered)
+    d_table[ordered[first]] += np.add.reduceat(d_x.reshape(-1, d)[order], first, axis=0)
     d_places = np.zeros_like(places)
     d_places[: inputs.shape[1]] = d_x.sum(axis=0)
-    return loss, [d_table, d_places, x.reshape(-1, d).T @ joint, d_out, d_u, d_bias], np.unique(np.concatenate(touched))
+    grads = [d_table, d_places, _crossed(embedded.reshape(-1, d), joint), d_out, d_across[:, :-1].T, d_across[:, -1]]
+    touched = np.zeros(len(table), bool)
+    touched[flat_inputs] = True
+    for number in numbers:
+        touched[classes.members[number]] = True
+    return loss, grads, np.flatnonzero(touched)
 
 
 def train(weights: list[np.ndarray], batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], classes: Classes, rate: float):
     """One pass over batches of (inputs, targets, times): weights, occurrences of each id, tokens, mean loss.
 
-    Vectors of ids take steps by Adagrad where a batch touches them, all other weights by Adam.
+    Vectors of ids take steps by Adagrad, all other weights by Adam. Meanwhile ids are numbered by rank: those of a
+    class lie side by side and those that occur come first, so that steps run over whole stretches; without a gradient a step is none.
     """
-    weights = [w.copy() for w in weights]
-    table, others = weights[0], weights[1:]
-    power = np.zeros_like(table)
-    mean, square = [np.zeros_like(w) for w in others], [np.zeros_like(w) for w in others]
+    order, ranked = np.append(classes.order, classes.start), classes.ranked()
+    number = np.empty(len(order), np.uint16 if len(order) <= 1 << 16 else np.int64)
+    number[order] = np.arange(len(order))
+    table, ends = weights[0][order], np.cumsum([w.size for w in weights[1:]])
+    flat = np.concatenate([w.ravel() for w in weights[1:]])
+    others = [part.reshape(w.shape) for part, w in zip(np.split(flat, ends[:-1]), weights[1:], strict=True)]  # views
+    power, d_table = np.zeros_like(table), np.zeros_like(table)
+    mean, square = np.zeros_like(flat), np.zeros_like(flat)
     seen, tokens, losses, mask = np.zeros(len(table), np.int64), 0, 0.0, causal(len(others[0]))
     for step, (inputs, targets, times) in enumerate(batches, 1):
-        loss, (d_table, *grads), touched = gradients(weights, inputs, targets, times, classes, mask)
-        g = d_table[touched]
-        power[touched] += g * g
-        table[touched] -= np.float32(5 * rate) * g / (np.sqrt(power[touched]) + np.float32(1e-8))
-        for w, g, m, s in zip(others, grads, mean, square, strict=True):
-            m += np.float32(0.1) * (g - m)
-            s += np.float32(0.01) * (g * g - s)
-            w -= np.float32(rate) * (m / np.float32(1 - 0.9**step)) / (np.sqrt(s / np.float32(1 - 0.99**step)) + np.float32(1e-8))
+        inputs, targets = number[inputs], number[targets]
+        loss, (_, *grads), touched = gradients([table, *others], inputs, targets, times, ranked, mask, d_table)
+        last = touched[touched < classes.start].max(initial=-1)
+        for own in (slice(0, int(last) + 1), slice(classes.start, None)):
+            g = d_table[own]
+            power[own] += g * g
+            table[own] -= np.float32(5 * rate) * g / (np.sqrt(power[own]) + np.float32(1e-8))
+            g[:] = 0
+        g = np.concatenate([grad.ravel() for grad in grads])
+        mean += np.float32(0.1) * (g - mean)
+        square += np.float32(0.01) * (g * g - square)
+        flat -= np.float32(rate) * (mean / np.float32(1 - 0.9**step)) / (np.sqrt(square / np.float32(1 - 0.99**step)) + np.float32(1e-8))
         n = int(times.sum())
         for ids in (inputs, targets):
             np.add.at(seen, ids.ravel(), times.ravel())
         tokens += n
         losses += loss * n
-    return weights, seen, tokens, losses / max(1, tokens)
+    return [table[number], *others], seen[number], tokens, losses / max(1, tokens)

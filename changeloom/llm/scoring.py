@@ -225,15 +225,16 @@ def training_windows(docs: DataFrame, tokenizer: str, start: int, how: Scoring)
 def batches_of(table: pa.Table, how: Scoring) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Windows of a shard in the order of their hashes, as inputs, targets and times a place counts."""
     before, times = table.column("before").to_numpy(), table.column("times").to_numpy()
-    held, longest = table.column("ids").to_pylist(), how.shape.window
+    held, longest = table.column("ids").combine_chunks().cast(pa.large_binary()), how.shape.window
+    places = np.frombuffer(held.buffers()[1], np.int64)[held.offset : held.offset + len(held) + 1] // 2  # bytes
+    ids = np.frombuffer(held.buffers()[2] or b"", np.uint16)
     order = np.lexsort((before, table.column("hash").to_numpy()))
     for a in range(0, len(order), how.train_batch):
         at = order[a : a + how.train_batch]
-        own = [np.frombuffer(held[i], np.uint16) for i in at]
-        inside = np.arange(longest) < np.array([len(ids) for ids in own])[:, None]
-        targets = np.zeros(inside.shape, np.int64)
-        targets[inside] = np.concatenate(own)
-        inputs = np.concatenate([before[at, None], targets[:, :-1]], axis=1)
+        own = places[at, None] + np.arange(longest)
+        inside = own < places[at + 1, None]
+        targets = np.where(inside, ids[np.minimum(own, len(ids) - 1)], np.uint16(0))
+        inputs = np.concatenate([before[at, None].astype(np.uint16), targets[:, :-1]], axis=1)
         yield inputs, targets, np.where(inside, times[at, None], 0)
 
 

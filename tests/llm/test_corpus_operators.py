@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -323,6 +324,55 @@ def test_ids_of_one_class_are_told_apart():
     assert 10 ** after[1] > 0.8 and 10 ** after[3] > 0.8 and 10 ** after[5] < 0.1
 
 
+def test_steps_run_over_stretches_of_ids(monkeypatch):
+    """While it trains, ids of a class lie side by side; what comes out is what steps id by id give."""
+    draw = np.random.default_rng(4)
+    start, passed, plain = attention.start_weights(SMALL, FEW), [], attention.gradients
+    targets = draw.choice([0, 2, 3, 4, 5, 6, 7], (5, 3, 6))
+    inputs = np.concatenate([np.full((5, 3, 1), FEW.start), targets[:, :, :-1]], axis=2)
+    batches = [(i, t, draw.integers(0, 4, (3, 6))) for i, t in zip(inputs, targets, strict=True)]
+
+    def kept(*own):
+        passed.append(own[4])
+        return plain(*own)
+
+    monkeypatch.setattr(attention, "gradients", kept)
+    trained, seen, tokens, _ = attention.train(start, iter(batches), FEW, 0.02)
+    assert len(passed) == 5 and all(isinstance(ids, slice) for classes in passed for ids in classes.members)
+    wanted, power, mean, square = [w.copy() for w in start], 0, [0] * 5, [0] * 5
+    for step, batch in enumerate(batches, 1):
+        g, *others = plain(wanted, *batch, FEW, attention.causal(6))[1]
+        power = power + g * g
+        wanted[0] -= 0.1 * g / (np.sqrt(power) + 1e-8)
+        for i, h in enumerate(others):
+            mean[i], square[i] = 0.9 * mean[i] + 0.1 * h, 0.99 * square[i] + 0.01 * h * h
+            wanted[i + 1] -= 0.02 * mean[i] / (1 - 0.9**step) / (np.sqrt(square[i] / (1 - 0.99**step)) + 1e-8)
+    for got, w in zip(trained, wanted, strict=True):
+        assert got == pytest.approx(w, abs=2e-4)
+    times = np.stack([t for *_, t in batches])
+    assert tokens == times.sum() and seen[FEW.start] == times[:, :, 0].sum()
+    assert seen[2] == times[inputs == 2].sum() + times[targets == 2].sum() and not seen[1]
+
+
+@pytest.mark.parametrize("n", [0, 1, 127, 128, 300])
+def test_products_by_groups_of_rows(n):
+    rows, right = np.arange(n * 5.0).reshape(n, 5), np.arange(n * 3.0).reshape(n, 3)
+    assert np.array_equal(attention._product(rows, np.ones((5, 3))), rows @ np.ones((5, 3)))
+    assert np.allclose(attention._crossed(rows, right), rows.T @ right)
+
+
+def test_batches_of_a_part_of_a_table():
+    how = scoring.Scoring(shape=SMALL, train_batch=2)
+    ids = [[1, 2, 3, 4, 5, 6], [7], [3, 3], [9, 8, 7], [5]]
+    held = pa.chunked_array([pa.array([np.array(own, np.uint16).tobytes() for own in part], pa.binary()) for part in (ids[:2], ids[2:])])
+    table = pa.table({"before": pa.array([9, 1, 2, 3, 4], pa.int32()), "ids": held, "times": [1, 2, 3, 4, 5], "hash": [5, 3, 1, 4, 2]})
+    got = [row for batch in scoring.batches_of(table.slice(1), how) for row in zip(*(v.tolist() for v in batch), strict=True)]
+    wanted = [([n, *own[:-1]], own, times) for n, own, times in ((2, [3, 3], 3), (4, [5], 5), (1, [7], 2), (3, [9, 8, 7], 4))]
+    for (inputs, targets, times), (first, own, each) in zip(got, wanted, strict=True):
+        n = len(own)
+        assert (inputs[:n], targets[:n], times) == (first, own, [each] * n + [0] * (6 - n))
+
+
 @both
 def test_scores(spark, shape):
     docs = [*ROWS[:4], *ROWS[5:]]
