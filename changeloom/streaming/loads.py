@@ -31,6 +31,12 @@ from changeloom.streaming.progress import ProgressAudit
 logger = logging.getLogger(__name__)
 _POOL = "spark.scheduler.pool"  # fixed value
 _ARRIVED, _DIGEST = "_arrived", "_digest"
+# What a stream that remembers rows is started with: no micro-batch without rows, which would only go through all that is
+# remembered once more, and in memory the last state alone, not the one before too
+_REMEMBERING = {
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    "spark.sql.streaming.maxBatchesToRetainInMemory": "1",
+}
 _AT_WORK: defaultdict[str, threading.Lock] = defaultdict(threading.Lock)  # one writer a table
 
 
@@ -147,7 +153,7 @@ def start_stream(
 
     trigger = {"availableNow": True} if stream.available_now else {"processingTime": stream.interval}
     name = f"stream-{source.source}"
-    with _pool(spark, name if stream.own_pool else None):
+    with _pool(spark, name if stream.own_pool else None), _settings(spark, _REMEMBERING if stream.redelivery else {}):
         return (
             changes.writeStream.foreachBatch(handle)
             .outputMode("append")
@@ -169,6 +175,19 @@ def _pool(spark: SparkSession, name: str | None) -> Iterator[None]:
         spark.sparkContext.setLocalProperty(_POOL, before)
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session while a stream is started: it keeps them, others do not get them."""
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def run_streams(
     spark: SparkSession,
     sources: Sequence[SourceSpec],

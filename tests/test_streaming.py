@@ -164,6 +164,18 @@ def test_redelivered_rows_count_once_and_none_is_dropped_as_late(spark, lake, so
     assert set(state(spark, lake, source)) == {1, 2, 3}
 
 
+def test_what_is_remembered_is_gone_through_once_a_micro_batch_with_rows(spark, lake, source):
+    names = ["spark.sql.streaming.noDataMicroBatches.enabled", "spark.sql.streaming.maxBatchesToRetainInMemory"]
+    before = [spark.conf.get(name) for name in names]
+    first = changes(spark, (1, "active", 50000, "I"), (2, "active", 1, "I"))
+    for name in ("a", "b", "c"):
+        land(first, source.cdc_source_location, name)
+    run_streams(spark, [source], lake, options=SMALL, stream=replace(NOW, redelivery="1 day", archive=False))
+    log = read_audit(spark, lake.run_log_path, RUN_LOG)
+    assert sorted(r.records_read for r in log.collect()) == [0, 0, 2]  # one a file, none without one
+    assert [spark.conf.get(name) for name in names] == before
+
+
 def test_progress_and_pool_of_a_stream(spark, lake, source, monkeypatch):
     pools = []
     monkeypatch.setattr(
