@@ -16,7 +16,8 @@ import numpy as np
 
 
 GROUP = 128  # rows of a product: the kernels for small matrices take half the time a row
-PIECE = 16 * GROUP  # rows whose logits are held at once, so that they stay in a core's cache
+MOST = 75  # float32 holds its exp, and a sum of many
+PIECE = 1 << 18  # logits that are held at once, so that they stay in a core's cache
 
 
 @dataclass(frozen=True)
@@ -37,7 +38,7 @@ class Classes:
         own = min(shape.own, seen)
         self.start = self.ids  # stands before the first token; it has a vector and is never predicted
         self.counts, self.shape, self.order = counts, shape, np.lexsort((np.arange(self.ids), -counts))
-        rank = np.empty(self.ids, np.int64)
+        self.rank = rank = np.empty(self.ids, np.int64)
         rank[self.order] = np.arange(self.ids)
         self.of = np.where(rank < own, rank, own + (rank - own) // shape.members)
         self.place = np.where(rank < own, 0, (rank - own) % shape.members)
@@ -50,21 +51,21 @@ class Classes:
         self.share = np.log((counts + 0.1) / total[self.of]).astype(np.float32)
         self.equal = np.where(unseen, self.share, np.float32(0))  # log share of an id that nothing tells apart from others
         self.prior = np.log(total / total.sum()).astype(np.float32)
-        self.least = float(np.abs(self.share).max(initial=0))
 
     def ranked(self) -> Classes:
         """The same classes of ids numbered by rank, so that those of a class lie side by side."""
         return Classes(self.counts[self.order], self.shape)
 
-    def shared(self, targets: np.ndarray, valid: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-        """For each class of several ids: the places whose valid target is in it, and its place in ``members``."""
+    def shared(self, targets: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, list[tuple[slice, slice]]]:
+        """Places whose valid target is in a class of several ids, class by class; each such class's stretch of them and of ``several``."""
         of = self.of[targets]
         at = np.flatnonzero(valid & (of >= self.own) & (of < self.own + len(self.members)))
         at = at[_stable_order(of[at], self.n)]
         of = of[at]
-        first = _begins(of)
-        for a, size in zip(first, np.diff(first, append=len(at)), strict=True):
-            yield at[a : a + size], int(of[a]) - self.own
+        first, width = _begins(of), self.shape.members
+        ends, begins = np.append(first[1:], len(at)).tolist(), ((of[first] - self.own) * width).tolist()
+        last = self.rank[self.several].max(initial=-1) + 1 - self.own
+        return at, [(slice(a, b), slice(c, min(c + width, last))) for a, b, c in zip(first.tolist(), ends, begins, strict=False)]
 
 
 def _rows(ids: np.ndarray) -> np.ndarray | slice:
@@ -96,7 +97,7 @@ def _product(rows: np.ndarray, matrix: np.ndarray, out: np.ndarray | None = None
 
 def _crossed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """``left.T @ right``, by groups of rows."""
-    whole = len(left) // GROUP * GROUP
+    whole = len(left) // GROUP * GROUP if len(left) >= 4 * GROUP else 0
     total = left[whole:].T @ right[whole:]
     if whole:
         grouped = left[:whole].reshape(-1, GROUP, left.shape[1]).transpose(0, 2, 1)
@@ -125,10 +126,16 @@ def from_rows(rows: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
     return [part.reshape(w.shape).astype(w.dtype) for part, w in zip(parts, like, strict=True)]
 
 
+def _scaled(projection: np.ndarray) -> np.ndarray:
+    """With the queries' part scaled, so that their products with keys need not be."""
+    d, scaled = len(projection), projection.copy()
+    scaled[:, :d] *= np.float32(d**-0.5)
+    return scaled
+
+
 def _shares(q: np.ndarray, k: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What each place gives to those it may see, and the sum of that."""
+    """What each place gives to those it may see, and the sum of that; queries are scaled."""
     given = q @ k.transpose(0, 2, 1)
-    given *= np.float32(q.shape[2] ** -0.5)
     np.clip(given, -40, 40, out=given)
     np.exp(given, out=given)
     given *= mask
@@ -139,9 +146,9 @@ def attend(weights, inputs: np.ndarray, mask: np.ndarray):
     """Hidden states (windows, places, width), and what the way back needs."""
     table, places, projection, out, _, _ = weights
     d = table.shape[1]
-    x = table[inputs]
+    x = table.take(inputs, axis=0)
     x += places[: inputs.shape[1]]
-    q, k, v = np.split(_product(x.reshape(-1, d), projection).reshape(*inputs.shape, 3 * d), 3, axis=2)
+    q, k, v = np.split(_product(x.reshape(-1, d), _scaled(projection)).reshape(*inputs.shape, 3 * d), 3, axis=2)
     share, total = _shares(q, k, mask)
     share /= total
     mixed = share @ v
@@ -152,28 +159,48 @@ def causal(n: int) -> np.ndarray:
     return np.tril(np.ones((n, n), np.float32))
 
 
-def _with_one(hidden: np.ndarray) -> np.ndarray:
-    """Rows with a one behind them, so that their product with rows that end in a shift holds the shift."""
-    rows = np.empty((len(hidden), hidden.shape[1] + 1), hidden.dtype)
-    rows[:, :-1], rows[:, -1] = hidden, 1
-    return rows
-
-
-def _with_shift(vectors: np.ndarray, shift: np.ndarray) -> np.ndarray:
-    return np.concatenate([vectors, shift[:, None]], axis=1, dtype=vectors.dtype)
+def _longest(rows: np.ndarray) -> float:
+    """Length of the longest row."""
+    return float(np.einsum("ij,ij->i", rows, rows).max(initial=0)) ** 0.5
 
 
-def _longest(rows: np.ndarray) -> float:
-    """No row is longer."""
-    return float(rows.shape[1] ** 0.5 * max(rows.max(initial=0), -rows.min(initial=0)))
+class Softmax:
+    """Softmax of the products of rows with vectors, a shift added to each vector's.
 
+    exp(shift) is a factor of a vector, so it is taken once and not for each row. Only where exp might not hold
+    the products, shifts are added and a row's largest logit is taken away first; that changes no probability.
+    """
 
-def _logits(hidden: np.ndarray, across: np.ndarray, most: float, out: np.ndarray) -> np.ndarray:
-    """Logits that exp can hold, none larger than ``most`` at first; a shift by row changes no probability."""
-    _product(hidden, across.T, out)
-    if not most < 60:
-        out -= out.max(axis=1, keepdims=True)
-    return out
+    def __init__(self, vectors: np.ndarray, shift: np.ndarray, most: float):
+        """``most`` is as long as the longest row times the longest vector."""
+        self.vectors, self.across = vectors, np.ascontiguousarray(vectors.T)  # faster in a product than a transposed view
+        low, high = (shift.min(), shift.max()) if len(shift) else (0, 0)
+        self.shift, none = shift - (low + high) / shift.dtype.type(2), np.zeros_like(shift)
+        self.held = most + high - low < MOST
+        self.shift_held = self.shift if self.held else none  # what no logit holds
+        self.factor = np.exp(self.shift_held)
+        self.scaled = vectors * self.factor[:, None]
+
+    def logits(self, hidden: np.ndarray, group: list[tuple[slice, slice]], target: np.ndarray):
+        """The rows of a group, a block of logits for each stretch, all blocks as one, and where in it each row's target is."""
+        rows, widths = [at.stop - at.start for at, _ in group], [c.stop - c.start for _, c in group]
+        own = slice(group[0][0].start, group[-1][0].stop)
+        ends = np.cumsum(np.multiply(rows, widths)).tolist()
+        flat, blocks = np.empty(ends[-1], hidden.dtype), []
+        for (at, columns), a, b, width in zip(group, [0, *ends], ends, widths, strict=False):
+            block = flat[a:b].reshape(-1, width)
+            _product(hidden[at], self.across[:, columns], block)
+            if not self.held:
+                block += self.shift[columns]
+                block -= block.max(axis=1, keepdims=True)
+            blocks.append(block)
+        before = np.repeat(widths, rows)
+        before = np.cumsum(before) - before - np.repeat([c.start for _, c in group], rows)
+        return own, blocks, flat, before + target[own]
+
+    def sums(self, group: list[tuple[slice, slice]], blocks: list[np.ndarray]) -> np.ndarray:
+        """Of each row of a group, the sum of what its exps stand for."""
+        return np.concatenate([block @ self.factor[columns] for (_, columns), block in zip(group, blocks, strict=True)])
 
 
 def _sums(values: np.ndarray) -> np.ndarray:
@@ -181,42 +208,65 @@ def _sums(values: np.ndarray) -> np.ndarray:
     return values @ np.ones(values.shape[1], values.dtype)
 
 
-def _pieces(n: int) -> Iterator[slice]:
-    """Rows whose logits stay in a core's cache."""
-    return (slice(a, a + PIECE) for a in range(0, n, PIECE))
-
-
-def _log_picked(hidden: np.ndarray, across: np.ndarray, most: float, target: np.ndarray) -> np.ndarray:
-    """Log probability of each row's target."""
-    log, held = np.empty(len(target)), np.empty((min(PIECE, len(target)), len(across)), hidden.dtype)
-    for own in _pieces(len(target)):
-        at = target[own]
-        logits = _logits(hidden[own], across, most, held[: len(at)])
-        log[own] = logits[np.arange(len(at)), at]
-        log[own] -= np.log(_sums(np.exp(logits, out=logits)))
+def _pieces(stretches: list[tuple[slice, slice]]) -> Iterator[list[tuple[slice, slice]]]:
+    """Stretches of rows and of vectors, long ones parted, by as many as have logits that stay in a core's cache."""
+    group, held = [], 0
+    for rows, columns in stretches:
+        width = columns.stop - columns.start
+        most = max(GROUP, PIECE // width // GROUP * GROUP)
+        for a in range(rows.start, rows.stop, most):
+            part = slice(a, min(a + most, rows.stop))
+            if group and held + (part.stop - a) * width > PIECE:
+                yield group
+                group, held = [], 0
+            group.append((part, columns))
+            held += (part.stop - a) * width
+    if group:
+        yield group
+
+
+def _whole(rows: np.ndarray, vectors: np.ndarray) -> list[tuple[slice, slice]]:
+    """One stretch, of all rows and all vectors."""
+    return [(slice(0, len(rows)), slice(0, len(vectors)))]
+
+
+def _log_picked(hidden: np.ndarray, softmax: Softmax, stretches: list[tuple[slice, slice]], target: np.ndarray) -> np.ndarray:
+    """Log probability of each row's target among the vectors of its stretch."""
+    log = np.empty(len(target))
+    for group in _pieces(stretches):
+        own, blocks, logits, picks = softmax.logits(hidden, group, target)
+        log[own] = logits[picks] + softmax.shift_held[target[own]]
+        np.exp(logits, out=logits)
+        log[own] -= np.log(softmax.sums(group, blocks))
     return log
 
 
-def _missed(hidden: np.ndarray, across: np.ndarray, most: float, target: np.ndarray, each: np.ndarray):
-    """Each row's log probability of its target, and the gradients of the rows and of ``across``; a row counts ``each`` times.
+def _missed(hidden: np.ndarray, softmax: Softmax, stretches, target: np.ndarray, each: np.ndarray, d_hidden: np.ndarray, d_shift=None):
+    """Each row's log probability of its target, and the gradients of the vectors; a row counts ``each`` times.
 
-    They come from the probabilities less the target's one. What a row is divided by and counts goes to its short side.
+    Those of the rows are put into ``d_hidden``, those of the shifts into ``d_shift``, which holds zeros. They come from the probabilities
+    less the target's one. What a row is divided by and counts goes to its short side, a vector's factor to its own.
     """
-    share, d_hidden, d_across = np.empty_like(each), np.empty_like(hidden), None
-    held = np.empty((min(PIECE, len(target)), len(across)), hidden.dtype)
-    for own in _pieces(len(target)):
-        at = target[own]
-        p, row = _logits(hidden[own], across, most, held[: len(at)]), np.arange(len(at))
-        total = _sums(np.exp(p, out=p))
-        picked = p[row, at]
-        share[own] = picked / total
-        p[row, at] = picked - total
-        by = (each[own] / total)[:, None]
-        d_own = _crossed(p, hidden[own] * by)
-        d_across = d_own if d_across is None else d_across + d_own
-        _product(p, across, d_hidden[own])
-        d_hidden[own] *= by
-    return np.log(share + 1e-30), d_hidden[:, :-1], d_across
+    share, d_vectors, factor = np.empty_like(each), np.zeros_like(softmax.vectors), softmax.factor
+    for group in _pieces(stretches):
+        own, blocks, p, picks = softmax.logits(hidden, group, target)
+        np.exp(p, out=p)
+        total, by_target, picked = softmax.sums(group, blocks), factor[target[own]], p[picks]
+        share[own] = picked * by_target / total
+        p[picks] = picked - total / by_target
+        by = each[own] / total
+        rows = hidden[own] * by[:, None]
+        for (at, columns), block in zip(group, blocks, strict=True):
+            inside = slice(at.start - own.start, at.stop - own.start)
+            d_vectors[columns] += _crossed(block, rows[inside])
+            if d_shift is not None:
+                d_shift[columns] += by[inside] @ block
+            _product(block, softmax.scaled[columns], d_hidden[at])
+        d_hidden[own] *= by[:, None]
+    d_vectors *= factor[:, None]
+    if d_shift is not None:
+        d_shift *= factor
+    return np.log(share + 1e-30), d_vectors
 
 
 def log10_scores(weights, texts: list[np.ndarray], classes: Classes, shape: Shape) -> np.ndarray:
@@ -239,12 +289,13 @@ def log10_scores(weights, texts: list[np.ndarray], classes: Classes, shape: Shap
     scored = (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * shape.stride
     causal_ = np.tril(np.ones((shape.stride, shape.window), np.float32), context)
     place, place_scored, scores = np.arange(shape.window), np.arange(shape.stride), []
-    across, farthest, among = _with_shift(u.T, bias), _longest(table[classes.several]), {}
-    wide, shifted = _longest(u.T), np.abs(bias).max()
+    several, own_shift = table[classes.several], classes.share[classes.several]
+    farthest, wide = _longest(several), _longest(u.T)
+    projection = _scaled(projection)
     for a in range(0, len(owner), shape.batch):
         own, first = owner[a : a + shape.batch], scored[a : a + shape.batch]
         at = (base[own] + first - context)[:, None] + place
-        x = table[before[np.clip(at, 0, len(before) - 1)]]
+        x = table.take(before.take(at, mode="clip"), axis=0)
         x += places
         asking = np.ascontiguousarray(x[:, context:])
         q = _product(asking.reshape(-1, d), projection[:, :d]).reshape(asking.shape)
@@ -257,15 +308,14 @@ def log10_scores(weights, texts: list[np.ndarray], classes: Classes, shape: Shap
         mixed /= total
         asking += _product(mixed.reshape(-1, d), out).reshape(asking.shape)
         valid = (first[:, None] + place_scored < lengths[own][:, None]).ravel()
-        hidden = asking.reshape(-1, d)[valid]
-        target, longest, hidden = after[at[:, context:].ravel()[valid]], _longest(hidden), _with_one(hidden)
-        picked = _log_picked(hidden, across, longest * wide + shifted, classes.of[target]) + classes.equal[target]
-        for rows, number in classes.shared(target, np.ones(len(target), bool)):
-            if number not in among:
-                ids = classes.members[number]
-                among[number] = _with_shift(table[ids], classes.share[ids])
-            most = longest * farthest + classes.least
-            picked[rows] += _log_picked(hidden[rows], among[number], most, classes.place[target[rows]])
+        valid = np.flatnonzero(valid)
+        hidden = asking.reshape(-1, d).take(valid, axis=0)
+        target, longest = after.take(at[:, context:].ravel().take(valid)), _longest(hidden)
+        softmax = Softmax(u.T, bias, longest * wide)
+        picked = _log_picked(hidden, softmax, _whole(hidden, u.T), classes.of[target]) + classes.equal[target]
+        asked, stretches = classes.shared(target, np.ones(len(target), bool))
+        softmax = Softmax(several, own_shift, longest * farthest)
+        picked[asked] += _log_picked(hidden.take(asked, axis=0), softmax, stretches, classes.rank[target[asked]] - classes.own)
         scores.append(picked)
     return np.concatenate(scores) / np.log(10)
 
@@ -280,47 +330,44 @@ def gradients(
     table, places, projection, out, u, bias = weights
     n, d, flat_inputs, flat_targets = max(1.0, float(times.sum())), table.shape[1], inputs.ravel(), targets.ravel()
     x, (embedded, q, k, v, share, mixed) = attend(weights, inputs, mask)
-    longest, hidden = _longest(x.reshape(-1, d)), _with_one(x.reshape(-1, d))
-    most, most_among = longest * _longest(u.T) + np.abs(bias).max(), longest * _longest(table[classes.several]) + classes.least
+    hidden, d_bias = x.reshape(-1, d), np.zeros_like(bias)
+    longest, d_flat = _longest(hidden), np.empty_like(hidden)
     each = (times.ravel() / n).astype(table.dtype)
-    log, d_flat, d_across = _missed(hidden, _with_shift(u.T, bias), most, classes.of[flat_targets], each)
+    softmax = Softmax(u.T, bias, longest * _longest(u.T))
+    log, d_across = _missed(hidden, softmax, _whole(hidden, u.T), classes.of[flat_targets], each, d_flat, d_bias)
     loss = -float(((log + classes.equal[flat_targets]) * each).sum())
-    d_flat = np.ascontiguousarray(d_flat)
     if d_table is None:
         d_table = np.zeros_like(table)
-    numbers = []
-    for rows, number in classes.shared(flat_targets, each > 0):
-        numbers.append(number)
-        ids, own = classes.members[number], each[rows]
-        among = _with_shift(table[ids], classes.share[ids])
-        log, d_rows, d_among = _missed(hidden[rows], among, most_among, classes.place[flat_targets[rows]], own)
-        loss -= float(log @ own)
-        d_flat[rows] += d_rows
-        d_table[ids] = d_among[:, :-1]
+    asked, stretches = classes.shared(flat_targets, each > 0)
+    rows, own_each, several = hidden.take(asked, axis=0), each[asked], table[classes.several]
+    d_rows, softmax = np.empty_like(rows), Softmax(several, classes.share[classes.several], longest * _longest(several))
+    log, d_table[classes.several] = _missed(rows, softmax, stretches, classes.rank[flat_targets[asked]] - classes.own, own_each, d_rows)
+    loss -= float(log @ own_each)
+    d_flat[asked] += d_rows
     d_hidden = d_flat.reshape(x.shape)
     d_out = _crossed(mixed.reshape(-1, d), d_flat)
-    d_mixed = _product(d_flat, out.T).reshape(x.shape)
+    d_mixed = _product(d_flat, np.ascontiguousarray(out.T)).reshape(x.shape)
     d_score = d_mixed @ v.transpose(0, 2, 1)
     d_score -= _sums((d_mixed * mixed).reshape(-1, d)).reshape(*inputs.shape, 1)  # what the shares' sum takes away
     d_score *= share
-    d_score *= np.float32(d**-0.5)
     joint = np.empty((*inputs.shape, 3 * d), table.dtype)
     np.matmul(d_score, k, out=joint[:, :, :d])
     np.matmul(d_score.transpose(0, 2, 1), q, out=joint[:, :, d : 2 * d])
     np.matmul(share.transpose(0, 2, 1), d_mixed, out=joint[:, :, 2 * d :])
     joint = joint.reshape(-1, 3 * d)
-    d_x = d_hidden + _product(joint, projection.T).reshape(x.shape)
+    d_x = _product(joint, np.ascontiguousarray(_scaled(projection).T)).reshape(x.shape)
+    d_x += d_hidden
     order = _stable_order(flat_inputs, len(table))
     ordered = flat_inputs[order]
     first = _begins(ordered)
-    d_table[ordered[first]] += np.add.reduceat(d_x.reshape(-1, d)[order], first, axis=0)
+    d_table[ordered[first]] += np.add.reduceat(d_x.reshape(-1, d).take(order, axis=0), first, axis=0)
     d_places = np.zeros_like(places)
     d_places[: inputs.shape[1]] = d_x.sum(axis=0)
-    grads = [d_table, d_places, _crossed(embedded.reshape(-1, d), joint), d_out, d_across[:, :-1].T, d_across[:, -1]]
+    grads = [d_table, d_places, _scaled(_crossed(embedded.reshape(-1, d), joint)), d_out, d_across.T, d_bias]
     touched = np.zeros(len(table), bool)
     touched[flat_inputs] = True
-    for number in numbers:
-        touched[classes.members[number]] = True
+    for _, columns in stretches:
+        touched[classes.order[classes.own + columns.start : classes.own + columns.stop]] = True
     return loss, grads, np.flatnonzero(touched)
 
 
@@ -331,7 +378,7 @@ def train(weights: list[np.ndarray], batches: Iterator[tuple[np.ndarray, np.ndar
     class lie side by side and those that occur come first, so that steps run over whole stretches; without a gradient a step is none.
     """
     order, ranked = np.append(classes.order, classes.start), classes.ranked()
-    number = np.empty(len(order), np.uint16 if len(order) <= 1 << 16 else np.int64)
+    number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
     table, ends = weights[0][order], np.cumsum([w.size for w in weights[1:]])
     flat = np.concatenate([w.ravel() for w in weights[1:]])

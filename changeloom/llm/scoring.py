@@ -251,8 +251,8 @@ def fit(windows: DataFrame, classes: Classes, how: Scoring) -> list[np.ndarray]:
     values = [f"v{i}" for i in range(d)]
     schema = ", ".join(["row int", "n long", *(f"{v} long" for v in values)])
     hash_ = F.xxhash64("before", "ids")
-    # a shard is small but long to learn from, so tasks are not merged by their bytes
-    tasks = min(shards, int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # a shard is small but long to learn from, so tasks are not merged by their bytes, and few shards share one
+    tasks = min(shards, 4 * int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = windows.withColumn("hash", hash_).withColumn("shard", F.pmod(hash_, F.lit(shards))).repartition(tasks, "shard")
 
     def learner(start: list[np.ndarray], rate: float) -> Callable[[pa.Table], pa.Table]:

@@ -361,6 +361,30 @@ def test_products_by_groups_of_rows(n):
     assert np.allclose(attention._crossed(rows, right), rows.T @ right)
 
 
+@pytest.mark.parametrize("most", [30, 300])
+def test_classes_side_by_side_are_each_a_softmax(most, monkeypatch):
+    """Rows of several classes go through one block; without a large logit no row's largest is looked for."""
+    monkeypatch.setattr(attention, "PIECE", 40)
+    monkeypatch.setattr(attention, "GROUP", 2)
+    draw = np.random.default_rng(5)
+    vectors, shift, hidden = draw.normal(size=(10, 4)), draw.normal(size=10), draw.normal(size=(23, 4))
+    stretches = [(slice(0, 15), slice(0, 4)), (slice(15, 16), slice(4, 8)), (slice(16, 23), slice(8, 10))]
+    target = np.concatenate([draw.integers(c.start, c.stop, r.stop - r.start) for r, c in stretches])
+    softmax, each, d_hidden = attention.Softmax(vectors, shift, most), draw.random(23), np.empty((23, 4))
+    assert softmax.held == (most == 30) and attention._longest(np.array([[3.0, 4.0], [0.0, 4.9]])) == pytest.approx(5)
+    wanted, d_vectors, d_rows = np.empty(23), np.zeros((10, 4)), np.empty((23, 4))
+    for rows, columns in stretches:
+        logits = hidden[rows] @ vectors[columns].T + shift[columns]
+        share, at = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True), np.arange(rows.stop - rows.start)
+        wanted[rows] = np.log(share[at, target[rows] - columns.start])
+        share[at, target[rows] - columns.start] -= 1
+        d_vectors[columns] += (share * each[rows, None]).T @ hidden[rows]
+        d_rows[rows] = share * each[rows, None] @ vectors[columns]
+    log, d = attention._missed(hidden, softmax, stretches, target, each, d_hidden)
+    assert log == pytest.approx(wanted) and d == pytest.approx(d_vectors) and d_hidden == pytest.approx(d_rows)
+    assert attention._log_picked(hidden, softmax, stretches, target) == pytest.approx(wanted)
+
+
 def test_batches_of_a_part_of_a_table():
     how = scoring.Scoring(shape=SMALL, train_batch=2)
     ids = [[1, 2, 3, 4, 5, 6], [7], [3, 3], [9, 8, 7], [5]]
