@@ -14,6 +14,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from changeloom.llm.exponents import exp
+
 
 GROUP = 128  # rows of a product: the kernels for small matrices take half the time a row
 MOST = 75  # float32 holds its exp, and a sum of many
@@ -137,7 +139,7 @@ def _shares(q: np.ndarray, k: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray,
     """What each place gives to those it may see, and the sum of that; queries are scaled."""
     given = q @ k.transpose(0, 2, 1)
     np.clip(given, -40, 40, out=given)
-    np.exp(given, out=given)
+    exp(given)
     given *= mask
     return given, given @ np.ones((given.shape[2], 1), given.dtype)
 
@@ -236,7 +238,7 @@ def _log_picked(hidden: np.ndarray, softmax: Softmax, stretches: list[tuple[slic
     for group in _pieces(stretches):
         own, blocks, logits, picks = softmax.logits(hidden, group, target)
         log[own] = logits[picks] + softmax.shift_held[target[own]]
-        np.exp(logits, out=logits)
+        exp(logits)
         log[own] -= np.log(softmax.sums(group, blocks))
     return log
 
@@ -250,7 +252,7 @@ def _missed(hidden: np.ndarray, softmax: Softmax, stretches, target: np.ndarray,
     share, d_vectors, factor = np.empty_like(each), np.zeros_like(softmax.vectors), softmax.factor
     for group in _pieces(stretches):
         own, blocks, p, picks = softmax.logits(hidden, group, target)
-        np.exp(p, out=p)
+        exp(p)
         total, by_target, picked = softmax.sums(group, blocks), factor[target[own]], p[picks]
         share[own] = picked * by_target / total
         p[picks] = picked - total / by_target

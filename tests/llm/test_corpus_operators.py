@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from changeloom.llm import attention, hamming, repeats, scoring, shards, simhash
+from changeloom.llm import attention, exponents, hamming, repeats, scoring, shards, simhash
 from changeloom.llm.common import remainder
 from tests.llm.cases import ROWS, both, documents
 
@@ -385,6 +385,50 @@ def test_classes_side_by_side_are_each_a_softmax(most, monkeypatch):
     assert attention._log_picked(hidden, softmax, stretches, target) == pytest.approx(wanted)
 
 
+def test_exp_of_many_numbers_is_exact_to_the_last_bits(monkeypatch):
+    """numpy's own, where there is no AVX-512, is wrong by up to 2e-7 of a value."""
+    pytest.importorskip("onnxruntime")
+    draw = np.random.default_rng(6)
+    for shape in ((exponents.LARGE + 5,), (300, 7, 31)):
+        given = draw.uniform(-80, 80, shape).astype(np.float32)
+        got, wanted = given.copy(), np.exp(given.astype(np.float64))
+        exponents.exp(got)
+        assert got.dtype == np.float32 and np.abs(got / wanted - 1).max() < 1.2e-7
+    ends = np.full(exponents.LARGE, -500, np.float32)
+    ends[::3] = 0
+    exponents.exp(ends)
+    assert (ends[::3] == 1).all() and np.delete(ends, np.s_[::3]).max() < 1e-44
+    passed, plain = [], np.exp
+    monkeypatch.setattr(exponents.np, "exp", lambda own, **more: passed.append(own.size) or plain(own, **more))
+    many = draw.random((exponents.LARGE, 2))
+    for own in (many, many.astype(np.float32)[:, 0], many.astype(np.float32)[:9]):  # another type, with gaps, few
+        got = own.copy() if own.flags.c_contiguous else own
+        wanted = plain(own)
+        exponents.exp(got)
+        assert got == pytest.approx(wanted)
+    assert passed == [2 * exponents.LARGE, exponents.LARGE, 18]
+
+
+def test_a_large_step_is_the_same_without_the_faster_exp(monkeypatch):
+    """Training and scoring take exp of whole blocks at once by the faster kernel, if there is one."""
+    pytest.importorskip("onnxruntime")
+    draw, shape = np.random.default_rng(7), attention.Shape(own=40, members=64)
+    classes = attention.Classes(draw.integers(0, 50, 3000), shape)
+    targets = draw.choice(np.flatnonzero(classes.counts), (2, 128, 32))
+    inputs = np.concatenate([np.full((2, 128, 1), classes.start), targets[:, :, :-1]], axis=2)
+    batches = [(i, t, np.ones(t.shape, np.int64)) for i, t in zip(inputs, targets, strict=True)]
+    found, kernel, taken = [], exponents._kernel(), []
+    for own in (lambda values: taken.append(values.size) or kernel(values), None):
+        monkeypatch.setattr(exponents, "_kernel", lambda own=own: own)
+        weights, *_ = attention.train(attention.start_weights(shape, classes), iter(batches), classes, 0.02)
+        found.append((weights, attention.log10_scores(weights, list(targets[0]), classes, shape)))
+    assert len(taken) > 6 and min(taken) >= exponents.LARGE
+    (weights, scores), (again, plain) = found
+    assert scores == pytest.approx(plain, abs=1e-4)
+    for w, v in zip(weights, again, strict=True):
+        assert w == pytest.approx(v, abs=2e-4)
+
+
 def test_batches_of_a_part_of_a_table():
     how = scoring.Scoring(shape=SMALL, train_batch=2)
     ids = [[1, 2, 3, 4, 5, 6], [7], [3, 3], [9, 8, 7], [5]]
